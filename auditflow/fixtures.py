@@ -71,6 +71,34 @@ SELECT CAST(s_suppkey AS STRING) AS candidate_id,
        CASE s_suppkey % 2 WHEN 0 THEN 'HOUSEHOLD' ELSE 'AUTOMOBILE' END AS catalog_name,
        CAST(s_suppkey % 7 AS STRING) AS catalog_sort
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    # One page capture per document: blocks, elements, modules and warnings.
+    "fx_catblock": """
+SELECT doc_id AS catalog_id, doc_id*10 + 1 AS block_id, 1 AS pos, '2-对话' AS name FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 2, 2, '3-口语学习路径' FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 3, 3, '4-单词和句型' FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 4, 4, '5-Write' FROM documents WHERE doc_id % 50 <> 0
+UNION ALL SELECT doc_id, doc_id*10 + 5, 5, '2-对话 copy' FROM documents WHERE doc_id % 60 = 1""",
+    "fx_catelement": """
+SELECT doc_id AS catalog_id, doc_id*10 + 1 AS block_id, 'e1' AS element_id, 'text' AS type, '一级标题（中文）' AS name, '' AS parent_name, '<p>' || source || '</p>' AS content FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 1, 'e2', 'text', '一级标题（英文）', '', lang || ' &amp; ' || CAST(n_chars AS STRING) FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 2, 'e3', 'text', '一级标题（英文）', '', 'Path<br>' || lang FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 2, 'e4', 'text', '一级标题（中文）', '', '学习 ' || source FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 3, 'e5', 'text', '文本 框', '句型', '<p>' || replace(text, chr(10), '</p><p>') || '</p>' FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 3, 'e6', 'text', '文本框', '单词', '<ul><li>' || lang || '</li><li>' || source || '</li> <li>three</li>' || CASE WHEN n_chars % 2 = 0 THEN '<li>four</li>' ELSE '' END || '</ul>' FROM documents
+UNION ALL SELECT doc_id, doc_id*10 + 3, 'e7', 'text', '中文翻译', '单词', '一<br>二<br/>三' || CASE WHEN n_chars % 3 <> 0 THEN '<br>四' ELSE '' END FROM documents""",
+    "fx_catmodule": """
+SELECT doc_id AS catalog_id, 'm1' AS element_id, '按钮-磨耳朵' AS element_name, 77 AS module_type, doc_id*100 + 1 AS model_id FROM documents
+UNION ALL SELECT doc_id, 'm2', '按钮-看口语视频', 78, doc_id*100 + 2 FROM documents
+UNION ALL SELECT doc_id, 'm3', '按钮-听句型讲解', 78, doc_id*100 + 3 FROM documents
+UNION ALL SELECT doc_id, 'm4', '按钮-单词巧记', 79, doc_id*100 + 4 FROM documents
+UNION ALL SELECT doc_id, 'm5', '按钮-句型巧练', 82, doc_id*100 + 5 FROM documents
+UNION ALL SELECT doc_id, 'm6', '按钮-AI口语跟读测评', 79, doc_id*100 + 6 FROM documents
+UNION ALL SELECT doc_id, 'm7', '按钮-口语PK', 87, doc_id*100 + 7 FROM documents
+UNION ALL SELECT doc_id, 'm8', '打印', 84, doc_id*100 + 8 FROM documents WHERE doc_id % 40 <> 3""",
+    "fx_catwarning": """
+SELECT doc_id AS catalog_id, 1 AS pos, 'FONT_MAPPING_EMPTY' AS code, CAST(NULL AS STRING) AS element_id FROM documents
+UNION ALL SELECT doc_id, 2, 'TEXT_LOST', CASE WHEN doc_id % 5 = 0 THEN 'e5' ELSE 'x9' END FROM documents WHERE doc_id % 2 = 0
+UNION ALL SELECT doc_id, 3, 'MODULE_STALE', 'm4' FROM documents WHERE doc_id % 9 = 0""",
 }
 
 _WORD = re.compile(r"[A-Za-z_]\w*")

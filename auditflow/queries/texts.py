@@ -50,7 +50,9 @@ ORDER_DOCS = """
 SELECT o_orderkey, try_parse_json(to_json(named_struct(
   'source_id', concat('s', o_orderkey),
   'target', named_struct('book_id', o_custkey, 'inner', named_struct('bookId', o_orderstatus, 'rank', o_orderpriority)),
-  'links', array(named_struct('book_id', concat(o_orderkey % 7, ''), 'note', 'n'), named_struct('source_id', o_orderstatus))
+  'links', array(
+    named_struct('book_id', CAST(o_orderkey % 7 AS STRING), 'note', 'n', 'source_id', CAST(NULL AS STRING)),
+    named_struct('book_id', CAST(NULL AS STRING), 'note', CAST(NULL AS STRING), 'source_id', o_orderstatus))
 ))) AS doc FROM orders"""
 
 NAMED = """

@@ -24,6 +24,7 @@ def local_session(cpus: str = "8", app: str = "auditflow", memory: str = "8g") -
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     )

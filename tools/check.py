@@ -79,7 +79,7 @@ def main():
         try:
             good, text, took = compare(spark, con, name, folder)
         except Exception as error:  # noqa: BLE001
-            good, text, took = False, "".join(traceback.format_exception_only(error))[:1500], 0
+            good, text, took = False, "".join(traceback.format_exception_only(error))[:700], 0
         bad += not good
         print(f"{'PASS' if good else 'FAIL'} {name} {took:.2f}s {text}", flush=True)
     print("failures", bad)
