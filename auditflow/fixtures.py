@@ -37,7 +37,7 @@ FROM supplier WHERE s_suppkey % 3 <> 0""",
 SELECT event_type AS book_id, user_id AS catalog_id, ts AS captured_at, event_id AS pos, props AS doc
 FROM events""",
     "fx_ledger_event": """
-SELECT user_id AS item_id, ts AS at, event_id AS seq,
+SELECT user_id AS item_id, ts AS at_ts, event_id AS seq,
        CASE event_type WHEN 'signup' THEN 'planned' WHEN 'view' THEN 'preflighted'
             WHEN 'click' THEN 'applied' WHEN 'purchase' THEN 'saved' ELSE 'failed' END AS to_state
 FROM events""",

@@ -67,7 +67,7 @@ def _(t):
 @query("E7_current_state", """
 SELECT item_id, arg_max(to_state, seq) AS state, count(*) FILTER (WHERE to_state = 'planned') AS attempts FROM fx_ledger_event GROUP BY 1""")
 def _(t):
-    return W.current_state(t.fx_ledger_event, "item_id", ["at", "seq"], "to_state")
+    return W.current_state(t.fx_ledger_event, "item_id", ["at_ts", "seq"], "to_state")
 
 
 @query("E8_first_wins", """

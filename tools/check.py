@@ -5,6 +5,7 @@ usage: python tools/check.py <folder> [name-prefix ...]
 
 import importlib
 import math
+import os
 import sys
 import time
 import traceback
@@ -65,6 +66,8 @@ def compare(spark, con, name, folder):
 def main():
     folder, prefixes = sys.argv[1], sys.argv[2:]
     spark = local_session()
+    if os.environ.get("HOT_ROWS"):
+        spark.conf.set("spark.auditflow.hotRows", os.environ["HOT_ROWS"])
     con = connect(folder)
     for family in Q.FAMILIES:
         try:
