@@ -55,24 +55,32 @@ def fnv1a32(text: Column | str) -> Column:
     return F.concat(F.lit("fnv1a32:"), F.lpad(F.lower(F.hex(value)), 8, "0"))
 
 
+def json_string(text: Column | str) -> Column:
+    """A text as a JSON string literal."""
+    listed = F.to_json(F.array(_col(text)))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
 def page_content_hash(blocks: Column | str) -> Column:
     """Hash of a page from its stored block texts.
 
     ``blocks`` is an array of structs with ``rest`` (JSON of the plain fields),
-    ``data`` and ``info`` (original JSON texts, kept in their own key order).
-    The inner texts become JSON strings, so their key order must be the stored one.
+    ``data`` (template data), ``info`` (plain fields of the template info or null)
+    and ``info_content``.  ``data`` and ``info_content`` become JSON strings, so
+    they must be the original texts in their own key order.
     """
+    def fields(text: Column, without: str) -> Column:
+        kept = F.map_filter(F.try_parse_json(text).cast("map<string,variant>"), lambda k, _: k != without)
+        inner = F.to_json(kept)
+        return F.when(inner == "{}", F.lit("")).otherwise(
+            F.concat(F.substring(inner, F.lit(2), F.length(inner) - 2), F.lit(",")))
+
     def shaped(block: Column, index: Column) -> Column:
-        rest = F.try_parse_json(block["rest"]).cast("map<string,variant>")
-        extra = F.from_json(
-            F.to_json(F.struct(
-                (index + 1).alias("sort"),
-                block["data"].alias("template_data_content"),
-                block["info"].alias("template_info"),
-            ), {"ignoreNullFields": "false"}),
-            "map<string,variant>",
-        )
-        return F.to_json(F.map_concat(F.map_filter(rest, lambda k, _: ~k.isin("sort")), extra))
+        info = F.when(block["info"].isNull(), F.lit("null")).otherwise(F.concat(
+            F.lit("{"), fields(block["info"], "content"), F.lit('"content":'), json_string(block["info_content"]), F.lit("}")))
+        return F.concat(
+            F.lit("{"), fields(block["rest"], "sort"), F.lit('"sort":'), (index + 1).cast("string"),
+            F.lit(',"template_data_content":'), json_string(block["data"]), F.lit(',"template_info":'), info, F.lit("}"))
 
     listed = F.concat(F.lit("["), F.array_join(F.transform(_col(blocks), shaped), ","), F.lit("]"))
     return fnv1a32(canonical_json(listed))

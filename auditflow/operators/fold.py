@@ -83,28 +83,32 @@ def _events(pdf: pd.DataFrame, columns: list[str]) -> list[tuple]:
 
 
 def _summarise(machine: Machine):
+    columns = ["_key", "_range", "kind", "from_state", "to_state"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, composed, made = None, None, set()
+        current, composed, made, out = None, None, set(), []
 
         def flush():
-            rows = [(*current, "entry", a, b) for a, b in composed.entries()]
-            rows += [(*current, "made", s, s) for s in made] or [(*current, "made", "", "")]
-            return pd.DataFrame(rows, columns=["_key", "_range", "kind", "from_state", "to_state"])
+            out.extend((*current, "entry", a, b) for a, b in composed.entries())
+            out.extend([(*current, "made", s, s) for s in made] or [(*current, "made", "", "")])
 
         for pdf in batches:
             keys = list(zip(pdf["_key"].tolist(), pdf["_range"].tolist()))
             for key, event in zip(keys, _events(pdf, machine.columns)):
                 if key != current:
                     if current is not None:
-                        yield flush()
+                        flush()
                     current, composed, made = key, Composed(), set()
                 exact, broad = machine.moves(event)
                 composed.prepend(exact, broad)
                 made.update(exact.values())
                 if broad:
                     made.add(broad[1])
+            yield pd.DataFrame(out, columns=columns)
+            out.clear()
         if current is not None:
-            yield flush()
+            flush()
+            yield pd.DataFrame(out, columns=columns)
 
     return run
 
