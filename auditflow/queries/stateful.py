@@ -1,10 +1,14 @@
 """State machines and leases over event tables."""
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
+from auditflow.fixtures import VIEWS
 from auditflow.operators import ledger as L
-from auditflow.operators.matching import missing  # noqa: F401
 from auditflow.queries import query
+from auditflow.streaming import events as S
 
 HEX = "'sha256:' || repeat('a', 64)"
 LEDGER = f"""
@@ -152,3 +156,39 @@ def _(t):
     return L.resume_plan(
         t.orders.select("o_orderkey"), line.where("l_returnflag = 'A' AND l_linenumber < 3"),
         line.where("l_returnflag = 'N' AND l_linenumber = 1"), "o_orderkey")
+
+
+def _work_folder(t) -> str:
+    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{base}/auditflow-{uuid.uuid4().hex}"
+
+
+@query("J1_ledger_stream", f"""
+WITH RECURSIVE {FOLD_SQL.strip()}
+SELECT item_id, arg_max(state, n) AS state, max(attempt) AS attempt, count(*) FILTER (WHERE NOT accepted) AS n_rejected FROM r GROUP BY 1""")
+def _(t):
+    """The same fold as a stream that runs over what is there and stops."""
+    folder = _work_folder(t)
+    raw = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    raw.createOrReplaceTempView("stream_events")
+    view = VIEWS["fx_ledger_event"].replace("FROM events", "FROM stream_events")
+    events = t.spark.sql(LEDGER.replace("FROM fx_ledger_event", f"FROM ({view})"))
+    done = S.ledger_stream(events).writeStream.format("parquet").option("path", f"{folder}/out").option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    done.awaitTermination()
+    rows = t.spark.read.parquet(f"{folder}/out").join(t.events.select(F.col("event_id").alias("seq"), "ts"), "seq")
+    return rows.groupBy("item_id").agg(
+        F.max_by("state", F.struct("ts", "seq")).alias("state"), F.max("attempt").alias("attempt"),
+        F.count(F.when(~F.col("accepted"), 1)).alias("n_rejected"))
+
+
+@query("J9_envelope_stream", """
+SELECT 'out/' || CAST(doc_id AS STRING) || '.json' AS out_path, CASE WHEN doc_id % 13 = 5 THEN NULL ELSE sha256(text) END AS text_hash, CASE WHEN doc_id % 13 = 5 THEN 'invalid_json' END AS error FROM documents""")
+def _(t):
+    folder = _work_folder(t)
+    lines = t.sql("""SELECT concat(base64(encode(concat('out/', doc_id, '.json'), 'UTF-8')), '\\t',
+        base64(encode(CASE WHEN doc_id % 13 = 5 THEN '{"text":' ELSE to_json(named_struct('text', text)) END, 'UTF-8'))) AS value FROM documents""")
+    lines.write.text(f"{folder}/in")
+    S.envelope_stream(t.spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    rows = t.spark.read.parquet(f"{folder}/out")
+    return rows.select("out_path", F.sha2(F.get_json_object("doc", "$.text"), 256).alias("text_hash"), "error")
