@@ -186,8 +186,10 @@ def _(t):
 SELECT 'out/' || CAST(doc_id AS STRING) || '.json' AS out_path, CASE WHEN doc_id % 13 = 5 THEN NULL ELSE sha256(text) END AS text_hash, CASE WHEN doc_id % 13 = 5 THEN 'invalid_json' END AS error FROM documents""")
 def _(t):
     folder = _work_folder(t)
-    lines = t.sql("""SELECT concat(base64(encode(concat('out/', doc_id, '.json'), 'UTF-8')), '\\t',
-        base64(encode(CASE WHEN doc_id % 13 = 5 THEN '{"text":' ELSE to_json(named_struct('text', text)) END, 'UTF-8'))) AS value FROM documents""")
+    flat = lambda x: f"translate(base64(encode({x}, 'UTF-8')), '\\r\\n', '')"
+    doc = """CASE WHEN doc_id % 13 = 5 THEN '{"text":' ELSE to_json(named_struct('text', text)) END"""
+    path = "concat('out/', doc_id, '.json')"
+    lines = t.sql(f"SELECT concat({flat(path)}, '\\t', {flat(doc)}) AS value FROM documents")
     lines.write.text(f"{folder}/in")
     S.envelope_stream(t.spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     rows = t.spark.read.parquet(f"{folder}/out")

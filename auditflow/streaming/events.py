@@ -75,7 +75,7 @@ class LeaseProcessor(StatefulProcessor):
             self.handle.deleteTimer(old + self.ms)
         self.beat.update((newest,))
         self.handle.registerTimer(newest + self.ms)
-        yield pd.DataFrame({"lock_key": [], "beat_ms": [], "stale_at_ms": []})
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         beat = self.beat.get()[0]
