@@ -131,13 +131,25 @@ def oracle(sql: str) -> str:
     return f"WITH {parts}\n{body}"
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Use all cores for costly row work on a table of fewer files than cores.
+
+    A table of many files stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 class Tables:
     """Driver tables and audit views of one data folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, spread: tuple[str, ...] = ()):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._spread = spread
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -146,7 +158,8 @@ class Tables:
             if name in VIEWS:
                 self._frames[name] = self.sql(VIEWS[name])
             elif name in TABLES:
-                self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._frames[name] = spread_out(table) if name in self._spread else table
             else:
                 raise AttributeError(name)
         return self._frames[name]

@@ -5,6 +5,8 @@ Keys sort as text at every level; numbers that look like keys are not special.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,33 @@ def fnv1a32(text: Column | str) -> Column:
     return F.concat(F.lit("fnv1a32:"), F.lpad(F.lower(F.hex(value)), 8, "0"))
 
 
+@F.pandas_udf("string")
+def fnv1a32_long(texts: pd.Series) -> pd.Series:
+    """The same hash for long texts: one position of all texts of a batch at a time.
+
+    Rows are ordered by length, so finished texts cost nothing more.
+    """
+    out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+    known = texts.dropna()
+    units = [np.frombuffer(t.encode("utf-16-le", "surrogatepass"), dtype="<u2") for t in known]
+    order = sorted(range(len(units)), key=lambda i: -len(units[i]))
+    sizes = np.array([len(units[i]) for i in order], dtype=np.int64)
+    flat = np.concatenate([units[i] for i in order]).astype(np.uint64) if units else np.array([], dtype=np.uint64)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if units else sizes
+    value = np.full(len(units), 2166136261, dtype=np.uint64)
+    active = len(units)
+    for position in range(int(sizes[0]) if units else 0):
+        while sizes[active - 1] <= position:
+            active -= 1
+        step = (value[:active] ^ flat[starts[:active] + position]) * np.uint64(16777619)
+        value[:active] = step & np.uint64(0xFFFFFFFF)
+    hashed = [""] * len(units)
+    for rank, i in enumerate(order):
+        hashed[i] = f"fnv1a32:{int(value[rank]):08x}"
+    out.loc[known.index] = hashed
+    return out
+
+
 def json_string(text: Column | str) -> Column:
     """A text as a JSON string literal."""
     listed = F.to_json(F.array(_col(text)))
@@ -83,7 +112,7 @@ def page_content_hash(blocks: Column | str) -> Column:
             F.lit(',"template_data_content":'), json_string(block["data"]), F.lit(',"template_info":'), info, F.lit("}"))
 
     listed = F.concat(F.lit("["), F.array_join(F.transform(_col(blocks), shaped), ","), F.lit("]"))
-    return fnv1a32(canonical_json(listed))
+    return fnv1a32_long(canonical_json(listed))
 
 
 def capability_hash(capabilities: Column | str, catalog_hash: Column | str) -> Column:

@@ -43,7 +43,8 @@ def _lit(values: list[str]) -> Column:
 
 
 def _exact(keys: Column, wanted: list[str]) -> Column:
-    return F.coalesce(F.array_sort(keys) == _lit(sorted(wanted)), F.lit(False))
+    same = (F.size(keys) == len(wanted)) & (F.size(F.array_except(_lit(wanted), keys)) == 0)
+    return F.coalesce(same, F.lit(False))
 
 
 def save_receipt_rules(doc: Column, slide: Column, missing: Column | None = None) -> list[tuple]:

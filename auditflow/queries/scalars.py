@@ -18,12 +18,12 @@ SELECT o_orderkey, '{"z":' || CAST(o_custkey AS STRING) || ', "a":{"y":"' || o_o
 CANON = """'{"a":{"b":[3,1,{"c":true,"d":null}],"y":"' || o_orderstatus || '"},"z":' || CAST(o_custkey AS STRING) || ',"é":"' || o_orderpriority || '"}'"""
 
 
-@query("H1_canonical_json", f"SELECT o_orderkey, {CANON} AS canonical FROM orders")
+@query("H1_canonical_json", f"SELECT o_orderkey, {CANON} AS canonical FROM orders", spread=("orders",))
 def _(t):
     return t.sql(SHUFFLED).select("o_orderkey", H.canonical_json("raw").alias("canonical"))
 
 
-@query("H2_canonical_hash", f"SELECT o_orderkey, 'sha256:' || sha256({CANON}) AS hash FROM orders")
+@query("H2_canonical_hash", f"SELECT o_orderkey, 'sha256:' || sha256({CANON}) AS hash FROM orders", spread=("orders",))
 def _(t):
     return t.sql(SHUFFLED).select("o_orderkey", H.canonical_hash("raw").alias("hash"))
 
@@ -42,7 +42,7 @@ def _(t):
 
 @query("H4_page_content_hash", f"""
 WITH p AS (SELECT p_partkey, '[{{"id":' || CAST(p_partkey AS STRING) || ',"sort":1,"template_data_content":"{{\\\\"z\\\\":1,\\\\"name\\\\":\\\\"' || p_name || '\\\\"}}","template_info":null}},{{"id":0,"sort":2,"template_data_content":"{{}}","template_info":{{"content":"{{\\\\"b\\\\":2,\\\\"a\\\\":1}}","kind":"' || p_type || '"}}}}]' AS txt FROM part)
-SELECT p_partkey, {duck_fnv('txt')} AS page_hash FROM p""".replace("\\\\", "\\"))
+SELECT p_partkey, {duck_fnv('txt')} AS page_hash FROM p""".replace("\\\\", "\\"), spread=("part",))
 def _(t):
     blocks = t.part.select("p_partkey", F.array(
         F.struct(F.concat(F.lit('{"sort":9,"id":'), F.col("p_partkey").cast("string"), F.lit("}")).alias("rest"),
@@ -74,7 +74,7 @@ def _scope():
 
 
 @query("H6_idempotency_key", f"""
-WITH {IDENTITY_SQL} SELECT o_orderkey, 'sha256:' || sha256('{{"rule_pack_hash":"' || pack || '","schema_version":1,"source_snapshot_hash":"' || src || '","target":{{"book_stable_identity":"' || stable || '","catalog_scope":{{"kind":"' || kind || '","value":"' || value || '"}}}},"template_snapshot_hash":"' || tpl || '"}}') AS idempotency_key FROM k""")
+WITH {IDENTITY_SQL} SELECT o_orderkey, 'sha256:' || sha256('{{"rule_pack_hash":"' || pack || '","schema_version":1,"source_snapshot_hash":"' || src || '","target":{{"book_stable_identity":"' || stable || '","catalog_scope":{{"kind":"' || kind || '","value":"' || value || '"}}}},"template_snapshot_hash":"' || tpl || '"}}') AS idempotency_key FROM k""", spread=("orders",))
 def _(t):
     stable = H.stable_identity("explicit", "prospective", "book", "lock_raw")
     return t.sql(IDENTITY).select(

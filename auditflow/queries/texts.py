@@ -27,7 +27,7 @@ def _path(c="path"):
     return F.array_join(F.col(c).cast("array<string>"), ".")
 
 
-@query("B1_flatten_tree", f"WITH {TREE_ROWS} SELECT doc_id, path, depth, parents, content FROM nodes")
+@query("B1_flatten_tree", f"WITH {TREE_ROWS} SELECT doc_id, path, depth, parents, content FROM nodes", spread=("documents",))
 def _(t):
     nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", max_depth=4)
     return nodes.select(
@@ -38,7 +38,7 @@ def _(t):
 @query("B2_index_tree", f"""
 WITH {TREE_ROWS}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, id ORDER BY i DESC, j DESC) AS rn,
    count(*) OVER (PARTITION BY doc_id, id) AS n_seen FROM nodes)
-SELECT doc_id, id, path, n_seen, content FROM r WHERE rn = 1""")
+SELECT doc_id, id, path, n_seen, content FROM r WHERE rn = 1""", spread=("documents",))
 def _(t):
     nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", max_depth=4)
     return tree.index_tree(nodes, ["doc_id"]).select(
@@ -63,13 +63,13 @@ UNION ALL SELECT o_orderkey, '$.links[0].book_id', '"' || CAST(o_orderkey % 7 AS
 UNION ALL SELECT o_orderkey, '$.links[1].source_id', '"' || o_orderstatus || '"' FROM orders"""
 
 
-@query("B3_collect_named_values", NAMED)
+@query("B3_collect_named_values", NAMED, spread=("orders",))
 def _(t):
     rows = tree.collect_named_values(t.sql(ORDER_DOCS), "doc", ["source_id", "book_id", "bookId"], 5)
     return rows.select("o_orderkey", "path", F.to_json("value").alias("value"))
 
 
-@query("B4_key_paths", f"SELECT o_orderkey, path FROM ({NAMED}) WHERE path LIKE '%book_id'")
+@query("B4_key_paths", f"SELECT o_orderkey, path FROM ({NAMED}) WHERE path LIKE '%book_id'", spread=("orders",))
 def _(t):
     return tree.key_paths(t.sql(ORDER_DOCS), "doc", "book_id", 5).select("o_orderkey", "path")
 
@@ -89,7 +89,7 @@ def duck_lines(col: str) -> str:
 
 @query("B5_page_lines", f"""
 WITH l AS (SELECT page_id, {duck_lines('html')} AS lines FROM pages)
-SELECT page_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM l""")
+SELECT page_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM l""", spread=("pages",))
 def _(t):
     lines = t.pages.select("page_id", F.posexplode(X.html_lines("html")).alias("i", "line"))
     return lines.select("page_id", (F.col("i") + 1).alias("line_no"), "line")
@@ -105,7 +105,7 @@ def duck_text(col: str) -> str:
     return f"trim(regexp_replace({c}, '\\s+([.,!?;:])', '\\1', 'g'))"
 
 
-@query("B6_page_text", f"SELECT page_id, {duck_text('html')} AS text FROM pages")
+@query("B6_page_text", f"SELECT page_id, {duck_text('html')} AS text FROM pages", spread=("pages",))
 def _(t):
     return t.pages.select("page_id", X.html_text("html").alias("text"))
 
@@ -133,7 +133,7 @@ new AS (SELECT page_id, i, CASE
       || CASE WHEN style <> '' THEN 'style="' || style || ';"' ELSE '' END
       || regexp_extract(k, '(?i)^<span\b([^>]*)style="([^"]*)"([^>]*)>$', 3) || '>'
     ELSE k END AS k FROM kept)
-SELECT page_id, string_agg(k, '' ORDER BY i) AS html FROM new GROUP BY page_id""")
+SELECT page_id, string_agg(k, '' ORDER BY i) AS html FROM new GROUP BY page_id""", spread=("pages",))
 def _(t):
     return t.sql(STYLED).select("page_id", X.restyled("html").alias("html"))
 
@@ -143,7 +143,7 @@ WITH e AS (SELECT doc_id, source, replace(replace(replace(replace(replace(text,
 SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 77 ELSE 76 END AS module_type,
   CASE WHEN doc_id % 2 = 0 THEN '播放 ' || source ELSE '查看听力原文：' || source END AS name,
   CASE WHEN doc_id % 2 = 1 THEN '<strong>' || source || '</strong>' || regexp_replace(x, '\\r?\\n', '<br>', 'g') END AS config
-FROM e""".replace("\\\\", "\\"))
+FROM e""".replace("\\\\", "\\"), spread=("documents",))
 def _(t):
     audio = F.col("doc_id") % 2 == 0
     return t.documents.select(
@@ -152,7 +152,7 @@ def _(t):
         F.when(~audio, X.transcript_html("source", "text")).alias("config"))
 
 
-@query("B9_normalize_name", r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS name FROM documents")
+@query("B9_normalize_name", r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS name FROM documents", spread=("documents",))
 def _(t):
     return t.documents.select("doc_id", X.normalize_name("text").alias("name"))
 
@@ -231,7 +231,7 @@ def _(t):
 @query("C20_structural_diff", """
 SELECT o_orderkey, '$.links[0].note' AS path, '"n"' AS before, '"m"' AS after, 'changed' AS change FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL SELECT o_orderkey, '$.target.inner.rank', '"' || o_orderpriority || '"', NULL, 'removed' FROM orders WHERE o_orderkey % 5 = 0
-UNION ALL SELECT o_orderkey, '$.target.inner.grade', NULL, '"' || o_orderpriority || '"', 'added' FROM orders WHERE o_orderkey % 5 = 0""")
+UNION ALL SELECT o_orderkey, '$.target.inner.grade', NULL, '"' || o_orderpriority || '"', 'added' FROM orders WHERE o_orderkey % 5 = 0""", spread=("orders",))
 def _(t):
     rename = """SELECT o_orderkey, try_parse_json(replace(to_json(doc), '"rank"',
                 CASE WHEN o_orderkey % 5 = 0 THEN '"grade"' ELSE '"rank"' END)) AS doc FROM changed"""

@@ -100,7 +100,7 @@ SELECT l_orderkey AS selector_id, CASE l_returnflag WHEN 'A' THEN 'semantic' WHE
         ("semantic_evidence_missing", "n >= 2 AND ns = 0"), ("structure_evidence_missing", "n >= 2 AND nt = 0")]),
     cases("e", "selector_id", [("evidence_class", "class = 'other'"), ("evidence_kind", "kind = 'Bad Kind'"), ("evidence_kind_is_id", "kind = 'element_id'"),
         ("claim_id_disguise", "claim IN ('the slot_id', '123')"), ("observation_required", "observation = ''")])),
-    f"s AS ({SELECTORS}), e AS ({SELECTOR_EVIDENCE})"))
+    f"s AS ({SELECTORS}), e AS ({SELECTOR_EVIDENCE})"), spread=("lineitem",))
 def _(t):
     return tally(U.validate_selectors(t.sql(SELECTORS), t.sql(SELECTOR_EVIDENCE)))
 
@@ -119,7 +119,7 @@ def steps(t):
 @query("V4_flatten_actions", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 10 WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN 1 ELSE 3 END AS n_steps, CASE WHEN o_orderkey % 11 = 0 THEN 9 WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN 0 ELSE 1 END AS max_depth,
   CASE WHEN o_orderkey % 11 = 0 THEN 1 WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN 0 ELSE 2 END AS n_capabilities,
-  CASE WHEN o_orderkey % 11 = 0 THEN 1 WHEN o_orderkey % 5 = 0 THEN 2 WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS n_violations FROM orders""")
+  CASE WHEN o_orderkey % 11 = 0 THEN 1 WHEN o_orderkey % 5 = 0 THEN 2 WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS n_violations FROM orders""", spread=("orders",))
 def _(t):
     rows = steps(t)
     empty = t.spark.createDataFrame([], "o_orderkey bigint, capabilities array<string>")
@@ -224,7 +224,7 @@ V7_BODY = union(
     "SELECT CAST(run_id AS STRING), 'evidence_duplicate' FROM ev JOIN st USING (run_id) GROUP BY run_id, rule_id, evidence_hash HAVING count(*) > 1")
 
 
-@query("V7_validate_bindings", tallied(V7_BODY, V7_CTES))
+@query("V7_validate_bindings", tallied(V7_BODY, V7_CTES), spread=("lineitem",))
 def _(t):
     return tally(P.validate_bindings(*run_tables(t)))
 
@@ -240,7 +240,7 @@ REP = "SELECT l_orderkey AS run_id, 'c' || CAST(l_linenumber AS STRING) AS id, C
     cases("(SELECT ru.*, ok FROM ru JOIN (SELECT run_id, bool_and(n = 1 AND status = 'passed') AS ok FROM co GROUP BY 1) USING (run_id))", "run_id", [
         ("restricted_flag", "restricted <> (NOT ok OR mode = 'legacy_inferred')"), ("required_passed_flag", "required_passed <> ok")]),
     cases("ru", "run_id", [("approval_of_mode_missing", "mode <> 'batch'"), ("baseline_hash", "run_id % 17 = 3"), ("integrity_hash", "run_id % 17 IN (3, 5)")])),
-    V7_CTES + f", rp AS ({REP}), co AS (SELECT q.run_id, q.required_key, count(rp.id) AS n, min(rp.status) AS status FROM ({REQ}) q LEFT JOIN rp ON rp.run_id = q.run_id AND rp.id = q.id AND (rp.rule_id IS NULL OR rp.rule_id = q.rule_id) GROUP BY 1, 2)"))
+    V7_CTES + f", rp AS ({REP}), co AS (SELECT q.run_id, q.required_key, count(rp.id) AS n, min(rp.status) AS status FROM ({REQ}) q LEFT JOIN rp ON rp.run_id = q.run_id AND rp.id = q.id AND (rp.rule_id IS NULL OR rp.rule_id = q.rule_id) GROUP BY 1, 2)"), spread=("lineitem","orders",))
 def _(t):
     runs, rules, bindings, items, evidence = run_tables(t)
     base = F.to_json(F.struct(F.col("run_id").alias("z"), F.col("mode").alias("a")))
@@ -264,7 +264,7 @@ SAVE_TAMPER = """CASE k WHEN 1 THEN replace(clean, '"scope":"current"', '"scope"
 
 
 @query("V9_validate_save_receipt", tallied(expected("orders", "o_orderkey", "o_orderkey", 9, {
-    1: ["save_scope"], 2: ["save_keys", "save_warnings"], 3: ["save_dirty"], 4: ["save_hash_differs"], 5: ["save_warnings"], 6: ["save_keys"], 7: ["save_authoring_hash"], 8: ["save_slides"]})))
+    1: ["save_scope"], 2: ["save_keys", "save_warnings"], 3: ["save_dirty"], 4: ["save_hash_differs"], 5: ["save_warnings"], 6: ["save_keys"], 7: ["save_authoring_hash"], 8: ["save_slides"]})), spread=("orders",))
 def _(t):
     return tally(R.validate_save_receipts(t.sql(SAVES).withColumn("raw", F.expr(SAVE_TAMPER))))
 
@@ -292,7 +292,7 @@ def receipts(t, tamper: bool = True) -> DataFrame:
 
 @query("V10_validate_receipts", tallied(expected("orders", "o_orderkey", "o_orderkey", 8, {
     1: ["save_flags", "save_receipt_hash", "canonical_hash"], 2: ["export_block_count", "export_receipt_hash", "canonical_hash"], 3: ["receipt_keys", "receipt_kind", "canonical_hash"],
-    4: ["receipt_time", "canonical_hash"], 5: ["integrity_keys"], 6: ["slide_mismatch", "slides_lists", "canonical_hash"], 7: ["canonical_hash"]})))
+    4: ["receipt_time", "canonical_hash"], 5: ["integrity_keys"], 6: ["slide_mismatch", "slides_lists", "canonical_hash"], 7: ["canonical_hash"]})), spread=("orders",))
 def _(t):
     return tally(R.validate_receipts(receipts(t)))
 
@@ -323,7 +323,7 @@ def readback_inputs(t):
 
 
 @query("V11_validate_readback", tallied(expected("documents", "doc_id", "doc_id", 7, {
-    1: ["page_hash"], 2: ["provenance_paths"], 3: ["carrier_count"], 4: ["save_dirty"], 5: ["provenance_differs"], 6: ["export_envelope"]})))
+    1: ["page_hash"], 2: ["provenance_paths"], 3: ["carrier_count"], 4: ["save_dirty"], 5: ["provenance_differs"], 6: ["export_envelope"]})), spread=("documents",))
 def _(t):
     return tally(R.validate_readbacks(*readback_inputs(t)))
 
@@ -339,7 +339,7 @@ SELECT CAST(CASE WHEN k = 9 THEN o_orderkey - 1 ELSE o_orderkey END AS STRING) A
     expected("orders", "o_orderkey", "o_orderkey", 11, {1: ["lock_key"], 2: ["state"], 3: ["history_empty"], 4: ["idempotency_required", "idempotency_mismatch"], 5: ["idempotency_mismatch"], 6: ["prospective_required"],
         7: ["identity_not_prospective"], 8: ["promoted_book"]}),
     "SELECT CAST(o_orderkey - 1 AS STRING), 'item_duplicate' FROM orders WHERE o_orderkey % 11 = 9",
-    "SELECT DISTINCT 'shared', 'prospective_many_locks' FROM orders WHERE o_orderkey % 11 = 10")))
+    "SELECT DISTINCT 'shared', 'prospective_many_locks' FROM orders WHERE o_orderkey % 11 = 10")), spread=("orders",))
 def _(t):
     key = idempotency_key(F.col("source_snapshot_hash"), F.col("template_snapshot_hash"), F.col("rule_pack_hash"), F.col("stable_identity"), F.col("scope"))
     items = t.sql(LEDGER_ITEMS)
@@ -370,7 +370,7 @@ V13_CODES = {1: ["wrong_book"], 2: ["wrong_slide"], 3: ["dirty"], 4: ["module_co
              9: ["mnemonic_guid"], 10: ["spacer_missing"], 11: ["spacer"], 12: ["block_width"], 13: ["title_text"], 14: ["completeness_warning"], 15: ["position_unmatched"], 16: ["module_set", "module_forbidden"]}
 
 
-@query("V13_verify_targets", tallied(expected("orders", "o_orderkey + 1", "o_orderkey", 17, V13_CODES)))
+@query("V13_verify_targets", tallied(expected("orders", "o_orderkey + 1", "o_orderkey", 17, V13_CODES)), spread=("orders",))
 def _(t):
     return tally(T.verify_targets(*target_tables(t), "500", ELEMENTS, "mx"))
 
@@ -400,7 +400,7 @@ def inferences(t) -> DataFrame:
 
 
 @query("V14_validate_match_audit", tallied(expected("customer", "c_custkey", "c_custkey", 10, {
-    1: ["automatic_write"], 2: ["unconfirmed"], 3: ["selected_score"], 4: ["confirmation_evidence"], 5: ["candidate_set_hash"], 6: ["selected_not_eligible"], 7: ["selected_evidence"], 9: ["selected_not_source"]})))
+    1: ["automatic_write"], 2: ["unconfirmed"], 3: ["selected_score"], 4: ["confirmation_evidence"], 5: ["candidate_set_hash"], 6: ["selected_not_eligible"], 7: ["selected_evidence"], 9: ["selected_not_source"]})), spread=("customer",))
 def _(t):
     return tally(P.validate_match_audit(inferences(t)))
 
@@ -428,7 +428,7 @@ SELECT doc_id AS page_id, CASE WHEN doc_id % 6 = 5 THEN 'u9' ELSE 'u1' END AS re
 
 
 @query("V17_carrier_audit", """
-SELECT doc_id AS page_id, CASE doc_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS n_carriers, CASE doc_id % 6 WHEN 0 THEN 'restore' WHEN 1 THEN 'stop' WHEN 5 THEN 'carrier_mismatch' ELSE 'ok' END AS action FROM documents""")
+SELECT doc_id AS page_id, CASE doc_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS n_carriers, CASE doc_id % 6 WHEN 0 THEN 'restore' WHEN 1 THEN 'stop' WHEN 5 THEN 'carrier_mismatch' ELSE 'ok' END AS action FROM documents""", spread=("documents",))
 def _(t):
     pages = t.sql(CARRIERS).select("page_id", "recorded_carrier", F.try_parse_json("raw").alias("doc"))
     return R.carrier_audit(pages)
@@ -440,7 +440,7 @@ SELECT o_orderkey AS item_id, o_custkey AS ledger_id, CASE WHEN o_orderkey % 5 =
 LEDGERS = "SELECT c_custkey AS ledger_id, 'sha256:' || repeat('b', 64) AS rule_pack_hash FROM customer"
 
 
-@query("V18_validate_fingerprint", tallied(cases("orders", "o_orderkey", [("source_snapshot_hash", "o_orderkey % 5 = 0"), ("target_before_hash", "o_orderkey % 7 = 0"), ("rule_pack_differs", "o_orderkey % 3 <> 0 AND o_orderkey % 4 = 0"), ("resolved_template_id", "o_orderkey % 11 = 0")])))
+@query("V18_validate_fingerprint", tallied(cases("orders", "o_orderkey", [("source_snapshot_hash", "o_orderkey % 5 = 0"), ("target_before_hash", "o_orderkey % 7 = 0"), ("rule_pack_differs", "o_orderkey % 3 <> 0 AND o_orderkey % 4 = 0"), ("resolved_template_id", "o_orderkey % 11 = 0")])), spread=("orders",))
 def _(t):
     return tally(P.validate_fingerprints(t.sql(PRINTS), t.sql(LEDGERS)))
 
