@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SHA_PATTERN = r"^sha256:[a-f0-9]{64}$"
 FNV_PATTERN = r"^fnv1a32:[a-f0-9]{8}$"
@@ -57,7 +58,15 @@ def fnv1a32(text: Column | str) -> Column:
     return F.concat(F.lit("fnv1a32:"), F.lpad(F.lower(F.hex(value)), 8, "0"))
 
 
-@F.pandas_udf("string")
+def ordered_hash(*columns: Column | str) -> Column:
+    """Canonical hash of a record whose columns are given in key order at every level.
+
+    Such a record is canonical as it is written, so it is not parsed again.
+    """
+    return tagged_sha(F.to_json(F.struct(*columns)))
+
+
+@F.pandas_udf(T.StringType())
 def fnv1a32_long(texts: pd.Series) -> pd.Series:
     """The same hash for long texts: one position of all texts of a batch at a time.
 

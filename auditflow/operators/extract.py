@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.functions import text as X
-from auditflow.functions.canon import struct_hash
+from auditflow.functions.canon import ordered_hash
 from auditflow.operators import ranges
 from auditflow.operators.checks import explode_rules
+from auditflow.session import checkpointed
 
 # Block roles of a dialogue course by block name.
 CATALOG_ROLES = [
@@ -112,7 +113,8 @@ def extract_catalogs(
     per_role = roles.groupBy("catalog_id").agg(
         *[F.count(F.when(F.col("role") == r, 1)).alias(f"n_{r}") for r, _, _ in CATALOG_ROLES],
         *[F.min(F.when(F.col("role") == r, F.col("block_id"))).alias(f"block_{r}") for r, _, _ in CATALOG_ROLES])
-    chosen = selected_elements(blocks, elements)
+    # Two branches need the selected texts; flattening the trees twice would cost more.
+    chosen = checkpointed(selected_elements(blocks, elements))
     texts = chosen.groupBy("catalog_id").agg(
         *[F.count(F.when(F.col("field") == f, 1)).alias(f"n_{f}") for f, *_ in CATALOG_TEXTS],
         *[F.min_by(F.when(F.col("field") == f, F.col("content")), F.when(F.col("field") == f, F.col("element_id"))).alias(f"html_{f}")
@@ -159,6 +161,7 @@ def apply_overrides(catalogs: DataFrame, warnings: DataFrame, overrides: DataFra
 
     An override that breaks a rule is reported and not applied.
     """
+    warnings = checkpointed(warnings)
     o = overrides.select("catalog_id", F.col("sentences").alias("o_sentences"), "sentence_evidence",
                          F.col("words_english").alias("o_en"), F.col("words_chinese").alias("o_zh"), "word_pairing_evidence",
                          "accept_relevant_warnings")
@@ -221,7 +224,7 @@ def build_bindings(rules: DataFrame, applied: DataFrame, pages: DataFrame) -> Da
         F.when(is_applied, "applied").otherwise("skipped").alias("status"),
         F.when(is_applied, "block").otherwise("route").alias("entity_kind"), entity.alias("entity_id"),
         F.when(is_applied, "declared block").otherwise("no block on this route").alias("reason"))
-    return out.withColumn("binding_hash", struct_hash("entity_id", "entity_kind", "page_id", "rule_id", "status"))
+    return out.withColumn("binding_hash", ordered_hash("entity_id", "entity_kind", "page_id", "rule_id", "status"))
 
 
 def source_plan(blocks: DataFrame, rich: DataFrame, modules: DataFrame) -> DataFrame:

@@ -20,16 +20,14 @@ from auditflow.session import cpus, local_session  # noqa: E402
 
 HEADLINE = [
     "A1_scan_json", "A3_file_fingerprint", "A5_ingest_envelope_lines", "A6_unwrap_envelope",
-    "B1_flatten_tree", "B3_collect_named_values", "B5_page_lines", "B6_page_text", "B7_restyle_pages", "B17_extract_catalog",
-    "B20_rule_bindings", "B21_source_plan",
+    "B1_flatten_tree", "B5_page_lines", "B6_page_text", "B7_restyle_pages", "B20_rule_bindings", "B21_source_plan",
     "C1_scale_annotations", "C2_resolve_media", "C4_attach_rich_text", "C5_zip_by_position", "C9_match_source", "C10_plan_refinement",
-    "C13_cover_required_checks", "C14_match_existing", "C16_bind_receipts", "C17_verify_evidence_chain", "C20_structural_diff",
+    "C13_cover_required_checks", "C14_match_existing", "C16_bind_receipts", "C17_verify_evidence_chain",
     "D1_annotation_summary", "D2_plan_by_page", "D12_module_cardinality", "D14_book_rollup",
     "E1_latest_per_key", "E2_recent_topics", "E3_next_matching", "E8_first_wins", "E11_assign_rows", "F1_rank_candidates",
-    "G4_same_set", "H2_canonical_hash", "H3_fnv1a32", "H9_layout_plan",
-    "V1_validate_annotations", "V2_validate_rule_pack", "V5_maturity_gate", "V7_validate_bindings", "V10_validate_receipts",
-    "V13_verify_targets", "J1_ledger_state_machine", "J2_claim_registry", "J5_lease_handover", "J7_apply_token_check",
-    "L1_annotation_import_plan", "L2_source_manifest", "L7_verify_readbacks", "L10_batch_ledger", "L11_refinement_plan", "L12_source_recall",
+    "G4_same_set", "H2_canonical_hash", "H3_fnv1a32", "H9_layout_plan", "V1_validate_annotations", "V5_maturity_gate",
+    "V14_validate_match_audit", "V16_page_resource_scope", "J1_ledger_state_machine", "J2_claim_registry", "J5_lease_handover",
+    "J7_apply_token_check", "L1_annotation_import_plan", "L4_course_manifest", "L11_refinement_plan",
 ]
 
 
