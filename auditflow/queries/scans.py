@@ -1,11 +1,9 @@
 """Scans, sources and sinks."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from auditflow.queries import query
+from auditflow.session import work_folder
 from auditflow.sources import scans as S
 
 
@@ -99,8 +97,7 @@ def _(t):
 
 @query("A7_write_report", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def _(t):
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    path = f"{base}/auditflow-report-{uuid.uuid4().hex}"
+    path = work_folder(t.spark)
     S.write_report(t.events.groupBy("event_type").agg(F.count("*").alias("n")), path)
     return t.spark.read.schema("event_type STRING, n BIGINT").json(path)
 

@@ -1,13 +1,11 @@
 """State machines and leases over event tables."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from auditflow.fixtures import VIEWS
 from auditflow.operators import ledger as L
 from auditflow.queries import query
+from auditflow.session import work_folder
 from auditflow.streaming import events as S
 
 HEX = "'sha256:' || repeat('a', 64)"
@@ -158,17 +156,12 @@ def _(t):
         line.where("l_returnflag = 'N' AND l_linenumber = 1"), "o_orderkey")
 
 
-def _work_folder(t) -> str:
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base}/auditflow-{uuid.uuid4().hex}"
-
-
 @query("J1_ledger_stream", f"""
 WITH RECURSIVE {FOLD_SQL.strip()}
 SELECT item_id, arg_max(state, n) AS state, max(attempt) AS attempt, count(*) FILTER (WHERE NOT accepted) AS n_rejected FROM r GROUP BY 1""")
 def _(t):
     """The same fold as a stream that runs over what is there and stops."""
-    folder = _work_folder(t)
+    folder = work_folder(t.spark)
     raw = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
     raw.createOrReplaceTempView("stream_events")
     view = VIEWS["fx_ledger_event"].replace("FROM events", "FROM stream_events")
@@ -185,7 +178,7 @@ def _(t):
 @query("J9_envelope_stream", """
 SELECT 'out/' || CAST(doc_id AS STRING) || '.json' AS out_path, CASE WHEN doc_id % 13 = 5 THEN NULL ELSE sha256(text) END AS text_hash, CASE WHEN doc_id % 13 = 5 THEN 'invalid_json' END AS error FROM documents""")
 def _(t):
-    folder = _work_folder(t)
+    folder = work_folder(t.spark)
     flat = lambda x: f"translate(base64(encode({x}, 'UTF-8')), '\\r\\n', '')"
     doc = """CASE WHEN doc_id % 13 = 5 THEN '{"text":' ELSE to_json(named_struct('text', text)) END"""
     path = "concat('out/', doc_id, '.json')"

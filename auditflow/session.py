@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,20 +36,26 @@ def local_session(cpus: str = "8", app: str = "auditflow", memory: str = "8g") -
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only a local master may use its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for files that several tasks write and read."""
+    return f"{shared_folder(spark)}/auditflow-{uuid.uuid4().hex}"
 
-    Only a local master may fall back to a folder of this machine.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
