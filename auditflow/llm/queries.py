@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditflow.llm import exact_dedup, kneser_ney, mixing, packing, simhash
+from auditflow.llm import chat, exact_dedup, kneser_ney, mixing, packing, simhash, url_filter, voronoi
 from auditflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rules_table(spark))
+    return judged.drop("component")
+
+
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     scored = kneser_ney.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return scored.drop("row_key")
@@ -23,10 +28,21 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], said.schema)
+    return chat.digests(chat.format_chats(said.union(probe)))
+
+
 def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.fair_mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return voronoi.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -43,14 +59,20 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)"""
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_chat_format": op4_chat_format,
     "op5_mix_sources": op5_mix_sources,
+    "op6_top_k": op6_top_k,
     "op7_simhash": op7_simhash,
     "op8_pack": op8_pack,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_url_filter": url_filter.ORACLE,
     "op3_exact_dedup": EXACT_DEDUP_SQL,
+    "op4_chat_format": chat.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
+    "op6_top_k": voronoi.ORACLE,
 }
