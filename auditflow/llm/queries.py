@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditflow.llm import chat, exact_dedup, kneser_ney, mixing, packing, simhash, url_filter, voronoi
+from auditflow.llm import chat, exact_dedup, gru_lm, kneser_ney, mixing, packing, simhash, url_filter, voronoi, warc
 from auditflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,15 @@ def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, folder, "documents")).drop("ids")
 
 
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return gru_lm.score_documents(table(spark, folder, "documents"))
+
+
+def op10_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    made = warc.derivatives(warc.page_responses(table(spark, folder, "pages")))
+    return made.withColumnRenamed("key", "page_id").drop("record")
+
+
 EXACT_DEDUP_SQL = """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
            FROM documents),
@@ -67,6 +76,8 @@ QUERIES: dict[str, Query] = {
     "op6_top_k": op6_top_k,
     "op7_simhash": op7_simhash,
     "op8_pack": op8_pack,
+    "op9_lm_score": op9_lm_score,
+    "op10_warc_derivatives": op10_warc_derivatives,
 }
 
 ORACLES: dict[str, str] = {
