@@ -43,7 +43,8 @@ class CuckooFilter:
         return (key & 0xFFFF) or 1
 
     def places(self, key: int) -> tuple[int, int]:
-        first = ((key * _MIX & _ALL) >> 20) % self.buckets
+        mixed = (key ^ key >> 33) * _MIX & _ALL
+        first = (mixed ^ mixed >> 29) % self.buckets
         return first, self.other(first, self.mark(key))
 
     def other(self, bucket: int, mark: int) -> int:
@@ -117,10 +118,10 @@ class CuckooFilter:
 
     @classmethod
     def read(cls, row) -> CuckooFilter:
-        out = cls(int(row.buckets))
-        out.keys = np.frombuffer(row.keys, dtype="<u8").tolist()
+        out = cls(int(row["buckets"]))
+        out.keys = np.frombuffer(row["keys"], dtype="<u8").tolist()
         out.marks = [cls.mark(k) if k else 0 for k in out.keys]
-        out.live = int(row.live)
+        out.live = int(row["live"])
         return out
 
 

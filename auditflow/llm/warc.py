@@ -100,7 +100,8 @@ def _derive(with_record: bool):
         status = row["status"] or "HTTP/1.1 200 OK"
         payload = page.encode()
         head = "".join(f"{n}: {one_line(v)}\r\n" for n, v in headers.items())
-        digest, payload_digest = sha1(f"{status}\r\n{head}\r\n".encode() + payload), sha1(payload)
+        digest = row["block_digest"] or sha1(f"{status}\r\n{head}\r\n".encode() + payload)
+        payload_digest = row["payload_digest"] or sha1(payload)
         refers, uri, date = row["record_id"] or "", row["target_uri"] or "", row["date"] or EPOCH
         blocks = (("metadata", "application/warc-fields", metadata_block(page, headers, status, digest, payload_digest)),
                   ("conversion", "text/plain; charset=utf-8", plain_text(page)))
@@ -126,8 +127,9 @@ def derivatives(responses: DataFrame, with_record: bool = False) -> DataFrame:
     """Two rows per response, ``metadata`` and ``conversion``, in one pass without a shuffle.
 
     Input: ``key`` (long), ``record_id``, ``target_uri``, ``date``, ``status``,
-    ``headers`` (JSON object of the source's HTTP headers) and ``payload`` (text); other
-    columns are not read.  Nulls: an empty payload gives an empty conversion and a
+    ``headers`` (JSON object of the source's HTTP headers), ``payload`` (text), and
+    ``block_digest`` and ``payload_digest`` of the source if it has them, which are kept
+    as they are; else both are computed.  Other columns are not read.  Nulls: an empty payload gives an empty conversion and a
     metadata record without page fields; a missing id, address or header is empty or
     left out, a missing date is the epoch, a missing status ``200 OK``.  Repeated
     responses give repeated rows.  Record ids follow from the source id and the kind.
@@ -135,7 +137,8 @@ def derivatives(responses: DataFrame, with_record: bool = False) -> DataFrame:
     gives what can be read: an open comment or script runs to the end.
     """
     names = ["record_id", "target_uri", "date", "status", "headers", "payload"]
-    rows = responses.select(F.col("key").cast("long").alias("key"), *[F.col(n).cast("string").alias(n) for n in names])
+    digests = [(F.col(n) if n in responses.columns else F.lit(None)).cast("string").alias(n) for n in ("block_digest", "payload_digest")]
+    rows = responses.select(F.col("key").cast("long").alias("key"), *[F.col(n).cast("string").alias(n) for n in names], *digests)
     kinds = "key long, record_type string, record_id string, refers_to string, target_uri string, date string, content_type string, " \
         "content_length long, block_digest string, source_block_digest string, source_payload_digest string, block string, record binary"
     return rows.mapInArrow(_derive(with_record), kinds)
