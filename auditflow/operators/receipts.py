@@ -171,7 +171,7 @@ def validate_readbacks(exports: DataFrame, saves: DataFrame, expected: DataFrame
     carriers = F.filter("_blocks", lambda b: F.try_variant_get(b, "$.uuid", "string") == F.col("carrier_block_id"))
     rows = rows.withColumn("_carriers", carriers).withColumn("_carrier", F.try_element_at("_carriers", F.lit(1)))
     found_prov = F.to_json(F.try_variant_get("_carrier", f"$.template_data_content.{PROVENANCE_KEY}", "variant"))
-    paths = key_paths(rows.select("run_id", "x_data"), "x_data", PROVENANCE_KEY, 8)
+    paths = key_paths(rows.select("run_id", "x_data"), "x_data", PROVENANCE_KEY)
     counted = paths.groupBy("run_id").agg(F.count("*").alias("n_paths"), F.min("path").alias("first_path"))
     rows = rows.join(counted, "run_id", "left")
     slide = F.col("target_catalog_id").cast("string")
@@ -201,7 +201,7 @@ def carrier_audit(pages: DataFrame, doc: str = "doc") -> DataFrame:
     carried = F.filter(F.try_variant_get(doc, "$.blocks", "array<variant>"), lambda b: F.try_variant_get(
         b, f"$.template_data_content.{PROVENANCE_KEY}", "variant").isNotNull())
     rows = pages.withColumn("_uuids", F.transform(carried, lambda b: F.try_variant_get(b, "$.uuid", "string")))
-    paths = key_paths(pages.select("page_id", doc), doc, PROVENANCE_KEY, 8).groupBy("page_id").agg(F.count("*").alias("_n"))
+    paths = key_paths(pages.select("page_id", doc), doc, PROVENANCE_KEY).groupBy("page_id").agg(F.count("*").alias("_n"))
     rows = rows.join(paths, "page_id", "left").withColumn("n_carriers", F.coalesce("_n", F.lit(0)))
     match = F.get("_uuids", F.lit(0)).eqNullSafe(F.col("recorded_carrier"))
     action = (

@@ -131,7 +131,7 @@ def validate_selectors(selectors: DataFrame, evidence: DataFrame) -> DataFrame:
 def flatten_actions(rules: DataFrame, keys: list[str], action: str = "action") -> DataFrame:
     """Steps of each rule's action with depth; only an atomic sequence has steps."""
     wrapped = rules.withColumn("_root", F.try_parse_json(F.concat(F.lit("["), F.to_json(action), F.lit("]")))).select(*keys, "_root")
-    nodes = flatten_tree(wrapped, "_root", child="steps", name="type", max_depth=MAX_DEPTH + 2)
+    nodes = flatten_tree(wrapped, "_root", child="steps", name="type", levels=MAX_DEPTH + 2)
     nodes = nodes.where(F.forall("parent_names", lambda n: n == "atomic_sequence"))
     get = lambda p, t: F.try_variant_get("node", p, t)
     return nodes.select(

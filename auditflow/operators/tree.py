@@ -1,21 +1,39 @@
 """Nested JSON as flat rows.
 
-Every level of a document is expanded by array expressions inside one projection,
-so flattening needs no shuffle and no pass per level over the data.  A document
-deeper than ``max_depth`` yields rows with ``overflow`` set, never silent loss.
+A few levels of a document are expanded by array expressions inside one projection.
+Nodes at the last of these levels that have something below them are the roots of the
+next pass, until there are none, so a document may be nested to any depth.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NODES = "array<struct<path:array<int>,parent_names:array<string>,node:variant>>"
+from auditflow.session import checkpointed
+
+#: Levels that one projection expands; how often it is applied follows from the data.
+LEVELS = 8
+
+
+def _unfold(df: DataFrame, keep: list[str], top: Column, below: Callable[[Column], Column], levels: int) -> DataFrame:
+    """Rows ``keep, _n`` of all nodes, starting from the array ``top``; ``below`` gives the nodes under one."""
+    parts = []
+    while True:
+        out = df.withColumn("_l0", top)
+        for level in range(1, levels):
+            out = out.withColumn(f"_l{level}", F.flatten(F.transform(F.col(f"_l{level - 1}"), below)))
+        parts.append(out.select(*keep, F.explode(F.concat(*[F.col(f"_l{d}") for d in range(levels)])).alias("_n")))
+        last = out.select(*keep, F.explode(f"_l{levels - 1}").alias("_n")).where(F.size(below(F.col("_n"))) > 0)
+        if last.isEmpty():
+            return reduce(DataFrame.union, parts)
+        df, top = checkpointed(last), below(F.col("_n"))
 
 
-def flatten_tree(
-    df: DataFrame, root: str, child: str = "child_list", name: str = "name", max_depth: int = 8
-) -> DataFrame:
+def flatten_tree(df: DataFrame, root: str, child: str = "child_list", name: str = "name", levels: int = LEVELS) -> DataFrame:
     """Nodes of an element tree, each with its path and the names above it.
 
     Sorting by ``path`` gives the depth-first preorder.
@@ -23,29 +41,20 @@ def flatten_tree(
     def kids(node: Column) -> Column:
         return F.coalesce(F.try_variant_get(node, f"$.{child}", "array<variant>"), F.array().cast("array<variant>"))
 
+    def below(p: Column) -> Column:
+        own = F.coalesce(F.try_variant_get(p["node"], f"$.{name}", "string"), F.lit(""))
+        return F.transform(kids(p["node"]), lambda c, i: F.struct(
+            F.concat(p["path"], F.array(i)).alias("path"),
+            F.concat(p["parent_names"], F.array(own)).alias("parent_names"),
+            c.alias("node")))
+
     top = F.coalesce(F.try_variant_get(F.col(root), "$", "array<variant>"), F.array().cast("array<variant>"))
-    level = F.transform(top, lambda n, i: F.struct(
+    first = F.transform(top, lambda n, i: F.struct(
         F.array(i).alias("path"), F.array().cast("array<string>").alias("parent_names"), n.alias("node")))
-    out = df.withColumn("_l0", level)
-    for depth in range(1, max_depth):
-        def below(p: Column) -> Column:
-            own = F.coalesce(F.try_variant_get(p["node"], f"$.{name}", "string"), F.lit(""))
-            return F.transform(kids(p["node"]), lambda c, i: F.struct(
-                F.concat(p["path"], F.array(i)).alias("path"),
-                F.concat(p["parent_names"], F.array(own)).alias("parent_names"),
-                c.alias("node")))
-        out = out.withColumn(f"_l{depth}", F.flatten(F.transform(F.col(f"_l{depth - 1}"), below)))
-    levels = [F.col(f"_l{d}") for d in range(max_depth)]
-    flat = out.select(*df.columns, F.explode(F.concat(*levels)).alias("_n"))
-    node = F.col("_n.node")
-    return flat.select(
-        *[c for c in df.columns if c != root],
-        F.col("_n.path").alias("path"),
-        F.size("_n.path").alias("depth"),
-        F.col("_n.parent_names").alias("parent_names"),
-        node.alias("node"),
-        ((F.size("_n.path") == max_depth) & (F.size(kids(node)) > 0)).alias("overflow"),
-    )
+    keep = [c for c in df.columns if c != root]
+    return _unfold(df, keep, first, below, levels).select(
+        *keep, F.col("_n.path").alias("path"), F.size("_n.path").alias("depth"),
+        F.col("_n.parent_names").alias("parent_names"), F.col("_n.node").alias("node"))
 
 
 def index_tree(nodes: DataFrame, keys: list[str], id_field: str = "id") -> DataFrame:
@@ -56,46 +65,36 @@ def index_tree(nodes: DataFrame, keys: list[str], id_field: str = "id") -> DataF
     )
 
 
-def json_nodes(df: DataFrame, doc: str, max_depth: int = 8) -> DataFrame:
+def json_nodes(df: DataFrame, doc: str, levels: int = LEVELS) -> DataFrame:
     """Every value below the root of a VARIANT document with its JSON path and key."""
-    empty = F.array().cast("array<struct<path:string,key:string,node:variant>>")
+    empty = F.array().cast("array<struct<path:string,key:string,node:variant,depth:int>>")
 
-    def below(path: Column, node: Column) -> Column:
+    def under(path: Column, node: Column, depth: Column) -> Column:
         fields = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
         items = F.try_variant_get(node, "$", "array<variant>")
         return F.coalesce(
             F.transform(fields, lambda e: F.struct(
-                F.concat(path, F.lit("."), e["key"]).alias("path"), e["key"].alias("key"), e["value"].alias("node"))),
+                F.concat(path, F.lit("."), e["key"]).alias("path"), e["key"].alias("key"), e["value"].alias("node"), depth.alias("depth"))),
             F.transform(items, lambda v, i: F.struct(
                 F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"),
-                F.lit(None).cast("string").alias("key"), v.alias("node"))),
+                F.lit(None).cast("string").alias("key"), v.alias("node"), depth.alias("depth"))),
             empty,
         )
 
-    out = df.withColumn("_l0", below(F.lit("$"), F.col(doc)))
-    for depth in range(1, max_depth):
-        out = out.withColumn(
-            f"_l{depth}", F.flatten(F.transform(F.col(f"_l{depth - 1}"), lambda p: below(p["path"], p["node"]))))
-    levels = F.concat(*[
-        F.transform(F.col(f"_l{d}"), lambda n, d=d: F.struct(n["path"], n["key"], n["node"], F.lit(d + 1).alias("depth")))
-        for d in range(max_depth)
-    ])
-    flat = out.select(*[c for c in df.columns if c != doc], F.explode(levels).alias("_n"))
+    keep = [c for c in df.columns if c != doc]
+    rows = _unfold(df, keep, under(F.lit("$"), F.col(doc), F.lit(1)), lambda p: under(p["path"], p["node"], p["depth"] + 1), levels)
     kind = F.schema_of_variant(F.col("_n.node"))
     is_leaf = ~kind.rlike("^(OBJECT|ARRAY)<") | F.to_json("_n.node").isin("{}", "[]")
-    return flat.select(
-        *[c for c in df.columns if c != doc], "_n.path", "_n.key", "_n.depth", F.col("_n.node").alias("value"),
-        is_leaf.alias("is_leaf"), (~is_leaf & (F.col("_n.depth") == max_depth)).alias("overflow"),
-    )
+    return rows.select(*keep, "_n.path", "_n.key", "_n.depth", F.col("_n.node").alias("value"), is_leaf.alias("is_leaf"))
 
 
-def collect_named_values(df: DataFrame, doc: str, keys: list[str], max_depth: int = 8) -> DataFrame:
+def collect_named_values(df: DataFrame, doc: str, keys: list[str], levels: int = LEVELS) -> DataFrame:
     """All values under any of the keys at any depth, inside matched values too."""
-    return json_nodes(df, doc, max_depth).where(F.col("key").isin(keys))
+    return json_nodes(df, doc, levels).where(F.col("key").isin(keys))
 
 
-def key_paths(df: DataFrame, doc: str, key: str, max_depth: int = 8) -> DataFrame:
-    return json_nodes(df, doc, max_depth).where(F.col("key") == key)
+def key_paths(df: DataFrame, doc: str, key: str, levels: int = LEVELS) -> DataFrame:
+    return json_nodes(df, doc, levels).where(F.col("key") == key)
 
 
 def structural_diff(before: DataFrame, after: DataFrame, keys: list[str], doc: str = "doc") -> DataFrame:
@@ -104,7 +103,7 @@ def structural_diff(before: DataFrame, after: DataFrame, keys: list[str], doc: s
     Both sides meet in one aggregation instead of a full outer join.
     """
     def leaves(df: DataFrame, side: str) -> DataFrame:
-        rows = json_nodes(df.select(*keys, doc), doc).where("is_leaf or overflow")
+        rows = json_nodes(df.select(*keys, doc), doc).where("is_leaf")
         return rows.select(*keys, "path", F.lit(side).alias("side"), F.to_json("value").alias("value"))
 
     both = leaves(before, "b").unionByName(leaves(after, "a"))

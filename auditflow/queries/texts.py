@@ -29,7 +29,7 @@ def _path(c="path"):
 
 @query("B1_flatten_tree", f"WITH {TREE_ROWS} SELECT doc_id, path, depth, parents, content FROM nodes", spread=("documents",))
 def _(t):
-    nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", max_depth=4)
+    nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", levels=4)
     return nodes.select(
         "doc_id", _path().alias("path"), "depth", F.array_join("parent_names", "/").alias("parents"),
         F.try_variant_get("node", "$.content", "string").alias("content"))
@@ -40,27 +40,29 @@ WITH {TREE_ROWS}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, id ORD
    count(*) OVER (PARTITION BY doc_id, id) AS n_seen FROM nodes)
 SELECT doc_id, id, path, n_seen, content FROM r WHERE rn = 1""", spread=("documents",))
 def _(t):
-    nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", max_depth=4)
+    nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", levels=4)
     return tree.index_tree(nodes, ["doc_id"]).select(
         "doc_id", "id", _path().alias("path"), "n_seen",
         F.try_variant_get("node", "$.content", "string").alias("content"))
 
 
+# The last field is nested 3 to 30 deep.
 ORDER_DOCS = """
-SELECT o_orderkey, try_parse_json(to_json(named_struct(
+SELECT o_orderkey, try_parse_json(concat(rtrim('}', to_json(named_struct(
   'source_id', concat('s', o_orderkey),
   'target', named_struct('book_id', o_custkey, 'inner', named_struct('bookId', o_orderstatus, 'rank', o_orderpriority)),
   'links', array(
     named_struct('book_id', CAST(o_orderkey % 7 AS STRING), 'note', 'n', 'source_id', CAST(NULL AS STRING)),
     named_struct('book_id', CAST(NULL AS STRING), 'note', CAST(NULL AS STRING), 'source_id', o_orderstatus))
-))) AS doc FROM orders"""
+))), ',"deep":', repeat('{"inner":', CAST(3 + o_orderkey % 28 AS INT)), '{"book_id":"d"}', repeat('}', CAST(3 + o_orderkey % 28 AS INT)), '}')) AS doc FROM orders"""
 
 NAMED = """
 SELECT o_orderkey, '$.source_id' AS path, '"s' || CAST(o_orderkey AS STRING) || '"' AS value FROM orders
 UNION ALL SELECT o_orderkey, '$.target.book_id', CAST(o_custkey AS STRING) FROM orders
 UNION ALL SELECT o_orderkey, '$.target.inner.bookId', '"' || o_orderstatus || '"' FROM orders
 UNION ALL SELECT o_orderkey, '$.links[0].book_id', '"' || CAST(o_orderkey % 7 AS STRING) || '"' FROM orders
-UNION ALL SELECT o_orderkey, '$.links[1].source_id', '"' || o_orderstatus || '"' FROM orders"""
+UNION ALL SELECT o_orderkey, '$.links[1].source_id', '"' || o_orderstatus || '"' FROM orders
+UNION ALL SELECT o_orderkey, '$.deep' || repeat('.inner', CAST(3 + o_orderkey % 28 AS INT)) || '.book_id', '"d"' FROM orders"""
 
 
 @query("B3_collect_named_values", NAMED, spread=("orders",))
@@ -230,10 +232,11 @@ def _(t):
 
 @query("C20_structural_diff", """
 SELECT o_orderkey, '$.links[0].note' AS path, '"n"' AS before, '"m"' AS after, 'changed' AS change FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, '$.deep' || repeat('.inner', CAST(3 + o_orderkey % 28 AS INT)) || '.book_id', '"d"', '"e"', 'changed' FROM orders WHERE o_orderkey % 4 = 0
 UNION ALL SELECT o_orderkey, '$.target.inner.rank', '"' || o_orderpriority || '"', NULL, 'removed' FROM orders WHERE o_orderkey % 5 = 0
 UNION ALL SELECT o_orderkey, '$.target.inner.grade', NULL, '"' || o_orderpriority || '"', 'added' FROM orders WHERE o_orderkey % 5 = 0""", spread=("orders",))
 def _(t):
-    rename = """SELECT o_orderkey, try_parse_json(replace(to_json(doc), '"rank"',
-                CASE WHEN o_orderkey % 5 = 0 THEN '"grade"' ELSE '"rank"' END)) AS doc FROM changed"""
+    rename = """SELECT o_orderkey, try_parse_json(replace(replace(to_json(doc), '"rank"', CASE WHEN o_orderkey % 5 = 0 THEN '"grade"' ELSE '"rank"' END),
+                '"book_id":"d"', CASE WHEN o_orderkey % 4 = 0 THEN '"book_id":"e"' ELSE '"book_id":"d"' END)) AS doc FROM changed"""
     t.sql(ORDER_DOCS.replace("'note', 'n'", "'note', CASE WHEN o_orderkey % 3 = 0 THEN 'm' ELSE 'n' END")).createOrReplaceTempView("changed")
     return tree.structural_diff(t.sql(ORDER_DOCS), t.spark.sql(rename), ["o_orderkey"])

@@ -176,11 +176,16 @@ def test_numbers(spark):
     assert [r[0] for r in df.select(text.finite_number("s")).collect()] == list(cases.values())
 
 
-def test_tree_overflow_is_reported(spark):
-    deep = '[{"name":"0","child_list":[{"name":"1","child_list":[{"name":"2","child_list":[{"name":"3"}]}]}]}]'
-    df = spark.createDataFrame([(1, deep)], "id int, j string").select("id", F.try_parse_json("j").alias("root"))
-    got = tree.flatten_tree(df, "root", max_depth=3).orderBy("path").collect()
-    assert [(list(r.parent_names), r.overflow) for r in got] == [([], False), (["0"], False), (["0", "1"], True)]
+def test_trees_of_any_depth(spark):
+    def nested(n):
+        return '[{"name":"x","child_list":' * n + '[]' + "}]" * n
+    df = spark.createDataFrame([(n, nested(n)) for n in (1, 3, 8, 9, 30)] + [(0, "{}")], "id int, j string").select("id", F.try_parse_json("j").alias("root"))
+    got = tree.flatten_tree(df, "root", levels=3).groupBy("id").agg(F.count("*").alias("n"), F.max("depth").alias("d"), F.max(F.size("parent_names")).alias("p"))
+    assert rows(got) == [(n, n, n, n - 1) for n in (1, 3, 8, 9, 30)]
+    deep = spark.createDataFrame([(1, '{"a":' * 25 + '{"key":[1,{"key":{}}]}' + "}" * 25)], "id int, j string").select("id", F.try_parse_json("j").alias("doc"))
+    path = "$" + ".a" * 25 + ".key"
+    assert sorted(r.path for r in tree.key_paths(deep, "doc", "key").collect()) == [path, f"{path}[1].key"]
+    assert sorted(r.path for r in tree.json_nodes(deep, "doc").where("is_leaf").collect()) == [f"{path}[0]", f"{path}[1].key"]
 
 
 def test_action_depth_limit(spark):
