@@ -35,9 +35,14 @@ def canonical_hash(text: Column | str) -> Column:
     return tagged_sha(canonical_json(text))
 
 
+def record_json(*columns: Column | str) -> Column:
+    """The record as JSON text, null fields included."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def struct_hash(*columns: Column | str) -> Column:
-    """Canonical hash of a record made of columns; absent values are left out."""
-    return canonical_hash(F.to_json(F.struct(*columns)))
+    """Canonical hash of a record made of columns; null is a value like any other."""
+    return canonical_hash(record_json(*columns))
 
 
 def fnv1a32(text: Column | str) -> Column:
@@ -63,7 +68,7 @@ def ordered_hash(*columns: Column | str) -> Column:
 
     Such a record is canonical as it is written, so it is not parsed again.
     """
-    return tagged_sha(F.to_json(F.struct(*columns)))
+    return tagged_sha(record_json(*columns))
 
 
 @F.pandas_udf(T.StringType())
@@ -174,7 +179,7 @@ def fingerprint_diff(expected: str, current: str, fields: list[str] | None = Non
 
 def fingerprint_table(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Canonical text and both hashes of a record per key."""
-    text = canonical_json(F.to_json(F.struct(*columns)))
+    text = canonical_json(record_json(*columns))
     out = df.select(key, text.alias("canonical"))
     return out.withColumns({"sha256": tagged_sha(F.col("canonical")), "fnv": fnv1a32("canonical")})
 

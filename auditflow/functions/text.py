@@ -10,6 +10,8 @@ UPPER_VOLUME = ["上", "上册", "第一册", "1"]
 LOWER_VOLUME = ["下", "下册", "第二册", "2"]
 # Module types of the two annotation buttons.
 AUDIO_MODULE, TRANSCRIPT_MODULE = 77, 76
+# The characters that JavaScript takes for blanks in patterns and when trimming.
+BLANK = r"[\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 # Emphasis red in its two spellings.
 EMPHASIS_COLORS = ["#fe2e65", "rgb(254, 46, 101)"]
 
@@ -18,13 +20,18 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def trim_blanks(value: Column | str) -> Column:
+    """Without blanks of any kind at both ends."""
+    return F.regexp_replace(_col(value), f"^{BLANK}+|{BLANK}+$", "")
+
+
 def html_lines(html: Column | str, angle_entities: bool = True) -> Column:
     """Visible lines of rich text, blank lines dropped.
 
     ``&amp;`` is decoded before ``&lt;``, so a doubly escaped sign opens fully.
     """
     c = F.coalesce(_col(html), F.lit(""))
-    for pattern in (r"(?i)<br\s*/?>", r"(?i)</p>\s*<p[^>]*>", r"(?i)</li>\s*<li[^>]*>"):
+    for pattern in (rf"(?i)<br{BLANK}*/?>", rf"(?i)</p>{BLANK}*<p[^>]*>", rf"(?i)</li>{BLANK}*<li[^>]*>"):
         c = F.regexp_replace(c, pattern, "\n")
     c = F.regexp_replace(c, r"(?i)</?(?:ol|ul)[^>]*>", "")
     c = F.regexp_replace(c, r"<[^>]+>", "")
@@ -34,27 +41,27 @@ def html_lines(html: Column | str, angle_entities: bool = True) -> Column:
         entities += [("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " ")]
     for name, sign in entities:
         c = F.replace(c, F.lit(name), F.lit(sign))
-    lines = F.transform(F.split(c, r"\r?\n"), lambda s: F.trim(F.regexp_replace(s, r"\s+", " ")))
+    lines = F.transform(F.split(c, r"\r?\n"), lambda s: trim_blanks(F.regexp_replace(s, f"{BLANK}+", " ")))
     return F.filter(lines, lambda s: s != "")
 
 
 def html_text(html: Column | str) -> Column:
     """Visible text of a page on one line, spacing before punctuation removed."""
     c = F.coalesce(_col(html), F.lit(""))
-    c = F.regexp_replace(c, r"(?i)<br\s*/?>", " ")
-    c = F.regexp_replace(c, r"(?i)</(?:p|div|li|h[1-6])\s*>", " ")
+    c = F.regexp_replace(c, rf"(?i)<br{BLANK}*/?>", " ")
+    c = F.regexp_replace(c, rf"(?i)</(?:p|div|li|h[1-6]){BLANK}*>", " ")
     c = F.regexp_replace(c, r"<[^>]+>", "")
     for name, sign in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"')):
         c = F.regexp_replace(c, f"(?i){name}", sign)
     c = F.regexp_replace(c, r"(?i)&#39;|&apos;", "'")
-    c = F.regexp_replace(c, r"\s+", " ")
-    return F.trim(F.regexp_replace(c, r"\s+([.,!?;:])", "$1"))
+    c = F.regexp_replace(c, f"{BLANK}+", " ")
+    return trim_blanks(F.regexp_replace(c, f"{BLANK}+([.,!?;:])", "$1"))
 
 
 def kept_style(style: Column) -> Column:
     """Only the color declarations of a style attribute."""
-    parts = F.transform(F.split(style, ";"), lambda s: F.trim(s))
-    return F.array_join(F.filter(parts, lambda s: s.rlike(r"(?i)^(background-color|color)\s*:")), "; ")
+    parts = F.transform(F.split(style, ";"), trim_blanks)
+    return F.array_join(F.filter(parts, lambda s: s.rlike(rf"(?i)^(background-color|color){BLANK}*:")), "; ")
 
 
 def restyled(html: Column | str) -> Column:
@@ -96,11 +103,11 @@ def transcript_html(question: Column | str, text: Column | str) -> Column:
 
 
 def normalize_name(c: Column | str) -> Column:
-    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    return trim_blanks(F.regexp_replace(_col(c), f"{BLANK}+", " "))
 
 
 def compact_text(c: Column | str) -> Column:
-    return F.nullif(F.regexp_replace(F.lower(_col(c)), r"\s+", ""), F.lit(""))
+    return F.nullif(F.regexp_replace(F.lower(_col(c)), f"{BLANK}+", ""), F.lit(""))
 
 
 def normalize_volume(c: Column | str) -> Column:
@@ -113,24 +120,37 @@ def normalize_path(c: Column | str) -> Column:
     return F.nullif(F.array_join(F.filter(parts, lambda p: p.isNotNull()), "/"), F.lit(""))
 
 
+def _digits_value(digits: Column, bits: int) -> Column:
+    """The double nearest to digits of ``bits`` bits each, however many there are.
+
+    Sixty leading bits are read, and the lowest of them is set if anything nonzero follows.
+    """
+    held = 60 // bits
+    plain = F.regexp_replace(digits, "^0+(?=.)", "")
+    head = F.conv(F.substring(plain, 1, held), 2**bits, 10).cast("bigint")
+    rest = F.substring(plain, F.lit(held + 1), F.length(plain))
+    marked = F.when(rest.rlike("[^0]"), head.bitwiseOR(F.lit(1))).otherwise(head)
+    return marked.cast("double") * F.pow(F.lit(2.0), F.length(rest) * bits)
+
+
 def finite_number(c: Column | str) -> Column:
     """A finite number written as decimal, exponent, hex, octal or binary text."""
-    s = F.trim(_col(c).cast("string"))
+    s = trim_blanks(_col(c).cast("string"))
     decimal = s.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
     value = F.when(decimal, s.try_cast("double"))
-    for prefix, digits, base in (("xX", "0-9a-fA-F", 16), ("oO", "0-7", 8), ("bB", "01", 2)):
+    for prefix, digits, bits in (("xX", "0-9a-fA-F", 4), ("oO", "0-7", 3), ("bB", "01", 1)):
         found = s.rlike(f"^0[{prefix}][{digits}]+$")
-        value = value.when(found, F.conv(F.substring(s, 3, 64), base, 10).try_cast("double"))
+        value = value.when(found, _digits_value(F.substring(s, F.lit(3), F.length(s)), bits))
     return F.when(F.abs(value) < float("inf"), value)
 
 
 def positive_integer(c: Column | str) -> Column:
     n = finite_number(c)
-    return F.when((n > 0) & (n == F.floor(n)), n.cast("bigint"))
+    return F.when((n > 0) & (n == F.rint(n)), n.try_cast("bigint"))
 
 
 def topic_of(name: Column | str) -> Column:
-    return F.trim(F.regexp_replace(_col(name), r"^学习之旅\d+\s*", ""))
+    return trim_blanks(F.regexp_replace(_col(name), rf"^学习之旅\d+{BLANK}*", ""))
 
 
 def sequence_of(name: Column | str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from auditflow.functions import text as X
 from auditflow.functions.canon import ordered_hash
+from auditflow.functions.layout import js_length
 from auditflow.operators import ranges
 from auditflow.operators.checks import explode_rules
 from auditflow.session import checkpointed
@@ -236,7 +237,7 @@ def source_plan(blocks: DataFrame, rich: DataFrame, modules: DataFrame) -> DataF
     # The english block id is unique, so this join keeps one row per text.
     english = per_page.where("english IS NOT NULL").select("page_id", F.col("english").alias("block_id"))
     articles = ranges.pick_first(
-        rich.join(english, "block_id"), ["page_id"], [-F.length("display_text"), F.col("pos")], ["element_id", "display_text"])
+        rich.join(english, "block_id"), ["page_id"], [-js_length("display_text"), F.col("pos")], ["element_id", "display_text"])
     hits = []
     for role, kind, agent in READING_MODULES:
         hit = F.col("module_type") == kind

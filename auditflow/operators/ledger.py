@@ -137,16 +137,21 @@ def claim_outcomes(claims: DataFrame, order: list[str], key: str = "idempotency_
 
 
 def drift(preflight: DataFrame, current: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Changed fingerprint fields before apply, the next state and what becomes of the claim."""
+    """Changed fingerprint fields before apply, the next state and what becomes of the claim.
+
+    An item without a current fingerprint keeps its state and carries a ``violation``.
+    """
     fields = fields or FINGERPRINT_FIELDS
     a = preflight.select("item_id", F.struct(*fields).alias("expected"))
     b = current.select("item_id", F.struct(*fields).alias("current"))
-    rows = a.join(b, "item_id").withColumn("differences", fingerprint_diff("expected", "current", fields))
+    lost = F.col("current").isNull()
+    rows = a.join(b, "item_id", "left").withColumn("differences", F.when(~lost, fingerprint_diff("expected", "current", fields)))
     changed = F.size("differences") > 0
     identity = F.exists("differences", lambda d: d["field"] != "target_before_hash")
     return rows.select(
-        "item_id", "differences", F.when(changed, "planned").otherwise("apply_authorized").alias("next_state"),
-        F.when(identity, "superseded").when(changed, "planned").alias("claim_status"))
+        "item_id", "differences", F.when(lost, None).when(changed, "planned").otherwise("apply_authorized").alias("next_state"),
+        F.when(lost, None).when(identity, "superseded").when(changed, "planned").alias("claim_status"),
+        F.when(lost, "current_fingerprint_missing").alias("violation"))
 
 
 def stale_leases(heartbeats: DataFrame, now: Column, ms: int = STALE_AFTER_MS) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auditflow.functions.layout import js_length
 from auditflow.operators import ranges
 
 
@@ -42,8 +45,8 @@ def next_matching(df: DataFrame, keys: list[str], order: list[str], predicate: C
 
 
 def longest_per_group(df: DataFrame, keys: list[str], text: str, pos: str) -> DataFrame:
-    """Longest text per key, first on ties."""
-    return ranges.pick_first(df, keys, [-F.length(text), F.col(pos)])
+    """Longest text per key, in UTF-16 units, first on ties."""
+    return ranges.pick_first(df, keys, [-js_length(text), F.col(pos)])
 
 
 def first_k(df: DataFrame, keys: list[str], predicate: Column, pos: str, k: int) -> DataFrame:
@@ -67,10 +70,12 @@ def current_state(events: DataFrame, item: str, order: list[str], state: str) ->
 
 
 def first_wins(df: DataFrame, keys: list[str], item: str, order: list[Column]) -> DataFrame:
-    """The first item keeps a logical key, later items conflict and name it."""
+    """The first item keeps a logical key, later items conflict and name it; a null key is a key."""
     first = ranges.pick_first(df.select(*keys, item, *[o.alias(f"_o{i}") for i, o in enumerate(order)]), keys,
                               [F.col(f"_o{i}") for i in range(len(order))], [item]).withColumnRenamed(item, "winner")
-    return df.join(first, keys).withColumn("conflict", F.col("winner") != F.col(item))
+    named = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "winner")
+    same = reduce(Column.__and__, [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return df.join(named, same).select(*df.columns, "winner").withColumn("conflict", F.col("winner") != F.col(item))
 
 
 def route_template(pages: DataFrame, variants: list[dict]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from auditflow.functions import text as X
 from auditflow.functions.canon import canonical_hash, idempotency_key, struct_hash
+from auditflow.functions.layout import js_length
 from auditflow.operators import annotations, extract, ledger, matching, ranges, receipts, report, targets, windows
 from auditflow.operators.checks import valid_entities
 from auditflow.operators.tree import collect_named_values, flatten_tree
@@ -79,19 +80,28 @@ class SourceManifest(NamedTuple):
 
 
 def latest_captures(captures: DataFrame) -> DataFrame:
-    """Newest capture per catalog; the choice is made without the documents."""
-    keyed = captures.select("catalog_id", "captured_at", "path")
-    newest = ranges.pick_first(keyed, ["catalog_id"], [-F.unix_micros(F.col("captured_at").cast("timestamp")), F.col("path")], ["path"])
-    return captures.join(newest, ["catalog_id", "path"], "left_semi")
+    """Newest parsed capture per catalog, one without a time last; the choice is made without the documents."""
+    at = F.unix_micros(F.col("captured_at").cast("timestamp"))
+    keyed = captures.where("doc IS NOT NULL").select("catalog_id", "path", at.isNull().alias("_timeless"), (-at).alias("_age"))
+    newest = ranges.pick_first(keyed, ["catalog_id"], [F.col("_timeless"), F.col("_age"), F.col("path")], ["path"])
+    return captures.where("doc IS NOT NULL").join(newest, ["catalog_id", "path"], "left_semi")
 
 
 def source_manifest(captures: DataFrame, wanted: DataFrame, overrides: DataFrame) -> SourceManifest:
-    """Catalog records of the wanted catalogs from their newest captures."""
-    chosen = latest_captures(captures.join(wanted.select("catalog_id"), "catalog_id", "left_semi"))
+    """Catalog records of the wanted catalogs from their newest parsed captures.
+
+    Every capture that could not be parsed is a violation, and a wanted catalog without
+    any parsed one is missing.
+    """
+    asked = captures.join(wanted.select("catalog_id"), "catalog_id", "left_semi")
+    unparsed = asked.where("doc IS NULL").select(
+        F.col("catalog_id").cast("string").alias("entity_id"), F.lit("capture_unparsed").alias("rule_code"), F.lit("error").alias("severity"), F.col("path").alias("message"))
+    chosen = latest_captures(asked)
     catalogs, warnings, found = extract.extract_catalogs(*snapshot_tables(chosen))
     done, judged, broken = extract.apply_overrides(catalogs, warnings, overrides)
     found = found.unionByName(broken).unionByName(extract.unresolved_catalogs(done))
-    return SourceManifest(done, judged, found, matching.missing(wanted, captures, ["catalog_id"]))
+    found = found.unionByName(unparsed)
+    return SourceManifest(done, judged, found, matching.missing(wanted, captures.where("doc IS NOT NULL"), ["catalog_id"]))
 
 
 def variant_profile(captures: DataFrame) -> DataFrame:
@@ -102,15 +112,16 @@ def variant_profile(captures: DataFrame) -> DataFrame:
     lines = X.html_lines("content", angle_entities=False)
     rows = texts.withColumn("_l", lines).groupBy("catalog_id").agg(
         F.max(F.when(F.col("field") == "sentences", F.size("_l"))).alias("n_sentences"),
-        F.max(F.when(F.col("field") == "sentences", F.array_max(F.transform("_l", F.length)))).alias("longest"),
+        F.max(F.when(F.col("field") == "sentences", F.array_max(F.transform("_l", js_length)))).alias("longest"),
         F.max(F.when(F.col("field") == "words_en", F.size("_l"))).alias("n_english"),
         F.max(F.when(F.col("field") == "words_zh", F.size("_l"))).alias("n_chinese"))
-    titles = chosen.select("catalog_id", F.length(F.try_variant_get("doc", "$.snapshot.identity.catalogName", "string")).alias("title_length"))
+    titles = chosen.select("catalog_id", js_length(F.try_variant_get("doc", "$.snapshot.identity.catalogName", "string")).alias("title_length"))
     rows = rows.join(titles, "catalog_id")
     spread = report.distribution(rows, "n_sentences").select(
         F.lit("sentence_count").alias("metric"), F.col("value").cast("string").alias("key"), F.col("n").alias("value"))
     wrong = report.mismatch_report(rows, ["n_english", "n_chinese"], 4).select(
-        F.lit("word_mismatch").alias("metric"), F.col("catalog_id").cast("string").alias("key"), (F.col("n_english") * 10 + F.col("n_chinese")).cast("bigint").alias("value"))
+        F.col("catalog_id").cast("string").alias("key"), F.expr("stack(2, 'english_words', CAST(n_english AS BIGINT), 'chinese_words', CAST(n_chinese AS BIGINT))").alias("metric", "value")
+    ).select("metric", "key", "value")
     top = lambda name, c: report.longest_by(rows, F.col(c), "catalog_id").select(
         F.lit(name).alias("metric"), F.col("catalog_id").cast("string").alias("key"), F.col(c).cast("bigint").alias("value"))
     return spread.unionByName(wrong).unionByName(top("longest_title", "title_length")).unionByName(top("longest_sentence", "longest"))
@@ -225,22 +236,23 @@ def verify_readbacks(exports: DataFrame, saves: DataFrame, expected: DataFrame,
     faults = receipts.validate_receipts(made, "raw", "run_id")
     index = runs.join(made.select("run_id", F.col("raw").alias("receipt")), "run_id", "left")
     checked = valid_entities(index.withColumnRenamed("valid", "readback_valid"), faults, "run_id")
-    return checked.withColumnRenamed("valid", "receipt_valid"), found.unionByName(faults)
+    has_valid = F.col("receipt").isNotNull() & F.col("valid")
+    return checked.withColumn("receipt_valid", has_valid).drop("valid"), found.unionByName(faults)
 
 
 def forward_evidence(cases: DataFrame, artifacts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links of forward cases with hashes taken from the files, and their violations.
+    """Links of forward cases with the hashes they claim, and their violations.
 
-    ``cases`` (case_id, role, path, linked_id), ``artifacts`` (path, raw JSON text).
+    ``cases`` (case_id, role, path, linked_id, artifact_sha256, claimed_hash),
+    ``artifacts`` (path, raw JSON text).
     """
     docs = artifacts.withColumn("doc", F.try_parse_json("raw"))
-    ids = collect_named_values(docs.select(F.col("path").alias("file"), "doc"), "doc", ["source_id", "target_id", "book_id", "bookId"], 4)
+    ids = collect_named_values(docs.select(F.col("path").alias("file"), "doc"), "doc", ["source_id", "target_id", "book_id", "bookId"])
     # A file names few ids, and the list is of one file.
     per_file = ids.groupBy(F.col("file").alias("path")).agg(F.collect_set(F.try_variant_get("value", "$", "string")).alias("ids"))
     files = docs.select("path", F.sha2("raw", 256).alias("sha256"), canonical_hash("raw").alias("canonical_hash")).join(per_file, "path", "left")
     files = files.withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
-    stated = files.select("path", F.col("sha256").alias("artifact_sha256"), F.col("canonical_hash").alias("claimed_hash"))
-    links = cases.join(stated, "path", "left").select(
+    links = cases.select(
         "case_id", "role", F.lit("").alias("base"), F.col("path").alias("artifact"), "artifact_sha256", "claimed_hash", "linked_id")
     return links, matching.verify_evidence_chain(links, files)
 

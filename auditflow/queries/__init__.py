@@ -18,12 +18,12 @@ FAMILIES = [
 ]
 
 
-def query(name: str, sql: str | None = None, spread: tuple[str, ...] = ()):
-    """Register a query; ``spread`` names tables whose rows are costly to process."""
+def query(name: str, sql: str | None = None):
+    """Register a query and, where SQL can say it, its oracle."""
     def register(build: Callable[[Tables], DataFrame]):
         if name in _QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = lambda spark, folder: build(Tables(spark, folder, spread))
+        _QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
             _ORACLES[name] = oracle(sql)
         return build

@@ -17,7 +17,7 @@ def _(t):
 
 @query("B14_normalize_modules", """
 SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_partkey AS STRING) AS element_id, 60 + l_linenumber AS module_type, CASE WHEN l_tax > 0.02 THEN CAST(l_suppkey AS STRING) END AS model_id,
-  CASE WHEN l_discount > 0.05 THEN '{"resourceId":' || CAST(l_suppkey AS STRING) || '}' ELSE '{}' END AS config FROM lineitem""", spread=("lineitem",))
+  CASE WHEN l_discount > 0.05 THEN '{"resourceId":' || CAST(l_suppkey AS STRING) || '}' ELSE '{}' END AS config FROM lineitem""")
 def _(t):
     raw = t.sql("""SELECT l_orderkey, l_linenumber, l_partkey, parse_json(to_json(named_struct('elementId', CAST(l_partkey AS STRING), 'normalized',
       named_struct('type', 60 + l_linenumber, 'modelId', CASE WHEN l_tax > 0.02 THEN l_suppkey END,
@@ -49,7 +49,7 @@ SELECT tx.catalog_id, title_en, prompt_zh, learning_en, len(sentences) AS n_sent
   tx.catalog_id*100 + 1 AS audio_model, array_to_string([tx.catalog_id*100 + 2, tx.catalog_id*100 + 3, tx.catalog_id*100 + 4, tx.catalog_id*100 + 5, tx.catalog_id*100 + 6, tx.catalog_id*100 + 7], ',') AS entries,
   CASE WHEN tx.catalog_id % 40 <> 3 THEN tx.catalog_id*100 + 8 END AS print_model, n_relevant, n_excluded, n_relevant = 0 AS scoped_complete,
   CAST(tx.catalog_id % 50 = 0 AS INT) + CAST(tx.catalog_id % 60 = 1 AS INT) + CAST(tx.catalog_id % 40 = 3 AS INT) AS n_violations
-FROM tx JOIN wc USING (catalog_id)""", spread=("documents",))
+FROM tx JOIN wc USING (catalog_id)""")
 def _(t):
     catalogs, _, found = B.extract_catalogs(*catalog_tables(t))
     n = found.groupBy(F.col("entity_id").alias("_e")).agg(F.count("*").alias("_n"))
@@ -89,7 +89,7 @@ SELECT catalog_id, CASE WHEN ok_s THEN 'a|b|' || source ELSE array_to_string(sen
   n_relevant - CASE WHEN oc IS NOT NULL AND catalog_id % 10 = 0 THEN 1 ELSE 0 END = 0 AS scoped_complete,
   CAST(coalesce(quality_bad, 0) AS INT) AS n_violations
 FROM (SELECT h.*, (SELECT CAST(q.quality = 1 AND h.catalog_id % 11 = 0 AS INT) + CAST(q.quality = 1 AND h.catalog_id % 7 = 0 AS INT) FROM labels q WHERE q.doc_id = h.catalog_id)
-   + CAST(bad_zh AS INT) + CAST(short AS INT) + CAST(no_ev AS INT) AS quality_bad FROM h)""", spread=("documents",))
+   + CAST(bad_zh AS INT) + CAST(short AS INT) + CAST(no_ev AS INT) AS quality_bad FROM h)""")
 def _(t):
     catalogs, warnings, _ = B.extract_catalogs(*catalog_tables(t))
     out, _, found = B.apply_overrides(catalogs, warnings, t.sql(OVERRIDE_ROWS.replace("USING (doc_id)", "USING (doc_id)")))
@@ -101,9 +101,10 @@ def _(t):
 
 
 @query("B19_seal", """
-SELECT o_orderkey, 'sha256:' || sha256('{"o_custkey":' || CAST(o_custkey AS STRING) || ',"o_orderkey":' || CAST(o_orderkey AS STRING) || ',"o_orderstatus":"' || o_orderstatus || '"}') AS integrity_hash FROM orders""")
+SELECT o_orderkey, 'sha256:' || sha256('{"o_custkey":' || CAST(o_custkey AS STRING) || ',"o_orderkey":' || CAST(o_orderkey AS STRING) || ',"o_orderstatus":' || CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}') AS integrity_hash FROM orders""")
 def _(t):
-    return seal(t.orders, ["o_orderkey", "o_orderstatus", "o_custkey"], "integrity_hash").select("o_orderkey", "integrity_hash")
+    rows = t.orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")))
+    return seal(rows, ["o_orderkey", "o_orderstatus", "o_custkey"], "integrity_hash").select("o_orderkey", "integrity_hash")
 
 
 BINDING_SQL = """

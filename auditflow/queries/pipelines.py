@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from auditflow.functions.canon import canonical_hash
 from auditflow.operators import report as R
 from auditflow.plans import pipelines as L
 from auditflow.queries import query
@@ -55,7 +56,7 @@ WITH {CATALOG}, o AS (SELECT doc_id AS catalog_id, quality FROM labels),
 SELECT CAST(catalog_id AS STRING) AS catalog_id, title_en, CASE WHEN ok_s THEN 3 ELSE len(sentences) END AS n_sentences,
   CASE WHEN ok_s THEN 'resolved_from_explicit_source_override' WHEN len(sentences) BETWEEN 2 AND 5 THEN 'resolved_from_source_structure' ELSE 'needs_visual_or_semantic_resolution' END AS sentence_status,
   n_relevant - CASE WHEN listed AND catalog_id % 10 = 0 THEN 1 ELSE 0 END = 0 AS scoped_complete FROM f
-UNION ALL SELECT 'missing ' || CAST(s_suppkey - 1000000 AS STRING), NULL, NULL, NULL, NULL FROM supplier""", spread=("documents",))
+UNION ALL SELECT 'missing ' || CAST(s_suppkey - 1000000 AS STRING), NULL, NULL, NULL, NULL FROM supplier""")
 def _(t):
     wanted = t.sql("SELECT doc_id AS catalog_id FROM documents UNION ALL SELECT s_suppkey - 1000000 FROM supplier")
     out = L.source_manifest(captures(t), wanted, t.sql(OVERRIDE_ROWS))
@@ -68,8 +69,8 @@ def _(t):
 @query("L3_variant_profile", f"""
 WITH {CATALOG}, r AS (SELECT tx.catalog_id, len(sentences) AS ns, list_max(list_transform(sentences, lambda s: length(s))) AS lg, len(en) AS ne, len(zh) AS nz, length(d.source) + d.n_chars % 20 AS tl FROM tx JOIN documents d ON d.doc_id = tx.catalog_id)
 SELECT 'sentence_count' AS metric, CAST(ns AS STRING) AS key, count(*) AS value FROM r GROUP BY ns
-UNION ALL SELECT 'word_mismatch', CAST(catalog_id AS STRING), ne*10 + nz FROM r WHERE ne <> 4 OR nz <> 4
-UNION ALL (SELECT 'longest_title', CAST(catalog_id AS STRING), tl FROM r ORDER BY tl DESC, catalog_id LIMIT 1) UNION ALL (SELECT 'longest_sentence', CAST(catalog_id AS STRING), lg FROM r ORDER BY lg DESC, catalog_id LIMIT 1)""", spread=("documents",))
+UNION ALL SELECT unnest(['english_words', 'chinese_words']), CAST(catalog_id AS STRING), unnest([ne, nz]) FROM r WHERE ne <> 4 OR nz <> 4
+UNION ALL (SELECT 'longest_title', CAST(catalog_id AS STRING), tl FROM r ORDER BY tl DESC, catalog_id LIMIT 1) UNION ALL (SELECT 'longest_sentence', CAST(catalog_id AS STRING), lg FROM r ORDER BY lg DESC, catalog_id LIMIT 1)""")
 def _(t):
     return L.variant_profile(captures(t))
 
@@ -148,7 +149,7 @@ def _(t):
     return L.build_provenance(page("F"), page("O"), snaps, rules, applied, required, reported)
 
 
-@query("L7_verify_readbacks", "SELECT doc_id AS run_id, doc_id % 7 = 0 AS readback_valid, true AS receipt_valid, doc_id % 7 = 0 AS has_receipt FROM documents", spread=("documents",))
+@query("L7_verify_readbacks", "SELECT doc_id AS run_id, doc_id % 7 = 0 AS readback_valid, doc_id % 7 = 0 AS receipt_valid, doc_id % 7 = 0 AS has_receipt FROM documents")
 def _(t):
     index, _ = L.verify_readbacks(*readback_inputs(t), "2024-05-01T00:00:00.000Z")
     return index.select("run_id", "readback_valid", "receipt_valid", F.col("receipt").isNotNull().alias("has_receipt"))
@@ -159,7 +160,8 @@ ROLE_LIST = "array('source', 'template', 'target_before', 'target_after', 'save_
 
 @query("L8_forward_evidence", """
 WITH x AS (SELECT l.doc_id, count(d.doc_id) AS n, max(d.lang) FILTER (WHERE d.doc_id = l.doc_id + 2) AS b, max(d.lang) FILTER (WHERE d.doc_id = l.doc_id + 3) AS a FROM labels l LEFT JOIN documents d ON d.doc_id BETWEEN l.doc_id AND l.doc_id + 6 GROUP BY 1)
-SELECT CAST(doc_id AS STRING) AS case_id, 7 - n AS n_missing, coalesce(a <> b, false) AS wrong_target FROM x""", spread=("documents",))
+SELECT CAST(doc_id AS STRING) AS case_id, 7 - n AS n_missing, coalesce(a <> b, false) AS wrong_target,
+  CASE WHEN doc_id % 13 = 0 AND doc_id IN (SELECT doc_id FROM documents) THEN 1 ELSE 0 END AS n_sha, CASE WHEN doc_id % 5 = 0 AND doc_id + 1 IN (SELECT doc_id FROM documents) THEN 1 ELSE 0 END AS n_hash FROM x""")
 def _(t):
     artifacts = t.documents.select(F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("path"), F.to_json(F.struct("doc_id", F.col("lang").alias("book_id"), "text")).alias("raw"))
     cases = t.sql(f"SELECT doc_id AS case_id, i, role FROM (SELECT doc_id, posexplode({ROLE_LIST}) AS (i, role) FROM labels)")
@@ -167,16 +169,25 @@ def _(t):
     cases = cases.join(before, "case_id", "left").select(
         "case_id", "role", F.concat(F.lit("a/"), (F.col("case_id") + F.col("i")).cast("string")).alias("path"),
         F.when(F.col("role").isin("target_before", "target_after"), F.col("lang")).alias("linked_id"))
+    # What the cases claim: the right hashes, but for some sources and templates.
+    true_hashes = artifacts.select("path", F.sha2("raw", 256).alias("sha"), canonical_hash("raw").alias("hash"))
+    wrong_sha = (F.col("role") == "source") & (F.col("case_id") % 13 == 0)
+    wrong_hash = (F.col("role") == "template") & (F.col("case_id") % 5 == 0)
+    cases = cases.join(true_hashes, "path", "left").select(
+        "case_id", "role", "path", "linked_id", F.when(wrong_sha, "0").otherwise(F.col("sha")).alias("artifact_sha256"),
+        F.when(wrong_hash, "sha256:0").otherwise(F.col("hash")).alias("claimed_hash"))
     links, found = L.forward_evidence(cases, artifacts)
     per = found.groupBy(F.col("entity_id").alias("case_id")).agg(
-        F.count(F.when(F.col("rule_code") == "artifact_missing", 1)).alias("n_missing"), F.max(F.col("rule_code") == "linked_id_absent").alias("w"))
+        *[F.count(F.when(F.col("rule_code") == code, 1)).alias(n) for code, n in (
+            ("artifact_missing", "n_missing"), ("artifact_sha_mismatch", "n_sha"), ("canonical_hash_mismatch", "n_hash"))],
+        F.max(F.col("rule_code") == "linked_id_absent").alias("w"))
     every = links.select(F.col("case_id").cast("string").alias("case_id")).distinct()
-    return every.join(per, "case_id", "left").select("case_id", F.coalesce("n_missing", F.lit(0)).alias("n_missing"), F.coalesce("w", F.lit(False)).alias("wrong_target"))
+    return every.join(per, "case_id", "left").select("case_id", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("n_missing", "n_sha", "n_hash")], F.coalesce("w", F.lit(False)).alias("wrong_target"))
 
 
 @query("L9_target_verification", f"""
 SELECT count(*) FILTER (WHERE o_orderkey % 17 <> 15) AS page_count, CAST(sum(CASE o_orderkey % 17 WHEN 15 THEN 0 WHEN 4 THEN 7 ELSE 8 END) AS BIGINT) AS module_total, count(*) FILTER (WHERE o_orderkey % 17 NOT IN (0, 15)) AS failure_count,
-  min(o_orderkey + 1) FILTER (WHERE o_orderkey % 17 <> 15) AS first_page, max(o_orderkey + 1) FILTER (WHERE o_orderkey % 17 <> 15) AS last_page FROM orders""", spread=("orders",))
+  min(o_orderkey + 1) FILTER (WHERE o_orderkey % 17 <> 15) AS first_page, max(o_orderkey + 1) FILTER (WHERE o_orderkey % 17 <> 15) AS last_page FROM orders""")
 def _(t):
     plans, pages, modules = target_tables(t)
     caps = pages.withColumns({"capture_id": F.lit(2), "captured_at": F.lit(20)}).unionByName(
@@ -196,7 +207,7 @@ WITH RECURSIVE i AS ({B_ITEMS}), w AS (SELECT *, min(item_id) OVER (PARTITION BY
  r(item_id, n, state) AS (SELECT DISTINCT item_id, CAST(0 AS BIGINT), 'pending' FROM e UNION ALL SELECT e.item_id, e.n, CASE WHEN a.f IS NOT NULL THEN e.to_state ELSE r.state END FROM r JOIN e ON e.item_id = r.item_id AND e.n = r.n + 1 LEFT JOIN a ON a.f = r.state AND a.g = e.to_state),
  f AS (SELECT s.item_id, coalesce((SELECT arg_max(r.state, r.n) FROM r WHERE r.item_id = s.item_id), s.st) AS state FROM s),
  d AS (SELECT unnest({R.ALL_STATES}) AS state)
-SELECT d.state, count(f.item_id) AS n FROM d LEFT JOIN f ON f.state = d.state GROUP BY 1""", spread=("orders",))
+SELECT d.state, count(f.item_id) AS n FROM d LEFT JOIN f ON f.state = d.state GROUP BY 1""")
 def _(t):
     from auditflow.functions.canon import idempotency_key
     key = idempotency_key(F.col("source_snapshot_hash"), F.col("template_snapshot_hash"), F.col("rule_pack_hash"), F.col("stable_identity"), F.col("catalog_scope"))

@@ -57,7 +57,7 @@ SELECT doc_id, CASE WHEN doc_id % 11 = 3 THEN NULL ELSE 'out/' || CAST(doc_id AS
        CASE WHEN doc_id % 11 = 3 OR doc_id % 13 = 5 THEN NULL ELSE sha256(text) END AS text_hash,
        CASE WHEN doc_id % 11 = 3 THEN 'malformed_line' WHEN doc_id % 13 = 5 THEN 'invalid_json' END AS error
 FROM documents LEFT JOIN e USING (source)
-WHERE (last IS NULL OR doc_id < last) AND doc_id % 17 <> 4""", spread=("documents",))
+WHERE (last IS NULL OR doc_id < last) AND doc_id % 17 <> 4""")
 def _(t):
     lines = t.sql("""
       SELECT doc_id, source, CASE
@@ -89,7 +89,7 @@ FROM events"""
 SELECT event_id, CASE WHEN event_id % 8 = 0 THEN event_id END AS k,
   CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'envelope_keys' WHEN 2 THEN 'content_count' WHEN 3 THEN 'item_type'
     WHEN 4 THEN 'text_not_json' WHEN 5 THEN 'data_not_object' WHEN 6 THEN 'text_not_string' ELSE 'item_keys' END AS error
-FROM events""", spread=("events",))
+FROM events""")
 def _(t):
     out = S.unwrap_envelope(t.sql(ENVELOPES.replace('\\"', '\\\\"')), "env")
     return out.select("event_id", F.try_variant_get("data", "$.k", "bigint").alias("k"), "error")

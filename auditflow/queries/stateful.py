@@ -68,16 +68,17 @@ def _(t):
 
 FIELDS = ["source_snapshot_hash", "template_snapshot_hash", "rule_pack_hash", "target_before_hash", "resolved_template_id"]
 PREFLIGHT = "SELECT o_orderkey AS item_id, 's' || CAST(o_custkey AS STRING) AS source_snapshot_hash, 't' AS template_snapshot_hash, 'r' AS rule_pack_hash, o_orderstatus AS target_before_hash, o_orderpriority AS resolved_template_id FROM orders"
-CURRENT = "SELECT o_orderkey AS item_id, 's' || CAST(CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_custkey END AS STRING) AS source_snapshot_hash, 't' AS template_snapshot_hash, 'r' AS rule_pack_hash, CASE WHEN o_orderkey % 4 = 0 THEN 'F' ELSE o_orderstatus END AS target_before_hash, o_orderpriority AS resolved_template_id FROM orders"
+CURRENT = "SELECT o_orderkey AS item_id, 's' || CAST(CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_custkey END AS STRING) AS source_snapshot_hash, 't' AS template_snapshot_hash, 'r' AS rule_pack_hash, CASE WHEN o_orderkey % 4 = 0 THEN 'F' ELSE o_orderstatus END AS target_before_hash, o_orderpriority AS resolved_template_id FROM orders WHERE o_orderkey % 23 <> 0"
 
 
 @query("J3_drift_gate", f"""
 WITH d AS (SELECT p.item_id, array_to_string(list_filter([CASE WHEN p.source_snapshot_hash <> c.source_snapshot_hash THEN 'source_snapshot_hash' END, CASE WHEN p.target_before_hash <> c.target_before_hash THEN 'target_before_hash' END], lambda x: x IS NOT NULL), ',') AS fields
  FROM ({PREFLIGHT}) p JOIN ({CURRENT}) c USING (item_id))
-SELECT item_id, fields, CASE WHEN fields <> '' THEN 'planned' ELSE 'apply_authorized' END AS next_state, CASE WHEN contains(fields, 'source') THEN 'superseded' WHEN fields <> '' THEN 'planned' END AS claim_status FROM d""")
+SELECT item_id, fields, CASE WHEN fields <> '' THEN 'planned' ELSE 'apply_authorized' END AS next_state, CASE WHEN contains(fields, 'source') THEN 'superseded' WHEN fields <> '' THEN 'planned' END AS claim_status, NULL AS violation FROM d
+UNION ALL SELECT item_id, NULL, NULL, NULL, 'current_fingerprint_missing' FROM ({PREFLIGHT}) WHERE item_id % 23 = 0""")
 def _(t):
     return L.drift(t.sql(PREFLIGHT), t.sql(CURRENT)).select(
-        "item_id", F.array_join("differences.field", ",").alias("fields"), "next_state", "claim_status")
+        "item_id", F.array_join("differences.field", ",").alias("fields"), "next_state", "claim_status", "violation")
 
 
 NOW = "TIMESTAMP '2024-01-30 23:30:00'"

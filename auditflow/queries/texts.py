@@ -27,7 +27,7 @@ def _path(c="path"):
     return F.array_join(F.col(c).cast("array<string>"), ".")
 
 
-@query("B1_flatten_tree", f"WITH {TREE_ROWS} SELECT doc_id, path, depth, parents, content FROM nodes", spread=("documents",))
+@query("B1_flatten_tree", f"WITH {TREE_ROWS} SELECT doc_id, path, depth, parents, content FROM nodes")
 def _(t):
     nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", levels=4)
     return nodes.select(
@@ -38,7 +38,7 @@ def _(t):
 @query("B2_index_tree", f"""
 WITH {TREE_ROWS}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, id ORDER BY i DESC, j DESC) AS rn,
    count(*) OVER (PARTITION BY doc_id, id) AS n_seen FROM nodes)
-SELECT doc_id, id, path, n_seen, content FROM r WHERE rn = 1""", spread=("documents",))
+SELECT doc_id, id, path, n_seen, content FROM r WHERE rn = 1""")
 def _(t):
     nodes = tree.flatten_tree(t.sql(TEXT_TREE), "root", levels=4)
     return tree.index_tree(nodes, ["doc_id"]).select(
@@ -65,13 +65,13 @@ UNION ALL SELECT o_orderkey, '$.links[1].source_id', '"' || o_orderstatus || '"'
 UNION ALL SELECT o_orderkey, '$.deep' || repeat('.inner', CAST(3 + o_orderkey % 28 AS INT)) || '.book_id', '"d"' FROM orders"""
 
 
-@query("B3_collect_named_values", NAMED, spread=("orders",))
+@query("B3_collect_named_values", NAMED)
 def _(t):
     rows = tree.collect_named_values(t.sql(ORDER_DOCS), "doc", ["source_id", "book_id", "bookId"], 5)
     return rows.select("o_orderkey", "path", F.to_json("value").alias("value"))
 
 
-@query("B4_key_paths", f"SELECT o_orderkey, path FROM ({NAMED}) WHERE path LIKE '%book_id'", spread=("orders",))
+@query("B4_key_paths", f"SELECT o_orderkey, path FROM ({NAMED}) WHERE path LIKE '%book_id'")
 def _(t):
     return tree.key_paths(t.sql(ORDER_DOCS), "doc", "book_id", 5).select("o_orderkey", "path")
 
@@ -91,7 +91,7 @@ def duck_lines(col: str) -> str:
 
 @query("B5_page_lines", f"""
 WITH l AS (SELECT page_id, {duck_lines('html')} AS lines FROM pages)
-SELECT page_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM l""", spread=("pages",))
+SELECT page_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM l""")
 def _(t):
     lines = t.pages.select("page_id", F.posexplode(X.html_lines("html")).alias("i", "line"))
     return lines.select("page_id", (F.col("i") + 1).alias("line_no"), "line")
@@ -107,7 +107,7 @@ def duck_text(col: str) -> str:
     return f"trim(regexp_replace({c}, '\\s+([.,!?;:])', '\\1', 'g'))"
 
 
-@query("B6_page_text", f"SELECT page_id, {duck_text('html')} AS text FROM pages", spread=("pages",))
+@query("B6_page_text", f"SELECT page_id, {duck_text('html')} AS text FROM pages")
 def _(t):
     return t.pages.select("page_id", X.html_text("html").alias("text"))
 
@@ -135,7 +135,7 @@ new AS (SELECT page_id, i, CASE
       || CASE WHEN style <> '' THEN 'style="' || style || ';"' ELSE '' END
       || regexp_extract(k, '(?i)^<span\b([^>]*)style="([^"]*)"([^>]*)>$', 3) || '>'
     ELSE k END AS k FROM kept)
-SELECT page_id, string_agg(k, '' ORDER BY i) AS html FROM new GROUP BY page_id""", spread=("pages",))
+SELECT page_id, string_agg(k, '' ORDER BY i) AS html FROM new GROUP BY page_id""")
 def _(t):
     return t.sql(STYLED).select("page_id", X.restyled("html").alias("html"))
 
@@ -145,7 +145,7 @@ WITH e AS (SELECT doc_id, source, replace(replace(replace(replace(replace(text,
 SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 77 ELSE 76 END AS module_type,
   CASE WHEN doc_id % 2 = 0 THEN '播放 ' || source ELSE '查看听力原文：' || source END AS name,
   CASE WHEN doc_id % 2 = 1 THEN '<strong>' || source || '</strong>' || regexp_replace(x, '\\r?\\n', '<br>', 'g') END AS config
-FROM e""".replace("\\\\", "\\"), spread=("documents",))
+FROM e""".replace("\\\\", "\\"))
 def _(t):
     audio = F.col("doc_id") % 2 == 0
     return t.documents.select(
@@ -154,9 +154,15 @@ def _(t):
         F.when(~audio, X.transcript_html("source", "text")).alias("config"))
 
 
-@query("B9_normalize_name", r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS name FROM documents", spread=("documents",))
+# Ideographic, no-break and thin spaces around and inside a name.
+WIDE = "concat('\u3000\u00a0', replace(text, ' a', CASE WHEN doc_id % 2 = 0 THEN '\u2009 a' ELSE '\ufeffa' END), '\u00a0\n')"
+
+
+@query("B9_normalize_name", r"""
+WITH w AS (SELECT doc_id, replace(text, ' a', CASE WHEN doc_id % 2 = 0 THEN '  a' ELSE ' a' END) AS name FROM documents)
+SELECT doc_id, trim(regexp_replace(name, '\s+', ' ', 'g')) AS name FROM w""")
 def _(t):
-    return t.documents.select("doc_id", X.normalize_name("text").alias("name"))
+    return t.sql(f"SELECT doc_id, {WIDE} AS name FROM documents").select("doc_id", X.normalize_name("name").alias("name"))
 
 
 VOLUMES = """
@@ -180,16 +186,16 @@ def _(t):
 
 NUMBERS = """
 SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber % 8
-  WHEN 0 THEN ' ' || CAST(l_partkey AS STRING) || ' ' WHEN 1 THEN CAST(l_partkey AS STRING) || '.5' WHEN 2 THEN ''
+  WHEN 0 THEN ' ' || CAST(l_partkey AS STRING) || ' ' WHEN 1 THEN CAST(l_partkey AS STRING) || '.5' WHEN 2 THEN CASE WHEN l_orderkey % 2 = 0 THEN '' ELSE '0xFFFFFFFFFFFFFFFFFFFF ' END
   WHEN 3 THEN CAST(l_suppkey AS STRING) || 'e2' WHEN 4 THEN '0x1F' WHEN 5 THEN '1e999' WHEN 6 THEN '-' || CAST(l_suppkey AS STRING)
   ELSE CAST(l_suppkey AS STRING) || 'd' END AS raw FROM lineitem"""
 
 
 @query("B11_finite_number", f"""
-WITH n AS ({NUMBERS}), v AS (SELECT *, CASE l_linenumber % 8 WHEN 4 THEN 31.0 WHEN 5 THEN NULL WHEN 2 THEN NULL
+WITH n AS ({NUMBERS}), v AS (SELECT *, CASE l_linenumber % 8 WHEN 4 THEN 31.0 WHEN 5 THEN NULL WHEN 2 THEN CASE WHEN l_orderkey % 2 = 1 THEN 1208925819614629174706175.0::DOUBLE END
    WHEN 7 THEN NULL ELSE TRY_CAST(trim(raw) AS DOUBLE) END AS num FROM n)
 SELECT l_orderkey, l_linenumber, l_partkey, CAST(num AS DOUBLE) AS num,
-  CASE WHEN num > 0 AND num = floor(num) THEN CAST(num AS BIGINT) END AS pos_int FROM v""")
+  CASE WHEN num > 0 AND num = floor(num) THEN TRY_CAST(num AS BIGINT) END AS pos_int FROM v""")
 def _(t):
     return t.sql(NUMBERS).select(
         "l_orderkey", "l_linenumber", "l_partkey", X.finite_number("raw").alias("num"),
@@ -234,7 +240,7 @@ def _(t):
 SELECT o_orderkey, '$.links[0].note' AS path, '"n"' AS before, '"m"' AS after, 'changed' AS change FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL SELECT o_orderkey, '$.deep' || repeat('.inner', CAST(3 + o_orderkey % 28 AS INT)) || '.book_id', '"d"', '"e"', 'changed' FROM orders WHERE o_orderkey % 4 = 0
 UNION ALL SELECT o_orderkey, '$.target.inner.rank', '"' || o_orderpriority || '"', NULL, 'removed' FROM orders WHERE o_orderkey % 5 = 0
-UNION ALL SELECT o_orderkey, '$.target.inner.grade', NULL, '"' || o_orderpriority || '"', 'added' FROM orders WHERE o_orderkey % 5 = 0""", spread=("orders",))
+UNION ALL SELECT o_orderkey, '$.target.inner.grade', NULL, '"' || o_orderpriority || '"', 'added' FROM orders WHERE o_orderkey % 5 = 0""")
 def _(t):
     rename = """SELECT o_orderkey, try_parse_json(replace(replace(to_json(doc), '"rank"', CASE WHEN o_orderkey % 5 = 0 THEN '"grade"' ELSE '"rank"' END),
                 '"book_id":"d"', CASE WHEN o_orderkey % 4 = 0 THEN '"book_id":"e"' ELSE '"book_id":"d"' END)) AS doc FROM changed"""

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from auditflow.functions.layout import js_length
 from auditflow.operators import windows as W
 from auditflow.queries import query
 
@@ -39,10 +40,12 @@ def _(t):
 
 
 @query("E4_longest_per_group", """
-SELECT source, doc_id, n FROM (SELECT source, doc_id, length(text) AS n, row_number() OVER (PARTITION BY source ORDER BY length(text) DESC, doc_id) AS rn FROM documents) WHERE rn = 1""")
+WITH u AS (SELECT source, doc_id, length(text) + CASE WHEN doc_id % 3 = 0 THEN 2 * (doc_id % 500) ELSE 0 END AS n FROM documents)
+SELECT source, doc_id, n FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, doc_id) AS rn FROM u) WHERE rn = 1""")
 def _(t):
-    return W.longest_per_group(t.documents.select("source", "doc_id", "text"), ["source"], "text", "doc_id").select(
-        "source", "doc_id", F.length("text").alias("n"))
+    # Signs outside the basic plane count as two units.
+    texts = t.sql("SELECT source, doc_id, concat(text, CASE WHEN doc_id % 3 = 0 THEN repeat('\U0001F600', CAST(doc_id % 500 AS INT)) ELSE '' END) AS text FROM documents")
+    return W.longest_per_group(texts, ["source"], "text", "doc_id").select("source", "doc_id", js_length("text").cast("bigint").alias("n"))
 
 
 @query("E5_first_k", """
@@ -71,10 +74,10 @@ def _(t):
 
 
 @query("E8_first_wins", """
-WITH i AS (SELECT l_orderkey*1000000 + l_suppkey*10 + l_linenumber AS item, l_partkey, l_suppkey FROM lineitem)
+WITH i AS (SELECT l_orderkey*1000000 + l_suppkey*10 + l_linenumber AS item, nullif(l_partkey, l_partkey // 7 * 7) AS l_partkey, l_suppkey FROM lineitem)
 SELECT item, l_partkey, l_suppkey, min(item) OVER (PARTITION BY l_partkey, l_suppkey) AS winner, item <> min(item) OVER (PARTITION BY l_partkey, l_suppkey) AS conflict FROM i""")
 def _(t):
-    items = t.lineitem.selectExpr("l_orderkey*1000000 + l_suppkey*10 + l_linenumber AS item", "l_partkey", "l_suppkey")
+    items = t.lineitem.selectExpr("l_orderkey*1000000 + l_suppkey*10 + l_linenumber AS item", "CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END AS l_partkey", "l_suppkey")
     return W.first_wins(items, ["l_partkey", "l_suppkey"], "item", [F.col("item")])
 
 

@@ -176,6 +176,23 @@ def test_numbers(spark):
     assert [r[0] for r in df.select(text.finite_number("s")).collect()] == list(cases.values())
 
 
+def test_long_numbers_and_wide_blanks(spark):
+    cases = {"0x" + "F" * 20: float(int("F" * 20, 16)), "0b" + "10" * 35 + "1": float(int("10" * 35 + "1", 2)), "\u3000\t7\n\u00a0": 7.0,
+             "0o" + "7" * 30: float(int("7" * 30, 8)), "0x" + "0" * 50 + "1F": 31.0, "0x20000000000001" + "0" * 9 + "1": float(int("20000000000001" + "0" * 9 + "1", 16)), "0x" + "F" * 400: None, "0x0": 0.0}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    assert [r[0] for r in df.select(text.finite_number("s")).collect()] == list(cases.values())
+    names = spark.createDataFrame([("\u3000a\u00a0\u2009 b\ufeff",)], "s string")
+    assert names.select(text.normalize_name("s"), text.compact_text("s"), text.html_lines(F.concat("s", F.lit("<br>\u3000")))).first() == ("a b", "ab", ["a b"])
+
+
+def test_broken_captures_leave_a_trace(spark):
+    rows_in = [(1, "2024-01-01", "old", '{"snapshot":{}}'), (1, "2024-01-02", "broken", None), (2, None, "timeless", '{"snapshot":{}}'), (2, "2024-01-01", "timed", '{"snapshot":{}}'), (3, "2024-01-01", "lost", None)]
+    caps = spark.createDataFrame(rows_in, "catalog_id bigint, captured_at string, path string, raw string").withColumn("doc", F.try_parse_json("raw"))
+    assert rows(pipelines.latest_captures(caps).select("catalog_id", "path")) == [(1, "old"), (2, "timed")]
+    wanted = spark.createDataFrame([(1,), (2,), (3,), (4,)], "catalog_id bigint")
+    assert rows(matching.missing(wanted, caps.where("doc IS NOT NULL"), ["catalog_id"]).select("catalog_id")) == [(3,), (4,)]
+
+
 def test_trees_of_any_depth(spark):
     def nested(n):
         return '[{"name":"x","child_list":' * n + '[]' + "}]" * n
