@@ -17,10 +17,13 @@ TABLES = (
 
 VIEWS: dict[str, str] = {
     "fx_page": """
-SELECT p_partkey AS page, CAST(600 + 10*p_size AS DOUBLE) AS width,
-       CAST(800 + 10*p_size AS DOUBLE) AS height FROM part""",
+SELECT 'book-' || CAST(f AS STRING) AS path, p_partkey + 1000000*again AS pos, p_partkey AS page, CAST(600 + 10*p_size + 20*f + 5*again AS DOUBLE) AS width,
+       CAST(800 + 10*p_size AS DOUBLE) AS height
+FROM part CROSS JOIN (SELECT 0 AS f, 0 AS again UNION ALL SELECT 1, 0 UNION ALL SELECT 2, 0 UNION ALL SELECT 2, -1) AS files
+WHERE again = 0 OR p_partkey % 50 = 1""",
     "fx_annotation": """
-SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id,
+SELECT 'book-' || CAST(l_orderkey % 3 AS STRING) AS path,
+       CAST(CAST(floor(l_orderkey / 3) AS BIGINT) AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id,
        l_orderkey*1000000 + l_suppkey*10 + l_linenumber AS pos,
        CASE l_returnflag WHEN 'A' THEN 'audio' WHEN 'R' THEN 'transcript' ELSE 'other' END AS type,
        l_partkey AS page, l_quantity*20 AS x, l_quantity*10 AS y,
@@ -30,9 +33,11 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id,
        CASE WHEN l_linestatus = 'F' THEN 'line' ELSE '' END AS text
 FROM lineitem""",
     "fx_media": """
-SELECT CAST(s_suppkey AS STRING) || '.mp3' AS basename,
+SELECT 'media/' || CAST(s_suppkey AS STRING) || '.mp3' AS path, CAST(s_suppkey AS STRING) || '.mp3' AS basename,
        CAST(round(10000 * abs(s_acctbal)) AS BIGINT) AS length
-FROM supplier WHERE s_suppkey % 3 <> 0""",
+FROM supplier WHERE s_suppkey % 3 <> 0
+UNION ALL SELECT 'other/' || CAST(s_suppkey AS STRING) || '.mp3', CAST(s_suppkey AS STRING) || '.mp3', 7
+FROM supplier WHERE s_suppkey % 10 = 1""",
     "fx_snapshot": """
 SELECT event_type AS book_id, user_id AS catalog_id, ts AS captured_at, event_id AS pos, props AS doc
 FROM events""",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auditflow.functions.text import trim_blanks
 from auditflow.operators import ranges
 from auditflow.operators.checks import explode_rules
+from auditflow.operators.matching import relative_path
 from auditflow.sources.scans import MEDIA_LIMIT
 
+# Fixed value: width of the canvas in pixels.
 CANVAS_WIDTH = 794.0
 # Component ids of the audio and the transcript button.
 COMPONENTS = {"audio": 265, "transcript": 506}
@@ -16,20 +19,20 @@ POSITION_TOLERANCE = 0.5
 
 
 def unique_pages(pages: DataFrame) -> DataFrame:
-    """One usable descriptor per page number; the widest wins if a list repeats a page."""
+    """One usable descriptor per file and page number; the last one of the file's list counts."""
     usable = pages.where("page > 0 AND width > 0 AND height > 0")
-    return ranges.pick_last(usable, ["page"], [F.col("width"), F.col("height")], ["width", "height"])
+    return ranges.pick_last(usable, ["path", "page"], [F.col("pos")], ["width", "height"])
 
 
 def scale_annotations(ann: DataFrame, pages: DataFrame, canvas_width: float = CANVAS_WIDTH) -> DataFrame:
-    """Annotation boxes in canvas pixels; rows without a page keep nulls.
+    """Annotation boxes in canvas pixels; rows without a page in their own file keep nulls.
 
     The page side is unique per key, so a page with very many annotations is a
     skewed probe side that adaptive execution can split.
     """
     sides = unique_pages(pages).select(
-        F.col("page").alias("_page"), F.col("width").alias("page_width"), F.col("height").alias("page_height"))
-    joined = ann.join(sides, F.col("page") == F.col("_page"), "left").drop("_page")
+        F.col("path").alias("_path"), F.col("page").alias("_page"), F.col("width").alias("page_width"), F.col("height").alias("page_height"))
+    joined = ann.join(sides, (F.col("path") == F.col("_path")) & (F.col("page") == F.col("_page")), "left").drop("_path", "_page")
     scale = F.lit(float(canvas_width)) / F.col("page_width")
     out = joined.withColumn("scale", scale)
     return out.withColumns({
@@ -48,54 +51,69 @@ def out_of_bounds(scaled: DataFrame) -> Column:
     return F.coalesce(beyond, F.lit(False))
 
 
-def resolve_media(ann: DataFrame, files: DataFrame, limit: int = MEDIA_LIMIT) -> DataFrame:
-    """Audio files by base name, with ``media_status`` ok, missing or too_large."""
-    sizes = files.groupBy(F.col("basename").alias("_base")).agg(F.max("length").alias("audio_size"))
-    base = F.when(F.col("type") == "audio", F.regexp_extract("audio_path", r"[^/\\]+$", 0))
-    joined = ann.withColumn("_b", base).join(sizes, F.col("_b") == F.col("_base"), "left")
+def resolve_media(ann: DataFrame, files: DataFrame, limit: int = MEDIA_LIMIT, relative: bool = False) -> DataFrame:
+    """Size and ``media_status`` of audio files: ok, missing, too_large or ambiguous.
+
+    Files are found by base name in the inventory, where equal names in several folders
+    are ambiguous, or with ``relative`` by their path as seen from the annotation file.
+    """
+    plain = F.array_join(F.filter(F.split("path", "/"), lambda s: ~s.isin("", ".")), "/")
+    sizes = files.groupBy((plain if relative else F.col("basename")).alias("_base")).agg(F.max("length").alias("audio_size"), F.count_distinct("path").alias("_places"))
+    folder = F.regexp_replace("path", r"[^/\\]*$", "")
+    wanted = relative_path(folder, F.col("audio_path")) if relative else F.regexp_extract("audio_path", r"[^/\\]+$", 0)
+    joined = ann.withColumn("_b", F.when(F.col("type") == "audio", wanted)).join(sizes, F.col("_b") == F.col("_base"), "left")
     status = (
         F.when(F.col("type") != "audio", None)
         .when(F.col("audio_size").isNull(), "missing")
+        .when(F.col("_places") > 1, "ambiguous")
         .when(F.col("audio_size") > limit, "too_large").otherwise("ok")
     )
-    return joined.withColumn("media_status", status).drop("_b", "_base")
+    return joined.withColumn("media_status", status).drop("_b", "_base", "_places")
 
 
-def duplicate_ids(ann: DataFrame) -> DataFrame:
-    return ann.groupBy("id").agg(F.count("*").alias("n_id"), F.min("pos").alias("first_pos"))
+def judged_annotations(ann: DataFrame, pages: DataFrame, files: DataFrame, relative: bool = False) -> DataFrame:
+    """Scaled annotations with their media and the first place of their id in the file."""
+    rows = resolve_media(scale_annotations(ann, pages), files, relative=relative)
+    return rows.withColumn("first_pos", F.min("pos").over(Window.partitionBy("path", "id")))
 
 
-def validate_annotations(ann: DataFrame, pages: DataFrame, files: DataFrame) -> DataFrame:
-    """Violations of annotations and of page descriptors."""
-    rows = resolve_media(scale_annotations(ann, pages), files)
-    counted = duplicate_ids(ann).where("n_id > 1").select(F.col("id").alias("_id"), "first_pos")
-    rows = rows.join(counted, F.col("id") == F.col("_id"), "left")
+def annotation_violations(rows: DataFrame) -> DataFrame:
+    """Violations of judged annotations; entities are named ``file#id``."""
     geometry_ok = (F.col("x") >= 0) & (F.col("y") >= 0) & (F.col("width") > 0) & (F.col("height") > 0)
     transcript = F.col("type") == "transcript"
-    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
-    entity = F.coalesce(F.nullif(F.col("id"), F.lit("")), F.concat(F.lit("annotations["), F.col("pos").cast("string"), F.lit("]")))
-    found = explode_rules(rows.withColumn("entity_id", entity), [
+    blank = lambda c: trim_blanks(F.coalesce(F.col(c), F.lit(""))) == ""
+    own = F.coalesce(F.nullif(F.col("id"), F.lit("")), F.concat(F.lit("annotations["), F.col("pos").cast("string"), F.lit("]")))
+    return explode_rules(rows.withColumn("entity_id", F.concat("path", F.lit("#"), own)), [
         ("id_missing", "error", blank("id")),
-        ("id_duplicate", "error", F.col("pos") > F.col("first_pos")),
+        ("id_duplicate", "error", ~blank("id") & (F.col("pos") > F.col("first_pos"))),
         ("type_invalid", "error", ~F.coalesce(F.col("type").isin(list(COMPONENTS)), F.lit(False))),
         ("page_missing", "error", F.col("scale").isNull()),
         ("geometry_invalid", "error", ~F.coalesce(geometry_ok, F.lit(False))),
         ("box_out_of_bounds", "warning", out_of_bounds(rows)),
         ("audio_path_missing", "error", (F.col("type") == "audio") & blank("audio_path")),
         ("audio_file_missing", "error", ~blank("audio_path") & (F.col("media_status") == "missing")),
+        ("audio_file_ambiguous", "error", F.col("media_status") == "ambiguous"),
         ("audio_file_too_large", "error", F.col("media_status") == "too_large"),
         ("question_missing", "error", transcript & blank("question")),
         ("text_missing", "error", transcript & blank("text")),
     ])
+
+
+def page_violations(pages: DataFrame) -> DataFrame:
+    """Violations of page descriptors; entities are named ``file#page n``."""
     bad_page = ~F.coalesce((F.col("page") > 0) & (F.col("width") > 0) & (F.col("height") > 0), F.lit(False))
-    page_rows = pages.groupBy("page").agg(
+    page_rows = pages.groupBy("path", "page").agg(
         F.count("*").alias("n"), F.max(bad_page.cast("int")).alias("bad")
-    ).withColumn("entity_id", F.concat(F.lit("page "), F.coalesce(F.col("page").cast("string"), F.lit("?"))))
-    page_found = explode_rules(page_rows, [
+    ).withColumn("entity_id", F.concat("path", F.lit("#page "), F.coalesce(F.col("page").cast("string"), F.lit("?"))))
+    return explode_rules(page_rows, [
         ("page_descriptor_invalid", "error", F.col("bad") == 1),
         ("page_descriptor_duplicate", "error", F.col("n") > 1),
     ])
-    return found.unionByName(page_found)
+
+
+def validate_annotations(ann: DataFrame, pages: DataFrame, files: DataFrame, relative: bool = False) -> DataFrame:
+    """Violations of annotations and of page descriptors, file by file."""
+    return annotation_violations(judged_annotations(ann, pages, files, relative)).unionByName(page_violations(pages))
 
 
 def match_existing(planned: DataFrame, existing: DataFrame, tol: float = POSITION_TOLERANCE) -> DataFrame:

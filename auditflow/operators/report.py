@@ -15,10 +15,13 @@ ALL_STATES = NORMAL_STATES + EXCEPTION_STATES
 
 
 def annotation_summary(placed: DataFrame, found: DataFrame) -> DataFrame:
-    """One row over the planned annotations; valid iff there is no error row."""
+    """One row over the planned annotations; valid iff there is no error row.
+
+    A page is a page of a file.
+    """
     audio = F.col("type") == "audio"
     counts = placed.agg(
-        F.count("*").alias("annotation_count"), F.count_distinct("page").alias("affected_page_count"),
+        F.count("*").alias("annotation_count"), F.count_distinct("path", "page").alias("affected_page_count"),
         F.min("page").alias("first_page"), F.max("page").alias("last_page"),
         F.count(F.when(audio, 1)).alias("audio_count"),
         F.count(F.when(F.col("type") == "transcript", 1)).alias("transcript_count"),
@@ -31,12 +34,12 @@ def annotation_summary(placed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def affected_pages(placed: DataFrame) -> DataFrame:
-    return placed.select("page").distinct().orderBy("page")
+    return placed.select("path", "page").distinct().orderBy("path", "page")
 
 
 def plan_by_page(placed: DataFrame, size: int = 1000) -> DataFrame:
-    """Annotations of each page in input order, in segments of bounded length."""
-    head = ["page", "page_width", "page_height", "scale"]
+    """Annotations of each page of a file in input order, in segments of bounded length."""
+    head = ["path", "page", "page_width", "page_height", "scale"]
     item = F.struct("id", "pos", "type", "left_px", "top_px", "width_px", "height_px")
     out = ranges.segments(placed, head, ["pos"], item, "annotations", size)
     return out.withColumn("canvas_height", F.col("page_height") * F.col("scale"))

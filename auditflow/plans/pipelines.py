@@ -13,6 +13,7 @@ from auditflow.functions.layout import js_length
 from auditflow.operators import annotations, extract, ledger, matching, ranges, receipts, report, targets, windows
 from auditflow.operators.checks import valid_entities
 from auditflow.operators.tree import collect_named_values, flatten_tree
+from auditflow.session import checkpointed
 
 
 class AnnotationPlan(NamedTuple):
@@ -26,7 +27,7 @@ def annotation_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     page = F.posexplode(F.try_variant_get("doc", "$.pdf.pages", "array<variant>")).alias("pos", "v")
     get = lambda k: F.try_variant_get("v", f"$.{k}", "string")
     pages = docs.select("path", page).select(
-        "path", X.positive_integer(get("page")).alias("page"), X.finite_number(get("width")).alias("width"), X.finite_number(get("height")).alias("height"))
+        "path", F.col("pos").cast("bigint").alias("pos"), X.positive_integer(get("page")).alias("page"), X.finite_number(get("width")).alias("width"), X.finite_number(get("height")).alias("height"))
     item = F.posexplode(F.try_variant_get("doc", "$.annotations", "array<variant>")).alias("pos", "v")
     ann = docs.select("path", item).select(
         "path", get("id").alias("id"), F.col("pos").cast("bigint").alias("pos"), get("type").alias("type"), X.positive_integer(get("page")).alias("page"),
@@ -35,10 +36,14 @@ def annotation_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pages, ann
 
 
-def annotation_import_plan(ann: DataFrame, pages: DataFrame, media: DataFrame, size: int = 1000) -> AnnotationPlan:
-    """Validated placement of annotations on a canvas, page by page."""
-    placed = annotations.placed(annotations.scale_annotations(ann, pages))
-    found = annotations.validate_annotations(ann, pages, media)
+def annotation_import_plan(ann: DataFrame, pages: DataFrame, media: DataFrame, size: int = 1000, relative: bool = False) -> AnnotationPlan:
+    """Validated placement of the annotations of any number of files, page by page.
+
+    Scaled and judged rows are made once; placement, summary and violations start from them.
+    """
+    rows = checkpointed(annotations.judged_annotations(ann, pages, media, relative))
+    placed = annotations.placed(rows)
+    found = annotations.annotation_violations(rows).unionByName(annotations.page_violations(pages))
     return AnnotationPlan(report.plan_by_page(placed, size), report.annotation_summary(placed, found), found)
 
 

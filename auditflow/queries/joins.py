@@ -6,22 +6,23 @@ from auditflow.operators import annotations as A
 from auditflow.operators import matching as M
 from auditflow.operators import ranges
 from auditflow.queries import query
+from auditflow.queries.reports import LAST_PAGE, MEDIA
 
 
-@query("C1_scale_annotations", """
-SELECT a.id, a.pos, a.page, 794.0/p.width AS scale, a.x*(794.0/p.width) AS left_px, a.y*(794.0/p.width) AS top_px,
-  a.width*(794.0/p.width) AS width_px FROM fx_annotation a LEFT JOIN (SELECT * FROM fx_page WHERE page % 10 <> 0) p ON a.page = p.page""")
+@query("C1_scale_annotations", f"""
+SELECT a.path, a.id, a.pos, a.page, 794.0/p.width AS scale, a.x*(794.0/p.width) AS left_px, a.y*(794.0/p.width) AS top_px,
+  a.width*(794.0/p.width) AS width_px FROM fx_annotation a LEFT JOIN (SELECT * FROM {LAST_PAGE} WHERE page % 10 <> 0) p ON a.path = p.path AND a.page = p.page""")
 def _(t):
     out = A.scale_annotations(t.fx_annotation, t.fx_page.where("page % 10 <> 0"))
-    return out.select("id", "pos", "page", "scale", "left_px", "top_px", "width_px")
+    return out.select("path", "id", "pos", "page", "scale", "left_px", "top_px", "width_px")
 
 
-@query("C2_resolve_media", """
-SELECT id, pos, m.length AS audio_size, CASE WHEN type <> 'audio' THEN NULL WHEN m.length IS NULL THEN 'missing'
+@query("C2_resolve_media", f"""
+SELECT path, id, pos, m.length AS audio_size, CASE WHEN type <> 'audio' THEN NULL WHEN m.length IS NULL THEN 'missing' WHEN places > 1 THEN 'ambiguous'
   WHEN m.length > 73400320 THEN 'too_large' ELSE 'ok' END AS media_status
-FROM fx_annotation LEFT JOIN fx_media m ON type = 'audio' AND regexp_extract(audio_path, '[^/]+$') = m.basename""")
+FROM fx_annotation LEFT JOIN {MEDIA} m ON type = 'audio' AND regexp_extract(audio_path, '[^/]+$') = m.basename""")
 def _(t):
-    return A.resolve_media(t.fx_annotation, t.fx_media).select("id", "pos", "audio_size", "media_status")
+    return A.resolve_media(t.fx_annotation, t.fx_media).select("path", "id", "pos", "audio_size", "media_status")
 
 
 @query("C3_module_names", """

@@ -15,13 +15,13 @@ from auditflow.sources.scans import with_document
 
 
 @query("L1_annotation_import_plan", f"""
-WITH {SCALED}, {FOUND}, n AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY pos, id) AS n FROM sc), e AS (SELECT entity_id, count(*) FILTER (WHERE rule_code <> 'box_out_of_bounds') AS errors, count(*) AS problems FROM found GROUP BY 1)
-SELECT page, CAST((n - 1) // 32 AS BIGINT) AS segment, count(*) AS n_items, round(min(ph * scale), 6) AS canvas_height, round(sum(x * scale), 3) AS left_sum, round(sum(y * scale), 3) AS top_sum,
-  (SELECT count(*) FROM found WHERE rule_code <> 'box_out_of_bounds') AS error_count FROM n GROUP BY 1, 2""")
+WITH {SCALED}, {FOUND}, n AS (SELECT *, row_number() OVER (PARTITION BY path, page ORDER BY pos, id) AS n FROM sc), e AS (SELECT entity_id, count(*) FILTER (WHERE rule_code <> 'box_out_of_bounds') AS errors, count(*) AS problems FROM found GROUP BY 1)
+SELECT path, page, CAST((n - 1) // 32 AS BIGINT) AS segment, count(*) AS n_items, round(min(ph * scale), 6) AS canvas_height, round(sum(x * scale), 3) AS left_sum, round(sum(y * scale), 3) AS top_sum,
+  (SELECT count(*) FROM found WHERE rule_code <> 'box_out_of_bounds') AS error_count FROM n GROUP BY 1, 2, 3""")
 def _(t):
     plan = L.annotation_import_plan(t.fx_annotation, t.fx_page, t.fx_media, size=32)
     rows = plan.pages.select(
-        "page", "segment", "n_items", F.round("canvas_height", 6).alias("canvas_height"),
+        "path", "page", "segment", "n_items", F.round("canvas_height", 6).alias("canvas_height"),
         F.round(F.aggregate("annotations.left_px", F.lit(0.0), lambda a, v: a + v), 3).alias("left_sum"),
         F.round(F.aggregate("annotations.top_px", F.lit(0.0), lambda a, v: a + v), 3).alias("top_sum"))
     return rows.crossJoin(F.broadcast(plan.summary.select("error_count")))

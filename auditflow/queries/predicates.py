@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from auditflow.operators import annotations as A
 from auditflow.operators import checks as K
 from auditflow.queries import query
+from auditflow.queries.reports import LAST_PAGE
 
 MSG = "entity_id, rule_code, severity, message"
 
@@ -63,9 +64,9 @@ def _(t):
     return K.check_required(df, "doc_id", F.col("quality") == 1, "resolution")
 
 
-@query("P6_out_of_bounds", """
-SELECT a.id, a.pos, a.page FROM fx_annotation a JOIN fx_page p ON a.page = p.page AND p.page > 0
+@query("P6_out_of_bounds", f"""
+SELECT a.path, a.id, a.pos, a.page FROM fx_annotation a JOIN {LAST_PAGE} p ON a.path = p.path AND a.page = p.page
 WHERE a.x + a.width > p.width OR a.y + a.height > p.height""")
 def _(t):
     scaled = A.scale_annotations(t.fx_annotation, t.fx_page)
-    return scaled.where(A.out_of_bounds(scaled)).select("id", "pos", "page")
+    return scaled.where(A.out_of_bounds(scaled)).select("path", "id", "pos", "page")

@@ -6,25 +6,29 @@ from auditflow.operators import annotations as A
 from auditflow.operators import report as R
 from auditflow.queries import query
 
-SCALED = """
-sc AS (SELECT a.*, p.width AS pw, p.height AS ph, 794.0/p.width AS scale FROM fx_annotation a JOIN fx_page p ON a.page = p.page AND p.page > 0)"""
+# The last descriptor of a page counts, and base names may occur in several folders.
+LAST_PAGE = "(SELECT path, page, arg_max(width, pos) AS width, arg_max(height, pos) AS height FROM fx_page WHERE page > 0 GROUP BY path, page)"
+MEDIA = "(SELECT basename, max(length) AS length, count(*) AS places FROM fx_media GROUP BY basename)"
+SCALED = f"""
+sc AS (SELECT a.*, p.width AS pw, p.height AS ph, 794.0/p.width AS scale FROM fx_annotation a JOIN {LAST_PAGE} p ON a.path = p.path AND a.page = p.page)"""
 # Violations of annotations in the text of the oracle; V1 and L1 use it too.
-FOUND = """
-ids AS (SELECT id, min(pos) AS first_pos FROM fx_annotation GROUP BY id),
-au AS (SELECT a.*, p.width AS pw, p.height AS ph, m.length AS size, ids.first_pos FROM fx_annotation a JOIN ids USING (id)
-  LEFT JOIN fx_page p ON a.page = p.page AND p.page > 0 LEFT JOIN fx_media m ON a.type = 'audio' AND regexp_extract(a.audio_path, '[^/]+$') = m.basename),
-found AS (SELECT * FROM (SELECT id AS entity_id, pos, unnest([
+FOUND = f"""
+ids AS (SELECT path, id, min(pos) AS first_pos FROM fx_annotation GROUP BY path, id),
+au AS (SELECT a.*, p.width AS pw, p.height AS ph, m.length AS size, m.places, ids.first_pos FROM fx_annotation a JOIN ids USING (path, id)
+  LEFT JOIN {LAST_PAGE} p ON a.path = p.path AND a.page = p.page LEFT JOIN {MEDIA} m ON a.type = 'audio' AND regexp_extract(a.audio_path, '[^/]+$') = m.basename),
+found AS (SELECT * FROM (SELECT path || '#' || id AS entity_id, pos, unnest([
   CASE WHEN pos > first_pos THEN 'id_duplicate' END, CASE WHEN type NOT IN ('audio', 'transcript') THEN 'type_invalid' END,
   CASE WHEN pw IS NULL THEN 'page_missing' END, CASE WHEN x + width > pw OR y + height > ph THEN 'box_out_of_bounds' END,
-  CASE WHEN type = 'audio' AND size IS NULL THEN 'audio_file_missing' END, CASE WHEN type = 'audio' AND size > 73400320 THEN 'audio_file_too_large' END,
+  CASE WHEN type = 'audio' AND size IS NULL THEN 'audio_file_missing' END, CASE WHEN type = 'audio' AND places = 1 AND size > 73400320 THEN 'audio_file_too_large' END, CASE WHEN type = 'audio' AND places > 1 THEN 'audio_file_ambiguous' END,
   CASE WHEN type = 'transcript' AND trim(question) = '' THEN 'question_missing' END, CASE WHEN type = 'transcript' AND trim(text) = '' THEN 'text_missing' END
   ]) AS rule_code FROM au) WHERE rule_code IS NOT NULL
-  UNION ALL SELECT 'page ' || CAST(page AS STRING), NULL, 'page_descriptor_invalid' FROM fx_page WHERE page <= 0)"""
+  UNION ALL SELECT path || '#page ' || CAST(page AS STRING), NULL, 'page_descriptor_invalid' FROM fx_page WHERE page <= 0 GROUP BY path, page
+  UNION ALL SELECT path || '#page ' || CAST(page AS STRING), NULL, 'page_descriptor_duplicate' FROM fx_page GROUP BY path, page HAVING count(*) > 1)"""
 
 
 @query("D1_annotation_summary", f"""
 WITH {SCALED}, {FOUND}
-SELECT count(*) AS annotation_count, count(DISTINCT page) AS affected_page_count, min(page) AS first_page, max(page) AS last_page,
+SELECT count(*) AS annotation_count, count(DISTINCT path || '#' || CAST(page AS STRING)) AS affected_page_count, min(page) AS first_page, max(page) AS last_page,
  count(*) FILTER (WHERE type = 'audio') AS audio_count, count(*) FILTER (WHERE type = 'transcript') AS transcript_count,
  count(DISTINCT lower(audio_path)) FILTER (WHERE type = 'audio') AS unique_audio_file_count,
  (SELECT count(*) FROM found WHERE rule_code <> 'box_out_of_bounds') AS error_count, (SELECT count(*) FROM found WHERE rule_code = 'box_out_of_bounds') AS warning_count,
@@ -36,12 +40,12 @@ def _(t):
 
 
 @query("D2_plan_by_page", f"""
-WITH {SCALED}, n AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY pos, id) AS n FROM sc)
-SELECT page, CAST((n - 1) // 16 AS BIGINT) AS segment, round(min(scale), 9) AS scale, round(min(ph * scale), 6) AS canvas_height, count(*) AS n_items,
-  string_agg(CAST(pos AS STRING), ',' ORDER BY n) AS positions FROM n GROUP BY 1, 2""")
+WITH {SCALED}, n AS (SELECT *, row_number() OVER (PARTITION BY path, page ORDER BY pos, id) AS n FROM sc)
+SELECT path, page, CAST((n - 1) // 16 AS BIGINT) AS segment, round(min(scale), 9) AS scale, round(min(ph * scale), 6) AS canvas_height, count(*) AS n_items,
+  string_agg(CAST(pos AS STRING), ',' ORDER BY n) AS positions FROM n GROUP BY 1, 2, 3""")
 def _(t):
     plan = R.plan_by_page(A.placed(A.scale_annotations(t.fx_annotation, t.fx_page)), size=16)
-    return plan.select("page", "segment", F.round("scale", 9).alias("scale"), F.round("canvas_height", 6).alias("canvas_height"),
+    return plan.select("path", "page", "segment", F.round("scale", 9).alias("scale"), F.round("canvas_height", 6).alias("canvas_height"),
                        "n_items", F.array_join(F.col("annotations.pos").cast("array<string>"), ",").alias("positions"))
 
 

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from auditflow.functions import canon, layout, text
-from auditflow.operators import extract, fold, ledger, matching, ranges, receipts, rulepacks, tree, windows
+from auditflow.operators import annotations, extract, fold, ledger, matching, ranges, receipts, rulepacks, tree, windows
 from auditflow.plans import pipelines
 from auditflow.sources import scans
 
@@ -366,9 +366,20 @@ def test_annotation_files(spark, tmp_path):
         "pdf": {"pages": [{"page": 1, "width": 397, "height": 500}]},
         "annotations": [{"id": "x", "type": "audio", "page": 1, "x": 10, "y": 20, "width": 5, "height": 5, "audio_path": "m/s.mp3"},
                         {"id": "x", "type": "transcript", "page": 2, "x": "q", "y": 1, "width": 1, "height": 1, "question": "", "text": "t"}]}))
+    (tmp_path / "b.json").write_text(json.dumps({
+        "pdf": {"pages": [{"page": 1, "width": 9000, "height": 500}, {"page": 1, "width": 794, "height": 500}]},
+        "annotations": [{"id": "x", "type": "audio", "page": 1, "x": 10, "y": 20, "width": 5, "height": 5, "audio_path": "../m/s.mp3"}]}))
     pages, ann = pipelines.annotation_tables(scans.scan_json(spark, str(tmp_path)))
-    media = spark.createDataFrame([("s.mp3", 80 * 1024 * 1024)], "basename string, length bigint")
-    plan = pipelines.annotation_import_plan(ann.drop("path"), pages.drop("path"), media)
+    media = spark.createDataFrame([("m/s.mp3", "s.mp3", 80 * 1024 * 1024)], "path string, basename string, length bigint")
+    own = lambda df, name: df.where(F.col("path").endswith(name))
+    both = pipelines.annotation_import_plan(ann, pages, media)
+    assert [(r.path[-6:], r.scale) for r in both.pages.orderBy("path").collect()] == [("a.json", 2.0), ("b.json", 1.0)]
+    assert sorted(r.rule_code for r in own(both.violations.withColumnRenamed("entity_id", "path"), "b.json#x").collect()) == ["audio_file_too_large"]
+    around = spark.createDataFrame([("x/m/s.mp3", "s.mp3", 5), ("y/m/s.mp3", "s.mp3", 6)], media.schema)
+    placed_at = own(ann, "b.json").withColumn("path", F.lit("x/json/b.json"))
+    found = [annotations.resolve_media(placed_at, around, relative=r).first() for r in (True, False)]
+    assert [(r.audio_size, r.media_status) for r in found] == [(5, "ok"), (6, "ambiguous")]
+    plan = pipelines.annotation_import_plan(own(ann, "a.json"), own(pages, "a.json"), media)
     page = plan.pages.first()
     assert (page.scale, page.canvas_height, page.annotations[0].left_px) == (2.0, 1000.0, 20.0)
     assert sorted((r.rule_code) for r in plan.violations.collect()) == [
