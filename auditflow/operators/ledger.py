@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from auditflow.operators import ranges
 from auditflow.operators.checks import explode_rules
 from auditflow.operators.fold import Machine, fold_events
 from auditflow.operators.report import ALL_STATES, EXCEPTION_STATES
+from auditflow.operators.graph import connected_components
 from auditflow.session import checkpointed
 
 # The states that may follow each state.
@@ -99,6 +101,7 @@ def ledger_states(decisions: DataFrame, order: list[str]) -> DataFrame:
         F.count(F.when(~F.col("accepted"), 1)).alias("n_rejected"))
 
 
+# States of an owned and of an open claim.
 OWNED = ["planned", "preflighted", "apply_authorized"]
 OPEN_STATUSES = OWNED + ["applied", "saved", "needs_review", "conflict", "failed", "outcome_unknown"]
 
@@ -219,25 +222,57 @@ def lease_owners(decisions: DataFrame, order: list[str]) -> DataFrame:
         F.nullif(F.substring_index("s", "|", -1), F.lit("")).alias("nonce"), "n_rejected")
 
 
-def identity_bindings(events: DataFrame, order: str = "seq", max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+#: Names that an identity event binds to each other, in both directions.
+BINDINGS = [("prospective", "lock_key"), ("lock_key", "prospective"), ("prospective", "real_book"), ("real_book", "prospective")]
+#: As long as a round settles this share of what is left, another round follows.
+ROUND_SHARE = 0.25
+
+
+def _bind_in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rows of one group that no earlier kept row contradicts."""
+    bound: list[dict] = [{} for _ in BINDINGS]
+    rows = rows.sort_values("at")
+    kept = []
+    for row in rows[["prospective", "lock_key", "real_book"]].to_dict("records"):
+        pairs = [(owner, row[a], row[b]) for owner, (a, b) in zip(bound, BINDINGS, strict=True) if row[a] is not None and row[b] is not None]
+        kept.append(all(owner.get(a, b) == b for owner, a, b in pairs))
+        if kept[-1]:
+            for owner, a, b in pairs:
+                owner[a] = b
+    return rows.loc[kept, ["prospective", "lock_key", "real_book", "at"]]
+
+
+def _bind_by_group(left: DataFrame) -> DataFrame:
+    """Settle rows that wait for each other: names that are connected form a group, and a group is taken in order."""
+    name = lambda c: F.xxhash64(F.lit(c), F.col(c))
+    ends = left.select(*[F.when(F.col(c).isNotNull(), name(c)).alias(c) for c in ("prospective", "lock_key", "real_book")])
+    edges = ends.select("prospective", F.col("lock_key").alias("other")).union(ends.select("prospective", "real_book"))
+    groups = connected_components(edges, "prospective", "other")
+    rows = left.withColumn("node", F.coalesce(F.when(F.col("prospective").isNotNull(), name("prospective")), F.lit(0).cast("bigint")))
+    rows = rows.join(groups, "node", "left").withColumn("grp", F.coalesce("component", "node"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in left.schema)
+    return rows.select("grp", *left.columns).groupBy("grp").applyInPandas(_bind_in_order, kinds)
+
+
+def identity_bindings(events: DataFrame, order: str = "seq") -> tuple[DataFrame, DataFrame]:
     """Bindings prospective ↔ lock ↔ real book, one to one, first come first kept.
 
     Each round keeps every pair that is first in all its directions and drops pairs
-    that clash with a kept one; what is left goes into the next round.  The result
-    equals taking the events one by one.
+    that clash with a kept one; what is left goes into the next round.  Once rounds
+    settle little, the rest are chains in which each event waits for the one before,
+    and every connected group of names is taken in order, groups side by side.  The
+    result equals taking the events one by one.
     """
     legal = F.coalesce(F.col("state").isin("pending", "planned"), F.lit(False))
     late = events.where(~legal)
     columns = ["prospective", "lock_key", "real_book"]
     left = checkpointed(events.where(legal).groupBy(*columns).agg(F.min(order).alias("at")))
     kept = None
-    links = [("prospective", "lock_key"), ("lock_key", "prospective"), ("prospective", "real_book"), ("real_book", "prospective")]
-    for _ in range(max_rounds):
-        if left.isEmpty():
-            break
+    n_left = left.count()
+    while n_left:
         rows = left
         first = F.lit(True)
-        for i, (a, b) in enumerate(links):
+        for i, (a, b) in enumerate(BINDINGS):
             owner = left.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias(f"_a{i}")).agg(
                 F.min_by(b, "at").alias(f"_b{i}"))
             rows = rows.join(owner, F.col(a) == F.col(f"_a{i}"), "left")
@@ -245,14 +280,16 @@ def identity_bindings(events: DataFrame, order: str = "seq", max_rounds: int = 2
         fresh = rows.where(first).select(*columns, "at")
         kept = checkpointed(fresh if kept is None else kept.unionByName(fresh))
         rest = left.join(kept.select("at"), "at", "left_anti")
-        for i, (a, b) in enumerate(links):
+        for i, (a, b) in enumerate(BINDINGS):
             owner = kept.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias(f"_a{i}")).agg(
                 F.min_by(b, "at").alias(f"_b{i}"))
             clash = F.col(f"_b{i}").isNull() | F.col(b).isNull() | (F.col(f"_b{i}") == F.col(b))
             rest = rest.join(owner, F.col(a) == F.col(f"_a{i}"), "left").where(clash)
         left = checkpointed(rest.select(*columns, "at"))
-    else:
-        raise ValueError("identity bindings did not settle")
+        before, n_left = n_left, left.count()
+        if n_left > (1 - ROUND_SHARE) * before:
+            kept = checkpointed(kept.unionByName(_bind_by_group(left)))
+            break
     if kept is None:
         kept = left
     accepted = kept.select(*[F.col(c).alias(f"_{c}") for c in columns])

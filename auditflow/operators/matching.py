@@ -343,24 +343,25 @@ def verify_evidence_chain(links: DataFrame, files: DataFrame) -> DataFrame:
     return per_link.unionByName(per_case)
 
 
-def artifact_closure(starts: DataFrame, edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def artifact_closure(starts: DataFrame, edges: DataFrame) -> DataFrame:
     """Everything reachable from each start: (root, node, depth).
 
-    One join per depth with the newly found nodes only; each frontier is
-    checkpointed, so a lost executor does not replay earlier depths.
+    One join per depth with the newly found nodes only, until a depth finds none; each
+    frontier is checkpointed, so a lost executor does not replay earlier depths.
     """
     links = edges.select(F.col("src").alias("node"), "dst").distinct()
     frontier = starts.select("root", "node").distinct().withColumn("depth", F.lit(0))
     seen = checkpointed(frontier)
     frontier = seen
-    for depth in range(1, max_depth + 1):
+    depth = 0
+    while True:
+        depth += 1
         step = frontier.join(links, "node").select("root", F.col("dst").alias("node")).distinct()
         fresh = checkpointed(step.join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(depth)))
         if fresh.isEmpty():
             return seen
         seen = seen.unionByName(fresh)
         frontier = fresh
-    raise ValueError(f"references are nested deeper than {max_depth}")
 
 
 def plan_modules(expected: DataFrame, existing: DataFrame) -> DataFrame:

@@ -124,7 +124,25 @@ SELECT o_orderkey AS seq, 'p' || CAST(o_custkey AS STRING) AS prospective, 'l' |
   CASE WHEN o_orderstatus = 'P' AND o_orderkey % 20 = 0 THEN 'applied' WHEN o_orderstatus = 'F' THEN 'planned' ELSE 'pending' END AS state FROM orders"""
 
 
-@query("J6_identity_registry")
+def _owner(a: str, b: str, status: int) -> str:
+    return f"arg_min(CASE WHEN {a} IS NOT NULL AND status = {status} THEN {b} END, CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL AND status = {status} THEN place END) OVER (PARTITION BY {a})"
+
+
+_LINKS = [("p", "l"), ("l", "p"), ("p", "b"), ("b", "p")]
+_CLASH = " OR ".join(f"({a} IS NOT NULL AND {b} IS NOT NULL AND {_owner(a, b, 1)} <> {b})" for a, b in _LINKS)
+_FIRST = " AND ".join(f"({a} IS NULL OR {b} IS NULL OR {_owner(a, b, 0)} = {b})" for a, b in _LINKS)
+
+
+@query("J6_identity_registry", f"""
+WITH RECURSIVE i AS ({IDENTITIES}), legal AS (SELECT prospective AS p, lock_key AS l, real_book AS b, min(seq) AS place FROM i WHERE state IN ('pending', 'planned') GROUP BY 1, 2, 3),
+r AS (SELECT 0 AS round, p, l, b, place, 0 AS status FROM legal
+  UNION ALL SELECT round + 1, p, l, b, place, CASE WHEN status <> 0 THEN status WHEN clash THEN 2 WHEN is_first THEN 1 ELSE 0 END
+    FROM (SELECT *, coalesce({_CLASH}, false) AS clash, coalesce({_FIRST}, false) AS is_first, min(status) OVER () AS least FROM r) WHERE least = 0),
+f AS (SELECT * FROM r WHERE round = (SELECT max(round) FROM r))
+SELECT place AS seq, 'kept' AS outcome FROM f WHERE status = 1
+UNION ALL SELECT seq, 'identity_state' FROM i WHERE state NOT IN ('pending', 'planned')
+UNION ALL SELECT seq, 'identity_conflict' FROM i JOIN f ON f.status = 2 AND i.prospective IS NOT DISTINCT FROM f.p AND i.lock_key IS NOT DISTINCT FROM f.l AND i.real_book IS NOT DISTINCT FROM f.b
+  WHERE state IN ('pending', 'planned')""")
 def _(t):
     kept, found = L.identity_bindings(t.sql(IDENTITIES))
     return kept.select(F.col("seq"), F.lit("kept").alias("outcome")).unionByName(

@@ -286,6 +286,20 @@ def test_identity_bindings_equal_taking_events_in_turn(spark):
     assert refused == {n for n, p, k, b, s in events if s == "saved" or (p, k, b) not in accepted}
 
 
+def test_identity_chain_of_any_length(spark):
+    chain = [(n, f"p{(n + 1) // 2}", f"l{n // 2}", None, "planned") for n in range(1000)]
+    df = spark.createDataFrame(chain, "seq int, prospective string, lock_key string, real_book string, state string")
+    kept, found = ledger.identity_bindings(df)
+    assert sorted(r.seq for r in kept.collect()) == list(range(0, 1000, 2))
+    assert sorted(int(r.entity_id) for r in found.collect()) == list(range(1, 1000, 2))
+
+
+def test_closure_of_any_depth(spark):
+    edges = spark.createDataFrame([(str(n), str(n + 1)) for n in range(66)], "src string, dst string")
+    starts = spark.createDataFrame([("r", "0")], "root string, node string")
+    assert sorted(r.depth for r in matching.artifact_closure(starts, edges).collect()) == list(range(67))
+
+
 def test_nested_provenance_is_rejected(spark):
     doc = '{"blocks":[{"uuid":"u","template_data_content":{"ai_semantic_provenance":{"a":{"ai_semantic_provenance":{}}}}}]}'
     df = spark.createDataFrame([("p", "u", doc)], "page_id string, recorded_carrier string, j string").select(
