@@ -136,6 +136,11 @@ def oracle(sql: str) -> str:
     return f"WITH {parts}\n{body}"
 
 
+def one_file_each(lines: DataFrame) -> DataFrame:
+    """Rows ``source, value`` ready to be written as one file per source, in order of ``doc_id``."""
+    return lines.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "value")
+
+
 class Tables:
     """Driver tables and audit views of one data folder."""
 

@@ -10,6 +10,8 @@ UPPER_VOLUME = ["上", "上册", "第一册", "1"]
 LOWER_VOLUME = ["下", "下册", "第二册", "2"]
 # Module types of the two annotation buttons.
 AUDIO_MODULE, TRANSCRIPT_MODULE = 77, 76
+# What the names of the two buttons begin with.
+AUDIO_NAME, TRANSCRIPT_NAME = "播放 ", "查看听力原文："
 # The characters that JavaScript takes for blanks in patterns and when trimming.
 BLANK = r"[\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 # Emphasis red in its two spellings.
@@ -102,6 +104,15 @@ def transcript_html(question: Column | str, text: Column | str) -> Column:
     return F.concat(F.lit("<strong>"), escaped(question), F.lit("</strong>"), body)
 
 
+def annotation_payload(kind: Column | str, title: Column | str, text: Column | str) -> Column:
+    """Module type, name and configuration of the button for an audio or a transcript annotation."""
+    audio = _col(kind) == "audio"
+    return F.struct(
+        F.when(audio, AUDIO_MODULE).when(_col(kind) == "transcript", TRANSCRIPT_MODULE).alias("module_type"),
+        F.concat(F.when(audio, AUDIO_NAME).otherwise(TRANSCRIPT_NAME), _col(title)).alias("name"),
+        F.when(~audio, transcript_html(title, text)).alias("config"))
+
+
 def normalize_name(c: Column | str) -> Column:
     return trim_blanks(F.regexp_replace(_col(c), f"{BLANK}+", " "))
 
@@ -163,7 +174,7 @@ def property_value(props: Column | str, name: str) -> Column:
     return F.coalesce(F.try_element_at(found, F.lit(1))["paramValue"], F.lit(""))
 
 
-def ensure_property(props: Column | str, name: str, value: str) -> Column:
+def ensure_property(props: Column | str, name: str = "subjectId", value: str = "2") -> Column:
     """Append ``name=value`` unless the property is present."""
     have = F.coalesce(_col(props), F.array().cast("array<struct<paramName:string,paramValue:string>>"))
     extra = F.struct(F.lit(name).alias("paramName"), F.lit(value).alias("paramValue"))

@@ -18,8 +18,9 @@ DOMAINS = {
     "iso_utc": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{3})?Z$",
 }
 # Words that give away a runtime identifier.
-SPOOF = r"(?i)(^|[^a-z0-9])(?:slot|slot_id|element_id|block_id|node_id|source_id|template_id|runtime_id|identifier)([^a-z0-9]|$)"
+SPOOF = r"(?i)(^|[^a-z0-9])(?:slot|slot_id|element_id|block_id|node_id|source_id|template_id|runtime_id|identifier)(?:[^a-z0-9]|$)"
 SPOOF_ZH = r"(?i)(?:插槽|槽位|元素\s*ID|区块\s*ID|节点\s*ID|运行时\s*ID)"
+# Texts that are nothing but an identifier.
 IDENTIFIER_ONLY = [
     r"^\d+$",
     r"(?i)^[a-f0-9]{8}-[a-f0-9-]{27,}$",
@@ -28,6 +29,7 @@ IDENTIFIER_ONLY = [
     r"(?i)^(?:slot|element|block|source|template|node|id)[\s:_#-]*[a-z0-9_.:-]+$",
     r"(?i)^(?:插槽|槽位|元素|区块)[\s:_#-]*[a-z0-9_.:-]+$",
 ]
+# Kinds that name an identifier.
 ID_KIND = [
     r"(^|_)(?:id|ids)(?:_|$)",
     r"(?:source|template|element|block|slot|node)_?(?:id|key|name)$",

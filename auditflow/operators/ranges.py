@@ -3,7 +3,7 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task.  The
 functions here first ask whether any key exceeds a row limit.  If none does, the
 plain window is used.  Otherwise rows of hot keys are cut into consecutive ranges
-of the order column, each range is computed on its own, and one small row per
+of the order columns, each range is computed on its own, and one small row per
 range carries the running value into the next range.  Results are the same.
 """
 
@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from auditflow.session import checkpointed
 
 HOT_ROWS_CONF = "spark.auditflow.hotRows"
 HOT_ROWS = 1_000_000
@@ -25,20 +25,12 @@ def hot_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
-def _as_double(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if not isinstance(kind, T.NumericType):
-        raise TypeError(f"order column {name} must be numeric or a timestamp")
-    return F.col(name).cast("double")
-
-
 def split_hot(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, bool]:
-    """Add ``_range``: 0 for ordinary keys, else the range of ``order[0]``.
+    """Add ``_range``: 0 for ordinary keys, else the range of the whole ``order``.
 
-    Ranges are bounded by quantiles over all rows of hot keys, so one range holds
-    about ``hot_rows`` of them whichever key they belong to.
+    Rows of all hot keys are dealt out by range of all order columns, so equal values of
+    the first one are split as well, and one range holds about ``hot_rows`` rows whichever
+    key they belong to.  The ranges are written down, since every use must see the same.
     """
     limit = hot_rows(df)
     hot = df.groupBy(*keys).count().where(F.col("count") > limit)
@@ -46,20 +38,15 @@ def split_hot(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFra
     if not total:
         return df.withColumn("_range", F.lit(0)), False
     n = min(MAX_RANGES, max(2, math.ceil(total / limit)))
-    value = _as_double(df, order[0])
     hot_keys = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
     on = None
     for k in keys:
         eq = F.col(k).eqNullSafe(F.col(f"_h_{k}"))
         on = eq if on is None else on & eq
-    probabilities = [i / n for i in range(1, n)]
-    inner = df.join(hot_keys, on, "left_semi").select(value.alias("_v"))
-    bounds = inner.approxQuantile("_v", probabilities, 1.0 / (4 * n))
-    splits = [-math.inf, *sorted(set(bounds)), math.inf]
-    marked = df.join(hot_keys.withColumn("_hot", F.lit(True)), on, "left").withColumn("_v", value)
-    cut = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep").transform(marked)
-    chunk = F.when(F.col("_hot"), F.col("_b").cast("int") + 1).otherwise(0)
-    return cut.withColumn("_range", chunk).select(*df.columns, "_range"), True
+    dealt = df.join(hot_keys, on, "left_semi").repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
+    dealt = checkpointed(dealt.withColumn("_range", F.spark_partition_id() + 1))
+    rest = df.join(hot_keys, on, "left_anti").withColumn("_range", F.lit(0))
+    return rest.unionByName(dealt), True
 
 
 def _order(order: list[str], reverse: bool) -> list[Column]:

@@ -40,10 +40,10 @@ SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'the slot_id of ' || text WHEN 1 THEN
 @query("P3_id_disguise", r"""
 WITH c AS (""" + CLAIMS + r""")
 SELECT CAST(doc_id AS STRING) AS entity_id, 'claim_id_disguise' AS rule_code, 'error' AS severity, 'claim id disguise' AS message
-FROM c WHERE regexp_matches(claim, '(?i)(^|[^a-z0-9])(?:slot|slot_id|element_id|block_id|node_id|source_id|template_id|runtime_id|identifier)([^a-z0-9]|$)')
+FROM c WHERE regexp_matches(claim, 'SPOOF_PATTERN')
   OR regexp_matches(claim, '插槽|槽位') OR trim(claim) = '' OR regexp_matches(trim(claim), '^\d+$')
   OR regexp_matches(trim(claim), '(?i)^[a-z][a-z0-9_.:-]*$')
-  OR regexp_matches(trim(claim), '(?i)^(?:slot|element|block|source|template|node|id)[\s:_#-]*[a-z0-9_.:-]+$')""")
+  OR regexp_matches(trim(claim), '(?i)^(?:slot|element|block|source|template|node|id)[\s:_#-]*[a-z0-9_.:-]+$')""".replace("SPOOF_PATTERN", K.SPOOF))
 def _(t):
     return K.id_disguise(t.sql(CLAIMS), "doc_id", ["claim"])
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from auditflow.fixtures import one_file_each
 from auditflow.queries import query
 from auditflow.session import work_folder
 from auditflow.sources import scans as S
@@ -36,18 +37,29 @@ def _(t):
     return kept.select("page_id", "book_id", "catalog_id")
 
 
-@query("A3_file_fingerprint", "SELECT doc_id, strlen(text) AS length, sha256(text) AS sha256 FROM documents")
+def text_files(t) -> str:
+    """A folder with one text file per source of the documents."""
+    folder = work_folder(t.spark)
+    one_file_each(t.documents.select("source", "doc_id", F.col("text").alias("value"))).write.partitionBy("source").text(folder)
+    return folder
+
+
+FILE_OF = r"source=([^/]+)/[^/]+$"
+
+
+@query("A3_file_fingerprint", """
+SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS length, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY source""")
 def _(t):
-    return t.documents.select(
-        "doc_id", F.octet_length("text").cast("bigint").alias("length"), F.sha2("text", 256).alias("sha256"))
+    files = S.file_fingerprint(t.spark, text_files(t), "*.txt")
+    return files.select(F.regexp_extract("path", FILE_OF, 1).alias("source"), "length", "sha256")
 
 
 @query("A4_file_inventory", """
-SELECT regexp_extract('media/' || basename, '[^/]+$') AS basename, length, length > 73400320 AS too_large FROM fx_media""")
+SELECT source, true AS named, CAST(sum(strlen(text) + 1) AS BIGINT) AS length, sum(strlen(text) + 1) > 73400320 AS too_large FROM documents GROUP BY source""")
 def _(t):
-    path = F.concat(F.lit("media/"), "basename")
-    return t.fx_media.select(
-        F.regexp_extract(path, r"[^/]+$", 0).alias("basename"), "length",
+    files = S.file_inventory(t.spark, text_files(t), "*.txt")
+    return files.select(
+        F.regexp_extract("path", FILE_OF, 1).alias("source"), F.col("basename").rlike(r"^part-[^/]*\.txt$").alias("named"), "length",
         (F.col("length") > S.MEDIA_LIMIT).alias("too_large"))
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from auditflow.fixtures import VIEWS
+from auditflow.fixtures import VIEWS, one_file_each
 from auditflow.operators import ledger as L
 from auditflow.queries import query
 from auditflow.session import work_folder
@@ -195,14 +195,17 @@ def _(t):
 
 
 @query("J9_envelope_stream", """
-SELECT 'out/' || CAST(doc_id AS STRING) || '.json' AS out_path, CASE WHEN doc_id % 13 = 5 THEN NULL ELSE sha256(text) END AS text_hash, CASE WHEN doc_id % 13 = 5 THEN 'invalid_json' END AS error FROM documents""")
+WITH e AS (SELECT source, min(doc_id) AS last FROM documents WHERE doc_id % 97 = 96 GROUP BY source)
+SELECT 'out/' || CAST(doc_id AS STRING) || '.json' AS out_path, CASE WHEN doc_id % 13 = 5 THEN NULL ELSE sha256(text) END AS text_hash, CASE WHEN doc_id % 13 = 5 THEN 'invalid_json' END AS error
+FROM documents LEFT JOIN e USING (source) WHERE last IS NULL OR doc_id < last""")
 def _(t):
     folder = work_folder(t.spark)
     flat = lambda x: f"translate(base64(encode({x}, 'UTF-8')), '\\r\\n', '')"
     doc = """CASE WHEN doc_id % 13 = 5 THEN '{"text":' ELSE to_json(named_struct('text', text)) END"""
     path = "concat('out/', doc_id, '.json')"
-    lines = t.sql(f"SELECT concat({flat(path)}, '\\t', {flat(doc)}) AS value FROM documents")
-    lines.write.text(f"{folder}/in")
+    # One file per source; what a file holds after its end marker does not count.
+    lines = t.sql(f"SELECT source, doc_id, CASE WHEN doc_id % 97 = 96 THEN '__END__' ELSE concat({flat(path)}, '\\t', {flat(doc)}) END AS value FROM documents")
+    one_file_each(lines).write.partitionBy("source").text(f"{folder}/in")
     S.envelope_stream(t.spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     rows = t.spark.read.parquet(f"{folder}/out")
     return rows.select("out_path", F.sha2(F.get_json_object("doc", "$.text"), 256).alias("text_hash"), "error")

@@ -147,11 +147,8 @@ SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 77 ELSE 76 END AS module_type,
   CASE WHEN doc_id % 2 = 1 THEN '<strong>' || source || '</strong>' || regexp_replace(x, '\\r?\\n', '<br>', 'g') END AS config
 FROM e""".replace("\\\\", "\\"))
 def _(t):
-    audio = F.col("doc_id") % 2 == 0
-    return t.documents.select(
-        "doc_id", F.when(audio, X.AUDIO_MODULE).otherwise(X.TRANSCRIPT_MODULE).alias("module_type"),
-        F.when(audio, F.concat(F.lit("播放 "), "source")).otherwise(F.concat(F.lit("查看听力原文："), "source")).alias("name"),
-        F.when(~audio, X.transcript_html("source", "text")).alias("config"))
+    kind = F.when(F.col("doc_id") % 2 == 0, "audio").otherwise("transcript")
+    return t.documents.select("doc_id", X.annotation_payload(kind, "source", "text").alias("p")).select("doc_id", "p.*")
 
 
 # Ideographic, no-break and thin spaces around and inside a name.

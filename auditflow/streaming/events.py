@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from auditflow.operators.ledger import STALE_AFTER_MS, LedgerMachine, with_ledger_columns
-from auditflow.sources.scans import END_MARKER, decode_envelope_lines
+from auditflow.sources.scans import ingest_envelope_lines
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -98,13 +98,16 @@ def stale_lease_stream(heartbeats: DataFrame, ms: int = STALE_AFTER_MS, delay: s
 def envelope_stream(spark: SparkSession, path: str, sink: str, checkpoint: str) -> StreamingQuery:
     """Decode envelope lines as files arrive and append them to ``sink``.
 
-    Each batch is written under its own id, so a repeated batch overwrites itself.
-    The marker line of the writer is dropped; a file ends where it ends.
+    Each batch is written under its own id, so a repeated batch overwrites itself.  A
+    file ends at its end marker, by the same rule as a batch of files: its lines are in
+    order of the blocks they were read from and of their place in them.
     """
-    lines = spark.readStream.text(path).where(F.col("value") != END_MARKER)
+    lines = spark.readStream.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = decode_envelope_lines(batch).withColumn("doc", F.to_json("doc"))
+        placed = batch.withColumn("place", F.struct("block", F.monotonically_increasing_id().alias("row")))
+        rows = ingest_envelope_lines(placed, "file", "place").withColumn("doc", F.to_json("doc"))
         rows.select("out_path", "doc", "error").write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

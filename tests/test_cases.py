@@ -286,6 +286,17 @@ def test_identity_bindings_equal_taking_events_in_turn(spark):
     assert refused == {n for n, p, k, b, s in events if s == "saved" or (p, k, b) not in accepted}
 
 
+def test_hot_keys_with_equal_values_are_split(spark):
+    df = spark.range(5000).select(F.lit("k").alias("k"), F.lit(0).alias("score"), F.col("id").cast("string").alias("name"))
+    spark.conf.set("spark.auditflow.hotRows", "500")
+    try:
+        cut, split = ranges.split_hot(df, ["k"], ["score", "name"])
+        sizes = [r[0] for r in cut.groupBy("_range").agg(F.count("*")).select("count(1)").collect()]
+    finally:
+        spark.conf.unset("spark.auditflow.hotRows")
+    assert split and sum(sizes) == 5000 and max(sizes) <= 1000
+
+
 def test_identity_chain_of_any_length(spark):
     chain = [(n, f"p{(n + 1) // 2}", f"l{n // 2}", None, "planned") for n in range(1000)]
     df = spark.createDataFrame(chain, "seq int, prospective string, lock_key string, real_book string, state string")
