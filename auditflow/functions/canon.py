@@ -40,6 +40,16 @@ def record_json(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
+def set_print(hashes: Column) -> Column:
+    """Print of a set of tagged hashes in any order: all 256 bits in eight sums, as hex digits.
+
+    An aggregate with partial sums; repeated hashes count as often as they occur.
+    """
+    digits = F.substring_index(hashes, ":", -1)
+    part = lambda i: F.conv(F.substring(digits, 8 * i + 1, 8), 16, 10).cast("bigint")
+    return F.concat(*[F.lpad(F.lower(F.hex(F.coalesce(F.sum(part(i)), F.lit(0)))), 16, "0") for i in range(8)])
+
+
 def struct_hash(*columns: Column | str) -> Column:
     """Canonical hash of a record made of columns; null is a value like any other."""
     return canonical_hash(record_json(*columns))

@@ -199,9 +199,10 @@ def zip_by_position(source: DataFrame, target: DataFrame, keys: list[str], order
 
 
 def join_progress(target: DataFrame, source: DataFrame, receipts: DataFrame, key: str, source_key: str, pos: str) -> DataFrame:
-    """Targets without a receipt, each with the first source of its source key."""
-    first = ranges.pick_first(source, [source_key], [F.col(pos)])
-    return target.join(receipts.select(key), key, "left_anti").join(first, source_key)
+    """Targets without a receipt, each with the first source of its source key or marked as without one."""
+    first = ranges.pick_first(source, [source_key], [F.col(pos)]).withColumn("_found", F.lit(True))
+    joined = target.join(receipts.select(key), key, "left_anti").join(first, source_key, "left")
+    return joined.withColumn("status", F.when(F.col("_found"), "open").otherwise("source_unknown")).drop("_found")
 
 
 def pair_practice_analysis(pages: DataFrame) -> DataFrame:

@@ -122,14 +122,16 @@ def fidelity_gate(snapshots: DataFrame, expected: DataFrame | None = None) -> Da
 
 
 def module_cardinality(modules: DataFrame, pages: DataFrame, expected: DataFrame) -> DataFrame:
-    """Pages whose module counts per type differ from their route; extra types are errors."""
+    """Pages whose module counts per type differ from their route; extra types and unknown routes are errors."""
     counts = modules.groupBy("page_id", "module_type").agg(F.count("*").alias("n"))
     want = pages.join(expected, "route").select("page_id", "module_type", "n_expected")
     both = want.join(counts, ["page_id", "module_type"], "full").where(
         ~F.coalesce("n", F.lit(0)).eqNullSafe(F.coalesce("n_expected", F.lit(0))))
     message = F.concat(F.col("module_type"), F.lit(": expected "), F.coalesce("n_expected", F.lit(0)).cast("string"),
                        F.lit(", got "), F.coalesce("n", F.lit(0)).cast("string"))
-    return violations(both, "page_id", "module_cardinality", message)
+    unknown = pages.join(expected.select("route").distinct(), "route", "left_anti")
+    named = F.concat(F.lit("route "), F.coalesce(F.col("route").cast("string"), F.lit("?")), F.lit(" has no expectation"))
+    return violations(both, "page_id", "module_cardinality", message).unionByName(violations(unknown, "page_id", "route_unknown", named))
 
 
 def warning_histogram(warnings: DataFrame, code: str = "code") -> DataFrame:

@@ -92,14 +92,16 @@ def page_resource_scope(locators: DataFrame, targets: DataFrame, source_blocks:
     source_page_id, family, grade; ``source_blocks``: resource_id, page_id, family, grade.
     """
     t = targets.select("page_id", "source_page_id", F.col("family").alias("t_family"), F.col("grade").alias("t_grade"))
-    b = source_blocks.select(
-        "resource_id", F.col("page_id").alias("b_page"), F.col("family").alias("b_family"), F.col("grade").alias("b_grade"))
+    # A repeated resource is one violation, judged by its smallest row; it never multiplies locators.
+    b = source_blocks.groupBy("resource_id").agg(F.min(F.struct("page_id", "family", "grade")).alias("_b"), F.count("*").alias("n_resource")).select(
+        "resource_id", F.col("_b.page_id").alias("b_page"), F.col("_b.family").alias("b_family"), F.col("_b.grade").alias("b_grade"), "n_resource")
     rows = locators.join(t, "page_id", "left").join(b, "resource_id", "left").withColumn(
         "entity_id", F.concat_ws("/", F.col("page_id").cast("string"), F.col("element_id").cast("string")))
     known = F.col("b_page").isNotNull()
     return explode_rules(rows, [
         ("target_unknown", "error", F.col("source_page_id").isNull()),
         ("resource_unknown", "error", ~known),
+        ("resource_repeated", "error", F.col("n_resource") > 1),
         ("resource_other_page", "error", known & (F.col("b_page") != F.col("source_page_id"))),
         ("catalog_not_target", "error", ~F.col("catalog_id").eqNullSafe(F.col("page_id"))),
         ("family_mismatch", "error", known & (F.col("b_family") != F.col("t_family"))),
@@ -109,7 +111,8 @@ def page_resource_scope(locators: DataFrame, targets: DataFrame, source_blocks:
 
 def locator_resolution(locators: DataFrame, source_blocks: DataFrame) -> DataFrame:
     """A locator must target a block and read back its source book, catalog and block."""
-    b = source_blocks.select("resource_id", F.col("book_id").alias("b_book"), F.col("catalog_id").alias("b_catalog"))
+    b = source_blocks.groupBy("resource_id").agg(F.min(F.struct("book_id", "catalog_id")).alias("_b"), F.count("*").alias("n_resource")).select(
+        "resource_id", F.col("_b.book_id").alias("b_book"), F.col("_b.catalog_id").alias("b_catalog"), "n_resource")
     rows = locators.join(b, "resource_id", "left").withColumn("entity_id", F.col("module_id"))
     resolved = F.col("source_book_id").isNotNull() & F.col("source_catalog_id").isNotNull()
     known = F.col("b_book").isNotNull()
@@ -117,6 +120,7 @@ def locator_resolution(locators: DataFrame, source_blocks: DataFrame) -> DataFra
         ("target_not_block", "error", ~F.col("target_type").eqNullSafe(F.lit("block"))),
         ("resource_only", "error", F.col("resource_id").isNotNull() & ~resolved),
         ("block_unknown", "error", resolved & ~known),
+        ("resource_repeated", "error", F.col("n_resource") > 1),
         ("book_mismatch", "error", resolved & known & (F.col("source_book_id") != F.col("b_book"))),
         ("catalog_mismatch", "error", resolved & known & (F.col("source_catalog_id") != F.col("b_catalog"))),
     ])

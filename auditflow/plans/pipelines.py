@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.functions import text as X
-from auditflow.functions.canon import canonical_hash, idempotency_key, struct_hash
+from auditflow.functions.canon import canonical_hash, idempotency_key, set_print, struct_hash
 from auditflow.functions.layout import js_length
 from auditflow.operators import annotations, extract, ledger, matching, ranges, receipts, report, targets, windows
 from auditflow.operators.checks import valid_entities
@@ -195,7 +195,7 @@ def build_provenance(
     bound = extract.build_bindings(rules, applied, pages.select("page_id", "pack_id"))
     counts = bound.groupBy("page_id").agg(
         F.count("*").alias("n_bindings"), F.count(F.when(F.col("status") == "applied", 1)).alias("n_applied"),
-        F.sum(F.conv(F.substring("binding_hash", 8, 8), 16, 10).cast("bigint")).alias("bindings_print"))
+        set_print(F.col("binding_hash")).alias("bindings_print"))
     covered = matching.cover_required_checks(required, reported, legacy=True).groupBy("run_id").agg(
         F.bool_and(F.coalesce(F.col("check_status") == "passed", F.lit(False))).alias("passed"))
     out = pages.withColumn("page_id", F.col("page_id").cast("string")).join(counts, "page_id").join(
@@ -307,9 +307,8 @@ def batch_ledger(items: DataFrame, registry: DataFrame, events: DataFrame, order
 
 
 def state_print(df: DataFrame, keys: list[str], value: str = "value") -> Column:
-    """Order-free print of a keyed state: the sum of leading hash digits of its rows."""
-    row = struct_hash(*keys, value)
-    return F.coalesce(F.sum(F.conv(F.substring(row, 8, 8), 16, 10).cast("bigint")), F.lit(0))
+    """Order-free print of a keyed state from the hashes of its rows."""
+    return set_print(struct_hash(*keys, value))
 
 
 def refinement_plan(base: DataFrame, cur: DataFrame, want: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

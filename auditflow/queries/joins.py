@@ -63,15 +63,15 @@ def _(t):
 
 
 @query("C6_join_progress", """
-SELECT o_orderkey AS target_id, o_custkey AS source_key, f.l AS source_line FROM orders
-JOIN (SELECT l_suppkey AS k, min(l_orderkey*100 + l_linenumber) AS l FROM lineitem GROUP BY 1) f ON o_custkey = f.k
+SELECT o_orderkey AS target_id, o_custkey AS source_key, f.l AS source_line, CASE WHEN f.k IS NULL THEN 'source_unknown' ELSE 'open' END AS status FROM orders
+LEFT JOIN (SELECT l_suppkey AS k, min(l_orderkey*100 + l_linenumber) AS l FROM lineitem GROUP BY 1) f ON o_custkey = f.k
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def _(t):
     target = t.orders.selectExpr("o_orderkey AS target_id", "o_custkey AS source_key")
     source = t.lineitem.selectExpr("l_suppkey AS source_key", "l_orderkey*100 + l_linenumber AS source_line")
     receipts = t.lineitem.where("l_returnflag = 'R'").selectExpr("l_orderkey AS target_id")
     return M.join_progress(target, source, receipts, "target_id", "source_key", "source_line").select(
-        "target_id", "source_key", "source_line")
+        "target_id", "source_key", "source_line", "status")
 
 
 @query("C7_pair_practice_analysis", """

@@ -14,6 +14,11 @@ from auditflow.queries.validators import ELEMENTS, readback_inputs, target_table
 from auditflow.sources.scans import with_document
 
 
+def duck_print(digits: str) -> str:
+    """Eight sums over the 64 hex digits of a hash, as in the order-free print."""
+    return " || ".join(f"lpad(lower(to_hex(CAST(sum(CAST('0x' || substr({digits}, {8 * i + 1}, 8) AS BIGINT)) AS BIGINT))), 16, '0')" for i in range(8))
+
+
 @query("L1_annotation_import_plan", f"""
 WITH {SCALED}, {FOUND}, n AS (SELECT *, row_number() OVER (PARTITION BY path, page ORDER BY pos, id) AS n FROM sc), e AS (SELECT entity_id, count(*) FILTER (WHERE rule_code <> 'box_out_of_bounds') AS errors, count(*) AS problems FROM found GROUP BY 1)
 SELECT path, page, CAST((n - 1) // 32 AS BIGINT) AS segment, count(*) AS n_items, round(min(ph * scale), 6) AS canvas_height, round(sum(x * scale), 3) AS left_sum, round(sum(y * scale), 3) AS top_sum,
@@ -133,10 +138,10 @@ WITH s AS (SELECT o_custkey AS b, o_orderkey AS source_id, row_number() OVER (PA
  g AS (SELECT o_custkey AS b, o_orderkey AS target_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders WHERE o_orderstatus = 'O'),
  z AS (SELECT target_id, source_id FROM s JOIN g USING (b, n) WHERE target_id % 10 <> 0 AND target_id % 7 <> 0), {BINDING_SQL},
  h AS (SELECT *, 'sha256:' || sha256('{{"entity_id":"' || entity_id || '","entity_kind":"' || entity_kind || '","page_id":"' || page_id || '","rule_id":"' || rule_id || '","status":"' || status || '"}}') AS bh FROM bi),
- k AS (SELECT page_id, count(*) AS n_bindings, count(*) FILTER (WHERE status = 'applied') AS n_applied, CAST(sum(CAST('0x' || substr(bh, 8, 8) AS BIGINT)) AS BIGINT) AS bindings_print FROM h GROUP BY 1),
+ k AS (SELECT page_id, count(*) AS n_bindings, count(*) FILTER (WHERE status = 'applied') AS n_applied, {duck_print("substr(bh, 8)")} AS bindings_print FROM h GROUP BY 1),
  v AS (SELECT l_orderkey AS run_id, bool_or(l_linenumber = 1) AND min(CASE WHEN l_linenumber = 1 THEN l_returnflag END) = 'A' AND count(*) FILTER (WHERE l_linenumber = 1) = 1 AS passed FROM lineitem GROUP BY 1),
  f AS (SELECT CAST(z.target_id AS STRING) AS run_id, CAST(source_id AS STRING) AS source_id, n_bindings, n_applied, bindings_print, NOT coalesce(passed, false) AS restricted FROM z JOIN k ON k.page_id = CAST(z.target_id AS STRING) LEFT JOIN v ON v.run_id = z.target_id)
-SELECT *, 'sha256:' || sha256('{{"bindings_print":' || CAST(bindings_print AS STRING) || ',"n_applied":' || CAST(n_applied AS STRING) || ',"n_bindings":' || CAST(n_bindings AS STRING) || ',"restricted":' || CAST(restricted AS STRING) || ',"run_id":"' || run_id || '","source_id":"' || source_id || '"}}') AS integrity_hash FROM f""")
+SELECT *, 'sha256:' || sha256('{{"bindings_print":"' || bindings_print || '","n_applied":' || CAST(n_applied AS STRING) || ',"n_bindings":' || CAST(n_bindings AS STRING) || ',"restricted":' || CAST(restricted AS STRING) || ',"run_id":"' || run_id || '","source_id":"' || source_id || '"}}') AS integrity_hash FROM f""")
 def _(t):
     page = lambda s: t.orders.where(F.col("o_orderstatus") == s).selectExpr("o_custkey AS book_id", "o_orderkey AS pos", "o_orderkey AS page_id")
     snaps = t.orders.select(
@@ -218,16 +223,19 @@ def _(t):
     return R.ledger_summary(items)[0]
 
 
-@query("L11_refinement_plan", """
+_STATE = """sha256('{"k":' || CAST(k AS STRING) || ',"value":' || CASE WHEN v IS NULL THEN 'null' ELSE '"' || v || '"' END || '}')"""
+
+
+@query("L11_refinement_plan", f"""
 WITH m AS (SELECT coalesce(b.k, c.k, w.k) AS k, b.k IS NOT NULL AS bp, c.k IS NOT NULL AS cp, w.k IS NOT NULL AS wl, coalesce(w.is_delete, false) AS del, b.v AS bv, c.v AS cv, w.v AS wv
   FROM fx_base b FULL JOIN fx_cur c ON b.k = c.k FULL JOIN fx_want w ON w.k = coalesce(b.k, c.k)),
 g AS (SELECT CASE WHEN del THEN '~' WHEN wl THEN wv WHEN bp THEN bv ELSE '~' END AS goal, CASE WHEN bp THEN bv ELSE '~' END AS base, CASE WHEN cp THEN cv ELSE '~' END AS now FROM m),
 x AS (SELECT count(*) FILTER (WHERE goal <> base AND now <> goal AND now = base) AS safe, count(*) FILTER (WHERE goal = base OR now = goal) AS noop, count(*) FILTER (WHERE goal <> base AND now <> goal AND now <> base) AS conflict FROM g)
-SELECT *, (SELECT CAST(sum(CAST('0x' || substr(sha256('{"k":' || CAST(k AS STRING) || ',"value":"' || v || '"}'), 1, 8) AS BIGINT)) AS BIGINT) FROM fx_cur) AS current_print FROM x""")
+SELECT *, (SELECT {duck_print(_STATE)} FROM fx_cur) AS current_print, (SELECT {duck_print(_STATE)} FROM fx_want) AS desired_print FROM x""")
 def _(t):
     as_value = lambda df: df.withColumnRenamed("v", "value")
     _, summary = L.refinement_plan(as_value(t.fx_base), as_value(t.fx_cur), as_value(t.fx_want), ["k"])
-    return summary.drop("desired_print")
+    return summary
 
 
 @query("L12_source_recall", f"""

@@ -128,14 +128,15 @@ def _(t):
 
 
 @query("D12_module_cardinality", """
-WITH p AS (SELECT o_orderkey AS page_id, CASE o_orderstatus WHEN 'F' THEN 'ability' WHEN 'O' THEN 'practice' ELSE 'analysis' END AS route FROM orders),
+WITH p AS (SELECT o_orderkey AS page_id, CASE o_orderstatus WHEN 'F' THEN 'ability' WHEN 'O' THEN 'practice' ELSE CASE WHEN o_orderkey % 3 = 0 THEN 'odd' ELSE 'analysis' END END AS route FROM orders),
  e(route, module_type, n_expected) AS (VALUES ('ability','A',1), ('ability','N',1), ('practice','R',2), ('practice','N',1), ('analysis','N',1)),
  w AS (SELECT page_id, module_type, n_expected FROM p JOIN e USING (route)),
  c AS (SELECT l_orderkey AS page_id, l_returnflag AS module_type, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT CAST(coalesce(w.page_id, c.page_id) AS STRING) AS entity_id, coalesce(w.module_type, c.module_type) || ': expected ' || CAST(coalesce(n_expected, 0) AS STRING) || ', got ' || CAST(coalesce(n, 0) AS STRING) AS message
-FROM w FULL JOIN c ON w.page_id = c.page_id AND w.module_type = c.module_type WHERE coalesce(n, 0) <> coalesce(n_expected, 0)""")
+FROM w FULL JOIN c ON w.page_id = c.page_id AND w.module_type = c.module_type WHERE coalesce(n, 0) <> coalesce(n_expected, 0)
+UNION ALL SELECT CAST(page_id AS STRING), 'route ' || route || ' has no expectation' FROM p WHERE route NOT IN (SELECT route FROM e)""")
 def _(t):
-    pages = t.sql("SELECT o_orderkey AS page_id, CASE o_orderstatus WHEN 'F' THEN 'ability' WHEN 'O' THEN 'practice' ELSE 'analysis' END AS route FROM orders")
+    pages = t.sql("SELECT o_orderkey AS page_id, CASE o_orderstatus WHEN 'F' THEN 'ability' WHEN 'O' THEN 'practice' ELSE CASE WHEN o_orderkey % 3 = 0 THEN 'odd' ELSE 'analysis' END END AS route FROM orders")
     modules = t.lineitem.selectExpr("l_orderkey AS page_id", "l_returnflag AS module_type")
     expected = t.spark.createDataFrame(
         [("ability", "A", 1), ("ability", "N", 1), ("practice", "R", 2), ("practice", "N", 1), ("analysis", "N", 1)],
