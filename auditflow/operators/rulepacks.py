@@ -182,9 +182,11 @@ def maturity_gate(
     passed = cases.where("status = 'passed'").join(validated, "pack_id", "left_semi")
     counts = validated.join(passed.groupBy("pack_id").agg(F.count("*").alias("n")), "pack_id", "left")
     found = found.unionByName(K.violations(counts.where("coalesce(n, 0) < 2"), "pack_id", "forward_tests_too_few"))
-    for dimension in ("artifact", "source_id", "source_hash", "target_id", "target_hash"):
-        again = passed.groupBy("pack_id", F.col(dimension).alias("v")).agg(F.count("*").alias("n")).where("n > 1")
-        found = found.unionByName(K.violations(again, "pack_id", f"forward_{dimension}_repeated", F.col("v").cast("string")))
+    dimensions = ("artifact", "source_id", "source_hash", "target_id", "target_hash")
+    stacked = ", ".join(f"'forward_{d}_repeated', CAST({d} AS STRING)" for d in dimensions)
+    values = passed.select("pack_id", F.expr(f"stack({len(dimensions)}, {stacked})").alias("rule_code", "message"))
+    again = values.groupBy("pack_id", "rule_code", "message").agg(F.count("*").alias("n")).where("n > 1")
+    found = found.unionByName(again.select(F.col("pack_id").cast("string").alias("entity_id"), "rule_code", F.lit("error").alias("severity"), "message"))
     required = passed.select("pack_id", "case_id").join(acceptance, "pack_id")
     state = results.groupBy("pack_id", "case_id", "check_id").agg(F.max("status").alias("result"))
     judged = required.join(state, ["pack_id", "case_id", "check_id"], "left")
