@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from auditflow.session import checkpointed
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "checkpointed", "keyed", "one_of_each", "row_key", "table", "text_of", "word_count"]
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "checkpointed", "keep_rows", "keyed", "one_of_each", "row_key", "split_by_keys", "table", "text_of", "word_count"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -46,9 +46,37 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     return docs.withColumn(name, row_key(doc_id, text)), name
 
 
+def split_by_keys(rows: DataFrame, name: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is surely not among ``keys (row_key)``, and the others, which need an exact look.
+
+    The keys are folded into a bitmap of fixed size, at most 2**18 words of 64 bits, so
+    it can be broadcast however many keys there are.  It has no false negatives.
+    """
+    def word(key: Column) -> Column:
+        return F.shiftrightunsigned(key, 64 - 18)
+
+    bit = F.expr("shiftleft(1L, cast(row_key & 63 AS int))")
+    bitmap = checkpointed(keys.groupBy(word(F.col("row_key")).alias(name + "word")).agg(F.bit_or(bit).alias(name + "bits")))
+    tagged = rows.withColumn(name + "word", word(F.col(name))).join(F.broadcast(bitmap), name + "word", "left")
+    found = F.coalesce(F.expr(f"(shiftrightunsigned(`{name}bits`, cast(`{name}` & 63 AS int)) & 1) = 1"), F.lit(False))
+    return tuple(tagged.where(w).select(*[F.col(f"`{c}`") for c in rows.columns]) for w in (~found, found))
+
+
 def one_of_each(rows: DataFrame, name: str, counts: DataFrame) -> DataFrame:
     """One row for each key of ``counts (row_key, rows)``; only rows of keys that repeat are compared."""
     counts = counts.select(F.col("row_key").alias(name), "rows")
     single = rows.join(counts.where("rows = 1").select(name), name, "left_semi")
     many = rows.join(counts.where("rows > 1").select(name), name, "left_semi").dropDuplicates([name])
     return single.union(many)
+
+
+def keep_rows(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each key of ``judged (row_key, kept, rows)`` that is kept.
+
+    Rows that are kept and do not repeat, most of them, pass without a shuffle.
+    """
+    rows, name = keyed(docs)
+    judged = checkpointed(judged)
+    sure, open_rows = split_by_keys(rows, name, judged.where("NOT kept OR rows > 1").select("row_key"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return sure.select(*columns).union(one_of_each(open_rows, name, judged.where("kept")).select(*columns))
