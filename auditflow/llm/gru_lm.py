@@ -31,7 +31,7 @@ HEAD = HEAD_CLASSES * HEAD_WORDS
 HOT_WORDS = 1 << 18
 _SLOTS = 20
 #: Gradient steps: rounds of averaging, share of the training words a round takes, and the least words it takes.
-ROUNDS, FIT_SHARE, FIT_WORDS = 3, 1 / 24, 1_000_000
+ROUNDS, FIT_SHARE, FIT_WORDS = 3, 1 / 32, 1_000_000
 LANES, WINDOW = 64, 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(0x2545F4914F6CDD1D)
@@ -178,20 +178,18 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _outputs(p: dict, hs: np.ndarray, target: np.ndarray, grad: dict | None = None):
-    """Log probability of each target, natural; with ``grad`` also the gradient of the mean loss by the state."""
+def _outputs(p: dict, hs: np.ndarray, target: np.ndarray, grad: dict):
+    """Log probability of each target, natural, and the gradient of the mean loss by the state."""
     cls = np.where(target < HEAD, target // HEAD_WORDS, target - HEAD + HEAD_CLASSES)
     logp = _log_softmax(hs @ p["C"] + p["c"])
     rows = np.arange(len(cls))
     out = logp[rows, cls]
-    dh = None
-    if grad is not None:
-        delta = np.exp(logp)
-        delta[rows, cls] -= 1
-        delta /= len(cls)
-        grad["C"] += hs.T @ delta
-        grad["c"] += delta.sum(0)
-        dh = delta @ p["C"].T
+    delta = np.exp(logp)
+    delta[rows, cls] -= 1
+    delta /= len(cls)
+    grad["C"] += hs.T @ delta
+    grad["c"] += delta.sum(0)
+    dh = delta @ p["C"].T
     order = np.argsort(cls, kind="stable")
     edges = np.searchsorted(cls[order], np.arange(HEAD_CLASSES + 1))
     for k in range(HEAD_CLASSES):
@@ -200,16 +198,66 @@ def _outputs(p: dict, hs: np.ndarray, target: np.ndarray, grad: dict | None = No
             within = _log_softmax(hs[own] @ p["D"][k] + p["d"][k])
             word = target[own] % HEAD_WORDS
             out[own] += within[np.arange(len(own)), word]
-            if grad is not None:
-                delta = np.exp(within)
-                delta[np.arange(len(own)), word] -= 1
-                delta /= len(cls)
-                grad["D"][k] += hs[own].T @ delta
-                grad["d"][k] += delta.sum(0)
-                dh[own] += delta @ p["D"][k].T
+            delta = np.exp(within)
+            delta[np.arange(len(own)), word] -= 1
+            delta /= len(cls)
+            grad["D"][k] += hs[own].T @ delta
+            grad["d"][k] += delta.sum(0)
+            dh[own] += delta @ p["D"][k].T
     return out, dh
 
 
+def _log_total(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials of each row; ``x`` is used up."""
+    top = np.float32(0) if abs(x).max(initial=0) < 80 else x.max(axis=1, keepdims=True)
+    x -= top
+    np.exp(x, out=x)
+    return np.log(x @ np.ones(x.shape[1], dtype=x.dtype)) + np.ravel(top)
+
+
+def _log_probs(p: dict, hs: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """As ``_outputs`` without a gradient."""
+    cls = np.where(target < HEAD, target // HEAD_WORDS, target - HEAD + HEAD_CLASSES)
+    logits = hs @ p["C"]
+    logits += p["c"]
+    out = logits[np.arange(len(cls)), cls]
+    out -= _log_total(logits)
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    edges = np.searchsorted(cls[order], np.arange(HEAD_CLASSES + 1))
+    for k in range(HEAD_CLASSES):
+        own = order[edges[k]:edges[k + 1]]
+        if len(own):
+            within = hs[own] @ p["D"][k]
+            within += p["d"][k]
+            chosen = within[np.arange(len(own)), target[own] % HEAD_WORDS]
+            out[own] += chosen - _log_total(within)
+    return out
+
+
+def _halved(p: dict) -> dict:
+    """Parameters for ``_next``: gates by half arguments, so that a logistic function is a hyperbolic tangent."""
+    w, u = p["W"].copy(), p["U"] * np.float32(0.5)
+    w[:, :2 * HIDDEN] *= np.float32(0.5)
+    return p | {"W": w, "U": u}
+
+
+def _next(u: np.ndarray, gx: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """One step as ``_step``, on halved parameters and without what only the gradient needs."""
+    a = h @ u
+    gates = a[:, :2 * HIDDEN]
+    gates += gx[:, :2 * HIDDEN]
+    np.tanh(gates, out=gates)
+    n = gates[:, HIDDEN:] + np.float32(1)
+    n *= a[:, 2 * HIDDEN:]
+    n += gx[:, 2 * HIDDEN:]
+    np.tanh(n, out=n)
+    apart = h - n
+    apart *= gates[:, :HIDDEN] + np.float32(1)
+    apart *= np.float32(0.5)
+    apart += n
+    return apart
+
+
 def _train_window(p: dict, grad: dict, x: np.ndarray, target: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
     """Back-propagation through one window; the state comes in and goes on, its gradient does not."""
     steps, lanes = x.shape
@@ -284,7 +332,7 @@ def document_scores(flat: np.ndarray, words: np.ndarray, lengths: np.ndarray, wi
     """
     if not len(lengths):
         return np.zeros(0)
-    p = views(flat)
+    p = _halved(views(flat))
     lanes = int(np.clip(lengths.sum() // max(int(lengths.max()), 1024), 8, 512))
     heap = [(0, k) for k in range(lanes)]
     lane, offset = np.empty(len(lengths), dtype=np.int64), np.empty(len(lengths), dtype=np.int64)
@@ -309,9 +357,9 @@ def document_scores(flat: np.ndarray, words: np.ndarray, lengths: np.ndarray, wi
         gx, keep = p["W"][before], (~begins).astype(np.float32)[:, :, None]
         hs = np.empty((len(now), lanes, HIDDEN), dtype=np.float32)
         for t in range(len(now)):
-            h, _ = _step(p, gx[t], h * keep[t])
+            h = _next(p["U"], gx[t], h * keep[t])
             hs[t] = h
-        logp[at:at + window] = _outputs(p, hs.reshape(-1, HIDDEN), now.reshape(-1))[0].reshape(now.shape)
+        logp[at:at + window] = _log_probs(p, hs.reshape(-1, HIDDEN), now.reshape(-1)).reshape(now.shape)
         last = now[-1:]
     ordered = np.ascontiguousarray(logp.T).reshape(-1)[place].astype(float)
     return np.add.reduceat(ordered, begin)
