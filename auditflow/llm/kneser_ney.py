@@ -21,7 +21,7 @@ from auditflow.llm.common import checkpointed, row_key
 
 ORDER = 3
 #: Trusted documents that the counts are taken from, at most; the bound of the model.
-MAX_TRAIN_DOCS = 3000
+MAX_TRAIN_DOCS = 1500
 #: Two-word and longer n-grams must occur this often in the trusted text to be kept.
 MIN_COUNT = 2
 #: Share of trusted documents outside of training that must lie below the threshold of their language.
@@ -29,12 +29,13 @@ QUANTILE = 0.999
 #: Every document is scored as if this many words of typical perplexity were added, which steadies short ones.
 PRIOR_WORDS = 20
 #: Weights that every task holds, at most; the rest is joined by a shuffle.
-HOT = 1 << 18
+HOT = 1 << 17
 _SLOTS = 19
 #: 64-bit words of the membership bitmap.
-BITMAP = 1 << 18
-#: Thresholds are found on this grid of decimal digits of log10 perplexity.
-GRID = 4
+_WORD_BITS = 17
+BITMAP = 1 << _WORD_BITS
+#: Thresholds are found on a grid of so many decimal digits of log10 perplexity, which bounds what is sorted.
+GRID = 3
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _START = np.uint64(0x5851F42D4C957F2D)
@@ -170,7 +171,7 @@ class HotWeights:
         slots = self._slot(keys)[::-1]
         self.keys[slots] = keys[::-1]
         self.weights[slots] = top["weight"].to_numpy()[::-1]
-        word = F.shiftrightunsigned("key", 64 - 18).cast("int")
+        word = F.shiftrightunsigned("key", 64 - _WORD_BITS).cast("int")
         bit = F.expr("shiftleft(1L, cast(key & 63 AS int))")
         bits = weights.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
         self.bitmap = np.zeros(BITMAP, dtype=np.uint64)
@@ -183,7 +184,7 @@ class HotWeights:
 
     def look_up(self, keys: np.ndarray) -> tuple[float, np.ndarray]:
         """The sum of the weights at hand and the keys that may have one elsewhere."""
-        known = self.bitmap[(keys >> np.uint64(64 - 18)).astype(np.int64)] >> (keys & np.uint64(63)) & np.uint64(1)
+        known = self.bitmap[(keys >> np.uint64(64 - _WORD_BITS)).astype(np.int64)] >> (keys & np.uint64(63)) & np.uint64(1)
         keys = keys[known.astype(bool)]
         slots = self._slot(keys)
         here = self.keys[slots] == keys
