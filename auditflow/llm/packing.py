@@ -17,7 +17,7 @@ from auditflow.llm.common import checkpointed
 LENGTH = 1024
 END = 2
 #: Bins that a packer keeps open at a time.
-OPEN_BINS = 256
+OPEN_BINS = 1024
 #: Packers whose open bins meet in one task of the next level.
 FAN_IN = 64
 
@@ -110,6 +110,19 @@ class BestFit:
         return {b: f for f, bins in enumerate(self.free) for b in bins}
 
 
+def add_all(fit: BestFit, sizes: list[int]) -> list[tuple[int, int]]:
+    """``(bin, offset)`` of every item, in the order given.
+
+    The packer looks at as many items together as it has open bins and takes those
+    largest first, which wastes least.
+    """
+    out: list[tuple[int, int]] = [(0, 0)] * len(sizes)
+    for at in range(0, len(sizes), fit.limit):
+        for i in sorted(range(at, min(at + fit.limit, len(sizes))), key=lambda i: -sizes[i]):
+            out[i] = fit.add(sizes[i])
+    return out
+
+
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("bin", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()),
@@ -124,27 +137,26 @@ def _packer(length: int, open_bins: int, carry_ids: bool, end: int, path: str |
         tail = array("I", [end]).tobytes()
         fit, base = BestFit(length, open_bins), TaskContext.get().partitionId() << 40
         for batch in batches:
-            out: list[list] = [[] for _ in PIECES]
+            cut = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encoder.encode(text) + tail
                 for piece, (start, size) in enumerate(pieces_of(ids, length)):
                     part = ids[4 * start:4 * (start + size)]
-                    bin_no, offset = fit.add(size)
-                    for column, value in zip(out, (doc_id, piece, start, size, zlib.crc32(part), base | bin_no, offset,
-                                                   part if carry_ids else None), strict=True):
-                        column.append(value)
+                    cut.append((doc_id, piece, start, size, zlib.crc32(part), part if carry_ids else None))
+            places = add_all(fit, [c[3] for c in cut])
+            rows = [(*c[:5], base | bin_no, offset, c[5]) for c, (bin_no, offset) in zip(cut, places, strict=True)]
+            out = list(zip(*rows, strict=True)) if rows else [[] for _ in PIECES]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, PIECES, strict=True)], schema=PIECES)
 
     return pack
 
 
 def _repack(length: int, open_bins: int):
-    """Bins of several packers as items of their filled size, largest first."""
+    """Bins of several packers as items of their filled size."""
     def pack(rows):
-        rows = rows.sort_values(["size", "bin"], ascending=[False, True])
-        fit, heads, to, at = BestFit(length, open_bins), {}, [], []
-        for size, bin_no in zip(rows["size"].tolist(), rows["bin"].tolist(), strict=True):
-            made, offset = fit.add(size)
+        rows = rows.sort_values("bin")
+        heads, to, at = {}, [], []
+        for bin_no, (made, offset) in zip(rows["bin"].tolist(), add_all(BestFit(length, open_bins), rows["size"].tolist()), strict=True):
             to.append(heads.setdefault(made, bin_no))
             at.append(offset)
         return rows.assign(into=to, at=at)[["bin", "into", "at"]]
