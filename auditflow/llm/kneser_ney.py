@@ -30,6 +30,8 @@ QUANTILE = 0.999
 PRIOR_WORDS = 20
 #: Weights that every task holds, at most; the rest is joined by a shuffle.
 HOT = 1 << 17
+#: One in so many trusted documents, by a hash of the id, is held out of training at every size.
+HOLD_OUT = 5
 _SLOTS = 19
 #: 64-bit words of the membership bitmap.
 _WORD_BITS = 17
@@ -262,16 +264,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
                    max_train_docs: int = MAX_TRAIN_DOCS, quantile: float = QUANTILE, hot: int = HOT) -> DataFrame:
     """One row per document: ``doc_id, row_key, lang, n_tokens, log10_prob, perplexity, level, threshold, kept``.
 
-    Trusted text is that of documents labelled ``quality = 1``; the model is trained on
-    at most ``max_train_docs`` of them, chosen by a hash of the id.  ``level`` is log10
-    perplexity with a few typical words added; a document is kept unless it exceeds the
-    quantile of the trusted documents of its language that were not trained on.  A
-    language without such documents takes the quantile over all languages; without any
-    trusted document nothing is rejected.  A null text is empty, a null language is a
+    Trusted text is that of documents labelled ``quality = 1``.  A fifth of them by a
+    hash of the id is held out; the model is trained on at most ``max_train_docs`` of the
+    others, chosen by another hash.  ``level`` is log10 perplexity with a few typical
+    words added; a document is kept unless it exceeds the quantile of the trusted
+    documents of its language that were not trained on.  A language without such
+    documents takes the quantile over all languages; without any trusted document
+    outside of training nothing is rejected.  A null text is empty, a null language is a
     language, a null id is never trusted; repeated rows get equal scores.
     """
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("t_id")).distinct()
-    chosen = checkpointed(trusted.orderBy(F.xxhash64("t_id"), "t_id").limit(max_train_docs))
+    open_to_training = trusted.where(F.pmod(F.xxhash64("t_id", F.lit(1)), F.lit(HOLD_OUT)) > 0)
+    chosen = checkpointed(open_to_training.orderBy(F.xxhash64("t_id"), "t_id").limit(max_train_docs))
     sample = docs.select(F.col(doc_id).cast("long").alias("t_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "t_id", "left_semi")
     grams = checkpointed(count_grams(sample.select("text")))
     weights, unknown = train(grams)

@@ -215,6 +215,15 @@ def test_quality_thresholds(spark, messy, nothing, data):
     assert kneser_ney.quality_scores(nothing, labels).count() == 0
 
 
+def test_thresholds_exist_at_the_default_bound(spark, documents, data):
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    junk = spark.createDataFrame([(10**6, "Xq9### " * 40 + "zz*** " * 40, "en")], "doc_id long, text string, lang string")
+    found = kneser_ney.quality_scores(documents.select("doc_id", "text", "lang").union(junk), labels).toPandas()
+    assert found.threshold.notna().all() and not found[found.doc_id == 10**6].kept.any()
+    judged = found.merge(labels.toPandas(), on="doc_id")
+    assert judged[judged.quality == 1].kept.mean() > 0.9
+
+
 def test_quantile_per_language(spark):
     rows = [("en", i / 100) for i in range(1, 101)] + [(None, 5.0)] + [("de", 2.0)] * 7
     got = {(r.every, r.lang): r.threshold for r in kneser_ney.thresholds(spark.createDataFrame(rows, "lang string, level double"), 0.9).collect()}
