@@ -21,9 +21,11 @@ from auditflow.llm.common import checkpointed, row_key
 
 ORDER = 3
 #: Trusted documents that the counts are taken from, at most; the bound of the model.
-MAX_TRAIN_DOCS = 1500
-#: Two-word and longer n-grams must occur this often in the trusted text to be kept.
+MAX_TRAIN_DOCS = 3000
+#: Two-word and longer n-grams must occur this often to be kept where ``train`` is not told otherwise.
 MIN_COUNT = 2
+#: The quality scores keep n-grams that occur once.
+KEEP_FROM = 1
 #: Share of trusted documents outside of training that must lie below the threshold of their language.
 QUANTILE = 0.999
 #: Every document is scored as if this many words of typical perplexity were added, which steadies short ones.
@@ -260,13 +262,33 @@ def thresholds(trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     return marked.where(F.col("upto") >= quantile * F.col("all")).groupBy("every", "lang").agg((F.min("step") / 10**GRID).alias("threshold"))
 
 
+def draw_per_language(trusted: DataFrame, most: int) -> DataFrame:
+    """``t_id`` of at most ``most`` rows ``t_id, lang``, in equal shares of the languages; what a small language leaves goes to the others.
+
+    A first cut by the hash leaves little more than the share of each language to be ranked.
+    """
+    sizes = checkpointed(trusted.groupBy("lang").agg(F.count("*").alias("n")))
+    left, share, languages = most, 0, sizes.groupBy("n").agg(F.count("*").alias("languages")).orderBy("n").collect()
+    open_languages = sum(r["languages"] for r in languages)
+    for r in languages:
+        share = left // open_languages
+        if r["n"] > share:
+            break
+        share, left, open_languages = r["n"], left - r["n"] * r["languages"], open_languages - r["languages"]
+    cut = F.lit(float(share + 8 * share**0.5 + 16)) / F.col("n")
+    unit = F.pmod(F.xxhash64("t_id"), F.lit(1 << 40)) / float(1 << 40)
+    sized = trusted.join(sizes.select(F.col("lang").alias("s_lang"), "n"), F.col("lang").eqNullSafe(F.col("s_lang"))).where(unit < cut)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(unit, "t_id"))
+    return sized.withColumn("rank", rank).where(F.col("rank") <= share).select("t_id")
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
                    max_train_docs: int = MAX_TRAIN_DOCS, quantile: float = QUANTILE, hot: int = HOT) -> DataFrame:
     """One row per document: ``doc_id, row_key, lang, n_tokens, log10_prob, perplexity, level, threshold, kept``.
 
     Trusted text is that of documents labelled ``quality = 1``.  A fifth of them by a
     hash of the id is held out; the model is trained on at most ``max_train_docs`` of the
-    others, chosen by another hash.  ``level`` is log10 perplexity with a few typical
+    others, in equal shares of the languages, chosen by another hash.  ``level`` is log10 perplexity with a few typical
     words added; a document is kept unless it exceeds the quantile of the trusted
     documents of its language that were not trained on.  A language without such
     documents takes the quantile over all languages; without any trusted document
@@ -275,10 +297,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     """
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("t_id")).distinct()
     open_to_training = trusted.where(F.pmod(F.xxhash64("t_id", F.lit(1)), F.lit(HOLD_OUT)) > 0)
-    chosen = checkpointed(open_to_training.orderBy(F.xxhash64("t_id"), "t_id").limit(max_train_docs))
+    spoken = docs.select(F.col(doc_id).cast("long").alias("t_id"), F.col(lang).cast("string").alias("lang")).join(open_to_training, "t_id", "left_semi")
+    spoken = checkpointed(spoken.groupBy("t_id").agg(F.min("lang").alias("lang")))
+    chosen = checkpointed(draw_per_language(spoken, max_train_docs))
     sample = docs.select(F.col(doc_id).cast("long").alias("t_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "t_id", "left_semi")
     grams = checkpointed(count_grams(sample.select("text")))
-    weights, unknown = train(grams)
+    weights, unknown = train(grams, KEEP_FROM)
     scored = checkpointed(score(docs, weights, unknown, doc_id, text, lang, hot))
     marks = trusted.join(chosen.withColumn("trained", F.lit(True)), "t_id", "left")
     known = scored.join(marks, scored.doc_id == marks.t_id, "left")

@@ -224,6 +224,14 @@ def test_thresholds_exist_at_the_default_bound(spark, documents, data):
     assert judged[judged.quality == 1].kept.mean() > 0.9
 
 
+def test_training_documents_per_language(spark):
+    rows = [(i, "en") for i in range(4000)] + [(10_000 + i, "de") for i in range(300)] + [(20_000 + i, None) for i in range(20)]
+    drawn = kneser_ney.draw_per_language(spark.createDataFrame(rows, "t_id long, lang string"), 500)
+    assert Counter(r.t_id // 10_000 for r in drawn.collect()) == {0: 240, 1: 240, 2: 20}
+    assert kneser_ney.draw_per_language(spark.createDataFrame(rows[3990:], "t_id long, lang string"), 3000).count() == 330
+    assert kneser_ney.MAX_TRAIN_DOCS >= 3000 and kneser_ney.KEEP_FROM == 1
+
+
 def test_quantile_per_language(spark):
     rows = [("en", i / 100) for i in range(1, 101)] + [(None, 5.0)] + [("de", 2.0)] * 7
     got = {(r.every, r.lang): r.threshold for r in kneser_ney.thresholds(spark.createDataFrame(rows, "lang string, level double"), 0.9).collect()}
