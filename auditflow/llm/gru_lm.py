@@ -4,8 +4,8 @@ A word is predicted in two steps, its class and the word within the class.  The
 frequent words share classes of equal size, and their words are told apart by the
 network; every other word is in a class by its ending, and there the share of a word
 follows from its count in the training text, so any text has a probability.  Counts
-cover all training documents and are joined to the documents by a shuffle; only the
-network's gradient steps go over a bounded share of them.
+cover all training documents and are joined to the documents by a shuffle; the
+network's gradient steps take each of them once, in rounds over disjoint slices.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ HEAD = HEAD_CLASSES * HEAD_WORDS
 #: Counts that every task holds, at most; the rest is joined by a shuffle.
 HOT_WORDS = 1 << 18
 _SLOTS = 20
-#: Gradient steps: rounds of averaging, share of the training words a round takes, and the least words it takes.
-ROUNDS, FIT_SHARE, FIT_WORDS = 3, 1 / 32, 1_000_000
+#: Rounds of averaging; together they take every training document once.
+ROUNDS = 3
 LANES, WINDOW = 64, 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(0x2545F4914F6CDD1D)
@@ -371,13 +371,17 @@ def _replica(model, rate: float):
         from pyspark import TaskContext
 
         lexicon, flat = model.value
-        taken = 0
+        taken, rest, rest_starts = 0, np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
         for batch in batches:
             t = Tokens(batch.column("text").to_pylist())
             starts = np.zeros(len(t.tokens), dtype=bool)
             starts[t.starts] = True
-            flat, words = fit(flat, lexicon.inputs(t)[t.tokens], starts, rate)
+            inputs, starts = np.concatenate((rest, lexicon.inputs(t)[t.tokens])), np.concatenate((rest_starts, starts))
+            flat, words = fit(flat, inputs, starts, rate)
+            rest, rest_starts = inputs[words:], starts[words:]  # what does not fill the lanes goes on to the next batch
             taken += words
+        flat, words = fit(flat, rest, rest_starts, rate)
+        taken += words
         if taken:
             cuts = np.linspace(0, SIZE, _PARTS + 1).astype(int)
             parts = [(flat[a:b].astype(float) * taken).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -393,18 +397,22 @@ def _sum_parts(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [rows["part"].iloc[0]], "words": [rows["words"].sum()], "sums": [total.tobytes()]})
 
 
-def train(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, share: float = FIT_SHARE, least: int = FIT_WORDS) -> np.ndarray:
+def slice_of(doc_id: Column, rounds: int) -> Column:
+    """The round that takes a document, by a hash of its id; slices are disjoint and cover all."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(rounds))
+
+
+def train(training: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> np.ndarray:
     """Rounds of gradient steps on replicas, one per task, whose parameters are averaged by words.
 
-    A round takes the documents of its own slice of a hash, about ``share`` of the words
-    of the training text, or ``least`` words if that is more.  Averages are added up in
-    two levels; the driver gets one set of parameters.
+    A round takes the documents of its own slice of a hash, so every training document
+    is taken once.  Averages are added up in two levels; the driver gets one set of
+    parameters.
     """
     spark = training.sparkSession
     flat = first_parameters(lexicon)
-    taken = min(1.0, max(share, least / max(lexicon.total, 1)))
     for turn in range(rounds):
-        chosen = training.where(F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(1 << 20)) < int(taken * (1 << 20))).select("text")
+        chosen = training.where(slice_of(F.col("doc_id"), rounds) == turn).select("text")
         model = spark.sparkContext.broadcast((lexicon, flat))
         parts = chosen.mapInArrow(_replica(model, 0.01 / (1 + turn)), "part int, replica int, words long, sums binary")
         some = parts.groupBy("part", F.pmod("replica", F.lit(64)).alias("some")).applyInPandas(_sum_parts, "part int, words long, sums binary")

@@ -534,6 +534,20 @@ def test_language_model_scores(spark, messy, nothing, documents, hot):
         assert gru_lm.score_documents(nothing).count() == 0
 
 
+def test_every_training_document_is_taken_once(spark, documents):
+    rows = documents.select("doc_id", "text").repartition(3)
+    turns = Counter(r[0] for r in rows.select(gru_lm.slice_of(F.col("doc_id"), gru_lm.ROUNDS)).collect())
+    assert set(turns) == set(range(gru_lm.ROUNDS)) and sum(turns.values()) == rows.count()
+    lexicon = gru_lm.Lexicon(gru_lm.word_counts(rows))
+    model = spark.sparkContext.broadcast((lexicon, gru_lm.first_parameters(lexicon)))
+    taken = 0
+    for turn in range(gru_lm.ROUNDS):
+        chosen = rows.where(gru_lm.slice_of(F.col("doc_id"), gru_lm.ROUNDS) == turn).select("text")
+        made = chosen.mapInArrow(gru_lm._replica(model, 0.01), "part int, replica int, words long, sums binary")
+        taken += sum(r.words for r in made.where("part = 0").collect())
+    assert taken == lexicon.total
+
+
 # --- 10 derivatives
 
 
