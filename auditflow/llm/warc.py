@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 #: Date of records whose source has none.
 EPOCH = "1970-01-01T00:00:00Z"
 
-_HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)")
+_HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(noscript|template)\b[^>]*>.*?</\2\s*>")
+#: The end tag of a head is optional: it ends at the body, or else after the last element that belongs to it.
+_HEAD = re.compile(r"(?is)<head\b[^>]*>(?:.*?(?:</head\s*>|(?=<body\b))|(?:\s*(?:<(?:meta|link|base)\b[^>]*>|<title\b[^>]*>.*?</title\s*>))*)")
 _BLOCK = re.compile(r"(?i)</?(?:p|div|br|hr|h[1-6]|ul|ol|li|dl|dt|dd|table|tr|td|th|section|article|aside|header|footer|nav|main|form|pre|blockquote|body|html)\b[^>]*>")
 _TAG = re.compile(r"<[/!?]?[A-Za-z][^>]*>|<![^>]*>")
 _BLANKS = re.compile(r"[^\S\n]+")
@@ -34,7 +36,7 @@ _LINK = re.compile(r"(?i)<(a|link|img|iframe|frame|area)\b[^>]*?\b(?:href|src)\s
 
 def plain_text(page: str) -> str:
     """Visible text, one line per block, entities resolved, runs of blanks as one."""
-    text = _HIDDEN.sub(" ", page)
+    text = _HEAD.sub(" ", _HIDDEN.sub(" ", page))
     text = _TAG.sub("", _BLOCK.sub("\n", text))
     text = _BLANKS.sub(" ", html.unescape(text))
     return _LINES.sub("\n", text).strip()
@@ -134,7 +136,9 @@ def derivatives(responses: DataFrame, with_record: bool = False) -> DataFrame:
     left out, a missing date is the epoch, a missing status ``200 OK``.  Repeated
     responses give repeated rows.  Record ids follow from the source id and the kind.
     ``record`` holds the serialized record if asked for, else null.  A broken page
-    gives what can be read: an open comment or script runs to the end.
+    gives what can be read: an open comment, script or style runs to the end, an open
+    head to the body or to the first element of one, an open noscript or template hides
+    its tag alone.
     """
     names = ["record_id", "target_uri", "date", "status", "headers", "payload"]
     digests = [(F.col(n) if n in responses.columns else F.lit(None)).cast("string").alias(n) for n in ("block_digest", "payload_digest")]

@@ -576,6 +576,13 @@ def test_derivatives_refer_to_their_source(spark):
     assert warc.derivatives(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<head><title>t</title><body>text", "<html><head><title>t</title><meta charset=x><p>text", "<head><script>'<body>x'</script><title>t</title></head><body>text",
+    "<body><noscript>text", "<template><p>text", "<noscript>x</noscript>text", "<head><title>t</title><BODY class=a><p>text</p>"])
+def test_open_tags_hide_no_text(page):
+    assert warc.plain_text(page) == "text"
+
+
 # --- queries
 
 
