@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditflow.llm import chat, exact_dedup, gru_lm, kneser_ney, mixing, packing, simhash, url_filter, voronoi, warc
+from auditflow.llm import chat, exact_dedup, gru_lm, kneser_ney, mixing, packing, prefix_trie, runs, simhash, token_counts, url_filter, voronoi, warc
 from auditflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,19 @@ def op10_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     return made.withColumnRenamed("key", "page_id").drop("record")
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(runs.with_planted_periods(table(spark, folder, "documents"))))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    said = prefix_trie.turn_sequences(table(spark, folder, "conversations"))
+    return prefix_trie.digests(prefix_trie.prefix_trie(prefix_trie.rebuilt(said)))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), limit=1024)
+
+
 EXACT_DEDUP_SQL = """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
            FROM documents),
@@ -78,6 +91,9 @@ QUERIES: dict[str, Query] = {
     "op8_pack": op8_pack,
     "op9_lm_score": op9_lm_score,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
@@ -86,4 +102,5 @@ ORACLES: dict[str, str] = {
     "op4_chat_format": chat.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
     "op6_top_k": voronoi.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
