@@ -9,7 +9,7 @@ of two places climbs and descends the levels instead of comparing words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -315,13 +315,17 @@ def with_planted_periods(docs: DataFrame) -> DataFrame:
         n = F.size(w).cast("long")
         a = g % n
         p = 1 + F.floor((n - a) / (3 + g % 8))
-        at = F.sequence(F.lit(0).cast("long"), n - 1)
-        picked = F.transform(at, lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
-        return F.array_join(picked, " ")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(w, a.cast("int") + 1, p.cast("int")), times))
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), F.slice(tail, F.lit(1), (n - a).cast("int"))), " ")
+
+    def once(make: Column, use: Callable[[Column], Column]) -> Column:
+        """``use(make)`` with the value made once."""
+        return F.transform(F.array(make), use)[0]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"), h.alias("h"))
     chosen = (F.col("h") % 10 == 0) & F.col("text").rlike(WORD)
-    return rows.select("doc_id", F.when(chosen, repeated(words, F.floor(F.col("h") / 10))).otherwise(F.col("text")).alias("text"))
+    return rows.select("doc_id", F.when(chosen, once(words, lambda w: repeated(w, F.floor(F.col("h") / 10)))).otherwise(F.col("text")).alias("text"))
 
 
 def digests(found: DataFrame) -> DataFrame:
