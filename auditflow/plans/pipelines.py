@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from auditflow.functions import text as X
 from auditflow.functions.canon import canonical_hash, idempotency_key, set_print, struct_hash
 from auditflow.functions.layout import js_length
-from auditflow.operators import annotations, extract, ledger, matching, ranges, receipts, report, targets, windows
+from auditflow.operators import annotations, batch, extract, matching, ranges, receipts, report, targets, windows
 from auditflow.operators.checks import valid_entities
 from auditflow.operators.tree import collect_named_values, flatten_tree
 from auditflow.session import checkpointed
@@ -278,11 +278,14 @@ def init_ledger(items: DataFrame, registry: DataFrame) -> DataFrame:
     """Items with their idempotency key, first state and the reason for it.
 
     ``registry`` (idempotency_key, status, verified_hash) is what earlier ledgers claimed.
+    An item that brings no fingerprint has no key yet and is pending.
     """
     key = idempotency_key(
         F.col("source_snapshot_hash"), F.col("template_snapshot_hash"), F.col("rule_pack_hash"), F.col("stable_identity"), F.col("catalog_scope"))
-    keyed = windows.first_wins(items.withColumn("idempotency_key", key), ["idempotency_key"], "item_id", [F.col("position")])
-    rows = keyed.join(registry, "idempotency_key", "left")
+    keyed = items.withColumn("idempotency_key", F.when(F.col("source_snapshot_hash").isNotNull(), key))
+    bare = keyed.where("idempotency_key IS NULL")
+    keyed = windows.first_wins(keyed.where("idempotency_key IS NOT NULL"), ["idempotency_key"], "item_id", [F.col("position")])
+    rows = keyed.join(registry.select("idempotency_key", "status", "verified_hash"), "idempotency_key", "left").unionByName(bare, allowMissingColumns=True)
     verified = F.col("status") == "verified"
     same = F.coalesce(F.col("verified_hash") == F.col("target_before_hash"), F.lit(False))
     state = (
@@ -295,15 +298,43 @@ def init_ledger(items: DataFrame, registry: DataFrame) -> DataFrame:
     return rows.withColumn("state", state).withColumn("reason", reason)
 
 
-def batch_ledger(items: DataFrame, registry: DataFrame, events: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Items with their current state after all events, and the rejected events."""
-    first = init_ledger(items, registry)
-    open_items = first.where("state = 'pending'").select("item_id")
-    made = ledger.ledger_decisions(events.join(open_items, "item_id", "left_semi"), order)
-    now = ledger.ledger_states(made, order)
-    out = first.withColumnRenamed("state", "first_state").join(now, "item_id", "left").withColumn(
-        "state", F.coalesce("state", "first_state")).withColumn("attempt", F.coalesce("attempt", F.lit(0)))
-    return out, made.where("NOT accepted")
+def identity_clashes(items: DataFrame) -> DataFrame:
+    """Items whose prospective identity and lock key are not bound one to one, by the first rule they break."""
+    pairs = items.select("item_id", "prospective", "lock_key").where("prospective IS NOT NULL AND lock_key IS NOT NULL")
+
+    def many(a: str, b: str, code: str) -> DataFrame:
+        bad = pairs.groupBy(a).agg(F.min(b).alias("low"), F.max(b).alias("high")).where("low <> high").select(a)
+        return pairs.join(bad, a, "left_semi").select("item_id", F.lit(code).alias("clash"))
+
+    both = many("prospective", "lock_key", "prospective_many_locks").union(many("lock_key", "prospective", "lock_many_prospectives"))
+    return both.groupBy("item_id").agg(F.max("clash").alias("clash"))
+
+
+def batch_ledger(items: DataFrame, registry: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items with state and reason after the whole batch, and every event with what came of it.
+
+    ``items`` (item_id, position, the fingerprint columns or null, target_before_hash,
+    resolved_template_id, stable_identity, catalog_scope, prospective, lock_key),
+    ``registry`` (idempotency_key, status, owner, verified_hash), ``events`` (seq, item_id,
+    op, evidence_ok, recovery, reason, the fingerprint columns, token, holder,
+    result_hash).  Items whose identities clash are held back: their events are not
+    taken.  All others start as ``init_ledger`` says and share the registry while they
+    run, so a claim, a drift or a verified result of one item decides about the next.
+    """
+    fingerprint = ["source_snapshot_hash", "template_snapshot_hash", "rule_pack_hash", "resolved_template_id"]
+    prints = struct_hash(*fingerprint)
+    first = checkpointed(init_ledger(items, registry).join(identity_clashes(items), "item_id", "left"))
+    start = first.select(
+        "item_id", F.col("state").alias("first_state"), F.coalesce("clash", "reason").alias("first_reason"), F.col("idempotency_key").alias("first_key"),
+        F.when(F.col("source_snapshot_hash").isNotNull(), prints).alias("first_identity"), F.col("target_before_hash").alias("first_target"), "clash")
+    about = first.where("clash IS NULL").select("item_id", "stable_identity", "catalog_scope")
+    key = idempotency_key(
+        F.col("source_snapshot_hash"), F.col("template_snapshot_hash"), F.col("rule_pack_hash"), F.col("stable_identity"), F.col("catalog_scope"))
+    shown = F.col("source_snapshot_hash").isNotNull()
+    asked = events.join(about, "item_id").withColumns({
+        "idempotency_key": F.when(shown, key), "identity": F.when(shown, prints), "target_before": F.col("target_before_hash")})
+    done = batch.replay_batch(start.where("clash IS NULL"), asked, registry)
+    return batch.final_states(start, done), done
 
 
 def state_print(df: DataFrame, keys: list[str], value: str = "value") -> Column:

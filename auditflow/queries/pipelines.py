@@ -201,26 +201,80 @@ def _(t):
     return report
 
 
-B_ITEMS = "SELECT o_orderkey AS item_id, o_orderkey AS position, 's' || CAST(o_custkey AS STRING) AS source_snapshot_hash, 't' AS template_snapshot_hash, 'r' AS rule_pack_hash, o_orderpriority AS stable_identity, 'whole_book' AS catalog_scope, o_orderstatus AS target_before_hash FROM orders"
-B_EVENTS = "SELECT l_orderkey AS item_id, l_linenumber*1000000000000 + l_partkey*100000 + l_suppkey AS seq, CASE l_linenumber WHEN 1 THEN 'planned' WHEN 2 THEN 'preflighted' WHEN 3 THEN 'applied' WHEN 4 THEN 'saved' WHEN 5 THEN 'verified' WHEN 6 THEN 'failed' ELSE 'needs_review' END AS to_state FROM lineitem"
-
-
-@query("L10_batch_ledger", f"""
-WITH RECURSIVE i AS ({B_ITEMS}), w AS (SELECT *, min(item_id) OVER (PARTITION BY source_snapshot_hash, stable_identity) AS win, CAST(substr(source_snapshot_hash, 2) AS BIGINT) AS c FROM i),
- s AS (SELECT item_id, CASE WHEN c % 10 = 0 THEN CASE WHEN target_before_hash = 'F' THEN 'verified_skip' ELSE 'conflict' END WHEN item_id <> win THEN 'conflict' WHEN c % 10 = 1 THEN 'conflict' ELSE 'pending' END AS st FROM w),
- e AS (SELECT v.*, row_number() OVER (PARTITION BY v.item_id ORDER BY seq) AS n FROM ({B_EVENTS}) v JOIN s ON s.item_id = v.item_id AND s.st = 'pending'), a(f, g) AS (VALUES {ALLOWED}),
- r(item_id, n, state) AS (SELECT DISTINCT item_id, CAST(0 AS BIGINT), 'pending' FROM e UNION ALL SELECT e.item_id, e.n, CASE WHEN a.f IS NOT NULL THEN e.to_state ELSE r.state END FROM r JOIN e ON e.item_id = r.item_id AND e.n = r.n + 1 LEFT JOIN a ON a.f = r.state AND a.g = e.to_state),
- f AS (SELECT s.item_id, coalesce((SELECT arg_max(r.state, r.n) FROM r WHERE r.item_id = s.item_id), s.st) AS state FROM s),
- d AS (SELECT unnest({R.ALL_STATES}) AS state)
-SELECT d.state, count(f.item_id) AS n FROM d LEFT JOIN f ON f.state = d.state GROUP BY 1""")
-def _(t):
+# A batch over orders: items of one customer share logical work.  Fixed shares of them drift, fail, repeat work or show a wrong token.
+B_ITEMS = """SELECT o_orderkey AS item_id, o_orderkey AS position, o_custkey AS g, CASE WHEN o_orderkey % 3 = 0 THEN 's' || CAST(o_custkey AS STRING) || '-' || CAST(o_orderkey % 2 AS STRING) END AS source_snapshot_hash,
+  't' AS template_snapshot_hash, 'r' AS rule_pack_hash, 'x' AS resolved_template_id, 'b' || CAST(o_custkey AS STRING) AS stable_identity, 'whole_book' AS catalog_scope, 'h' || CAST(o_orderkey % 3 AS STRING) AS target_before_hash,
+  'p' || CAST(o_custkey AS STRING) AS prospective, 'l' || CAST(CASE WHEN o_custkey % 40 = 7 AND o_orderkey % 4 = 0 THEN o_custkey + 1 ELSE o_custkey END AS STRING) AS lock_key FROM orders"""
+B_REGISTRY = """SELECT DISTINCT o_custkey AS g, 's' || CAST(o_custkey AS STRING) || '-0' AS source, CASE o_custkey % 10 WHEN 0 THEN 'verified' WHEN 1 THEN 'applied' ELSE 'superseded' END AS status,
+  'elsewhere' AS owner, CASE WHEN o_custkey % 10 = 0 THEN 'h0' END AS verified_hash FROM orders WHERE o_custkey % 10 <= 2"""
+B_EVENTS = """SELECT CAST(pos AS BIGINT) * 1000000000 + item_id AS seq, item_id, g, CASE WHEN x < 4 THEN 'failed' WHEN x < 7 THEN 'outcome_unknown' WHEN x = 7 THEN 'needs_review' WHEN x = 8 THEN 'conflict'
+    ELSE CASE pos % 6 WHEN 0 THEN 'planned' WHEN 1 THEN 'preflighted' WHEN 2 THEN 'authorize' WHEN 3 THEN 'applied' WHEN 4 THEN 'saved' ELSE 'verified' END END AS op,
+  x % 31 <> 30 AS evidence_ok, x % 2 = 0 AS recovery, 'because ' || CAST(x AS STRING) AS reason, 's' || CAST(g AS STRING) || '-' || CAST((item_id + CASE WHEN pos > 7 THEN 1 ELSE 0 END) % 2 AS STRING) AS source_snapshot_hash,
+  't' AS template_snapshot_hash, 'r' AS rule_pack_hash, CASE WHEN x % 23 = 22 THEN 'y' ELSE 'x' END AS resolved_template_id, 'h' || CAST(CASE WHEN x % 11 = 10 THEN 1 ELSE g % 2 END AS STRING) AS target_before_hash,
+  'k' || CAST(CASE WHEN x % 17 = 16 THEN 0 ELSE pos - pos % 6 END AS STRING) AS token, CASE WHEN x % 19 = 18 THEN 'o2|n2' ELSE 'o1|n1' END AS holder, 'h' || CAST(x % 2 AS STRING) AS result_hash
+FROM (SELECT o_orderkey AS item_id, o_custkey AS g, line * 3 + j AS pos, (o_orderkey * 7 + (line * 3 + j) * 13 + o_custkey) % 100 AS x
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber - 1 AS line FROM lineitem) AS l JOIN orders ON o_orderkey = l_orderkey CROSS JOIN (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2) AS three) AS made"""
+B_ALLOWED = """MAP {'pending': ['planned', 'needs_review', 'failed'], 'planned': ['preflighted', 'needs_review', 'conflict', 'failed', 'outcome_unknown'],
+  'preflighted': ['applied', 'needs_review', 'conflict', 'failed', 'outcome_unknown'], 'applied': ['saved', 'needs_review', 'conflict', 'failed', 'outcome_unknown'],
+  'saved': ['verified', 'needs_review', 'conflict', 'failed', 'outcome_unknown'], 'verified': [], 'verified_skip': [], 'needs_review': ['planned'], 'conflict': ['planned'], 'failed': ['planned'],
+  'outcome_unknown': ['applied', 'saved', 'verified', 'needs_review', 'failed']}"""
+_THING = "STRUCT(st VARCHAR, why VARCHAR, att BIGINT, rej BIGINT, key VARCHAR, ident VARCHAR, target VARCHAR, tok VARCHAR, tkey VARCHAR, holder VARCHAR)"
+_CLAIM = "STRUCT(status VARCHAR, owner VARCHAR, hash VARCHAR)"
+# One event of each customer a step: i is the item before it, k the record of the key it asks for.
+B_REPLAY = f"""
+WITH RECURSIVE i AS ({B_ITEMS}), q AS ({B_REGISTRY}),
+clash AS (SELECT item_id, max(CASE WHEN ls > 1 AND ps > 1 THEN 'prospective_many_locks' WHEN ls > 1 THEN 'prospective_many_locks' WHEN ps > 1 THEN 'lock_many_prospectives' END) AS clash
+  FROM (SELECT item_id, prospective, lock_key FROM i) JOIN (SELECT prospective, count(DISTINCT lock_key) AS ls FROM i GROUP BY 1) USING (prospective) JOIN (SELECT lock_key, count(DISTINCT prospective) AS ps FROM i GROUP BY 1) USING (lock_key) GROUP BY 1),
+w AS (SELECT i.*, clash, CASE WHEN i.source_snapshot_hash IS NOT NULL THEN min(item_id) OVER (PARTITION BY i.source_snapshot_hash) END AS win, q.status, q.verified_hash FROM i JOIN clash USING (item_id) LEFT JOIN q ON q.source = i.source_snapshot_hash),
+f AS (SELECT *, CASE WHEN status = 'verified' THEN CASE WHEN verified_hash = target_before_hash THEN 'verified_skip' ELSE 'conflict' END WHEN item_id <> win OR status = 'applied' THEN 'conflict' ELSE 'pending' END AS st,
+  CASE WHEN status = 'verified' THEN CASE WHEN verified_hash = target_before_hash THEN 'logical_work_already_verified' ELSE 'verified_identity_target_drift' END
+       WHEN item_id <> win THEN 'duplicate_logical_work_in_ledger' WHEN status = 'applied' THEN 'logical_work_claimed_elsewhere' END AS why FROM w),
+e AS (SELECT v.*, CAST(v.item_id AS VARCHAR) AS item, source_snapshot_hash || resolved_template_id AS ident, row_number() OVER (PARTITION BY g ORDER BY seq) AS n FROM ({B_EVENTS}) v JOIN (SELECT item_id FROM f WHERE clash IS NULL) USING (item_id)),
+r(g, n, its, ks, seq, item, accepted, now) AS (
+  SELECT g, CAST(0 AS BIGINT), map_from_entries(list((CAST(item_id AS VARCHAR), CAST(row(st, why, 0, 0, source_snapshot_hash, source_snapshot_hash || resolved_template_id, target_before_hash, NULL, NULL, NULL) AS {_THING})))),
+    coalesce((SELECT map_from_entries(list((source, CAST(row(status, owner, verified_hash) AS {_CLAIM})))) FROM q WHERE q.g = f.g), CAST(MAP {{}} AS MAP(VARCHAR, {_CLAIM}))), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BOOLEAN), CAST(NULL AS {_THING})
+  FROM f WHERE clash IS NULL GROUP BY g
+  UNION ALL
+  SELECT g, n, map_concat(its, MAP {{item: now}}), CASE WHEN accepted AND nk IS NOT NULL THEN map_concat(ks, MAP {{akey: nk}}) ELSE ks END, seq, item, accepted, now FROM (
+   SELECT *, CASE WHEN NOT accepted THEN struct_update(i, rej := i.rej + 1)
+      WHEN op = 'authorize' AND drift THEN struct_update(i, st := 'planned', why := 'pre_apply_fingerprint_drift', att := i.att + 1, tok := NULL)
+      WHEN op = 'authorize' THEN struct_update(i, tok := token, tkey := i.key, holder := holder, why := NULL)
+      WHEN op = 'preflighted' THEN struct_update(i, key := akey, ident := ident, target := target_before_hash, tok := NULL,
+        st := CASE verdict WHEN 'skip' THEN 'verified_skip' WHEN 'mine' THEN 'preflighted' ELSE 'conflict' END,
+        why := CASE verdict WHEN 'changed' THEN 'verified_identity_target_drift' WHEN 'conflict' THEN 'logical_work_claimed_elsewhere' END)
+      ELSE struct_update(i, st := op, why := CASE WHEN op IN ('needs_review', 'conflict', 'failed', 'outcome_unknown') THEN reason END, att := i.att + CASE WHEN op = 'planned' THEN 1 ELSE 0 END,
+        tok := CASE WHEN op = 'applied' OR i.st = 'outcome_unknown' THEN NULL ELSE i.tok END) END::{_THING} AS now,
+     CASE WHEN verdict <> 'mine' THEN NULL WHEN op = 'preflighted' AND (k IS NULL OR k.owner <> item) THEN CAST(row('preflighted', item, NULL) AS {_CLAIM})
+       ELSE CAST(row(CASE WHEN op = 'authorize' THEN CASE WHEN NOT drift THEN 'apply_authorized' WHEN ident <> i.ident THEN 'superseded' ELSE 'planned' END ELSE op END, k.owner, CASE WHEN op = 'verified' THEN result_hash ELSE k.hash END) AS {_CLAIM}) END AS nk
+   FROM (SELECT *, legal AND (op IN ('preflighted', 'planned') OR akey IS NULL OR verdict = 'mine') AS accepted FROM (
+    SELECT *, CASE WHEN op = 'preflighted' THEN CASE WHEN k IS NULL OR (k.status = 'superseded' AND k.owner <> item) OR (k.owner = item AND k.status IN ('planned', 'preflighted', 'apply_authorized')) THEN 'mine'
+        WHEN k.status = 'verified' THEN CASE WHEN k.hash = target_before_hash THEN 'skip' ELSE 'changed' END ELSE 'conflict' END
+      WHEN k.owner = item AND (op <> 'authorize' OR drift OR k.status IN ('planned', 'preflighted', 'apply_authorized')) THEN 'mine' ELSE 'foreign' END AS verdict FROM (
+     SELECT *, ks[akey] AS k, op = 'authorize' AND (ident IS DISTINCT FROM i.ident OR target_before_hash IS DISTINCT FROM i.target) AS drift FROM (
+      SELECT *, CASE WHEN op = 'preflighted' THEN source_snapshot_hash ELSE i.key END AS akey,
+        CASE WHEN op = 'authorize' THEN i.st = 'preflighted' ELSE list_contains(allowed[i.st], op) AND evidence_ok AND (i.st <> 'outcome_unknown' OR recovery)
+          AND (op <> 'applied' OR i.st = 'outcome_unknown' OR coalesce(i.tok = token AND i.tkey = i.key AND i.holder = holder, false)) END AS legal
+      FROM (SELECT r.g, e.n, e.seq, r.its, r.ks, e.item, e.op, e.evidence_ok, e.recovery, e.reason, e.source_snapshot_hash, e.ident, e.target_before_hash, e.token, e.holder, e.result_hash, r.its[e.item] AS i, {B_ALLOWED} AS allowed
+        FROM r JOIN e ON e.g = r.g AND e.n = r.n + 1)))))))"""
+
+
+def _batch(t):
     from auditflow.functions.canon import idempotency_key
-    key = idempotency_key(F.col("source_snapshot_hash"), F.col("template_snapshot_hash"), F.col("rule_pack_hash"), F.col("stable_identity"), F.col("catalog_scope"))
-    registry = t.sql(f"""SELECT DISTINCT source_snapshot_hash, template_snapshot_hash, rule_pack_hash, stable_identity, catalog_scope, CAST(substr(source_snapshot_hash, 2) AS BIGINT) % 10 AS k FROM ({B_ITEMS})""")
-    registry = registry.where("k <= 2").select(
-        key.alias("idempotency_key"), F.when(F.col("k") == 0, "verified").when(F.col("k") == 1, "applied").otherwise("superseded").alias("status"), F.when(F.col("k") == 0, "F").alias("verified_hash"))
-    items, _ = L.batch_ledger(t.sql(B_ITEMS), registry, t.sql(B_EVENTS), ["seq"])
-    return R.ledger_summary(items)[0]
+    registry = t.sql(B_REGISTRY).select(
+        idempotency_key(F.col("source"), F.lit("t"), F.lit("r"), F.concat(F.lit("b"), F.col("g").cast("string")), F.lit("whole_book")).alias("idempotency_key"), "status", "owner", "verified_hash")
+    return L.batch_ledger(t.sql(B_ITEMS).drop("g"), registry, t.sql(B_EVENTS).drop("g"))
+
+
+@query("L10_batch_ledger", f"""{B_REPLAY},
+l AS (SELECT item_id, coalesce((SELECT arg_max(r.now, r.n) FROM r WHERE r.item = CAST(f.item_id AS VARCHAR)), CAST(row(st, coalesce(clash, why), 0, 0, NULL, NULL, NULL, NULL, NULL, NULL) AS {_THING})) AS x FROM f)
+SELECT CAST(item_id AS VARCHAR) AS item_id, x.st AS state, x.why AS reason, x.att AS attempt, x.rej AS n_rejected FROM l""")
+def _(t):
+    return _batch(t)[0]
+
+
+@query("L10_batch_events", f"{B_REPLAY} SELECT seq, item AS item_id, now.st AS state, now.why AS reason, accepted FROM r WHERE n > 0")
+def _(t):
+    return _batch(t)[1].select("seq", "item_id", "state", "reason", "accepted")
 
 
 _STATE = """sha256('{"k":' || CAST(k AS STRING) || ',"value":' || CASE WHEN v IS NULL THEN 'null' ELSE '"' || v || '"' END || '}')"""
