@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditflow.functions.canon import FINGERPRINT_FIELDS, fingerprint_diff
@@ -13,7 +12,6 @@ from auditflow.operators import ranges
 from auditflow.operators.checks import explode_rules
 from auditflow.operators.fold import Machine, fold_events
 from auditflow.operators.report import ALL_STATES, EXCEPTION_STATES
-from auditflow.operators.graph import connected_components
 from auditflow.session import checkpointed
 
 # The states that may follow each state.
@@ -224,72 +222,89 @@ def lease_owners(decisions: DataFrame, order: list[str]) -> DataFrame:
 
 #: Names that an identity event binds to each other, in both directions.
 BINDINGS = [("prospective", "lock_key"), ("lock_key", "prospective"), ("prospective", "real_book"), ("real_book", "prospective")]
-#: As long as a round settles this share of what is left, another round follows.
+#: A round that settles less than this share of what is left is followed by one over chains.
 ROUND_SHARE = 0.25
 
 
-def _bind_in_order(rows: pd.DataFrame) -> pd.DataFrame:
-    """The rows of one group that no earlier kept row contradicts."""
-    bound: list[dict] = [{} for _ in BINDINGS]
-    rows = rows.sort_values("at")
-    kept = []
-    for row in rows[["prospective", "lock_key", "real_book"]].to_dict("records"):
-        pairs = [(owner, row[a], row[b]) for owner, (a, b) in zip(bound, BINDINGS, strict=True) if row[a] is not None and row[b] is not None]
-        kept.append(all(owner.get(a, b) == b for owner, a, b in pairs))
-        if kept[-1]:
-            for owner, a, b in pairs:
-                owner[a] = b
-    return rows.loc[kept, ["prospective", "lock_key", "real_book", "at"]]
-
-
-def _bind_by_group(left: DataFrame) -> DataFrame:
-    """Settle rows that wait for each other: names that are connected form a group, and a group is taken in order."""
-    name = lambda c: F.xxhash64(F.lit(c), F.col(c))
-    ends = left.select(*[F.when(F.col(c).isNotNull(), name(c)).alias(c) for c in ("prospective", "lock_key", "real_book")])
-    edges = ends.select("prospective", F.col("lock_key").alias("other")).union(ends.select("prospective", "real_book"))
-    groups = connected_components(edges, "prospective", "other")
-    rows = left.withColumn("node", F.coalesce(F.when(F.col("prospective").isNotNull(), name("prospective")), F.lit(0).cast("bigint")))
-    rows = rows.join(groups, "node", "left").withColumn("grp", F.coalesce("component", "node"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in left.schema)
-    return rows.select("grp", *left.columns).groupBy("grp").applyInPandas(_bind_in_order, kinds)
+def _earlier_clashes(left: DataFrame, a: str, b: str) -> DataFrame:
+    """``(at, before)``: of the earlier rows with the same ``a`` and another ``b``, the first two.
+
+    Per name the three earliest partners say it, with their first two places each, so a
+    name may have any number of rows.
+    """
+    pairs = left.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("a"), F.col(b).alias("b"), "at")
+    at = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("at"))
+    two = pairs.withColumn("n", at("a", "b")).where("n <= 2").groupBy("a", "b").agg(F.min("at").alias("at"), F.max("at").alias("next"))
+    three = two.withColumn("n", at("a")).where("n <= 3")
+    heads = three.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("at", "next", "b"))).alias("heads")).where(F.size("heads") > 1)
+    rows = pairs.join(heads, "a")
+    others = F.filter("heads", lambda h: h["b"] != F.col("b"))
+    places = F.flatten(F.transform(others, lambda h: F.array(h["at"], h["next"])))
+    return rows.select("at", F.slice(F.array_sort(F.array_distinct(F.filter(places, lambda p: p < F.col("at")))), 1, 2).alias("before"))
+
+
+def _settle_chains(left: DataFrame) -> DataFrame:
+    """``(at, keep)`` of all rows that follow from one first row through chains of single clashes.
+
+    A row with no earlier clash is kept; a row with exactly one is kept iff that one is
+    not.  Pointers to the earlier row are doubled until they reach the head of the chain,
+    so a chain of n rows takes log n steps; heads with several clashes stay open.
+    """
+    clashes = reduce(DataFrame.union, [_earlier_clashes(left, a, b) for a, b in BINDINGS])
+    clashes = clashes.select("at", F.explode("before").alias("before")).groupBy("at").agg(F.min("before").alias("low"), F.max("before").alias("high"))
+    rows = left.select("at").join(clashes, "at", "left")
+    steps = checkpointed(rows.select(
+        "at", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("at")).alias("to"), (F.col("low") == F.col("high")).alias("odd"),
+        F.col("low").isNull().alias("free")).withColumn("odd", F.coalesce("odd", F.lit(False))))
+    while True:
+        there = steps.select(F.col("at").alias("to"), F.col("to").alias("to2"), F.col("odd").alias("odd2"), F.col("free").alias("free2"))
+        jumped = steps.join(there, "to").select(
+            "at", F.col("to2").alias("to"), (F.col("odd") != F.col("odd2")).alias("odd"), F.col("free2").alias("free"), (F.col("to") != F.col("to2")).alias("moved"))
+        jumped = checkpointed(jumped)
+        steps = jumped.drop("moved")
+        if jumped.where("moved").isEmpty():
+            return steps.where("free").select("at", (~F.col("odd")).alias("keep"))
 
 
 def identity_bindings(events: DataFrame, order: str = "seq") -> tuple[DataFrame, DataFrame]:
     """Bindings prospective ↔ lock ↔ real book, one to one, first come first kept.
 
     Each round keeps every pair that is first in all its directions and drops pairs
-    that clash with a kept one; what is left goes into the next round.  Once rounds
-    settle little, the rest are chains in which each event waits for the one before,
-    and every connected group of names is taken in order, groups side by side.  The
-    result equals taking the events one by one.
+    that clash with a kept one; what is left goes into the next round.  Where rounds
+    settle little, rows wait for each other in chains, and a round settles whole chains
+    by doubling pointers.  No group of names is gathered in one task.  The result equals
+    taking the events one by one.
     """
     legal = F.coalesce(F.col("state").isin("pending", "planned"), F.lit(False))
     late = events.where(~legal)
     columns = ["prospective", "lock_key", "real_book"]
     left = checkpointed(events.where(legal).groupBy(*columns).agg(F.min(order).alias("at")))
-    kept = None
+    def owners(rows: DataFrame, i: int) -> DataFrame:
+        a, b = BINDINGS[i]
+        return rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias(f"_a{i}")).agg(F.min_by(b, "at").alias(f"_b{i}"))
+
+    kept, chains = None, False
     n_left = left.count()
     while n_left:
-        rows = left
-        first = F.lit(True)
-        for i, (a, b) in enumerate(BINDINGS):
-            owner = left.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias(f"_a{i}")).agg(
-                F.min_by(b, "at").alias(f"_b{i}"))
-            rows = rows.join(owner, F.col(a) == F.col(f"_a{i}"), "left")
-            first = first & (F.col(b).isNull() | F.col(a).isNull() | (F.col(b) == F.col(f"_b{i}")))
-        fresh = rows.where(first).select(*columns, "at")
-        kept = checkpointed(fresh if kept is None else kept.unionByName(fresh))
-        rest = left.join(kept.select("at"), "at", "left_anti")
+        if chains:
+            settled = _settle_chains(left)
+            fresh = left.join(settled.where("keep"), "at", "left_semi")
+            left = left.join(settled.where("NOT keep"), "at", "left_anti")
+        else:
+            fresh, first = left, F.lit(True)
+            for i, (a, b) in enumerate(BINDINGS):
+                fresh = fresh.join(owners(left, i), F.col(a) == F.col(f"_a{i}"), "left")
+                first = first & (F.col(b).isNull() | F.col(a).isNull() | (F.col(b) == F.col(f"_b{i}")))
+            fresh = fresh.where(first)
+        fresh = checkpointed(fresh.select(*columns, "at"))
+        rest = left.join(fresh.select("at"), "at", "left_anti")
         for i, (a, b) in enumerate(BINDINGS):
-            owner = kept.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias(f"_a{i}")).agg(
-                F.min_by(b, "at").alias(f"_b{i}"))
             clash = F.col(f"_b{i}").isNull() | F.col(b).isNull() | (F.col(f"_b{i}") == F.col(b))
-            rest = rest.join(owner, F.col(a) == F.col(f"_a{i}"), "left").where(clash)
+            rest = rest.join(owners(fresh, i), F.col(a) == F.col(f"_a{i}"), "left").where(clash)
+        kept = fresh if kept is None else kept.unionByName(fresh)
         left = checkpointed(rest.select(*columns, "at"))
         before, n_left = n_left, left.count()
-        if n_left > (1 - ROUND_SHARE) * before:
-            kept = checkpointed(kept.unionByName(_bind_by_group(left)))
-            break
+        chains = n_left > (1 - ROUND_SHARE) * before
     if kept is None:
         kept = left
     accepted = kept.select(*[F.col(c).alias(f"_{c}") for c in columns])

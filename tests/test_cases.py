@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from auditflow.functions import canon, layout, text
@@ -264,11 +265,15 @@ def test_composed_map_equals_stepping():
             assert composed.end(state) == now
 
 
-def test_identity_bindings_equal_taking_events_in_turn(spark):
+@pytest.mark.parametrize(("seed", "names", "share"), [(3, 8, 0.25), (4, 40, 0.9), (5, 25, 2.0)])
+def test_identity_bindings_equal_taking_events_in_turn(spark, monkeypatch, seed, names, share):
     import random
 
-    rng = random.Random(3)
-    events = [(n, f"p{rng.randrange(8)}", f"l{rng.randrange(8)}", rng.choice([None, f"b{rng.randrange(8)}"]), rng.choice(["planned", "pending", "saved"])) for n in range(60)]
+    # above a share of one, every round but the first is one over chains
+    monkeypatch.setattr(ledger, "ROUND_SHARE", share)
+    rng = random.Random(seed)
+    name = lambda kind: f"{kind}{rng.randrange(names)}"
+    events = [(n, name("p"), name("l"), rng.choice([None, name("b")]), rng.choice(["planned", "pending", "saved"])) for n in range(90)]
     df = spark.createDataFrame(events, "seq int, prospective string, lock_key string, real_book string, state string")
     kept, found = ledger.identity_bindings(df)
     lock, pro, book, back, accepted = {}, {}, {}, {}, set()
@@ -298,11 +303,11 @@ def test_hot_keys_with_equal_values_are_split(spark):
 
 
 def test_identity_chain_of_any_length(spark):
-    chain = [(n, f"p{(n + 1) // 2}", f"l{n // 2}", None, "planned") for n in range(1000)]
+    chain = [(n, f"p{(n + 1) // 2}", f"l{n // 2}", None, "planned") for n in range(100_000)]
     df = spark.createDataFrame(chain, "seq int, prospective string, lock_key string, real_book string, state string")
     kept, found = ledger.identity_bindings(df)
-    assert sorted(r.seq for r in kept.collect()) == list(range(0, 1000, 2))
-    assert sorted(int(r.entity_id) for r in found.collect()) == list(range(1, 1000, 2))
+    assert sorted(r.seq for r in kept.collect()) == list(range(0, 100_000, 2))
+    assert sorted(int(r.entity_id) for r in found.collect()) == list(range(1, 100_000, 2))
 
 
 def test_closure_of_any_depth(spark):
