@@ -26,11 +26,16 @@ def _unfold(df: DataFrame, keep: list[str], top: Column, below: Callable[[Column
         out = df.withColumn("_l0", top)
         for level in range(1, levels):
             out = out.withColumn(f"_l{level}", F.flatten(F.transform(F.col(f"_l{level - 1}"), below)))
-        parts.append(out.select(*keep, F.explode(F.concat(*[F.col(f"_l{d}") for d in range(levels)])).alias("_n")))
-        last = out.select(*keep, F.explode(f"_l{levels - 1}").alias("_n")).where(F.size(below(F.col("_n"))) > 0)
+        upper = [F.transform(f"_l{d}", lambda n: F.struct(n.alias("n"), F.lit(False).alias("more"))) for d in range(levels - 1)]
+        lowest = F.transform(f"_l{levels - 1}", lambda n: F.struct(n.alias("n"), (F.size(below(n)) > 0).alias("more")))
+        rows = out.select(*keep, F.explode(F.concat(*upper, lowest)).alias("_r"))
+        # written once, since both the result and the next pass read it
+        rows = checkpointed(rows.select(*keep, F.col("_r.n").alias("_n"), F.col("_r.more").alias("_more")))
+        parts.append(rows.select(*keep, "_n"))
+        last = rows.where("_more").select(*keep, "_n")
         if last.isEmpty():
             return reduce(DataFrame.union, parts)
-        df, top = checkpointed(last), below(F.col("_n"))
+        df, top = last, below(F.col("_n"))
 
 
 def flatten_tree(df: DataFrame, root: str, child: str = "child_list", name: str = "name", levels: int = LEVELS) -> DataFrame:

@@ -9,7 +9,6 @@ from auditflow.queries import query
 from auditflow.queries.extract import BINDING_SQL, CATALOG, OVERRIDE_ROWS, PLAN_BLOCKS, PLAN_MODULES, PLAN_RICH
 from auditflow.queries.joins import NORMAL, SCORE
 from auditflow.queries.reports import FOUND, SCALED
-from auditflow.queries.stateful import ALLOWED
 from auditflow.queries.validators import ELEMENTS, readback_inputs, target_tables
 from auditflow.sources.scans import with_document
 

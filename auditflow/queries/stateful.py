@@ -13,7 +13,14 @@ LEDGER = f"""
 SELECT item_id, at_ts, seq, CASE WHEN seq % 6 = 0 THEN 'outcome_unknown' WHEN seq % 31 = 0 THEN 'verified' ELSE to_state END AS to_state,
  CASE WHEN seq % 13 = 0 THEN '{{}}' ELSE '{{"fingerprint":{{}},"target_after_hash":"' || {HEX} || '","save_readback_hash":"' || {HEX} || '","result_hash":"' || {HEX} || '","provenance_hash":"' || {HEX} || '","receipt":"r","reason":"why","readback_recovery":' || CASE WHEN seq % 4 = 0 THEN 'true' ELSE 'false' END || '}}' END AS evidence
 FROM fx_ledger_event"""
-ALLOWED = ",".join(f"('{a}','{b}')" for a, bs in L.TRANSITIONS.items() for b in bs)
+# State, and the states that may follow it.
+ALLOWED = """('pending','planned'),('pending','needs_review'),('pending','failed'),
+ ('planned','preflighted'),('planned','needs_review'),('planned','conflict'),('planned','failed'),('planned','outcome_unknown'),
+ ('preflighted','applied'),('preflighted','needs_review'),('preflighted','conflict'),('preflighted','failed'),('preflighted','outcome_unknown'),
+ ('applied','saved'),('applied','needs_review'),('applied','conflict'),('applied','failed'),('applied','outcome_unknown'),
+ ('saved','verified'),('saved','needs_review'),('saved','conflict'),('saved','failed'),('saved','outcome_unknown'),
+ ('needs_review','planned'),('conflict','planned'),('failed','planned'),
+ ('outcome_unknown','applied'),('outcome_unknown','saved'),('outcome_unknown','verified'),('outcome_unknown','needs_review'),('outcome_unknown','failed')"""
 FOLD = f"""
 e AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY at_ts, seq) AS n, NOT (evidence = '{{}}' AND to_state NOT IN ('planned', 'pending')) AS ok FROM ({LEDGER})),
 a(f, g) AS (VALUES {ALLOWED}),
@@ -149,6 +156,20 @@ def _(t):
         found.select(F.col("entity_id").cast("bigint").alias("seq"), F.col("rule_code").alias("outcome")))
 
 
+# Each event shares one name with the one before and one with the next: a single chain through all of them.
+CHAIN = """SELECT event_id AS seq, 'p' || CAST(CAST(floor((event_id + 1) / 2) AS BIGINT) AS STRING) AS prospective, 'l' || CAST(CAST(floor(event_id / 2) AS BIGINT) AS STRING) AS lock_key,
+  CAST(NULL AS STRING) AS real_book, 'planned' AS state FROM events"""
+
+
+@query("J6_identity_chain", """
+SELECT event_id AS seq, CASE WHEN (event_id - first) % 2 = 0 THEN 'kept' ELSE 'identity_conflict' END AS outcome
+FROM (SELECT event_id, max(CASE WHEN before IS DISTINCT FROM event_id - 1 THEN event_id END) OVER (ORDER BY event_id) AS first FROM (SELECT event_id, lag(event_id) OVER (ORDER BY event_id) AS before FROM events))""")
+def _(t):
+    kept, found = L.identity_bindings(t.sql(CHAIN))
+    return kept.select(F.col("seq"), F.lit("kept").alias("outcome")).unionByName(
+        found.select(F.col("entity_id").cast("bigint").alias("seq"), F.col("rule_code").alias("outcome")))
+
+
 AUTH = "SELECT o_orderkey AS item_id, o_orderkey AS seq, o_custkey % 3 AS attempt, 'tok' || CAST(o_orderkey AS STRING) AS token, 'key' || CAST(o_custkey AS STRING) AS idempotency_key, 'own' || o_orderstatus AS lock_owner, 'n1' AS lock_nonce FROM orders"
 APPLY = """SELECT o_orderkey AS item_id, l_orderkey*1000000 + l_suppkey*10 + l_linenumber AS seq, o_custkey % 3 + CASE WHEN l_suppkey % 17 = 0 THEN 1 ELSE 0 END AS attempt,
  CASE WHEN l_suppkey % 13 = 0 THEN 'tokx' ELSE 'tok' || CAST(o_orderkey AS STRING) END AS token, 'key' || CAST(CASE WHEN l_suppkey % 11 = 0 THEN 0 ELSE o_custkey END AS STRING) AS idempotency_key,

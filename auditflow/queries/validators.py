@@ -9,6 +9,7 @@ from auditflow.operators import extract as E
 from auditflow.operators import provenance as P
 from auditflow.operators import receipts as R
 from auditflow.operators import rulepacks as U
+from auditflow.operators import seals
 from auditflow.operators import targets as T
 from auditflow.queries import query
 from auditflow.queries.extract import PLAN_SQL, plan
@@ -455,3 +456,35 @@ SOURCE_BLOCKS = "SELECT p_partkey AS resource_id, p_partkey % CASE WHEN p_size =
     ("block_unknown", "source_book_id IS NOT NULL AND book_id IS NULL"), ("book_mismatch", "source_book_id <> book_id"), ("catalog_mismatch", "source_catalog_id <> catalog_id")]), f"l AS ({LOCATORS}), b AS ({SOURCE_BLOCKS})"))
 def _(t):
     return tally(T.locator_resolution(t.sql(LOCATORS), t.sql(SOURCE_BLOCKS)))
+
+
+# Ledgers of the orders of a customer.  The seal is taken of the sound ledger; fixed shares then lose their order, an item, a field or the seal itself.
+def _ledger_sql(agg: str, sha: str) -> tuple[str, str]:
+    item = "'{\"item_id\":\"' || CAST(o_orderkey AS STRING) || '\",\"state\":\"' || o_orderstatus || '\"}'"
+    skill = "'{\"name\":\"s\",\"rule_pack_hash\":\"sha256:' || repeat('a', 64) || '\"}'"
+    sealed = f"""SELECT c AS ledger, t, {sha.format(f"""'{{"created_at":"c","items":[' || j || '],"ledger_id":"L' || CAST(c AS STRING) || '","schema_version":2,"skill":' || {skill} || ',"updated_at":"u"}}'""")} AS seal
+ FROM (SELECT c, c % 11 AS t, coalesce({agg}, '') AS j FROM (SELECT c_custkey AS c, o_orderkey, {item} AS item FROM customer LEFT JOIN orders ON o_custkey = c_custkey) AS o GROUP BY c) AS g"""
+    heads = f"""SELECT ledger, CASE t WHEN 1 THEN '[]' WHEN 2 THEN '{{' ELSE '{{"schema_version":' || CASE t WHEN 3 THEN '1' ELSE '2' END || ',"ledger_id":"' || CASE t WHEN 4 THEN ' ' ELSE 'L' || CAST(ledger AS STRING) END
+ || '","skill":' || CASE t WHEN 5 THEN '"none"' WHEN 6 THEN '{{"rule_pack_hash":"x"}}' ELSE {skill} END || ',"updated_at":"u", "created_at":"' || CASE t WHEN 7 THEN 'd' ELSE 'c' END
+ || '","integrity_hash":"' || CASE t WHEN 8 THEN 'md5:' || seal ELSE 'sha256:' || seal END || '"}}' END AS head FROM ({sealed}) AS s"""
+    items = f"""SELECT o_custkey AS ledger, CASE o_custkey % 11 WHEN 9 THEN -o_orderkey ELSE o_orderkey END AS position, CASE WHEN o_custkey % 11 = 10 AND o_orderkey % 4 = 0 THEN {item.replace('o_orderstatus', "'?'")} ELSE {item} END AS item
+ FROM orders UNION ALL SELECT -1, 1, '{{}}'"""
+    return heads, items
+
+
+_HEADS, _ITEMS = _ledger_sql("string_agg(item, ',' ORDER BY o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL)", "sha256({})")
+
+
+@query("V12_ledger_seal", f"""
+WITH h AS ({_HEADS}), i AS ({_ITEMS}), a AS (SELECT ledger, string_agg(item, ',' ORDER BY position) AS j FROM i GROUP BY 1),
+v AS (SELECT coalesce(h.ledger, a.ledger) AS ledger, head, coalesce(h.ledger % 11, -1) AS t, j FROM h FULL JOIN a ON a.ledger = h.ledger),
+k AS (SELECT *, t NOT IN (-1, 1, 2) AS known, CASE WHEN t NOT IN (-1, 1, 2) THEN 'sha256:' || sha256('{{"created_at":' || (head::JSON->'created_at') || ',"items":[' || coalesce(j, '') || '],"ledger_id":' || (head::JSON->'ledger_id') || ',"schema_version":'
+  || (head::JSON->'schema_version') || ',"skill":' || (head::JSON->'skill') || ',"updated_at":' || (head::JSON->'updated_at') || '}}') END AS seal, CASE WHEN t NOT IN (-1, 1, 2) THEN head::JSON->>'integrity_hash' END AS said FROM v)
+SELECT * FROM (SELECT CAST(ledger AS STRING) AS entity_id, unnest([CASE WHEN head IS NULL THEN 'ledger_missing' END, CASE WHEN t IN (1, 2) THEN 'ledger_not_object' END, CASE WHEN t = 3 THEN 'schema_version' END,
+  CASE WHEN t = 4 THEN 'ledger_id' END, CASE WHEN t = 5 THEN 'skill_not_object' END, CASE WHEN t = 6 THEN 'rule_pack_hash' END, CASE WHEN known AND j IS NULL THEN 'items_empty' END,
+  CASE WHEN t = 8 THEN 'integrity_form' END, CASE WHEN known AND t <> 8 AND said <> seal THEN 'integrity_mismatch' END]) AS rule_code FROM k) WHERE rule_code IS NOT NULL""")
+def _(t):
+    heads, items = _ledger_sql("listagg(item, ',') WITHIN GROUP (ORDER BY o_orderkey)", "sha2({}, 256)")
+    # of customers without orders the one empty row is no item
+    heads = heads.replace("listagg(item", "listagg(CASE WHEN o_orderkey IS NOT NULL THEN item END")
+    return seals.validate_ledger_heads(t.sql(heads), t.sql(items)).select("entity_id", "rule_code")
