@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from auditflow.functions.text import compact_text, normalize_name, normalize_path, normalize_volume
 from auditflow.operators import ranges
 from auditflow.operators.checks import explode_rules
+from auditflow.operators.tree import collect_named_values
 from auditflow.session import checkpointed
 
 # Points of the source score.
@@ -365,6 +366,52 @@ def artifact_closure(starts: DataFrame, edges: DataFrame) -> DataFrame:
         frontier = fresh
 
 
+def normal_path(path: Column) -> Column:
+    """A path without empty, ``.`` and resolvable ``..`` steps; what leaves its start keeps leading ``..``."""
+    def step(done: Column, part: Column) -> Column:
+        back = (part == "..") & (F.size(done) > 0) & (F.coalesce(F.element_at(done, -1), F.lit("")) != "..")
+        return F.when(part.isin("", "."), done).when(back, F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(part)))
+
+    return F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
+
+
+def file_references(files: DataFrame, root: str = "/work", keys: tuple[str, ...] = ("artifact", "evidence_artifact")) -> DataFrame:
+    """``(src, dst)``: files that a JSON file names at any depth, as paths below ``root``.
+
+    ``files (path, raw)`` with paths below the root.  A reference is taken from the
+    folder of the file that holds it; an absolute one counts from the root if it lies
+    there.  What leaves the root keeps its ``..`` or its leading slash.
+    """
+    docs = files.select(F.col("path").alias("src"), F.try_parse_json("raw").alias("doc")).where("doc IS NOT NULL")
+    named = collect_named_values(docs, "doc", list(keys)).where(F.schema_of_variant("value") == "STRING")
+    said = named.select("src", F.try_variant_get("value", "$", "string").alias("said"))
+    return said.select("src", _resolved(F.regexp_replace("src", "[^/]*$", ""), F.col("said"), root).alias("dst")).distinct()
+
+
+def _resolved(folder: Column, said: Column, root: str) -> Column:
+    base = root.rstrip("/") + "/"
+    absolute = F.concat(F.lit("/"), normal_path(said))
+    inside = F.when(absolute.startswith(base), F.substring(absolute, F.lit(len(base) + 1), F.length(absolute))).otherwise(absolute)
+    return F.when(said.startswith("/"), inside).otherwise(normal_path(F.concat(folder, said)))
+
+
+def file_closure(starts: DataFrame, files: DataFrame, root: str = "/work") -> DataFrame:
+    """Every file that a start reaches through references: ``root, node, depth, status``.
+
+    ``starts (root, node)`` names the first files, ``files (path, raw)`` all of them.
+    ``status`` is ``ok``, ``escape`` for what leaves the root, ``missing`` or
+    ``invalid_json``; only sound files are followed, and cycles end where they close.
+    """
+    first = starts.select("root", _resolved(F.lit(""), F.col("node"), root).alias("node"))
+    edges = file_references(files, root)
+    reached = artifact_closure(first, edges)
+    about = files.groupBy("path").agg(F.max(F.try_parse_json("raw").isNotNull()).alias("sound")).withColumnRenamed("path", "node")
+    node = F.col("node")
+    escaped = (node == "..") | node.startswith("../") | node.startswith("/")
+    return reached.join(about, "node", "left").select("root", "node", "depth", F.when(escaped, "escape").when(F.col("sound").isNull(), "missing").when(
+        ~F.col("sound"), "invalid_json").otherwise("ok").alias("status"))
+
+
 def plan_modules(expected: DataFrame, existing: DataFrame) -> DataFrame:
     """Action per element; a page is ready only if none of its elements is blocked."""
     linked = existing.select("element_id").distinct().withColumn("linked", F.lit(True))

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditflow.operators.checks import is_id_disguise, is_id_kind, is_identifier_only, violations
 from auditflow.session import checkpointed
 
 #: Levels that one projection expands; how often it is applied follows from the data.
@@ -93,6 +94,44 @@ def json_nodes(df: DataFrame, doc: str, levels: int = LEVELS) -> DataFrame:
     return rows.select(*keep, "_n.path", "_n.key", "_n.depth", F.col("_n.node").alias("value"), is_leaf.alias("is_leaf"))
 
 
+def identifier_only(df: DataFrame, doc: str, levels: int = LEVELS) -> DataFrame:
+    """The rows of ``df`` without ``doc``, with ``identifier_only``: does the value hold nothing but identifiers?
+
+    A list or an object does if all its members do, and a member under a key that names
+    an identifier does by its key alone; so a value fails by one open scalar anywhere
+    below it, and the walk leaves out what such keys cover.  Numbers and null are
+    identifiers, truth values are not, a text is judged by its form.  ``doc`` is VARIANT;
+    a null ``doc`` is the value null.  Rows must differ in their other columns.
+    """
+    open_members = lambda node: F.filter(
+        F.map_entries(F.try_variant_get(node, "$", "map<string,variant>")), lambda e: ~is_id_kind(e["key"]))
+
+    def below(node: Column) -> Column:
+        return F.coalesce(
+            F.transform(open_members(node), lambda e: e["value"]), F.try_variant_get(node, "$", "array<variant>"), F.array().cast("array<variant>"))
+
+    keep = [c for c in df.columns if c != doc]
+    top = F.when(F.col(doc).isNotNull(), F.array(doc)).otherwise(F.array().cast("array<variant>"))
+    nodes = _unfold(df, keep, top, below, levels)
+    kind = F.schema_of_variant(F.col("_n"))
+    shown = (kind == "BOOLEAN") | ((kind == "STRING") & ~is_identifier_only(F.try_variant_get("_n", "$", "string")))
+    bad = nodes.where(shown).select(*keep).distinct().withColumn("_shown", F.lit(True))
+    same = reduce(Column.__and__, [df[c].eqNullSafe(bad[c]) for c in keep])
+    return df.join(bad, same, "left").select(*[df[c] for c in keep], F.col("_shown").isNull().alias("identifier_only"))
+
+
+def evidence_disguise(df: DataFrame, entity: str, column: str) -> DataFrame:
+    """Evidence values, as JSON text of any depth, that are or hold nothing but identifiers; what is no JSON is a text."""
+    text = F.coalesce(column, F.lit("null"))
+    rows = df.select(F.col(entity).alias("entity_id"), F.coalesce(F.try_parse_json(text), F.try_parse_json(F.to_json(F.array(text)))).alias("doc"), F.try_parse_json(text).isNull().alias("bare"))
+    doc = F.when(F.col("bare"), F.try_variant_get("doc", "$[0]", "variant")).otherwise(F.col("doc"))
+    rows = rows.select("entity_id", doc.alias("doc"))
+    said = F.when(F.schema_of_variant("doc") == "STRING", F.try_variant_get("doc", "$", "string"))
+    spoofed = rows.where(is_id_disguise(said))
+    only = identifier_only(rows, "doc").where("identifier_only")
+    return violations(spoofed, "entity_id", f"{column}_id_disguise").union(violations(only, "entity_id", f"{column}_identifier_only"))
+
+
 def collect_named_values(df: DataFrame, doc: str, keys: list[str], levels: int = LEVELS) -> DataFrame:
     """All values under any of the keys at any depth, inside matched values too."""
     return json_nodes(df, doc, levels).where(F.col("key").isin(keys))

@@ -37,17 +37,44 @@ SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'the slot_id of ' || text WHEN 1 THEN
   WHEN 3 THEN '插槽' || lang WHEN 4 THEN 'block 12' ELSE text END AS claim FROM documents"""
 
 
+# Fixed value: words that give away a runtime identifier.
+SPOOF = r"(?i)(^|[^a-z0-9])(?:slot|slot_id|element_id|block_id|node_id|source_id|template_id|runtime_id|identifier)(?:[^a-z0-9]|$)"
+
+
 @query("P3_id_disguise", r"""
 WITH c AS (""" + CLAIMS + r""")
 SELECT CAST(doc_id AS STRING) AS entity_id, 'claim_id_disguise' AS rule_code, 'error' AS severity, 'claim id disguise' AS message
 FROM c WHERE regexp_matches(claim, 'SPOOF_PATTERN')
   OR regexp_matches(claim, '插槽|槽位') OR trim(claim) = '' OR regexp_matches(trim(claim), '^\d+$')
   OR regexp_matches(trim(claim), '(?i)^[a-z][a-z0-9_.:-]*$')
-  OR regexp_matches(trim(claim), '(?i)^(?:slot|element|block|source|template|node|id)[\s:_#-]*[a-z0-9_.:-]+$')""".replace("SPOOF_PATTERN", K.SPOOF))
+  OR regexp_matches(trim(claim), '(?i)^(?:slot|element|block|source|template|node|id)[\s:_#-]*[a-z0-9_.:-]+$')""".replace("SPOOF_PATTERN", SPOOF))
 def _(t):
     return K.id_disguise(t.sql(CLAIMS), "doc_id", ["claim"])
 
 
+# Evidence 2 to 12 levels deep, of one leaf in lists and objects; keys that name an identifier cover what is below them.
+EVIDENCE = """
+SELECT doc_id, CASE doc_id % 13 WHEN 0 THEN '{"block_id":' || nested || '}' WHEN 1 THEN '{"element_id":"free words","n":[1,' || nested || ']}' WHEN 2 THEN '[' || nested || ',"more free words"]' ELSE nested END AS claim
+FROM (SELECT doc_id, repeat('{"claim":[', CAST(1 + doc_id % 6 AS INT)) || CASE doc_id % 10 WHEN 0 THEN '12' WHEN 1 THEN '"slot-7"' WHEN 2 THEN '"A full sentence"' WHEN 3 THEN 'true' WHEN 4 THEN 'null'
+   WHEN 5 THEN '{"source_id":"a full sentence"}' WHEN 6 THEN '{}' WHEN 7 THEN '[[],{"note":"two words","x":1}]' WHEN 8 THEN '{"slot_name":{"deep":["not seen"]},"k":[]}' ELSE '"' || lang || '"' END
+   || repeat(']}', CAST(1 + doc_id % 6 AS INT)) AS nested FROM documents) AS made
+UNION ALL SELECT -1 - item_id, CASE item_id % 3 WHEN 0 THEN 'the slot_id of it' WHEN 1 THEN '"about the element_id"' ELSE text END FROM benchmark"""
+
+
+@query("P3_nested_evidence", r"""
+WITH e AS (""" + EVIDENCE + r"""),
+p AS (SELECT doc_id, claim, CASE WHEN json_valid(claim) THEN claim::JSON ELSE to_json(claim) END AS j FROM e),
+t AS (SELECT p.doc_id, j.type, j.atom->>'$' AS said, j.fullkey FROM p, json_tree(p.j) AS j),
+shown AS (SELECT DISTINCT doc_id FROM t WHERE (type = 'BOOLEAN' OR (type = 'VARCHAR' AND NOT (trim(said) = '' OR regexp_matches(trim(said), '^\d+$') OR regexp_matches(trim(said), '(?i)^[a-z][a-z0-9_.:-]*$')
+    OR regexp_matches(trim(said), '(?i)^(?:slot|element|block|source|template|node|id)[\s:_#-]*[a-z0-9_.:-]+$'))))
+  AND NOT EXISTS (SELECT 1 FROM (SELECT unnest(string_split(replace(fullkey, '"', ''), '.')) AS k) WHERE regexp_matches(regexp_replace(k, '\[\d+\]', '', 'g'), '(^|_)(id|ids)(_|$)|(source|template|element|block|slot|node)_?(id|key|name)$|^(slot|slot_name|source_id|template_source_id)$')))
+SELECT CAST(doc_id AS STRING) AS entity_id, 'claim_identifier_only' AS rule_code FROM p WHERE doc_id NOT IN (SELECT doc_id FROM shown)
+UNION ALL SELECT CAST(doc_id AS STRING), 'claim_id_disguise' FROM p WHERE json_type(j) = 'VARCHAR' AND regexp_matches(j->>'$', 'SPOOF_PATTERN')""".replace("SPOOF_PATTERN", SPOOF))
+def _(t):
+    from auditflow.operators.tree import evidence_disguise
+    return evidence_disguise(t.sql(EVIDENCE), "doc_id", "claim").select("entity_id", "rule_code")
+
+
 @query("P4_check_enum", """
 SELECT CAST(o_orderkey AS STRING) AS entity_id, 'o_orderstatus_invalid' AS rule_code, 'error' AS severity, o_orderstatus AS message
 FROM orders WHERE o_orderstatus NOT IN ('F', 'O')""")
