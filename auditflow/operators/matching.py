@@ -71,9 +71,12 @@ def match_source(query: DataFrame, candidates: DataFrame, lists: DataFrame) -> D
 
 
 def rank_candidates(scored: DataFrame, key: str = "query_id") -> DataFrame:
-    """Position of each candidate by falling score, then by id."""
-    ordered = scored.withColumn("_neg", -F.col("score"))
-    return ranges.numbered(ordered, [key], ["_neg", "candidate_id"], "rank").drop("_neg")
+    """Position of each candidate by falling score, then by id in the order of the Unicode collation.
+
+    Ids that the collation holds for equal follow in binary order.
+    """
+    ordered = scored.withColumns({"_neg": -F.col("score"), "_id": F.collate(F.col("candidate_id").cast("string"), "UNICODE")})
+    return ranges.numbered(ordered, [key], ["_neg", "_id", "candidate_id"], "rank").drop("_neg", "_id")
 
 
 def unique_top(scored: DataFrame, confirmations: DataFrame | None = None, key: str = "query_id") -> DataFrame:
@@ -95,12 +98,42 @@ def unique_top(scored: DataFrame, confirmations: DataFrame | None = None, key: s
     return out.join(legal, key, "left")
 
 
-def _substrings(name: Column) -> Column:
-    """All proper, non-empty pieces of a name."""
-    n = F.length(name)
-    starts = F.sequence(F.lit(1), n)
-    return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(name, i, k)))))
+GRAM = 3
+
+
+def _grams(name: Column, short: bool) -> Column:
+    """The distinct pieces of ``GRAM`` characters of a name, and with ``short`` also all shorter ones; at most three rows a character."""
+    def pieces(chars: Column) -> Column:
+        def at(i: Column, n: int) -> Column:
+            return F.when(i + n <= F.size(chars), F.array_join(F.slice(chars, i + 1, n), ""))
+
+        sizes = range(1, GRAM + 1) if short else [GRAM]
+        every = F.transform(F.sequence(F.lit(0), F.size(chars) - 1), lambda i: F.array(*[at(i, n) for n in sizes]))
+        return F.filter(F.array_distinct(F.flatten(every)), lambda g: g.isNotNull())
+
+    # the characters are made once and not once per place
+    return F.transform(F.array(F.split(name, "")), pieces)[0]
+
+
+def contained_names(needles: DataFrame, names: DataFrame) -> DataFrame:
+    """``(needle, name)``: distinct needles that are a proper piece of a name.
+
+    A needle is looked up by the one of its pieces of three characters that the fewest
+    names have, or by itself if it is shorter; what that finds is then compared in full.
+    Rows grow with the characters, not with their square.  Null and empty texts contain
+    nothing and are contained in nothing.
+    """
+    needles = needles.select(F.col(needles.columns[0]).alias("needle")).where("needle <> ''").distinct()
+    names = names.select(F.col(names.columns[0]).alias("name")).where("name <> ''").distinct()
+    spread = checkpointed(names.select("name", F.explode(_grams(F.col("name"), short=True)).alias("gram")))
+    held = spread.groupBy("gram").agg(F.count("*").alias("n"))
+    whole = F.length("needle") < GRAM
+    asked = needles.select("needle", F.explode(F.when(whole, F.array("needle")).otherwise(_grams(F.col("needle"), short=False))).alias("gram"))
+    # a needle with a piece that no name has is in none
+    rarest = asked.join(held, "gram", "left").groupBy("needle").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).where("r.n > 0").select("needle", F.col("r.gram").alias("gram"))
+    longer = F.length("name") > F.length("needle")
+    return rarest.join(spread, "gram").where(longer & F.contains("name", "needle")).select("needle", "name")
 
 
 def recall_top(query: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -127,10 +160,8 @@ def recall_top(query: DataFrame, candidates: DataFrame) -> DataFrame:
 
     q_names = q.select("q_book").where("q_book IS NOT NULL").distinct()
     c_names = c.select("c_book").where("c_book IS NOT NULL").distinct()
-    inside_c = c_names.select("c_book", F.explode(_substrings(F.col("c_book"))).alias("q_book")).where(
-        "q_book <> c_book").join(q_names, "q_book", "left_semi")
-    inside_q = q_names.select("q_book", F.explode(_substrings(F.col("q_book"))).alias("c_book")).where(
-        "q_book <> c_book").join(c_names, "c_book", "left_semi")
+    inside_c = contained_names(q_names, c_names).select(F.col("name").alias("c_book"), F.col("needle").alias("q_book"))
+    inside_q = contained_names(c_names, q_names).select(F.col("name").alias("q_book"), F.col("needle").alias("c_book"))
 
     places = F.explode(F.array(*[
         F.when(ok, F.struct(F.lit(kind).alias("kind"), value.alias("value"), F.lit(points).alias("points")))

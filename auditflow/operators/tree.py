@@ -7,10 +7,10 @@ next pass, until there are none, so a document may be nested to any depth.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditflow.operators.checks import is_id_disguise, is_id_kind, is_identifier_only, violations
@@ -159,3 +159,66 @@ def structural_diff(before: DataFrame, after: DataFrame, keys: list[str], doc: s
         F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
     )
     return merged.where(~F.col("before").eqNullSafe(F.col("after"))).withColumn("change", change)
+
+
+def identified_nodes(df: DataFrame, doc: str, ids: Sequence[str], levels: int = LEVELS) -> DataFrame:
+    """Objects of a VARIANT document that carry an identity, with the identity of the nearest one above.
+
+    ``kind`` is the first of the fields ``ids`` that holds a text or a number, ``id`` its
+    text; ``at`` is the place in document order.
+    """
+    def identity(node: Column) -> Column:
+        named = [F.when(~F.schema_of_variant(F.coalesce(F.try_variant_get(node, f"$.{k}", "variant"), F.parse_json(F.lit("null")))).rlike("^(OBJECT|ARRAY|VOID|BOOLEAN)"),
+                        F.struct(F.lit(k).alias("kind"), F.try_variant_get(node, f"$.{k}", "string").alias("id"))) for k in ids]
+        return F.coalesce(*named)
+
+    def below(p: Column) -> Column:
+        above = F.coalesce(identity(p["node"]), p["owner"])
+        child = lambda node, i: F.struct(F.concat(p["at"], F.array(i)).alias("at"), above.alias("owner"), node.alias("node"))
+        return F.coalesce(
+            F.transform(F.map_entries(F.try_variant_get(p["node"], "$", "map<string,variant>")), lambda e, i: child(e["value"], i)),
+            F.transform(F.try_variant_get(p["node"], "$", "array<variant>"), child), F.array().cast("array<struct<at:array<int>,owner:struct<kind:string,id:string>,node:variant>>"))
+
+    keep = [c for c in df.columns if c != doc]
+    none = F.lit(None).cast("struct<kind:string,id:string>")
+    top = F.array(F.struct(F.array().cast("array<int>").alias("at"), none.alias("owner"), F.col(doc).alias("node")))
+    rows = _unfold(df, keep, top, below, levels).withColumn("_id", identity(F.col("_n.node"))).where("_id IS NOT NULL")
+    return rows.select(*keep, "_id.kind", "_id.id", F.col("_n.owner").alias("owner"), F.col("_n.at").alias("at"), F.col("_n.node").alias("node"))
+
+
+def identity_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], ids: Sequence[str], doc: str = "doc") -> DataFrame:
+    """What became of each identified node between two versions of a document.
+
+    ``change`` is ``lost`` or ``new``, ``repeated`` if a version has the identity more
+    than once, ``moved`` if it stands under another identity or in another order among
+    those that stayed under the same one, else ``kept``.  ``fields`` are the own fields
+    with a plain value that differ.  A path plays no part, so a node that only has other
+    nodes before it now is kept.
+    """
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        rows = identified_nodes(df.select(*keys, doc), doc, ids)
+        plain = F.map_filter(F.try_variant_get("node", "$", "map<string,variant>"), lambda k, v: ~F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
+        return rows.select(*keys, "kind", "id", F.lit(tag).alias("side"), "owner", "at", F.transform_values(plain, lambda k, v: F.to_json(v)).alias("said"))
+
+    pick = lambda tag, c: F.max_by(c, F.when(F.col("side") == tag, F.col("at")))
+    count = lambda tag: F.count(F.when(F.col("side") == tag, 1))
+    met = side(before, "b").unionByName(side(after, "a")).groupBy(*keys, "kind", "id").agg(
+        count("b").alias("n_b"), count("a").alias("n_a"), *[pick(s, c).alias(f"{c}_{s}") for s in "ba" for c in ("owner", "at", "said")])
+    stays = (F.col("n_b") == 1) & (F.col("n_a") == 1) & F.col("owner_b").eqNullSafe(F.col("owner_a"))
+    among = lambda s: F.row_number().over(Window.partitionBy(*keys, "stays", "owner_b").orderBy(f"at_{s}"))
+    placed = met.withColumn("stays", stays)
+    ranked = placed.where("stays").withColumns({"rank_b": among("b"), "rank_a": among("a")})
+    placed = ranked.unionByName(placed.where("NOT stays"), allowMissingColumns=True)
+    change = (F.when(F.col("n_a") == 0, "lost").when(F.col("n_b") == 0, "new").when((F.col("n_a") > 1) | (F.col("n_b") > 1), "repeated")
+              .when(~F.col("stays") | (F.col("rank_a") != F.col("rank_b")), "moved").otherwise("kept"))
+    names = F.array_sort(F.array_distinct(F.concat(F.map_keys("said_b"), F.map_keys("said_a"))))
+    fields = F.filter(names, lambda k: ~F.try_element_at("said_b", k).eqNullSafe(F.try_element_at("said_a", k)))
+    both = (F.col("n_a") > 0) & (F.col("n_b") > 0)
+    return placed.select(*keys, "kind", "id", change.alias("change"), F.when(both, fields).alias("fields"))
+
+
+def identity_losses(diff: DataFrame, entity: str) -> DataFrame:
+    """Violations of identities that did not survive: lost, or no longer unique."""
+    what = F.concat_ws(":", "kind", "id")
+    return violations(diff.where("change = 'lost'"), entity, "identity_lost", what).union(
+        violations(diff.where("change = 'repeated'"), entity, "identity_repeated", what))

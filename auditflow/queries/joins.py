@@ -135,6 +135,26 @@ def _(t):
     return M.rank_candidates(scored(t)).select("query_id", "candidate_id", "score", "rank")
 
 
+ACCENTS = """SELECT CAST(c_nationkey AS STRING) AS query_id, c_custkey % 3 AS score, CASE c_custkey % 7 WHEN 0 THEN 'é' WHEN 1 THEN 'E' WHEN 2 THEN 'e' WHEN 3 THEN 'Zu' WHEN 4 THEN 'z' WHEN 5 THEN 'É' ELSE 'ß-' END || CAST(c_custkey % 90 AS STRING)
+  || CASE WHEN c_custkey % 4 = 0 THEN 'A' ELSE 'a' END || CAST(c_custkey AS STRING) AS candidate_id FROM customer"""
+
+
+@query("F1_rank_collated", f"SELECT query_id, candidate_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, candidate_id COLLATE en, candidate_id) AS rank FROM ({ACCENTS})")
+def _(t):
+    return M.rank_candidates(t.sql(ACCENTS)).select("query_id", "candidate_id", "score", "rank")
+
+
+# Names of up to some thousand characters: texts, pieces of them and short words.
+LONG_NAMES = "SELECT text AS name FROM documents WHERE n_chars <= 3000"
+PIECES = """SELECT substring(text, CAST(1 + doc_id % 40 AS INT), CAST(1 + doc_id % 300 AS INT)) AS needle FROM documents UNION ALL SELECT lang FROM documents UNION ALL SELECT substring(text, 1, 2) FROM benchmark UNION ALL SELECT text || '?' FROM benchmark"""
+
+
+@query("C9_contained_names", f"""
+SELECT needle, sha256(name) AS name FROM (SELECT DISTINCT needle FROM ({PIECES})) JOIN (SELECT DISTINCT name FROM ({LONG_NAMES})) ON contains(name, needle) AND length(name) > length(needle) WHERE needle <> ''""")
+def _(t):
+    return M.contained_names(t.sql(PIECES), t.sql(LONG_NAMES)).select("needle", F.sha2("name", 256).alias("name"))
+
+
 @query("F2_unique_top", f"""
 WITH {SCORED}, b AS (SELECT query_id, max(score) FILTER (WHERE eligible) AS top_score FROM scored GROUP BY 1),
  n AS (SELECT b.query_id, b.top_score, count(candidate_id) AS n_top, min(candidate_id) AS cid FROM b LEFT JOIN scored s ON s.query_id = b.query_id AND s.eligible AND s.score = b.top_score GROUP BY 1, 2),

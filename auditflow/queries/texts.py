@@ -243,3 +243,28 @@ def _(t):
                 '"book_id":"d"', CASE WHEN o_orderkey % 4 = 0 THEN '"book_id":"e"' ELSE '"book_id":"d"' END)) AS doc FROM changed"""
     t.sql(ORDER_DOCS.replace("'note', 'n'", "'note', CASE WHEN o_orderkey % 3 = 0 THEN 'm' ELSE 'n' END")).createOrReplaceTempView("changed")
     return tree.structural_diff(t.sql(ORDER_DOCS), t.spark.sql(rename), ["o_orderkey"])
+
+
+# Two versions of a page.  Of each seven, one is unchanged, one has a block before the others, one an element in another block, one two blocks
+# in the other order, one lost an element, one repeats an anchor and one says something else.
+def _page(first: str = "", one: str = "{B1}", two: str = "{B2}", three: str = '{"uuid":"b3","text":"x","n":1}', modules: str = '{"anchor":"m1"},{"anchor":"m2"}') -> str:
+    b1 = '{"uuid":"b1","text":"x","elements":[{"elementId":"e1","t":1},{"elementId":"e2","t":2}]}'
+    b2 = '{"uuid":"b2","elements":[{"elementId":"e3"},{"deep":{"list":[[{"elementId":"e4"}]]}}]}'
+    return ('{"blocks":[' + first + one + "," + two + "," + three + '],"modules":[' + modules + "]}").replace("{B1}", b1).replace("{B2}", b2)
+
+
+AFTER = [
+    _page(), _page(first='{"uuid":"b0"},'), _page(one='{"uuid":"b1","text":"x","elements":[{"elementId":"e2","t":2}]}', two='{"uuid":"b2","elements":[{"elementId":"e3"},{"elementId":"e1","t":1},{"deep":{"list":[[{"elementId":"e4"}]]}}]}'),
+    _page(one="{B2}", two="{B1}"), _page(two='{"uuid":"b2","elements":[{"elementId":"e3"}]}'), _page(modules='{"anchor":"m1"},{"anchor":"m2"},{"anchor":"m1"}'), _page(three='{"uuid":"b3","text":"y","m":1}')]
+
+
+@query("C20_identity_survival", """
+WITH ids(kind, id) AS (VALUES ('uuid', 'b1'), ('uuid', 'b2'), ('uuid', 'b3'), ('elementId', 'e1'), ('elementId', 'e2'), ('elementId', 'e3'), ('elementId', 'e4'), ('anchor', 'm1'), ('anchor', 'm2'), ('uuid', 'b0')),
+odd(c, id, change, fields) AS (VALUES (1, 'b0', 'new', NULL), (2, 'e1', 'moved', ''), (3, 'b1', 'moved', ''), (3, 'b2', 'moved', ''), (4, 'e4', 'lost', NULL), (5, 'm1', 'repeated', ''), (6, 'b3', 'kept', 'm,n,text'))
+SELECT o_orderkey, kind, ids.id, coalesce(odd.change, 'kept') AS change, CASE WHEN odd.c IS NULL THEN '' ELSE odd.fields END AS fields
+FROM orders CROSS JOIN ids LEFT JOIN odd ON odd.c = o_orderkey % 7 AND odd.id = ids.id WHERE ids.id <> 'b0' OR o_orderkey % 7 = 1""")
+def _(t):
+    after = F.element_at(F.array(*[F.lit(a) for a in AFTER]), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    before = t.orders.select("o_orderkey", F.parse_json(F.lit(_page())).alias("doc"))
+    found = tree.identity_diff(before, t.orders.select("o_orderkey", F.parse_json(after).alias("doc")), ["o_orderkey"], ["uuid", "elementId", "anchor"])
+    return found.select("o_orderkey", "kind", "id", "change", F.array_join("fields", ",").alias("fields"))

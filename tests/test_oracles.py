@@ -10,7 +10,7 @@ NAMES = sorted(registry._QUERIES)
 # Queries whose plans cut hot keys into ranges; run again with a tiny limit.
 RANGED = [
     "C4_attach_rich_text", "C5_zip_by_position", "C8_next_block_of", "C14_match_existing", "D2_plan_by_page", "E2_recent_topics",
-    "E3_next_matching", "E6_illegal_transitions", "E11_assign_rows", "F1_rank_candidates", "J1_ledger_state_machine",
+    "E3_next_matching", "E6_illegal_transitions", "E11_assign_rows", "F1_rank_candidates", "F1_rank_collated", "J1_ledger_state_machine",
     "J1_ledger_rejections", "J2_claim_registry", "J5_lease_handover", "B18_apply_overrides", "L4_course_variants",
 ]
 
