@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from auditflow.functions.canon import canonical_hash, idempotency_key, page_content_hash
 from auditflow.operators import annotations as A
+from auditflow.operators import packs as PD
 from auditflow.operators import extract as E
 from auditflow.operators import provenance as P
 from auditflow.operators import receipts as R
@@ -488,3 +489,60 @@ def _(t):
     # of customers without orders the one empty row is no item
     heads = heads.replace("listagg(item", "listagg(CASE WHEN o_orderkey IS NOT NULL THEN item END")
     return seals.validate_ledger_heads(t.sql(heads), t.sql(items)).select("entity_id", "rule_code")
+
+
+# One sound pack, and what is wrong with each of the others: text to replace, what it becomes, the codes and paths that follow.
+_EVIDENCE = '[{"class":"semantic","kind":"text_role","claim":"the main title of a page","observation":"large type above the list"},{"class":"structure","kind":"layout","claim":"first in its column","observation":"nothing stands above it"}]'
+_SELECTOR = '{"role":"title of the lesson","cardinality":{"min":1,"max":null},"evidence":' + _EVIDENCE + '}'
+_CHECK = '{"id":"kept","intent":"text stays","severity":"error","required_capabilities":["editor_read"]}'
+PACK = ('{"schema_version":1,"identity":{"skill_name":"a-skill","display_name":"A skill","version":"1.0.0","status":"draft","book_family":"readers"},"applicability":{"intent":"lessons","include":{"any":[1]}},'
+        '"templates":{"default":{"template_id":7,"intent":"plain","snapshot_hash":null,"anchors":[{"kind":"heading","value":"x"}]},"variants":[{"template_id":"t","intent":"two","id":"two","priority":1,"when":"two columns"}]},'
+        '"defaults":{"style_policy":"none","on_missing":"stop","on_ambiguous":"skip"},"rules":[{"id":"first","order":1,"intent":"move it","when":"always","scope":{"intent":"all"},"source":' + _SELECTOR + ',"target":' + _SELECTOR.replace('"title of', '"heading of')
+        + ',"action":{"type":"atomic_sequence","intent":"all at once","required_capabilities":["editor_write"],"steps":[{"type":"copy","intent":"copy it","required_capabilities":["editor_copy"]}]},"on_missing":"stop","on_ambiguous":"stop","validate":[' + _CHECK + ']}],"acceptance":['
+        + _CHECK + '],"training":{"feedback":[{"id":"f1","classification":"instance_fix","summary":"one page","confirmed":true}],"examples":[{"id":"e1","kind":"positive","description":"a page","rule_ids":["first"]}]},"forward_tests":[{"id":"t1","source_label":"book","status":"pending"}]}')
+_R, _T = "$.rules[0]", "$.templates"
+PACK_FAULTS = [
+    ("", "", []),
+    ('{"schema_version":1,', '{"schema_version":2,"extra":0,', [("field_domain", "$.schema_version"), ("field_unknown", "$.extra")]),
+    ('"skill_name":"a-skill","display_name":"A skill"', '"skill_name":"A_Skill","display_name":" "', [("field_domain", "$.identity.skill_name"), ("field_blank", "$.identity.display_name")]),
+    ('"applicability":{"intent":"lessons","include":{"any":[1]}}', '"applicability":{"include":[],"only":1}', [("field_missing", "$.applicability.intent"), ("field_type", "$.applicability.include"), ("field_unknown", "$.applicability.only")]),
+    ('"snapshot_hash":null', '"snapshot_hash":"sha256:1"', [("field_domain", f"{_T}.default.snapshot_hash")]),
+    ('{"kind":"heading","value":"x"}', '{"kind":"block_id","intent":"aid"},{"kind":"source_id","value":1,"optional":true},{"kind":"Bad","value":null,"note":1}', [("field_missing", f"{_T}.default.anchors[0].value"),
+        ("anchor_runtime_id", f"{_T}.default.anchors[0]"), ("anchor_id_not_optional", f"{_T}.default.anchors[0]"), ("anchor_id_without_intent", f"{_T}.default.anchors[1]"), ("field_domain", f"{_T}.default.anchors[2].kind"), ("field_unknown", f"{_T}.default.anchors[2].note")]),
+    ('"variants":[{"template_id":"t","intent":"two","id":"two","priority":1,', '"variants":[{"template_id":"t","intent":"two","id":"two","priority":1.5,"when":"x"},{"template_id":true,"intent":"two","id":"two","priority":2,', [
+        ("field_type", f"{_T}.variants[0].priority"), ("field_type", f"{_T}.variants[1].template_id"), ("id_duplicate", f'{_T}.variants "two"')]),
+    ('"style_policy":"none","on_missing":"stop"', '"style_policy":null,"module_policy":"odd","on_missing":"later"', [("field_type", "$.defaults.style_policy"), ("field_domain", "$.defaults.module_policy"), ("field_domain", "$.defaults.on_missing")]),
+    ('"role":"heading of the lesson","cardinality":{"min":1,"max":null},"evidence":' + _EVIDENCE, '"role":"heading of the lesson","cardinality":{"min":1,"max":null}', [("field_missing", f"{_R}.target.evidence")]),
+    ('"heading of the lesson","cardinality":{"min":1,"max":null},"evidence":[{"class":"semantic","kind":"text_role","claim":"the main title of a page","observation":"large type above the list"}',
+     '"heading of the lesson","cardinality":{"min":3,"max":2},"evidence":[{"class":"semantic","kind":"text_role","intent":"old shape","value":"old value"}', [("cardinality_order", f"{_R}.target.cardinality"),
+        ("field_unknown", f"{_R}.target.evidence[0].intent"), ("field_unknown", f"{_R}.target.evidence[0].value"), ("field_missing", f"{_R}.target.evidence[0].claim"), ("field_missing", f"{_R}.target.evidence[0].observation")]),
+    ('"role":"heading of the lesson"', '"role":"main slot: title-source"', [("role_id_disguise", f"{_R}.target")]),
+    ('"role":"title of the lesson","cardinality":{"min":1,"max":null},"evidence":[{"class":"semantic","kind":"text_role","claim":"the main title of a page"', '"role":"title of the lesson","cardinality":{"min":-1,"max":"2"},"evidence":[{"class":"structure","kind":"element_id","claim":"match element_id abc as the title"', [
+        ("claim_id_disguise", f"{_R}.source.evidence[0]"), ("evidence_kind_is_id", f"{_R}.source.evidence[0]"), ("semantic_evidence_missing", f"{_R}.source.evidence"), ("field_too_small", f"{_R}.source.cardinality.min"), ("field_type", f"{_R}.source.cardinality.max")]),
+    ('"role":"title of the lesson",', '"optional_fingerprints":[{"kind":"source_id","value":"source-1","intent":"auxiliary only"}],"role":"title of the lesson",', []),
+    ('"role":"title of the lesson",', '"optional_fingerprints":[{"kind":"color","value":{},"intent":""},7],"role":"title of the lesson",', [("fingerprint_kind_not_id", f"{_R}.source.optional_fingerprints[0]"),
+        ("field_type", f"{_R}.source.optional_fingerprints[0].value"), ("field_blank", f"{_R}.source.optional_fingerprints[0].intent"), ("field_type", f"{_R}.source.optional_fingerprints[1]")]),
+    ('"steps":[{"type":"copy"', '"style_policy":"odd","parameters":{"a":{"b":1}},"steps":[{"type":"atomic_sequence","intent":"x","required_capabilities":[]},{"type":"copy","steps":[],"tool":"x"', [("field_domain", f"{_R}.action.style_policy"),
+        ("steps_missing", f"{_R}.action.steps[0]"), ("field_too_small", f"{_R}.action.steps[0].required_capabilities"), ("steps_forbidden", f"{_R}.action.steps[1]"), ("field_too_small", f"{_R}.action.steps[1].steps"), ("field_unknown", f"{_R}.action.steps[1].tool")]),
+    ('"steps":[{"type":"copy","intent":"copy it","required_capabilities":["editor_copy"]}]', '"steps":' + '[{"type":"atomic_sequence","intent":"x","required_capabilities":["a"],"steps":' * 9 + '[{"type":"copy","intent":"x","required_capabilities":["a","a"]}]' + "}]" * 9, [
+        ("action_depth", f"{_R}.action" + ".steps[0]" * 9), ("capability_duplicate", f"{_R}.action" + ".steps[0]" * 10 + '.required_capabilities "a"')]),
+    ('"acceptance":[', '"acceptance":[{"id":"kept","intent":"again","severity":"fatal","required_capabilities":["Bad"]},', [("id_duplicate", '$.acceptance "kept"'), ("field_domain", "$.acceptance[0].severity"), ("field_domain", "$.acceptance[0].required_capabilities[0]")]),
+    ('"confirmed":true', '"confirmed":"yes","resolved":true,"promoted_to_rule_ids":["first","gone"]', [("field_type", "$.training.feedback[0].confirmed"), ("feedback_resolution", "$.training.feedback[0]"), ("reference_unknown_rule", "$.training.feedback[0].promoted_to_rule_ids[1]")]),
+    ('"status":"pending"', '"status":"passed"', [("forward_evidence_required", "$.forward_tests[0]")]),
+    ('"status":"draft"', '"status":"validated"', [("execution_required", "$"), ("template_hash_required", f"{_T}.default"), ("template_hash_required", f"{_T}.variants[0]"), ("forward_tests_too_few", "$.forward_tests")]),
+    ('"status":"draft"', '"status":"trial_approved"', [("execution_required", "$"), ("template_hash_required", f"{_T}.default"), ("template_hash_required", f"{_T}.variants[0]")]),
+    ('"forward_tests":[', '"execution":{"capability_snapshot":{},"trial_approval":{"approved":true,"evidence":[]},"forward_cases":[],"more":1},"forward_tests":[', [("field_unknown", "$.execution.more"), ("approval_evidence_empty", "$.execution.trial_approval")]),
+    (PACK, "[]", [("field_type", "$")]),
+]
+
+
+def _pack_cases() -> str:
+    rows = [f"({n}, '{code}', '{path}')" for n, (_, _, faults) in enumerate(PACK_FAULTS) for code, path in faults]
+    return f"c(n, rule_code, message) AS (VALUES {', '.join(rows)})"
+
+
+@query("V2_pack_documents", f"WITH {_pack_cases()} SELECT CAST(doc_id AS STRING) AS entity_id, rule_code, message FROM documents JOIN c ON c.n = doc_id % {len(PACK_FAULTS)}")
+def _(t):
+    texts = F.array(*[F.lit(PACK.replace(old, new, 1) if old else PACK) for old, new, _ in PACK_FAULTS])
+    packs = t.documents.select(F.col("doc_id").alias("pack_id"), F.parse_json(F.element_at(texts, (F.col("doc_id") % len(PACK_FAULTS) + 1).cast("int"))).alias("doc"))
+    return PD.validate_pack_documents(packs).select("entity_id", "rule_code", "message")
