@@ -36,7 +36,8 @@ class Encoder:
 
     The ranks of the vocabulary give the same ids as the tokenizer several times
     faster; they are used where both are known to split a text alike, on texts of
-    plain Latin letters.  Names of special tokens inside a text are ordinary text.
+    plain Latin letters that hold no name of an added token.  Such a name inside a text
+    is that token, as the tokenizer has it by default.
     """
 
     def __init__(self, path: str | None = None, ranks: str | None = None):
@@ -45,13 +46,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or vocabulary())
-        self.tokenizer.encode_special_tokens = True
+        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.names = re.compile("|".join(names) or r"(?!)")
         with open(ranks or vocabulary("byte_bpe_50k.tiktoken"), "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if _PLAIN.match(text):
+        if _PLAIN.match(text) and not self.names.search(text):
             ids = self.fast.encode_ordinary(text)
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids

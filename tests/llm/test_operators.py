@@ -440,9 +440,8 @@ def test_packing_holds_every_token_once(spark, messy, nothing, documents):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.vocabulary())
-    tokenizer.encode_special_tokens = True
     docs = documents.select("doc_id", "text").where("doc_id <> 1").union(messy.select("doc_id", "text")).union(
-        spark.createDataFrame([(501, "<|endoftext|> I'm\u00a0here\u2003now  \n\n x\u4e2d\u6587 \u0301"), (502, "a" * 5000)], "doc_id long, text string"))
+        spark.createDataFrame([(501, "<|endoftext|> I'm\u00a0here\u2003now  \n\n x\u4e2d\u6587 \u0301"), (502, "a" * 5000), (503, "plain <|endoftext|> text")], "doc_id long, text string"))
     found = packing.best_fit_pack(docs.repartition(5), carry_ids=True, open_bins=8).toPandas()
     want = Counter()
     for r in docs.collect():
