@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditflow.session import checkpointed
+from auditflow.session import checkpointed, work_folder
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "checkpointed", "keep_rows", "keyed", "one_of_each", "row_key", "split_by_keys", "table", "text_of", "word_count"]
+__all__ = ["LOWER", "UPPER", "WORD", "Shelf", "ascii_lower", "checkpointed", "keep_rows", "keyed", "one_of_each", "row_key", "split_by_keys", "table", "text_of", "word_count"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -80,3 +82,24 @@ def keep_rows(docs: DataFrame, judged: DataFrame) -> DataFrame:
     sure, open_rows = split_by_keys(rows, name, judged.where("NOT kept OR rows > 1").select("row_key"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return sure.select(*columns).union(one_of_each(open_rows, name, judged.where("kept")).select(*columns))
+
+
+class Shelf:
+    """Tables in a new folder of the shared one, dropped as soon as nothing needs them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, work_folder(spark)
+
+    def put(self, name: str, rows: DataFrame) -> DataFrame:
+        """The rows, written once; whatever made them is not needed again."""
+        rows.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables, and let Spark's cleaner delete the shuffle files of what made them."""
+        context = self.spark.sparkContext
+        for name in names:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        context._jvm.System.gc()

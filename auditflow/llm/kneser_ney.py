@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditflow.llm.common import checkpointed, row_key
+from auditflow.llm.common import Shelf, checkpointed, row_key
 
 ORDER = 3
 #: Trusted documents that the counts are taken from, at most; the bound of the model.
@@ -35,9 +35,10 @@ HOT = 1 << 17
 #: One in so many trusted documents, by a hash of the id, is held out of training at every size.
 HOLD_OUT = 5
 _SLOTS = 19
-#: 64-bit words of the membership bitmap.
-_WORD_BITS = 17
+#: 64-bit words of the membership filter, and how many bits of its word a key sets: about twelve bits a key at the bound of training.
+_WORD_BITS = 19
 BITMAP = 1 << _WORD_BITS
+_BITS = 4
 #: Thresholds are found on a grid of so many decimal digits of log10 perplexity, which bounds what is sorted.
 GRID = 3
 
@@ -115,18 +116,20 @@ def _discounted(d: list[float]):
     return a - F.when(a == 1, d[0]).when(a == 2, d[1]).otherwise(d[2])
 
 
-def train(grams: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, float]:
+def train(grams: DataFrame, min_count: int = MIN_COUNT, shelf: Shelf | None = None) -> tuple[DataFrame, float]:
     """Weights ``key, weight, freq`` and the log10 probability of an unknown word.
 
     Highest-order counts are plain, lower ones count distinct words before; n-grams at
     the start of a text keep plain counts.  What discounting and rare n-grams leave of
-    a context goes to its back-off mass, so every distribution sums to one.
+    a context goes to its back-off mass, so every distribution sums to one.  Totals and
+    back-off masses of a level come from one shuffle by context.
     """
-    tri = grams.where("n = 3").withColumn("a", F.col("count"))
+    shelf = shelf or Shelf(grams.sparkSession)
+    tri = grams.where("n = 3").select("key", "ctx", "low", "count", F.col("count").alias("a"))
     left = tri.groupBy("low").agg(F.count("*").alias("before")).select(F.col("low").alias("key"), "before")
     two = grams.where("n = 2").join(left, "key", "left")
-    two = checkpointed(two.withColumn("a", F.when(F.col("starts"), F.col("count")).otherwise(F.coalesce("before", "count"))))
-    one = checkpointed(two.groupBy(F.col("low").alias("key")).agg(F.count("*").alias("a"), F.sum("count").alias("count")))
+    two = shelf.put("two", two.select("key", "ctx", "low", "count", F.when(F.col("starts"), F.col("count")).otherwise(F.coalesce("before", "count")).alias("a")))
+    one = shelf.put("one", two.groupBy(F.col("low").alias("key")).agg(F.count("*").alias("a"), F.sum("count").alias("count")))
 
     d1, d2, d3 = _discounts(one), _discounts(two), _discounts(tri)
     total = one.agg(F.sum("a").alias("a"), F.sum(_discounted(d1)).alias("kept"), F.count("*").alias("v")).first()
@@ -134,41 +137,55 @@ def train(grams: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, floa
         return one.select("key", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("freq")), 0.0
     rest = 1 - total["kept"] / total["a"]
     unknown = rest / (total["v"] + 1)
-    one = checkpointed(one.select("key", "count", (_discounted(d1) / total["a"] + unknown).alias("p")))
-
-    def masses(level: DataFrame, d: list[float]) -> DataFrame:
-        kept = F.sum(F.when(F.col("count") >= min_count, _discounted(d)).otherwise(0.0))
-        return level.groupBy("ctx").agg(F.sum("a").alias("all"), kept.alias("kept")).select(
-            "ctx", "all", (1 - F.col("kept") / F.col("all")).alias("rest"))
-
-    rest2, rest3 = checkpointed(masses(two, d2)), checkpointed(masses(tri, d3))
-    lower = one.select(F.col("key").alias("low"), F.col("p").alias("p_low"))
-    seen2 = two.where(F.col("count") >= min_count).join(rest2, "ctx").join(lower, "low")
-    seen2 = checkpointed(seen2.select("key", "count", "rest", "p_low", (_discounted(d2) / F.col("all") + F.col("rest") * F.col("p_low")).alias("p")))
-    lower = seen2.select(F.col("key").alias("low"), F.col("p").alias("p_low"))
-    seen3 = tri.where(F.col("count") >= min_count).join(rest3, "ctx").join(lower, "low")
-    seen3 = seen3.select("key", "count", "rest", "p_low", (_discounted(d3) / F.col("all") + F.col("rest") * F.col("p_low")).alias("p"))
-
-    gain = F.log10("p") - F.log10("rest") - F.log10("p_low")
+    one = one.select("key", "count", (_discounted(d1) / total["a"] + unknown).alias("p"))
+
+    def level(rows: DataFrame, d: list[float], lower: DataFrame) -> DataFrame:
+        """Probability and gain of each n-gram and the back-off mass of its context, named by one row of the context."""
+        context = Window.partitionBy("ctx")
+        seen = F.col("count") >= min_count
+        kept = F.sum(F.when(seen, _discounted(d)).otherwise(0.0)).over(context)
+        massed = rows.select("*", F.sum("a").over(context).alias("all"), kept.alias("kept"), (F.col("key") == F.min("key").over(context)).alias("names_it"))
+        massed = massed.withColumn("rest", 1 - F.col("kept") / F.col("all"))
+        backed = F.col("rest") * F.col("p_low")
+        p = F.when(seen, _discounted(d) / F.col("all")).otherwise(0.0) + backed
+        return massed.join(lower.select(F.col("key").alias("low"), F.col("p").alias("p_low")), "low").select(
+            "key", "ctx", "count", "names_it", "rest", p.alias("p"), F.when(seen, F.log10(p) - F.log10(backed)).alias("gain"))
+
     none = F.lit(0).cast("long")
-    parts = [one.select("key", (F.log10("p") - float(np.log10(unknown))).alias("weight"), F.col("count").alias("freq"))]
-    parts += [s.select("key", gain.alias("weight"), F.col("count").alias("freq")) for s in (seen2, seen3)]
-    parts += [r.where("rest < 1").select(F.col("ctx").alias("key"), F.log10("rest").alias("weight"), none.alias("freq")) for r in (rest2, rest3)]
-    every = parts[0].union(parts[1]).union(parts[2]).union(parts[3]).union(parts[4])
-    weights = every.groupBy("key").agg(F.sum("weight").alias("weight"), F.max("freq").alias("freq"))
-    return checkpointed(weights), float(np.log10(unknown))
+
+    def weighed(rows: DataFrame) -> DataFrame:
+        own = F.when(F.col("gain").isNotNull(), F.struct("key", F.col("gain").alias("weight"), F.col("count").alias("freq")))
+        above = F.when(F.col("names_it") & (F.col("rest") < 1), F.struct(F.col("ctx").alias("key"), F.log10("rest").alias("weight"), none.alias("freq")))
+        return rows.select(F.explode(F.array_compact(F.array(own, above))).alias("w")).select("w.*")
+
+    two = shelf.put("level2", level(two, d2, one))
+    shelf.drop("two")
+    single = one.select("key", (F.log10("p") - float(np.log10(unknown))).alias("weight"), F.col("count").alias("freq"))
+    every = single.union(weighed(two)).union(weighed(level(tri, d3, two)))
+    weights = shelf.put("weights", every.groupBy("key").agg(F.sum("weight").alias("weight"), F.max("freq").alias("freq")))
+    del two, tri, left, every
+    shelf.drop("one", "level2")
+    return weights, float(np.log10(unknown))
 
 
 class HotWeights:
-    """The most frequent weights in a direct-mapped table, and a bitmap that knows all keys.
+    """The most frequent weights in a direct-mapped table, and a blocked Bloom filter that knows all keys.
 
     Of keys that share a slot the more frequent one stays; the others are found by the
-    join, as are all that did not fit.  The bitmap has no false negatives, so n-grams it
+    join, as are all that did not fit.  The filter has no false negatives, so n-grams it
     does not know need no join.
     """
 
     def __init__(self, weights: DataFrame, hot: int = HOT):
-        top = weights.orderBy(F.desc("freq"), "key").limit(hot).select("key", "weight").toPandas()
+        # the least frequency that keeps the table within its bound
+        steps = weights.groupBy(F.least("freq", F.lit(1000).cast("long")).alias("freq")).agg(F.count("*").alias("n")).orderBy(F.desc("freq")).collect()
+        least, held = 1001, 0
+        for step in steps:
+            held += step["n"]
+            if held > hot:
+                break
+            least = step["freq"]
+        top = weights.where(F.col("freq") >= least).orderBy(F.desc("freq"), "key").select("key", "weight").toPandas()
         keys = top["key"].to_numpy().view(np.uint64)
         self.keys = np.zeros(1 << _SLOTS, dtype=np.uint64)
         self.weights = np.zeros(1 << _SLOTS)
@@ -176,7 +193,7 @@ class HotWeights:
         self.keys[slots] = keys[::-1]
         self.weights[slots] = top["weight"].to_numpy()[::-1]
         word = F.shiftrightunsigned("key", 64 - _WORD_BITS).cast("int")
-        bit = F.expr("shiftleft(1L, cast(key & 63 AS int))")
+        bit = F.expr(" | ".join(f"shiftleft(1L, cast(shiftright(key, {6 * i}) & 63 AS int))" for i in range(_BITS)))
         bits = weights.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
         self.bitmap = np.zeros(BITMAP, dtype=np.uint64)
         if len(bits):
@@ -188,8 +205,10 @@ class HotWeights:
 
     def look_up(self, keys: np.ndarray) -> tuple[float, np.ndarray]:
         """The sum of the weights at hand and the keys that may have one elsewhere."""
-        known = self.bitmap[(keys >> np.uint64(64 - _WORD_BITS)).astype(np.int64)] >> (keys & np.uint64(63)) & np.uint64(1)
-        keys = keys[known.astype(bool)]
+        mask = np.uint64(1) << (keys & np.uint64(63))
+        for i in range(1, _BITS):
+            mask |= np.uint64(1) << (keys >> np.uint64(6 * i) & np.uint64(63))
+        keys = keys[self.bitmap[(keys >> np.uint64(64 - _WORD_BITS)).astype(np.int64)] & mask == mask]
         slots = self._slot(keys)
         here = self.keys[slots] == keys
         return float(self.weights[slots[here]].sum()), keys[~here]
@@ -301,9 +320,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     spoken = checkpointed(spoken.groupBy("t_id").agg(F.min("lang").alias("lang")))
     chosen = checkpointed(draw_per_language(spoken, max_train_docs))
     sample = docs.select(F.col(doc_id).cast("long").alias("t_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "t_id", "left_semi")
-    grams = checkpointed(count_grams(sample.select("text")))
-    weights, unknown = train(grams, KEEP_FROM)
-    scored = checkpointed(score(docs, weights, unknown, doc_id, text, lang, hot))
+    shelf = Shelf(docs.sparkSession)
+    grams = shelf.put("grams", count_grams(sample.select("text")))
+    weights, unknown = train(grams, KEEP_FROM, shelf)
+    shelf.drop("grams")
+    scored = shelf.put("scored", score(docs, weights, unknown, doc_id, text, lang, hot))
+    shelf.drop("weights")
     marks = trusted.join(chosen.withColumn("trained", F.lit(True)), "t_id", "left")
     known = scored.join(marks, scored.doc_id == marks.t_id, "left")
     typical = known.where("t_id IS NOT NULL").agg((-F.sum("log10_prob") / F.sum("n_tokens")).alias("typical"))
