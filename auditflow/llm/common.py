@@ -93,13 +93,17 @@ class Shelf:
     def put(self, name: str, rows: DataFrame) -> DataFrame:
         """The rows, written once; whatever made them is not needed again."""
         rows.write.parquet(f"{self.folder}/{name}")
+        self._clean()
         return self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{name}")
 
     def drop(self, *names: str) -> None:
-        """Delete tables, and let Spark's cleaner delete the shuffle files of what made them."""
         context = self.spark.sparkContext
         for name in names:
             path = context._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self._clean()
+
+    def _clean(self) -> None:
+        """Collect what the driver no longer refers to, upon which Spark deletes its shuffle files and broadcasts."""
         gc.collect()
-        context._jvm.System.gc()
+        self.spark.sparkContext._jvm.System.gc()
