@@ -95,7 +95,7 @@ def validate_pack_documents(packs: DataFrame, pack_id: str = "pack_id", doc: str
         checks.extend((code, "error", F.col("pattern").isin(patterns) & failed, F.col("path")) for code, failed in failing)
 
     low, high = _get("min", "double"), _get("max", "double")
-    rules([f"{s}.cardinality" for s in SELECTORS], [("cardinality_order", high < low)])
+    rules([f"{s}.cardinality" for s in SELECTORS], [("cardinality_order", (high < low) & (high == F.floor(high)) & (low == F.floor(low)))])
     rules(SELECTORS, [("role_id_disguise", _fake(_text("role")))])
     classes = F.transform(F.try_variant_get("value", "$", "array<variant>"), lambda e: F.coalesce(F.try_variant_get(e, "$.class", "string"), F.lit("")))
     enough = F.size(classes) >= 2
