@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,15 +178,18 @@ class HotWeights:
     """
 
     def __init__(self, weights: DataFrame, hot: int = HOT):
-        # the least frequency that keeps the table within its bound
-        steps = weights.groupBy(F.least("freq", F.lit(1000).cast("long")).alias("freq")).agg(F.count("*").alias("n")).orderBy(F.desc("freq")).collect()
-        least, held = 1001, 0
+        # all keys down to a frequency, and of the next one as many as still have room, by a hash
+        freq = F.least("freq", F.lit(1000).cast("long"))
+        steps = weights.groupBy(freq.alias("freq")).agg(F.count("*").alias("n")).orderBy(F.desc("freq")).collect()
+        least, cut, share, room = 1001, -1, 0.0, hot
         for step in steps:
-            held += step["n"]
-            if held > hot:
+            if step["n"] > room:
+                cut, share = step["freq"], room / step["n"]
                 break
-            least = step["freq"]
-        top = weights.where(F.col("freq") >= least).orderBy(F.desc("freq"), "key").select("key", "weight").toPandas()
+            least, room = step["freq"], room - step["n"]
+        drawn = F.shiftrightunsigned(F.xxhash64("key"), 32) < int(share * 2**32)
+        top = weights.where((freq >= least) | ((freq == cut) & drawn))
+        top = top.select("freq", "key", "weight").toPandas().sort_values(["freq", "key"], ascending=[False, True])
         keys = top["key"].to_numpy().view(np.uint64)
         self.keys = np.zeros(1 << _SLOTS, dtype=np.uint64)
         self.weights = np.zeros(1 << _SLOTS)
@@ -256,9 +260,9 @@ SCORED = "uid long, key long, times int, n_tokens long, at_hand double, doc_id l
 
 
 def score(docs: DataFrame, weights: DataFrame, unknown: float, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-          hot: int = HOT) -> DataFrame:
+          hot: int = HOT, model: Broadcast | None = None) -> DataFrame:
     """``doc_id, row_key, lang, n_tokens, log10_prob`` of every document; the end mark counts as a token."""
-    model = docs.sparkSession.sparkContext.broadcast(HotWeights(weights, hot))
+    model = model or docs.sparkSession.sparkContext.broadcast(HotWeights(weights, hot))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).cast("long").alias("doc_id"),
                        row_key(doc_id, text).alias("row_key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     asked = rows.mapInArrow(_score(model), SCORED)
@@ -324,7 +328,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     grams = shelf.put("grams", count_grams(sample.select("text")))
     weights, unknown = train(grams, KEEP_FROM, shelf)
     shelf.drop("grams")
-    scored = shelf.put("scored", score(docs, weights, unknown, doc_id, text, lang, hot))
+    model = docs.sparkSession.sparkContext.broadcast(HotWeights(weights, hot))
+    scored = shelf.put("scored", score(docs, weights, unknown, doc_id, text, lang, hot, model))
+    model.destroy()
     shelf.drop("weights")
     marks = trusted.join(chosen.withColumn("trained", F.lit(True)), "t_id", "left")
     known = scored.join(marks, scored.doc_id == marks.t_id, "left")
