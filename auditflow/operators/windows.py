@@ -116,6 +116,24 @@ def assign_rows(elements: DataFrame, rows: DataFrame, expected: DataFrame) -> Da
         centers, ["page_id", "row_no"], "left")
 
 
+def row_centres(blocks: DataFrame, gap: float, least: int = 2) -> DataFrame:
+    """``page_id, center_px, n_blocks``: rows of a page from the backgrounds that repeat in them.
+
+    ``blocks (page_id, block_id, top_px, height_px)``: the middles of the blocks of a page
+    are taken in order, and one that is more than ``gap`` below the one before begins a
+    new row.  A row needs ``least`` blocks and has their mean as its centre.  Blocks
+    without a place or a height are left out.
+    """
+    middle = F.col("top_px") + F.col("height_px") / 2
+    placed = blocks.select("page_id", "block_id", middle.cast("double").alias("_mid")).where("_mid IS NOT NULL")
+    order = ["_mid", "block_id"]
+    steps = ranges.previous(placed, ["page_id"], order, "_mid", "_before")
+    begins = F.when(F.col("_before").isNull() | (F.col("_mid") - F.col("_before") > gap), 1).otherwise(0)
+    rows = ranges.running(steps, ["page_id"], order, {"_row": ("sum", begins)})
+    found = rows.groupBy("page_id", "_row").agg(F.avg("_mid").alias("center_px"), F.count("*").alias("n_blocks"))
+    return found.where(F.col("n_blocks") >= least).drop("_row")
+
+
 def is_sorted(column: Column | str) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return F.array_sort(c) == c

@@ -119,6 +119,21 @@ def _(t):
     return W.assign_rows(elements, rows, expected).select("page_id", "column_id", "element_id", "row_no", "center_px", "count_mismatch")
 
 
+# Backgrounds of a page: one row a line, three blocks a row that are a few pixels off, and single blocks between rows.
+BACKGROUNDS = """SELECT l_partkey % 500 AS page_id, l_orderkey*1000000 + l_suppkey*100 + l_linenumber*10 + j AS block_id,
+  CASE WHEN j = 3 THEN 100*l_linenumber + 50 + l_partkey % 3 ELSE 100*l_linenumber - 20 + (l_suppkey*3 + j*5) % 9 - 4 END AS top_px, CASE WHEN j = 3 AND l_suppkey % 4 > 0 THEN NULL ELSE 40 - j END AS height_px
+FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem) AS l CROSS JOIN (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) AS js"""
+
+
+@query("E11_row_centres", f"""
+WITH b AS (SELECT page_id, block_id, top_px + height_px / 2.0 AS mid FROM ({BACKGROUNDS}) WHERE height_px IS NOT NULL),
+s AS (SELECT *, CASE WHEN mid - lag(mid) OVER w <= 20 THEN 0 ELSE 1 END AS begins FROM b WINDOW w AS (PARTITION BY page_id ORDER BY mid, block_id)),
+r AS (SELECT *, sum(begins) OVER (PARTITION BY page_id ORDER BY mid, block_id ROWS UNBOUNDED PRECEDING) AS no FROM s)
+SELECT page_id, round(avg(mid), 6) AS center_px, count(*) AS n_blocks FROM r GROUP BY page_id, no HAVING count(*) >= 2""")
+def _(t):
+    return W.row_centres(t.sql(BACKGROUNDS), 20).withColumn("center_px", F.round("center_px", 6))
+
+
 @query("F3_ordered", """
 SELECT o_orderkey, o_custkey, list_sort(l) = l AS is_sorted FROM (SELECT o_orderkey, o_custkey, [o_orderstatus, o_orderpriority] AS l FROM orders)""")
 def _(t):
