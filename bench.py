@@ -27,7 +27,7 @@ HEADLINE = [
     "E1_latest_per_key", "E2_recent_topics", "E3_next_matching", "E8_first_wins", "E11_assign_rows", "F1_rank_candidates",
     "G4_same_set", "H2_canonical_hash", "H3_fnv1a32", "H9_layout_plan", "V1_validate_annotations", "V5_maturity_gate",
     "V14_validate_match_audit", "V16_page_resource_scope", "J1_ledger_state_machine", "J2_claim_registry", "J5_lease_handover",
-    "J7_apply_token_check", "L1_annotation_import_plan", "L4_course_manifest", "L11_refinement_plan",
+    "J7_apply_token_check", "V10_validate_receipts", "V11_validate_readback", "L7_verify_readbacks", "L1_annotation_import_plan", "L4_course_manifest", "L11_refinement_plan",
 ]
 
 
