@@ -353,7 +353,7 @@ def _(t):
 # Files that name each other: the next one in the next folder, one of the same folder, the first of ten (a cycle), and some outside of the root.
 REF_FILES = """SELECT 'd' || CAST(doc_id % 50 AS STRING) || '/f' || CAST(doc_id AS STRING) || '.json' AS path, CASE WHEN doc_id % 17 = 16 THEN '{broken' ELSE
  '{"meta":{"list":[[{"artifact":"../d' || CAST((doc_id + CASE WHEN doc_id % 10 = 9 THEN -9 ELSE 1 END) % 50 AS STRING) || '//f' || CAST(doc_id + CASE WHEN doc_id % 10 = 9 THEN -9 ELSE 1 END AS STRING) || '.json"}]]},"artifact":["d0/f0.json"]'
- || CASE WHEN doc_id % 3 = 0 THEN ',"evidence_artifact":"./x/../f' || CAST(doc_id + 50 AS STRING) || '.json"' ELSE '' END
+ || CASE WHEN doc_id % 30 = 4 THEN ',"evidence_artifact":"./x/../f' || CAST(doc_id + 50 AS STRING) || '.json"' ELSE '' END
  || CASE WHEN doc_id % 7 = 0 THEN ',"a":{"artifact":"/etc/x.json","b":{"artifact":"/work/d1/f1.json"}}' ELSE '' END
  || CASE WHEN doc_id % 11 = 0 THEN ',"c":[{"artifact":"../../out.json"}]' ELSE '' END || '}' END AS raw FROM documents"""
 
@@ -361,7 +361,7 @@ REF_FILES = """SELECT 'd' || CAST(doc_id % 50 AS STRING) || '/f' || CAST(doc_id
 @query("C19_file_closure", """
 WITH RECURSIVE d AS (SELECT doc_id, 'd' || CAST(doc_id % 50 AS STRING) || '/f' || CAST(doc_id AS STRING) || '.json' AS path FROM documents),
 e AS (SELECT path AS src, unnest(['d' || CAST((doc_id + CASE WHEN doc_id % 10 = 9 THEN -9 ELSE 1 END) % 50 AS STRING) || '/f' || CAST(doc_id + CASE WHEN doc_id % 10 = 9 THEN -9 ELSE 1 END AS STRING) || '.json',
-   CASE WHEN doc_id % 3 = 0 THEN 'd' || CAST(doc_id % 50 AS STRING) || '/f' || CAST(doc_id + 50 AS STRING) || '.json' END, CASE WHEN doc_id % 7 = 0 THEN '/etc/x.json' END, CASE WHEN doc_id % 7 = 0 THEN 'd1/f1.json' END,
+   CASE WHEN doc_id % 30 = 4 THEN 'd' || CAST(doc_id % 50 AS STRING) || '/f' || CAST(doc_id + 50 AS STRING) || '.json' END, CASE WHEN doc_id % 7 = 0 THEN '/etc/x.json' END, CASE WHEN doc_id % 7 = 0 THEN 'd1/f1.json' END,
    CASE WHEN doc_id % 11 = 0 THEN '../out.json' END]) AS dst FROM d WHERE doc_id % 17 <> 16),
 c(root, node, depth) AS (SELECT doc_id, path, 0 FROM d WHERE doc_id % 20 < 2 UNION SELECT c.root, e.dst, c.depth + 1 FROM c JOIN e ON e.src = c.node WHERE e.dst IS NOT NULL AND c.depth < 40)
 SELECT root, node, min(depth) AS depth, CASE WHEN node LIKE '../%' OR node LIKE '/%' THEN 'escape' WHEN d.doc_id IS NULL THEN 'missing' WHEN d.doc_id % 17 = 16 THEN 'invalid_json' ELSE 'ok' END AS status
