@@ -35,6 +35,15 @@ def canonical_hash(text: Column | str) -> Column:
     return tagged_sha(canonical_json(text))
 
 
+def text_of_part(fields: Column | str, without: str) -> Column:
+    """Canonical text of a document without one field, from its fields as ``map<string,variant>``.
+
+    Fields come in key order at every level; the second reading gives numbers that were
+    written with an exponent the form of all others.
+    """
+    return canonical_json(F.to_json(F.map_filter(_col(fields), lambda key, _: key != without)))
+
+
 def record_json(*columns: Column | str) -> Column:
     """The record as JSON text, null fields included."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

@@ -42,8 +42,8 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def explode_rules(df: DataFrame, rules: list[tuple], entity: str = "entity_id") -> DataFrame:
-    """One violation row per row and failed rule, in a single pass.
+def failed_rules(rules: list[tuple]) -> Column:
+    """List of the rules that fail, as structs of rule_code, severity and message.
 
     A rule is ``(code, severity, failed)`` or ``(code, severity, failed, message)``;
     an unknown outcome counts as not failed.
@@ -54,8 +54,12 @@ def explode_rules(df: DataFrame, rules: list[tuple], entity: str = "entity_id")
         message = rule[3] if len(rule) > 3 else F.lit(code.replace("_", " "))
         entries.append(F.when(F.coalesce(failed, F.lit(False)), F.struct(
             F.lit(code).alias("rule_code"), F.lit(severity).alias("severity"), message.alias("message"))))
-    found = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return df.select(F.col(entity).cast("string").alias("entity_id"), F.explode(found).alias("_r")).select(
+    return F.filter(F.array(*entries), lambda e: e.isNotNull())
+
+
+def explode_rules(df: DataFrame, rules: list[tuple], entity: str = "entity_id") -> DataFrame:
+    """One violation row per row and failed rule, in a single pass; rules as in ``failed_rules``."""
+    return df.select(F.col(entity).cast("string").alias("entity_id"), F.explode(failed_rules(rules)).alias("_r")).select(
         "entity_id", "_r.*")
 
 

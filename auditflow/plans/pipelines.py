@@ -222,15 +222,12 @@ def create_receipts(exports: DataFrame, saves: DataFrame, expected: DataFrame, v
     export = [lit("editor_export_slide").alias("tool"), slide.alias("slide_id"), F.size("blocks").alias("block_count"), page.alias("page_content_hash"),
               canonical_hash(F.to_json(F.try_variant_get("x", "$.blocks", "variant"))).alias("blocks_hash"), canonical_hash(F.to_json(carrier)).alias("carrier_block_hash"),
               F.col("x_hash").alias("envelope_hash")]
-    sealed = lambda cols: F.struct(*cols, struct_hash(*cols).alias("receipt_hash"))
     stated = lambda p: F.coalesce(F.get_json_object("provenance", f"$.{p}"), F.lit("unknown"))
     body = F.struct(
         lit(1).alias("schema_version"), lit(receipts.RECEIPT_KIND).alias("kind"), F.col("run_id").cast("string").alias("run_id"), canonical_hash("provenance").alias("provenance_integrity_hash"),
         F.col("carrier_block_id"), F.struct(slide.alias("slide_id"), stated("source_book_id").alias("source_book_id"), stated("source_catalog_id").alias("source_catalog_id"),
-        stated("target_book_id").alias("target_book_id"), slide.alias("target_catalog_id")).alias("identity"), sealed(save).alias("save"), sealed(export).alias("export"), lit(verified_at).alias("verified_at"))
-    rows = rows.select("run_id", body.alias("b"))
-    integrity = F.struct(lit("sha256-canonical-json").alias("algorithm"), canonical_hash(F.to_json("b")).alias("canonical_hash"))
-    return rows.select("run_id", F.to_json(F.struct("b.*", integrity.alias("artifact_integrity"))).alias("raw"))
+        stated("target_book_id").alias("target_book_id"), slide.alias("target_catalog_id")).alias("identity"), receipts.sealed_part("save", save).alias("save"), receipts.sealed_part("export", export).alias("export"), lit(verified_at).alias("verified_at"))
+    return rows.select("run_id", body.alias("b")).select("run_id", receipts.sealed_receipt("b").alias("raw"))
 
 
 def verify_readbacks(exports: DataFrame, saves: DataFrame, expected: DataFrame, verified_at: str) -> tuple[DataFrame, DataFrame]:

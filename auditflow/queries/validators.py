@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditflow.functions.canon import canonical_hash, idempotency_key, page_content_hash
+from auditflow.functions.canon import canonical_hash, idempotency_key, page_content_hash, tagged_sha
 from auditflow.operators import annotations as A
 from auditflow.operators import packs as PD
 from auditflow.operators import extract as E
@@ -280,13 +280,11 @@ def receipts(t, tamper: bool = True) -> DataFrame:
             page.alias("content_hash"), page.alias("persisted_content_hash"), F.lit(False).alias("dirty"), one.alias("envelope_hash")]
     export = [F.lit("editor_export_slide").alias("tool"), slide.alias("slide_id"), F.lit(3).alias("block_count"), page.alias("page_content_hash"),
               one.alias("blocks_hash"), one.alias("carrier_block_hash"), one.alias("envelope_hash")]
-    sealed = lambda cols: F.struct(*cols, canonical_hash(F.to_json(F.struct(*cols))).alias("receipt_hash"))
     body = [F.lit(1).alias("schema_version"), F.lit(R.RECEIPT_KIND).alias("kind"), F.concat(F.lit("run"), slide).alias("run_id"), one.alias("provenance_integrity_hash"), F.lit("carrier").alias("carrier_block_id"),
             F.struct(slide.alias("slide_id"), F.lit("1").alias("source_book_id"), F.lit("2").alias("source_catalog_id"), F.lit("3").alias("target_book_id"), slide.alias("target_catalog_id")).alias("identity"),
-            sealed(save).alias("save"), sealed(export).alias("export"), F.lit("2024-03-01T00:00:00.000Z").alias("verified_at")]
+            R.sealed_part("save", save).alias("save"), R.sealed_part("export", export).alias("export"), F.lit("2024-03-01T00:00:00.000Z").alias("verified_at")]
     rows = t.orders.select("o_orderkey", F.struct(*body).alias("b"))
-    whole = F.struct("b.*", F.struct(F.lit("sha256-canonical-json").alias("algorithm"), canonical_hash(F.to_json("b")).alias("canonical_hash")).alias("artifact_integrity"))
-    rows = rows.select(F.col("o_orderkey").alias("receipt_id"), (F.col("o_orderkey") % 8).alias("k"), F.to_json(whole).alias("clean"))
+    rows = rows.select(F.col("o_orderkey").alias("receipt_id"), (F.col("o_orderkey") % 8).alias("k"), R.sealed_receipt("b").alias("clean"))
     changed = F.expr("""CASE k WHEN 1 THEN replace(clean, '"dirty":false', '"dirty":true') WHEN 2 THEN replace(clean, '"block_count":3', '"block_count":0') WHEN 3 THEN replace(clean, '"kind":', '"kindx":')
       WHEN 4 THEN replace(clean, '000Z"', '000+1"') WHEN 5 THEN replace(clean, 'sha256-canonical-json', 'md5') WHEN 6 THEN replace(clean, '"identity":{"slide_id":"', '"identity":{"slide_id":"x') WHEN 7 THEN replace(clean, '"run_id":"run', '"run_id":"rum') ELSE clean END""")
     return rows.withColumn("raw", changed if tamper else F.col("clean"))
@@ -299,6 +297,35 @@ def _(t):
     return tally(R.validate_receipts(receipts(t)))
 
 
+# Transitions of orders with the receipts above as files; fixed shares name another file, hash, run, book, page or result.
+R_TRANSITIONS = """SELECT o_orderkey AS item_id, CASE WHEN o_orderkey % 17 = 3 THEN 'f/none' ELSE 'f/' || CAST(o_orderkey AS STRING) END AS receipt_path, 'run' || CAST(o_orderkey AS STRING) AS run_id,
+  'sha256:' || repeat(CASE WHEN o_orderkey % 19 = 0 THEN '2' ELSE '1' END, 64) AS provenance_hash, CASE WHEN o_orderkey % 23 = 0 THEN 'other' ELSE 'carrier' END AS carrier_block_id, CAST(o_orderkey AS STRING) AS slide_id,
+  CASE WHEN o_orderkey % 29 = 0 THEN '9' ELSE '1' END AS source_book_id, CASE WHEN o_orderkey % 31 = 0 THEN ' ' ELSE '2' END AS source_catalog_id, '3' AS target_book_id,
+  CASE WHEN o_orderkey % 37 = 0 THEN 'x' ELSE CAST(o_orderkey AS STRING) END AS target_catalog_id, 'sha256:' || repeat('a', 64) AS result_hash FROM orders"""
+R_ITEMS = """SELECT o_orderkey AS item_id, '1' AS source_book_id, CAST(NULL AS STRING) AS source_catalog_id, CASE WHEN o_orderkey % 2 = 0 THEN '7' ELSE '3' END AS target_book_id,
+  CASE WHEN o_orderkey % 43 = 0 THEN '8' WHEN o_orderkey % 2 = 0 THEN '3' END AS promoted_book_id, CAST(o_orderkey AS STRING) AS target_catalog_id,
+  CASE WHEN o_orderkey % 47 <> 0 THEN 'sha256:' || repeat('a', 64) END AS save_readback_hash FROM orders WHERE o_orderkey % 41 <> 0"""
+
+
+@query("C16_bind_receipt_files", f"""
+WITH x AS (SELECT t.*, item_id % 8 AS k, item_id % 17 <> 3 AS f, l.item_id IS NOT NULL AS known, l.source_book_id AS lb, coalesce(l.promoted_book_id, l.target_book_id) AS lt, l.target_catalog_id AS lc, l.save_readback_hash AS ls
+   FROM ({R_TRANSITIONS}) t LEFT JOIN ({R_ITEMS}) l USING (item_id)),
+ c AS (SELECT item_id, unnest(list_concat([CASE WHEN NOT f THEN 'receipt_file_missing' END, CASE WHEN NOT known THEN 'ledger_item_missing' END, CASE WHEN item_id % 31 = 0 THEN 'evidence_incomplete' END,
+   CASE WHEN f AND item_id % 13 = 0 THEN 'receipt_file_hash' END, CASE WHEN f AND k = 7 THEN 'run_differs' END, CASE WHEN f AND item_id % 19 = 0 THEN 'provenance_hash_differs' END,
+   CASE WHEN f AND item_id % 23 = 0 THEN 'carrier_differs' END, CASE WHEN f AND k = 6 THEN 'slide_differs' END, CASE WHEN source_book_id <> lb THEN 'source_book_id_not_of_item' END,
+   CASE WHEN f AND source_book_id <> '1' THEN 'source_book_id_not_of_receipt' END, CASE WHEN target_book_id <> lt THEN 'target_book_id_not_of_item' END,
+   CASE WHEN target_catalog_id <> lc THEN 'target_catalog_id_not_of_item' END, CASE WHEN f AND target_catalog_id <> slide_id THEN 'target_catalog_id_not_of_receipt' END,
+   CASE WHEN target_catalog_id <> slide_id THEN 'target_catalog_not_slide' END, CASE WHEN known AND ls IS NULL THEN 'result_not_saved' END],
+   CASE WHEN NOT f THEN [] ELSE CASE k WHEN 1 THEN ['save_flags', 'save_receipt_hash', 'canonical_hash'] WHEN 2 THEN ['export_block_count', 'export_receipt_hash', 'canonical_hash'] WHEN 3 THEN ['receipt_keys', 'receipt_kind', 'canonical_hash']
+     WHEN 4 THEN ['receipt_time', 'canonical_hash'] WHEN 5 THEN ['integrity_keys'] WHEN 6 THEN ['slide_mismatch', 'slides_lists', 'canonical_hash'] WHEN 7 THEN ['canonical_hash'] ELSE [] END END)) AS rule_code FROM x)
+SELECT CAST(item_id AS STRING) AS entity_id, rule_code FROM c WHERE rule_code IS NOT NULL""")
+def _(t):
+    made = receipts(t).select(F.concat(F.lit("f/"), F.col("receipt_id").cast("string")).alias("path"), "receipt_id", "raw")
+    stated = F.when(F.col("receipt_id") % 13 == 0, F.lit("sha256:" + "0" * 64)).otherwise(tagged_sha(F.col("raw")))
+    moves = t.sql(R_TRANSITIONS).join(made.select(F.col("receipt_id").alias("item_id"), stated.alias("receipt_sha256")), "item_id")
+    return R.bind_receipt_files(moves, made.select("path", "raw"), t.sql(R_ITEMS)).select("entity_id", "rule_code")
+
+
 def readback_inputs(t):
     """Export and save envelopes of all documents, six of seven tampered."""
     docs = t.documents.select("doc_id", (F.col("doc_id") % 7).alias("k"), "text", "source")
