@@ -150,17 +150,21 @@ def _in_key_order(record: Column, keys: list[str], without: str) -> Column:
     return F.struct(*[inner(k).alias(k) for k in sorted(keys) if k != without])
 
 
-def sealed_part(part: str, columns: list[Column]) -> Column:
-    """The ``save`` or ``export`` part of a receipt made of columns, with its hash."""
-    text = F.to_json(_in_key_order(F.struct(*columns), RECEIPT_PARTS[part], "receipt_hash"))
-    return F.struct(*columns, tagged_sha(text).alias("receipt_hash"))
+def seal_receipts(df: DataFrame, head: list[Column], save: list[Column], export: list[Column], verified_at: Column) -> DataFrame:
+    """The table with the text of a receipt per row as ``raw``.
 
-
-def sealed_receipt(body: str) -> Column:
-    """Text of a receipt with its integrity hash, from the struct column of all its other fields."""
-    text = F.to_json(_in_key_order(F.col(body), RECEIPT_KEYS, "artifact_integrity"))
-    integrity = F.struct(F.lit("sha256-canonical-json").alias("algorithm"), tagged_sha(text).alias("canonical_hash"))
-    return F.to_json(F.struct(f"{body}.*", integrity.alias("artifact_integrity")))
+    ``head`` are the fields before the parts ``save`` and ``export``, both without their
+    hashes.  Each hash is a column of its own, so that it is computed once.
+    """
+    part = lambda name, cols: tagged_sha(F.to_json(_in_key_order(F.struct(*cols), RECEIPT_PARTS[name], "receipt_hash")))
+    rows = df.withColumns({"r_save_hash": part("save", save), "r_export_hash": part("export", export)})
+    body = [
+        *head, F.struct(*save, F.col("r_save_hash").alias("receipt_hash")).alias("save"),
+        F.struct(*export, F.col("r_export_hash").alias("receipt_hash")).alias("export"), verified_at.alias("verified_at")]
+    whole = F.to_json(_in_key_order(F.struct(*body), RECEIPT_KEYS, "artifact_integrity"))
+    rows = rows.withColumn("r_whole_hash", tagged_sha(whole))
+    integrity = F.struct(F.lit("sha256-canonical-json").alias("algorithm"), F.col("r_whole_hash").alias("canonical_hash"))
+    return rows.withColumn("raw", F.to_json(F.struct(*body, integrity.alias("artifact_integrity")))).drop("r_save_hash", "r_export_hash", "r_whole_hash")
 
 
 def receipt_rules() -> list[tuple]:

@@ -213,28 +213,30 @@ def create_receipts(exports: DataFrame, saves: DataFrame, expected: DataFrame, v
     s = unwrap_envelope(saves, "envelope").select("run_id", F.col("data").alias("s"), canonical_hash("envelope").alias("s_hash"))
     rows = expected.join(x, "run_id").join(s, "run_id").withColumn("blocks", F.try_variant_get("x", "$.blocks", "array<variant>"))
     carrier = F.try_element_at(F.filter("blocks", lambda b: F.try_variant_get(b, "$.uuid", "string") == F.col("carrier_block_id")), F.lit(1))
-    slide = F.col("target_catalog_id").cast("string")
-    page = F.try_variant_get("s", "$.contentHash", "string")
-    lit = F.lit
-    save = [lit("editor_save_verified").alias("tool"), lit("current").alias("scope"), slide.alias("slide_id"), lit(True).alias("saved"), lit("current").alias("saved_scope"),
-            F.array(slide).alias("saved_slides"), lit(True).alias("verified"), lit("current").alias("verified_scope"), F.array(slide).alias("verified_slides"), page.alias("content_hash"),
-            F.try_variant_get("s", "$.persistedContentHash", "string").alias("persisted_content_hash"), lit(False).alias("dirty"), F.col("s_hash").alias("envelope_hash")]
-    export = [lit("editor_export_slide").alias("tool"), slide.alias("slide_id"), F.size("blocks").alias("block_count"), page.alias("page_content_hash"),
-              canonical_hash(F.to_json(F.try_variant_get("x", "$.blocks", "variant"))).alias("blocks_hash"), canonical_hash(F.to_json(carrier)).alias("carrier_block_hash"),
-              F.col("x_hash").alias("envelope_hash")]
     stated = lambda p: F.coalesce(F.get_json_object("provenance", f"$.{p}"), F.lit("unknown"))
-    body = F.struct(
-        lit(1).alias("schema_version"), lit(receipts.RECEIPT_KIND).alias("kind"), F.col("run_id").cast("string").alias("run_id"), canonical_hash("provenance").alias("provenance_integrity_hash"),
-        F.col("carrier_block_id"), F.struct(slide.alias("slide_id"), stated("source_book_id").alias("source_book_id"), stated("source_catalog_id").alias("source_catalog_id"),
-        stated("target_book_id").alias("target_book_id"), slide.alias("target_catalog_id")).alias("identity"), receipts.sealed_part("save", save).alias("save"), receipts.sealed_part("export", export).alias("export"), lit(verified_at).alias("verified_at"))
-    return rows.select("run_id", body.alias("b")).select("run_id", receipts.sealed_receipt("b").alias("raw"))
+    rows = rows.select(
+        "run_id", "carrier_block_id", "x_hash", "s_hash", F.col("target_catalog_id").cast("string").alias("slide"), F.size("blocks").alias("n_blocks"),
+        F.try_variant_get("s", "$.contentHash", "string").alias("page"), F.try_variant_get("s", "$.persistedContentHash", "string").alias("persisted"),
+        canonical_hash(F.to_json(F.try_variant_get("x", "$.blocks", "variant"))).alias("blocks_hash"), canonical_hash(F.to_json(carrier)).alias("carrier_hash"),
+        canonical_hash("provenance").alias("provenance_hash"), *[stated(p).alias(p) for p in ("source_book_id", "source_catalog_id", "target_book_id")])
+    slide, lit = F.col("slide"), F.lit
+    save = [lit("editor_save_verified").alias("tool"), lit("current").alias("scope"), slide.alias("slide_id"), lit(True).alias("saved"), lit("current").alias("saved_scope"),
+            F.array(slide).alias("saved_slides"), lit(True).alias("verified"), lit("current").alias("verified_scope"), F.array(slide).alias("verified_slides"),
+            F.col("page").alias("content_hash"), F.col("persisted").alias("persisted_content_hash"), lit(False).alias("dirty"), F.col("s_hash").alias("envelope_hash")]
+    export = [lit("editor_export_slide").alias("tool"), slide.alias("slide_id"), F.col("n_blocks").alias("block_count"), F.col("page").alias("page_content_hash"),
+              F.col("blocks_hash"), F.col("carrier_hash").alias("carrier_block_hash"), F.col("x_hash").alias("envelope_hash")]
+    head = [lit(1).alias("schema_version"), lit(receipts.RECEIPT_KIND).alias("kind"), F.col("run_id").cast("string").alias("run_id"),
+            F.col("provenance_hash").alias("provenance_integrity_hash"), F.col("carrier_block_id"),
+            F.struct(slide.alias("slide_id"), "source_book_id", "source_catalog_id", "target_book_id", slide.alias("target_catalog_id")).alias("identity")]
+    return receipts.seal_receipts(rows, head, save, export, lit(verified_at)).select("run_id", "raw")
 
 
 def verify_readbacks(exports: DataFrame, saves: DataFrame, expected: DataFrame, verified_at: str) -> tuple[DataFrame, DataFrame]:
     """Index of runs with their validity and receipt, and all violations."""
-    found = receipts.validate_readbacks(exports, saves, expected)
+    found = checkpointed(receipts.validate_readbacks(exports, saves, expected))
     runs = valid_entities(expected.select("run_id"), found, "run_id")
-    made = create_receipts(exports, saves, expected, verified_at).join(runs.where("valid").select("run_id"), "run_id", "left_semi")
+    fine = runs.where("valid").select("run_id")
+    made = checkpointed(create_receipts(exports, saves, expected.join(fine, "run_id", "left_semi"), verified_at))
     faults = receipts.validate_receipts(made, "raw", "run_id")
     index = runs.join(made.select("run_id", F.col("raw").alias("receipt")), "run_id", "left")
     checked = valid_entities(index.withColumnRenamed("valid", "readback_valid"), faults, "run_id")

@@ -280,11 +280,10 @@ def receipts(t, tamper: bool = True) -> DataFrame:
             page.alias("content_hash"), page.alias("persisted_content_hash"), F.lit(False).alias("dirty"), one.alias("envelope_hash")]
     export = [F.lit("editor_export_slide").alias("tool"), slide.alias("slide_id"), F.lit(3).alias("block_count"), page.alias("page_content_hash"),
               one.alias("blocks_hash"), one.alias("carrier_block_hash"), one.alias("envelope_hash")]
-    body = [F.lit(1).alias("schema_version"), F.lit(R.RECEIPT_KIND).alias("kind"), F.concat(F.lit("run"), slide).alias("run_id"), one.alias("provenance_integrity_hash"), F.lit("carrier").alias("carrier_block_id"),
-            F.struct(slide.alias("slide_id"), F.lit("1").alias("source_book_id"), F.lit("2").alias("source_catalog_id"), F.lit("3").alias("target_book_id"), slide.alias("target_catalog_id")).alias("identity"),
-            R.sealed_part("save", save).alias("save"), R.sealed_part("export", export).alias("export"), F.lit("2024-03-01T00:00:00.000Z").alias("verified_at")]
-    rows = t.orders.select("o_orderkey", F.struct(*body).alias("b"))
-    rows = rows.select(F.col("o_orderkey").alias("receipt_id"), (F.col("o_orderkey") % 8).alias("k"), R.sealed_receipt("b").alias("clean"))
+    head = [F.lit(1).alias("schema_version"), F.lit(R.RECEIPT_KIND).alias("kind"), F.concat(F.lit("run"), slide).alias("run_id"), one.alias("provenance_integrity_hash"), F.lit("carrier").alias("carrier_block_id"),
+            F.struct(slide.alias("slide_id"), F.lit("1").alias("source_book_id"), F.lit("2").alias("source_catalog_id"), F.lit("3").alias("target_book_id"), slide.alias("target_catalog_id")).alias("identity")]
+    rows = R.seal_receipts(t.orders.select("o_orderkey"), head, save, export, F.lit("2024-03-01T00:00:00.000Z"))
+    rows = rows.select(F.col("o_orderkey").alias("receipt_id"), (F.col("o_orderkey") % 8).alias("k"), F.col("raw").alias("clean"))
     changed = F.expr("""CASE k WHEN 1 THEN replace(clean, '"dirty":false', '"dirty":true') WHEN 2 THEN replace(clean, '"block_count":3', '"block_count":0') WHEN 3 THEN replace(clean, '"kind":', '"kindx":')
       WHEN 4 THEN replace(clean, '000Z"', '000+1"') WHEN 5 THEN replace(clean, 'sha256-canonical-json', 'md5') WHEN 6 THEN replace(clean, '"identity":{"slide_id":"', '"identity":{"slide_id":"x') WHEN 7 THEN replace(clean, '"run_id":"run', '"run_id":"rum') ELSE clean END""")
     return rows.withColumn("raw", changed if tamper else F.col("clean"))
