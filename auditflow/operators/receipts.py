@@ -195,17 +195,17 @@ def receipt_rules() -> list[tuple]:
         ("save_flags", "error", ~saved),
         ("save_page_hash", "error", ~(is_fnv("save.content_hash") & text("save.content_hash").eqNullSafe(text("save.persisted_content_hash")))),
         ("save_envelope_hash", "error", ~is_sha("save.envelope_hash")),
-        ("save_receipt_hash", "error", ~text("save.receipt_hash").eqNullSafe(F.col("r_save_hash"))),
+        ("save_receipt_hash", "error", ~F.coalesce(text("save.receipt_hash") == F.col("r_save_hash"), F.lit(False))),
         ("export_keys", "error", ~keys("export", RECEIPT_EXPORT_KEYS)),
         ("export_tool", "error", ~eq("export.tool", "editor_export_slide")),
         ("export_block_count", "error", ~F.coalesce((count >= 1) & (count == F.floor(count)), F.lit(False))),
         ("export_hashes", "error", ~(is_fnv("export.page_content_hash") & is_sha("export.blocks_hash") & is_sha("export.carrier_block_hash") & is_sha("export.envelope_hash"))),
-        ("export_receipt_hash", "error", ~text("export.receipt_hash").eqNullSafe(F.col("r_export_hash"))),
+        ("export_receipt_hash", "error", ~F.coalesce(text("export.receipt_hash") == F.col("r_export_hash"), F.lit(False))),
         ("slide_mismatch", "error", ~(text("identity.target_catalog_id").eqNullSafe(slide) & text("save.slide_id").eqNullSafe(slide) & text("export.slide_id").eqNullSafe(slide))),
         ("slides_lists", "error", ~(F.col("r_save_saved_slides").eqNullSafe(F.array(slide)) & F.col("r_save_verified_slides").eqNullSafe(F.array(slide)))),
         ("page_hash_mismatch", "error", ~text("save.content_hash").eqNullSafe(text("export.page_content_hash"))),
         ("integrity_keys", "error", ~(keys("artifact_integrity", ["algorithm", "canonical_hash"]) & eq("artifact_integrity.algorithm", "sha256-canonical-json"))),
-        ("canonical_hash", "error", ~text("artifact_integrity.canonical_hash").eqNullSafe(F.col("r_whole_hash"))),
+        ("canonical_hash", "error", ~F.coalesce(text("artifact_integrity.canonical_hash") == F.col("r_whole_hash"), F.lit(False))),
     ]
 
 
