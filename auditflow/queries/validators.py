@@ -296,6 +296,22 @@ def _(t):
     return tally(R.validate_receipts(receipts(t)))
 
 
+L6_RUNS = """SELECT o_orderkey AS run_id, CASE o_orderkey % 5 WHEN 0 THEN 'trial' WHEN 1 THEN 'batch' WHEN 2 THEN 'legacy_inferred' END AS execution_mode,
+  CASE o_custkey % 3 WHEN 0 THEN 'i1' WHEN 1 THEN ' ' END AS batch_item_id, CASE WHEN o_custkey % 4 < 2 THEN o_custkey % 4 = 0 END AS batch FROM orders"""
+
+
+@query("L6_execution_limits", f"""
+WITH v AS (SELECT l_orderkey AS run_id, count(*) FILTER (WHERE l_linenumber = 1) = 1 AND min(CASE WHEN l_linenumber = 1 THEN l_returnflag END) = 'A' AS passed FROM lineitem GROUP BY 1),
+ m AS (SELECT run_id, coalesce(execution_mode, CASE WHEN trim(batch_item_id) <> '' OR batch THEN 'batch' ELSE 'legacy_inferred' END) AS mode, coalesce(passed, false) AS passed FROM ({L6_RUNS}) LEFT JOIN v USING (run_id))
+SELECT run_id, mode, CASE mode WHEN 'batch' THEN 'batch_authorization' WHEN 'trial' THEN 'trial_authorization' ELSE 'legacy_source_confirmation' END AS required_authorization_type, NOT passed OR mode = 'legacy_inferred' AS restricted,
+  concat_ws(',', CASE WHEN NOT passed THEN 'required_error_validation_incomplete' END, CASE WHEN mode = 'legacy_inferred' THEN 'legacy_inferred_record_manual_only' END) AS reasons FROM m""")
+def _(t):
+    required = t.sql("SELECT o_orderkey AS run_id, 'acceptance:c1' AS required_key, 'c1' AS id, CAST(NULL AS STRING) AS rule_id FROM orders")
+    reported = t.sql("SELECT l_orderkey AS run_id, 'c' || CAST(l_linenumber AS STRING) AS id, CAST(NULL AS STRING) AS rule_id, CASE l_returnflag WHEN 'A' THEN 'passed' ELSE 'failed' END AS status FROM lineitem")
+    return P.execution_limits(t.sql(L6_RUNS), required, reported).select(
+        "run_id", "mode", "required_authorization_type", "restricted", F.array_join("restriction_reasons", ",").alias("reasons"))
+
+
 # Transitions of orders with the receipts above as files; fixed shares name another file, hash, run, book, page or result.
 R_TRANSITIONS = """SELECT o_orderkey AS item_id, CASE WHEN o_orderkey % 17 = 3 THEN 'f/none' ELSE 'f/' || CAST(o_orderkey AS STRING) END AS receipt_path, 'run' || CAST(o_orderkey AS STRING) AS run_id,
   'sha256:' || repeat(CASE WHEN o_orderkey % 19 = 0 THEN '2' ELSE '1' END, 64) AS provenance_hash, CASE WHEN o_orderkey % 23 = 0 THEN 'other' ELSE 'carrier' END AS carrier_block_id, CAST(o_orderkey AS STRING) AS slide_id,
