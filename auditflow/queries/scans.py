@@ -129,6 +129,7 @@ SELECT page_id AS sort, url AS path, page_id % 5 <> 0 AS loaded,
        CASE WHEN page_id % 5 <> 0 THEN strlen(html) END AS n_bytes FROM pages""")
 def _(t):
     index = t.pages.select(F.col("page_id").alias("sort"), F.col("url").alias("path"))
-    docs = t.pages.where("page_id % 5 <> 0").select(F.col("url").alias("path"), F.col("html").alias("doc"))
-    return S.manifest_union(index, docs).select(
+    docs = t.pages.where("page_id % 5 <> 0").select(F.col("page_id").alias("sort"), F.col("url").alias("path"), F.col("html").alias("doc"))
+    # one url may belong to several pages
+    return S.manifest_union(index, docs, "sort", "path").select(
         "sort", "path", "loaded", F.octet_length("doc").cast("bigint").alias("n_bytes"))

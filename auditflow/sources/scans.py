@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,9 +131,16 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame:
     return load_overrides(spark.read.text(path, wholetext=True).withColumnRenamed("value", "raw"))
 
 
-def manifest_union(index: DataFrame, documents: DataFrame, key: str = "path") -> DataFrame:
-    """Documents that an index lists, with the index columns."""
-    return index.join(documents, key, "left").withColumn("loaded", F.col("doc").isNotNull())
+def manifest_union(index: DataFrame, documents: DataFrame, *keys: str) -> DataFrame:
+    """Documents that an index lists, with the index columns; ``loaded`` tells whether there is one.
+
+    ``keys``, by default the path, must name one document; where paths repeat, they need a
+    further column.  Null is a key like any other.
+    """
+    keys = keys or ("path",)
+    found = documents.withColumns({f"_{k}": F.col(k) for k in keys} | {"loaded": F.lit(True)}).drop(*keys)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return index.join(found, same, "left").drop(*[f"_{k}" for k in keys]).withColumn("loaded", F.coalesce("loaded", F.lit(False)))
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:

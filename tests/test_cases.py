@@ -414,3 +414,11 @@ def test_annotation_files(spark, tmp_path):
     assert (page.scale, page.canvas_height, page.annotations[0].left_px) == (2.0, 1000.0, 20.0)
     assert sorted((r.rule_code) for r in plan.violations.collect()) == [
         "audio_file_too_large", "geometry_invalid", "id_duplicate", "page_missing", "question_missing"]
+
+
+def test_manifest_paths_may_repeat(spark):
+    index = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "b")], "sort int, path string")
+    docs = spark.createDataFrame([(1, "a", "x"), (2, "a", "yy"), (3, None, None)], "sort int, path string, doc string")
+    found = scans.manifest_union(index, docs, "sort", "path").select("sort", "path", "loaded", "doc")
+    assert sorted(rows(found)) == [(1, "a", True, "x"), (2, "a", True, "yy"), (3, None, True, None), (4, "b", False, None)]
+    assert scans.manifest_union(index, docs.where("sort = 1").drop("sort")).where("loaded").count() == 2
