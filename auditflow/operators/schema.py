@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditflow.operators.tree import json_nodes
+from auditflow.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -91,7 +92,7 @@ def document_nodes(df: DataFrame, doc: str) -> DataFrame:
     """All values of VARIANT documents, the root included, with ``path`` and ``pattern``."""
     keep = [c for c in df.columns if c != doc]
     root = df.select(*keep, F.lit("$").alias("path"), F.col(doc).alias("value"))
-    below = json_nodes(df, doc).select(*keep, "path", "value")
+    below = checkpointed(json_nodes(df, doc).select(*keep, "path", "value"))
     return root.union(below).withColumn("pattern", pattern_of(F.col("path")))
 
 

@@ -7,11 +7,15 @@ next pass, until there are none, so a document may be nested to any depth.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import re
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from auditflow.operators.checks import is_id_disguise, is_id_kind, is_identifier_only, violations
 from auditflow.session import checkpointed
@@ -71,27 +75,108 @@ def index_tree(nodes: DataFrame, keys: list[str], id_field: str = "id") -> DataF
     )
 
 
-def json_nodes(df: DataFrame, doc: str, levels: int = LEVELS) -> DataFrame:
-    """Every value below the root of a VARIANT document with its JSON path and key."""
-    empty = F.array().cast("array<struct<path:string,key:string,node:variant,depth:int>>")
-
-    def under(path: Column, node: Column, depth: Column) -> Column:
-        fields = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
-        items = F.try_variant_get(node, "$", "array<variant>")
-        return F.coalesce(
-            F.transform(fields, lambda e: F.struct(
-                F.concat(path, F.lit("."), e["key"]).alias("path"), e["key"].alias("key"), e["value"].alias("node"), depth.alias("depth"))),
-            F.transform(items, lambda v, i: F.struct(
-                F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"),
-                F.lit(None).cast("string").alias("key"), v.alias("node"), depth.alias("depth"))),
-            empty,
-        )
-
+# A text, a bracket, a mark between values, or any other plain value.
+TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s{}\[\],:"]+')
+#: Rows and characters of one batch that a walk gives.
+WALK_ROWS, WALK_CHARS = 20_000, 8_000_000
+#: Tasks of a walk for each core.
+PER_CORE = 4
+
+
+def _said(token: str) -> str:
+    """The text that a quoted token stands for."""
+    return json.loads(token) if "\\" in token else token[1:-1]
+
+
+def _places(text: str) -> list[list]:
+    """``[parent, key, position, start, end]`` of every value of a JSON text, each before what is below it; ``text[start:end]`` is the value."""
+    out, above, key, last = [], [], None, None
+    for m in TOKEN.finditer(text):
+        token, start = m[0], m.start()
+        if token == ":":
+            key = _said(last)
+            out.pop()
+            above[-1][1] -= 1
+        elif token in ("}", "]"):
+            out[above.pop()[0]][4] = m.end()
+        elif token != ",":
+            parent, position = above[-1] if above else (-1, 0)
+            if above:
+                above[-1][1] += 1
+            # until its colon a key looks like a value
+            out.append([parent, key, position, start, m.end()])
+            key, last = None, token
+            if token in ("{", "["):
+                above.append([len(out) - 1, 0])
+    return out
+
+
+def _walk(df: DataFrame, doc: str, made: Callable[[str], Iterator[tuple]], ddl: str) -> DataFrame:
+    """The other columns of ``df`` with each row that ``made`` gives for the JSON text of its document."""
     keep = [c for c in df.columns if c != doc]
-    rows = _unfold(df, keep, under(F.lit("$"), F.col(doc), F.lit(1)), lambda p: under(p["path"], p["node"], p["depth"] + 1), levels)
-    kind = F.schema_of_variant(F.col("_n.node"))
-    is_leaf = ~kind.rlike("^(OBJECT|ARRAY)<") | F.to_json("_n.node").isin("{}", "[]")
-    return rows.select(*keep, "_n.path", "_n.key", "_n.depth", F.col("_n.node").alias("value"), is_leaf.alias("is_leaf"))
+    fields = StructType.fromDDL(ddl)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, at, chars = [], [], 0
+
+            def built():
+                columns = [pa.array(c) for c in zip(*rows, strict=True)]
+                return pa.RecordBatch.from_arrays([*batch.select(range(len(keep))).take(pa.array(at)).columns, *columns], [*keep, *fields.names])
+
+            for i, text in enumerate(batch.column(len(keep)).to_pylist()):
+                for row in made(text) if text is not None else ():
+                    rows.append(row)
+                    at.append(i)
+                    chars += row[-1] and len(row[-1]) or 0
+                    if len(rows) >= WALK_ROWS or chars >= WALK_CHARS:
+                        yield _typed(built(), len(keep), types)
+                        rows, at, chars = [], [], 0
+            if rows:
+                yield _typed(built(), len(keep), types)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    types = to_arrow_schema(fields)
+    schema = StructType([*df.select(*keep).schema.fields, *fields.fields])
+    # a small file is one partition, and its documents are far dearer to walk than to move
+    dealt = df.select(*keep, F.to_json(doc).alias("_text")).repartition(PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(walk, schema)
+
+
+def _typed(batch: pa.RecordBatch, n: int, types: pa.Schema) -> pa.RecordBatch:
+    """The batch with the columns from the n-th on in their types."""
+    columns = [c if i < n else c.cast(types.field(i - n).type) for i, c in enumerate(batch.columns)]
+    return pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
+def _json_rows(df: DataFrame, doc: str, keys: Sequence[str] | None = None, leaves: bool = False) -> DataFrame:
+    """``path, key, depth, is_leaf, value`` of every value below the root, ``value`` as JSON text; only those under ``keys``, only leaves."""
+    wanted = set(keys) if keys is not None else None
+
+    def made(text: str) -> Iterator[tuple]:
+        places = _places(text)
+        paths = ["$"]
+        depths = [0]
+        for parent, key, position, start, end in places[1:]:
+            path = f"{paths[parent]}.{key}" if key is not None else f"{paths[parent]}[{position}]"
+            paths.append(path)
+            depths.append(depths[parent] + 1)
+            leaf = text[start] not in "{[" or end - start == 2
+            if (wanted is None or key in wanted) and (leaf or not leaves):
+                yield path, key, depths[-1], leaf, text[start:end]
+
+    return _walk(df, doc, made, "path string, key string, depth int, is_leaf boolean, value string")
+
+
+def json_nodes(df: DataFrame, doc: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """Every value below the root of a VARIANT document with its JSON path and key, or those under ``keys`` only.
+
+    Each document is read once, as JSON text, whatever its depth; values that JSON has no
+    form for, such as dates, are texts.
+    """
+    rows = _json_rows(df, doc, keys)
+    return rows.withColumn("value", F.parse_json("value")).select(*[c for c in df.columns if c != doc], "path", "key", "depth", "value", "is_leaf")
 
 
 def identifier_only(df: DataFrame, doc: str, levels: int = LEVELS) -> DataFrame:
@@ -132,13 +217,13 @@ def evidence_disguise(df: DataFrame, entity: str, column: str) -> DataFrame:
     return violations(spoofed, "entity_id", f"{column}_id_disguise").union(violations(only, "entity_id", f"{column}_identifier_only"))
 
 
-def collect_named_values(df: DataFrame, doc: str, keys: list[str], levels: int = LEVELS) -> DataFrame:
+def collect_named_values(df: DataFrame, doc: str, keys: list[str]) -> DataFrame:
     """All values under any of the keys at any depth, inside matched values too."""
-    return json_nodes(df, doc, levels).where(F.col("key").isin(keys))
+    return json_nodes(df, doc, keys)
 
 
-def key_paths(df: DataFrame, doc: str, key: str, levels: int = LEVELS) -> DataFrame:
-    return json_nodes(df, doc, levels).where(F.col("key") == key)
+def key_paths(df: DataFrame, doc: str, key: str) -> DataFrame:
+    return json_nodes(df, doc, [key])
 
 
 def structural_diff(before: DataFrame, after: DataFrame, keys: list[str], doc: str = "doc") -> DataFrame:
@@ -147,8 +232,7 @@ def structural_diff(before: DataFrame, after: DataFrame, keys: list[str], doc: s
     Both sides meet in one aggregation instead of a full outer join.
     """
     def leaves(df: DataFrame, side: str) -> DataFrame:
-        rows = json_nodes(df.select(*keys, doc), doc).where("is_leaf")
-        return rows.select(*keys, "path", F.lit(side).alias("side"), F.to_json("value").alias("value"))
+        return _json_rows(df.select(*keys, doc), doc, leaves=True).select(*keys, "path", F.lit(side).alias("side"), "value")
 
     both = leaves(before, "b").unionByName(leaves(after, "a"))
     merged = both.groupBy(*keys, "path").agg(
@@ -161,29 +245,30 @@ def structural_diff(before: DataFrame, after: DataFrame, keys: list[str], doc: s
     return merged.where(~F.col("before").eqNullSafe(F.col("after"))).withColumn("change", change)
 
 
-def identified_nodes(df: DataFrame, doc: str, ids: Sequence[str], levels: int = LEVELS) -> DataFrame:
+def identified_nodes(df: DataFrame, doc: str, ids: Sequence[str]) -> DataFrame:
     """Objects of a VARIANT document that carry an identity, with the identity of the nearest one above.
 
     ``kind`` is the first of the fields ``ids`` that holds a text or a number, ``id`` its
     text; ``at`` is the place in document order.
     """
-    def identity(node: Column) -> Column:
-        named = [F.when(~F.schema_of_variant(F.coalesce(F.try_variant_get(node, f"$.{k}", "variant"), F.parse_json(F.lit("null")))).rlike("^(OBJECT|ARRAY|VOID|BOOLEAN)"),
-                        F.struct(F.lit(k).alias("kind"), F.try_variant_get(node, f"$.{k}", "string").alias("id"))) for k in ids]
-        return F.coalesce(*named)
-
-    def below(p: Column) -> Column:
-        above = F.coalesce(identity(p["node"]), p["owner"])
-        child = lambda node, i: F.struct(F.concat(p["at"], F.array(i)).alias("at"), above.alias("owner"), node.alias("node"))
-        return F.coalesce(
-            F.transform(F.map_entries(F.try_variant_get(p["node"], "$", "map<string,variant>")), lambda e, i: child(e["value"], i)),
-            F.transform(F.try_variant_get(p["node"], "$", "array<variant>"), child), F.array().cast("array<struct<at:array<int>,owner:struct<kind:string,id:string>,node:variant>>"))
-
-    keep = [c for c in df.columns if c != doc]
-    none = F.lit(None).cast("struct<kind:string,id:string>")
-    top = F.array(F.struct(F.array().cast("array<int>").alias("at"), none.alias("owner"), F.col(doc).alias("node")))
-    rows = _unfold(df, keep, top, below, levels).withColumn("_id", identity(F.col("_n.node"))).where("_id IS NOT NULL")
-    return rows.select(*keep, "_id.kind", "_id.id", F.col("_n.owner").alias("owner"), F.col("_n.at").alias("at"), F.col("_n.node").alias("node"))
+    ids = list(ids)
+
+    def made(text: str) -> Iterator[tuple]:
+        places = _places(text)
+        named: dict[int, dict] = {}
+        for parent, key, _, start, end in places:
+            if key in ids and text[start] not in "{[" and text[start:end] not in ("null", "true", "false"):
+                named.setdefault(parent, {})[key] = _said(text[start:end]) if text[start] == '"' else text[start:end]
+        own = {p: next({"kind": k, "id": found[k]} for k in ids if k in found) for p, found in named.items()}
+        at, owner = [], []
+        for n, (parent, _, position, start, end) in enumerate(places):
+            at.append([*at[parent], position] if parent >= 0 else [])
+            owner.append((own.get(parent) or owner[parent]) if parent >= 0 else None)
+            if n in own:
+                yield own[n]["kind"], own[n]["id"], owner[n], at[n], text[start:end]
+
+    rows = _walk(df, doc, made, "kind string, id string, owner struct<kind:string,id:string>, at array<int>, node string")
+    return rows.withColumn("node", F.parse_json("node"))
 
 
 def identity_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], ids: Sequence[str], doc: str = "doc") -> DataFrame:

@@ -67,13 +67,13 @@ UNION ALL SELECT o_orderkey, '$.deep' || repeat('.inner', CAST(3 + o_orderkey %
 
 @query("B3_collect_named_values", NAMED)
 def _(t):
-    rows = tree.collect_named_values(t.sql(ORDER_DOCS), "doc", ["source_id", "book_id", "bookId"], 5)
+    rows = tree.collect_named_values(t.sql(ORDER_DOCS), "doc", ["source_id", "book_id", "bookId"])
     return rows.select("o_orderkey", "path", F.to_json("value").alias("value"))
 
 
 @query("B4_key_paths", f"SELECT o_orderkey, path FROM ({NAMED}) WHERE path LIKE '%book_id'")
 def _(t):
-    return tree.key_paths(t.sql(ORDER_DOCS), "doc", "book_id", 5).select("o_orderkey", "path")
+    return tree.key_paths(t.sql(ORDER_DOCS), "doc", "book_id").select("o_orderkey", "path")
 
 
 def duck_lines(col: str) -> str:

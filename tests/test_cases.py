@@ -422,3 +422,15 @@ def test_manifest_paths_may_repeat(spark):
     found = scans.manifest_union(index, docs, "sort", "path").select("sort", "path", "loaded", "doc")
     assert sorted(rows(found)) == [(1, "a", True, "x"), (2, "a", True, "yy"), (3, None, True, None), (4, "b", False, None)]
     assert scans.manifest_union(index, docs.where("sort = 1").drop("sort")).where("loaded").count() == 2
+
+
+def test_documents_are_walked_once_and_by_many_tasks(spark):
+    text = r'{"a":[{"b \"c":"x:{}"},[],{}],"d":1.5,"e":{"f":null}}'
+    docs = spark.createDataFrame([(1, text), (2, "7"), (3, None)], "k int, raw string").coalesce(1).select("k", F.parse_json("raw").alias("doc"))
+    nodes = tree.json_nodes(docs, "doc")
+    found = nodes.select("k", "path", "key", "depth", F.to_json("value"), "is_leaf")
+    assert sorted(rows(found), key=str) == sorted([
+        (1, "$.a", "a", 1, r'[{"b \"c":"x:{}"},[],{}]', False), (1, "$.a[0]", None, 2, r'{"b \"c":"x:{}"}', False), (1, '$.a[0].b "c', 'b "c', 3, '"x:{}"', True),
+        (1, "$.a[1]", None, 2, "[]", True), (1, "$.a[2]", None, 2, "{}", True), (1, "$.d", "d", 1, "1.5", True),
+        (1, "$.e", "e", 1, '{"f":null}', False), (1, "$.e.f", "f", 2, "null", True)], key=str)
+    assert nodes.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
