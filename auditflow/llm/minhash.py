@@ -1,4 +1,4 @@
-"""Near duplicates by five-word Jaccard similarity: MinHash bands for candidates, exact confirmation of each."""
+"""Near duplicates by five-word Jaccard similarity: anchor points of SimHash fingerprints and MinHash bands for candidates, exact confirmation of each."""
 
 from __future__ import annotations
 
@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from auditflow.llm.common import checkpointed, keyed, row_key, split_by_keys
 from auditflow.llm.kneser_ney import _mix, _Words
 from auditflow.llm.components import connected_components
+from auditflow.llm.simhash import anchor_links, majority
 
 SHINGLE = 5
 #: Least Jaccard similarity of a link, as a fraction.
 SIMILAR = (4, 5)
 #: A pair at 0.8 agrees in none of the bands with a chance of 2 in 10,000, a closer one with less.
 BANDS, ROWS = 28, 6
+#: Differing bits of two fingerprints that the anchors link; pairs farther apart are left to the bands.
+WIDE = 8
 #: Texts on one side of a cell.
 STAR_BLOCK, BLOCK = 256, 64
 
@@ -54,15 +57,16 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = _Words()
     for batch in batches:
-        nodes, bands = batch.column(2).to_numpy().copy(), []
+        nodes, bands, prints = batch.column(2).to_numpy().copy(), [], np.zeros(batch.num_rows, dtype=np.uint64)
         for i, text in enumerate(batch.column(3).to_pylist()):
             found = shingles(text, words)
             if not len(found):
                 nodes[i] = 0  # texts without words are all alike
+            prints[i] = majority(found)
             bands.append(band_keys(found).view(np.int64) if len(found) else np.empty(0, dtype=np.int64))
         offsets = np.cumsum([0, *map(len, bands)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands) if bands else np.empty(0, dtype=np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes), lists], ["doc_id", "row_key", "node", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes), lists, pa.array(prints.view(np.int64))], ["doc_id", "row_key", "node", "bands", "fp"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,22 +145,33 @@ def _squares(members: DataFrame) -> DataFrame:
     return homes.union(guests)
 
 
+def anchor_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs ``hub, node`` of the rows ``node, fp`` that connect all whose fingerprints are linked at anchors, equal ones included."""
+    nodes = checkpointed(nodes)
+    least = checkpointed(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
+    same = nodes.join(least, "fp").where("node <> hub").select("hub", "node")
+    links = anchor_links(least.select("fp"), WIDE)
+    ends = links.join(least.select(F.col("fp").alias("a"), "hub"), "a").join(least.select(F.col("fp").alias("b"), F.col("hub").alias("node")), "b")
+    return same.union(ends.select("hub", "node"))
+
+
 def similar_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, row_key, component``, equal for documents that links connect.
 
     Texts whose sets of five-word runs have a Jaccard similarity of at least 0.8 are
     linked; texts without words, null included, are linked with each other.  Candidates
-    share a band of their MinHash signatures.  In each bucket all are compared with its
+    are linked at anchor points, where the fingerprints of their sets differ by up to
+    ``WIDE`` bits, or share a band of their MinHash signatures.  In each bucket all are compared with its
     least text; where that leaves a bucket in several components, all its pairs are
     compared.  Every link is confirmed on the whole sets.
     """
     name = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("row_key"), name.alias("node"), F.col(text).alias("text"))
-    found = checkpointed(rows.mapInArrow(_signatures, "doc_id long, row_key long, node long, bands array<long>"))
-    nodes = found.where("node <> 0").groupBy("node").agg(F.first("bands").alias("bands"))
+    found = checkpointed(rows.mapInArrow(_signatures, "doc_id long, row_key long, node long, bands array<long>, fp long"))
+    nodes = found.where("node <> 0").groupBy("node").agg(F.first("bands").alias("bands"), F.first("fp").alias("fp"))
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     stars = checkpointed(banded.withColumn("hub", F.min("node").over(Window.partitionBy("bucket"))).where("node <> hub"))
-    pairs = stars.select("hub", "node").distinct()
+    pairs = checkpointed(stars.select("hub", "node").union(anchor_pairs(nodes.select("node", "fp"))).distinct())
     wanted = checkpointed(pairs.select("node").union(pairs.select("hub")).distinct())
     texts, key = keyed(rows.select("node", "text"), "node", "text")
     texts = texts.withColumn(key, F.col("node"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -40,6 +40,11 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE, seed: int = SEED) ->
         starts = np.concatenate(([0], ends[:-shingle])).tolist()
         stops = (ends[shingle - 1:] - 1).tolist()
         hashes = [xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)]
+    return majority(hashes)
+
+
+def majority(hashes: Sequence[int] | np.ndarray) -> int:
+    """Bit i is set if it is set in over half of the hashes."""
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[at:at + (1 << 16)], dtype=">u8")

@@ -117,3 +117,18 @@ def test_cells_confirm_on_whole_sets():
     nodes, both = np.array([1, 2, 3, 4, 5] * 2), np.array([True] * 5 + [False] * 5)
     a, b = minhash.cell_links(nodes, both, sets * 2)
     assert sorted(zip(a, b, strict=True)) in ([(1, 2), (1, 3), (2, 4)], [(1, 2), (1, 3), (3, 4)])
+
+
+def test_near_stage_links_at_anchors(spark, monkeypatch):
+    base = [f"w{k}" for k in range(400)]
+    texts = [" ".join([*base[:n], "other", *base[n + 1:]]) for n in (0, 200, 399)] + [" ".join(f"v{k}" for k in range(400))]
+    words = kneser_ney._Words()
+    prints = [minhash.majority(minhash.shingles(t, words)) for t in texts]
+    nodes = spark.createDataFrame([(k, int(np.uint64(p).view(np.int64))) for k, p in enumerate(prints)], "node long, fp long")
+    near = {(a, b) for a in range(4) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= minhash.WIDE}
+    found = {tuple(sorted((r.hub, r.node), reverse=True)) for r in minhash.anchor_pairs(nodes).collect()}
+    assert near and found and found <= near and {n for p in found for n in p} == {n for p in near for n in p}
+    # without any band the anchors alone link copies with one other word
+    monkeypatch.setattr(minhash, "band_keys", lambda found: np.empty(0, dtype=np.uint64))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()) == [0, 3]
