@@ -90,3 +90,42 @@ def test_tokens_and_empty_batches(spark):
     assert run_batch(spark, [*start, ("a", "applied", None, None, "good")])[0]["a"][0] == "applied"
     got, every = run_batch(spark, [], [("k", "verified", "elsewhere", "h")])
     assert set(got.values()) == {("pending", None, 0), ("pending", "prospective_many_locks", 0)} and every.count() == 0
+
+
+def crowd(seed, n_items, n_keys, n_events):
+    rng = random.Random(seed)
+    items = [(f"i{n}", "pending", None, f"k{n % n_keys}" if n % 4 == 0 else None, "x", "h0") for n in range(n_items)]
+    at, events = {}, []
+    for seq in range(n_events):
+        n = rng.randrange(n_items)
+        step = at[n] = (at.get(n, -1) + 1) % 6
+        op = COURSE[step] if rng.random() < 0.9 else rng.choice(["failed", "conflict", "outcome_unknown", "planned"])
+        key = f"k{(n + rng.randrange(2)) % n_keys}" if rng.random() < 0.97 else None
+        events.append((seq, f"i{n}", op, rng.random() < 0.95, True, "why", key, "x", rng.choice(["h0", "h0", "h1"]), "t", "o", rng.choice(["h0", "h1"])))
+    return items, events, [("k1", "superseded", "elsewhere", None), ("k2", "verified", "elsewhere", "h1"), ("k0", "planned", "i0", None)]
+
+
+def replayed(spark, items, events, registry):
+    made = batch.replay_batch(spark.createDataFrame(items, ITEMS), spark.createDataFrame(events, EVENTS), spark.createDataFrame(registry, REGISTRY))
+    return sorted((r.seq, r.state, r.reason, r.attempt, r.accepted) for r in made.collect())
+
+
+def test_a_family_needs_no_rounds(spark, monkeypatch):
+    def no_round(*_):
+        raise AssertionError("replayed in rounds")
+
+    monkeypatch.setattr(batch, "_ask", no_round)
+    given = crowd(4, 40, 5, 800)
+    assert replayed(spark, *given) == one_by_one(*given)
+
+
+@pytest.mark.parametrize("together, steps", [(0, 4), (60, 4), (200_000, 1)])
+def test_large_and_long_families_go_in_rounds(spark, monkeypatch, together, steps):
+    monkeypatch.setattr(batch, "TOGETHER", together)
+    monkeypatch.setattr(batch, "STEPS", steps)
+    # some items on a few shared keys, others in a chain of keys that a step cannot follow
+    items, events, registry = crowd(5, 30, 30, 300)
+    apart = [(f"z{n}", "pending", None, None, "x", "h0") for n in range(3)]
+    more = [(1000 + n, f"z{n % 3}", COURSE[n // 3], True, True, "why", f"z{n % 3 // 2}", "x", "h0", "t", "o", "h0") for n in range(18)]
+    given = (items + apart, events + more, registry)
+    assert replayed(spark, *given) == one_by_one(*given)
