@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache, reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from auditflow.functions.canon import FINGERPRINT_FIELDS, fingerprint_diff
 from auditflow.operators import ranges
@@ -224,6 +228,8 @@ def lease_owners(decisions: DataFrame, order: list[str]) -> DataFrame:
 BINDINGS = [("prospective", "lock_key"), ("lock_key", "prospective"), ("prospective", "real_book"), ("real_book", "prospective")]
 #: A round that settles less than this share of what is left is followed by one over chains.
 ROUND_SHARE = 0.25
+#: Rows of one range in which pointers are followed by one task.
+RANGE_ROWS = 1_000_000
 
 
 def _earlier_clashes(left: DataFrame, a: str, b: str) -> DataFrame:
@@ -256,6 +262,18 @@ def _settle_chains(left: DataFrame) -> DataFrame:
     steps = checkpointed(rows.select(
         "at", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("at")).alias("to"), (F.col("low") == F.col("high")).alias("odd"),
         F.col("low").isNull().alias("free")).withColumn("odd", F.coalesce("odd", F.lit(False))))
+    # Within a range of places pointers are followed at once; between ranges only rows that others point to go on.
+    short = checkpointed(_short_cuts(steps))
+    gates = short.where("to <> at").select(F.col("to").alias("at")).distinct()
+    doubled = _doubled(short.join(gates, "at", "left_semi"))
+    there = doubled.select(F.col("at").alias("to"), F.col("to").alias("to2"), F.col("odd").alias("odd2"), F.col("free").alias("free2"))
+    ends = short.join(there, "to", "left").select(
+        "at", (F.col("odd") != F.coalesce("odd2", F.lit(False))).alias("odd"), F.coalesce("free2", "free").alias("free"))
+    return ends.where("free").select("at", (~F.col("odd")).alias("keep"))
+
+
+def _doubled(steps: DataFrame) -> DataFrame:
+    """Pointers ``at, to, odd, free`` of rows that point to each other, followed to the heads of their chains."""
     while True:
         there = steps.select(F.col("at").alias("to"), F.col("to").alias("to2"), F.col("odd").alias("odd2"), F.col("free").alias("free2"))
         jumped = steps.join(there, "to").select(
@@ -263,7 +281,40 @@ def _settle_chains(left: DataFrame) -> DataFrame:
         jumped = checkpointed(jumped)
         steps = jumped.drop("moved")
         if jumped.where("moved").isEmpty():
-            return steps.where("free").select("at", (~F.col("odd")).alias("keep"))
+            return steps
+
+
+def _short_cuts(steps: DataFrame) -> DataFrame:
+    """The same pointers, each followed as far as rows of its own range of ``at`` lead.
+
+    A task holds a few numbers for each row of its range.  Places other than whole numbers
+    are left as they are.
+    """
+    if not isinstance(steps.schema["at"].dataType, IntegralType):
+        return steps
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts)
+        at, to, odd, free = (table.column(c).to_numpy() for c in ("at", "to", "odd", "free"))
+        order = np.argsort(at, kind="stable")
+        at, to, odd, free = at[order], to[order], odd[order], free[order]
+        place = np.minimum(np.searchsorted(at, to), len(at) - 1)
+        # a row that points out of the range stands still
+        hop = np.where(at[place] == to, place, np.arange(len(at)))
+        turn = odd & (hop != np.arange(len(at)))
+        while True:
+            further = hop[hop]
+            if np.array_equal(further, hop):
+                break
+            turn, hop = turn ^ turn[hop], further
+        out = pa.table({"at": at, "to": to[hop], "odd": turn ^ odd[hop], "free": free[hop]})
+        yield from out.to_batches(max_chunksize=100_000)
+
+    n = max(1, -(-steps.count() // RANGE_ROWS))
+    return steps.repartitionByRange(n, "at").mapInArrow(run, steps.schema)
 
 
 def identity_bindings(events: DataFrame, order: str = "seq") -> tuple[DataFrame, DataFrame]:
