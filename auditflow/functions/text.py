@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,37 +29,63 @@ def trim_blanks(value: Column | str) -> Column:
     return F.regexp_replace(_col(value), f"^{BLANK}+|{BLANK}+$", "")
 
 
+def _where_has(html: Column, signs: tuple[str, ...], made: Callable[[set[str]], Column]) -> Column:
+    """``made`` of those signs that occur in a text, so that no pattern is tried on a text it cannot match."""
+    def branch(left: tuple[str, ...], seen: set[str]) -> Column:
+        if not left:
+            return made(seen)
+        return F.when(F.contains(html, F.lit(left[0])), branch(left[1:], seen | {left[0]})).otherwise(branch(left[1:], seen))
+
+    return branch(signs, set())
+
+
 def html_lines(html: Column | str, angle_entities: bool = True) -> Column:
     """Visible lines of rich text, blank lines dropped.
 
     ``&amp;`` is decoded before ``&lt;``, so a doubly escaped sign opens fully.
     """
-    c = F.coalesce(_col(html), F.lit(""))
-    for pattern in (rf"(?i)<br{BLANK}*/?>", rf"(?i)</p>{BLANK}*<p[^>]*>", rf"(?i)</li>{BLANK}*<li[^>]*>"):
-        c = F.regexp_replace(c, pattern, "\n")
-    c = F.regexp_replace(c, r"(?i)</?(?:ol|ul)[^>]*>", "")
-    c = F.regexp_replace(c, r"<[^>]+>", "")
-    c = F.regexp_replace(c, r"&#39;|&apos;", "'")
-    entities = [("&quot;", '"'), ("&amp;", "&")]
-    if angle_entities:
-        entities += [("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " ")]
-    for name, sign in entities:
-        c = F.replace(c, F.lit(name), F.lit(sign))
-    lines = F.transform(F.split(c, r"\r?\n"), lambda s: trim_blanks(F.regexp_replace(s, f"{BLANK}+", " ")))
+    raw = F.coalesce(_col(html), F.lit(""))
+
+    def plain(signs: set[str]) -> Column:
+        c = raw
+        if "<" in signs:
+            for pattern in (rf"(?i)<br{BLANK}*/?>", rf"(?i)</p>{BLANK}*<p[^>]*>", rf"(?i)</li>{BLANK}*<li[^>]*>"):
+                c = F.regexp_replace(c, pattern, "\n")
+            c = F.regexp_replace(c, r"(?i)</?(?:ol|ul)[^>]*>", "")
+            c = F.regexp_replace(c, r"<[^>]+>", "")
+        if "&" in signs:
+            c = F.regexp_replace(c, r"&#39;|&apos;", "'")
+            entities = [("&quot;", '"'), ("&amp;", "&")]
+            if angle_entities:
+                entities += [("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " ")]
+            for name, sign in entities:
+                c = F.replace(c, F.lit(name), F.lit(sign))
+        return c
+
+    # blanks of any kind are spaces before the ends are trimmed
+    lines = F.transform(F.split(_where_has(raw, ("<", "&"), plain), r"\r?\n"), lambda s: F.trim(F.regexp_replace(s, f"{BLANK}+", " ")))
     return F.filter(lines, lambda s: s != "")
 
 
 def html_text(html: Column | str) -> Column:
     """Visible text of a page on one line, spacing before punctuation removed."""
-    c = F.coalesce(_col(html), F.lit(""))
-    c = F.regexp_replace(c, rf"(?i)<br{BLANK}*/?>", " ")
-    c = F.regexp_replace(c, rf"(?i)</(?:p|div|li|h[1-6]){BLANK}*>", " ")
-    c = F.regexp_replace(c, r"<[^>]+>", "")
-    for name, sign in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"')):
-        c = F.regexp_replace(c, f"(?i){name}", sign)
-    c = F.regexp_replace(c, r"(?i)&#39;|&apos;", "'")
-    c = F.regexp_replace(c, f"{BLANK}+", " ")
-    return trim_blanks(F.regexp_replace(c, f"{BLANK}+([.,!?;:])", "$1"))
+    raw = F.coalesce(_col(html), F.lit(""))
+
+    def plain(signs: set[str]) -> Column:
+        c = raw
+        if "<" in signs:
+            c = F.regexp_replace(c, rf"(?i)<br{BLANK}*/?>", " ")
+            c = F.regexp_replace(c, rf"(?i)</(?:p|div|li|h[1-6]){BLANK}*>", " ")
+            c = F.regexp_replace(c, r"<[^>]+>", "")
+        if "&" in signs:
+            for name, sign in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"')):
+                c = F.regexp_replace(c, f"(?i){name}", sign)
+            c = F.regexp_replace(c, r"(?i)&#39;|&apos;", "'")
+        return c
+
+    c = F.regexp_replace(_where_has(raw, ("<", "&"), plain), f"{BLANK}+", " ")
+    # blanks of any kind are spaces before the ends are trimmed
+    return F.trim(F.regexp_replace(c, " ([.,!?;:])", "$1"))
 
 
 def kept_style(style: Column) -> Column:

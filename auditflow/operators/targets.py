@@ -25,19 +25,21 @@ def verify_targets(plans: DataFrame, targets: DataFrame, modules: DataFrame, boo
     ``plans`` and ``targets`` meet on ``position``; ``modules`` belong to target
     pages and of a repeated name the last counts.
     """
-    named = lambda name, c: F.max_by(F.when(F.col("name") == name, F.col(c)), F.when(F.col("name") == name, F.col("pos")))
-    fields = []
-    for i, (name, _) in enumerate(LOCATORS):
-        fields += [named(name, "module_type").alias(f"loc{i}_type"), named(name, "resource_id").alias(f"loc{i}_res"),
-                   named(name, "module_catalog_id").alias(f"loc{i}_cat")]
-    per_page = modules.groupBy("page_id").agg(
-        F.count("*").alias("n_modules"), F.count_distinct("element_id").alias("n_elements"),
-        F.count_distinct(F.when(F.col("element_id").isin(elements), F.col("element_id"))).alias("n_template"),
-        F.count(F.when(F.col("element_id") == forbidden, 1)).alias("n_forbidden"), *fields,
-        named(AUDIO, "module_type").alias("audio_type"), named(AUDIO, "file_id").alias("audio_file"), named(AUDIO, "url").alias("audio_url"),
-        named(ORAL_PK, "agent_id").alias("pk_agent"), named(ORAL_PK, "text_id").alias("pk_text"),
-        named(ORAL_TEST, "agent_id").alias("test_agent"), named(ORAL_TEST, "text_id").alias("test_text"),
-        named(MNEMONIC, "module_type").alias("mn_type"), named(MNEMONIC, "guid").alias("mn_guid"))
+    here = lambda name: F.when(F.col("name") == name, F.col("pos"))
+    names = [*(name for name, _ in LOCATORS), AUDIO, ORAL_PK, ORAL_TEST, MNEMONIC]
+    values = F.struct("module_type", "resource_id", "module_catalog_id", "file_id", "url", "agent_id", "text_id", "guid")
+    picks = {"audio": (AUDIO, {"type": "module_type", "file": "file_id", "url": "url"}), "pk": (ORAL_PK, {"agent": "agent_id", "text": "text_id"}),
+             "test": (ORAL_TEST, {"agent": "agent_id", "text": "text_id"}), "mn": (MNEMONIC, {"type": "module_type", "guid": "guid"}),
+             **{f"loc{i}": (name, {"type": "module_type", "res": "resource_id", "cat": "module_catalog_id"}) for i, (name, _) in enumerate(LOCATORS)}}
+    last = modules.where(F.col("name").isin(names)).groupBy("page_id").agg(*[F.max_by(values, here(n)).alias(f"_{i}") for i, n in enumerate(names)])
+    last = last.select("page_id", *[F.col(f"_{names.index(name)}.{c}").alias(f"{k}_{f}") for k, (name, fields) in picks.items() for f, c in fields.items()])
+    # elements first: counts of distinct values beside each other would send every module several times
+    per_element = modules.groupBy("page_id", "element_id").agg(F.count("*").alias("n"))
+    counts = per_element.groupBy("page_id").agg(
+        F.sum("n").alias("n_modules"), F.count("element_id").alias("n_elements"),
+        F.count(F.when(F.col("element_id").isin(elements), 1)).alias("n_template"),
+        F.sum(F.when(F.col("element_id") == forbidden, F.col("n"))).alias("n_forbidden"))
+    per_page = counts.join(last, "page_id", "left")
     p = plans.select("position", *[F.col(c).alias(f"p_{c}") for c in plans.columns if c != "position"])
     rows = p.join(targets, "position", "full").join(per_page, "page_id", "left")
     differs = lambda a, b: ~F.col(a).cast("string").eqNullSafe(F.col(b).cast("string"))

@@ -3,7 +3,14 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from auditflow.fixtures import Tables
 from auditflow.operators import ledger as L
+from auditflow.operators import targets as T
+from auditflow.queries.validators import ELEMENTS, target_tables
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def one_by_one(rows):
@@ -41,3 +48,8 @@ def test_chains_over_many_ranges(spark, monkeypatch):
     for rows in (chain(150), shuffled):
         kept, _ = L.identity_bindings(bindings(spark, rows))
         assert {r["seq"] for r in kept.collect()} == one_by_one(rows)
+
+
+def test_modules_are_not_sent_once_for_each_count(spark):
+    found = T.verify_targets(*target_tables(Tables(spark, "/root/testdata/sf0.001")), "500", ELEMENTS, "mx")
+    assert "Expand" not in plan_text(found)
