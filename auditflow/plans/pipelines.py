@@ -98,20 +98,21 @@ def source_manifest(captures: DataFrame, wanted: DataFrame, overrides: DataFrame
     Every capture that could not be parsed is a violation, and a wanted catalog without
     any parsed one is missing.
     """
-    asked = captures.join(wanted.select("catalog_id"), "catalog_id", "left_semi")
+    asked = checkpointed(captures.join(wanted.select("catalog_id"), "catalog_id", "left_semi"))
     unparsed = asked.where("doc IS NULL").select(
         F.col("catalog_id").cast("string").alias("entity_id"), F.lit("capture_unparsed").alias("rule_code"), F.lit("error").alias("severity"), F.col("path").alias("message"))
-    chosen = latest_captures(asked)
+    # all tables of a capture are read from it, so it is parsed and chosen once
+    chosen = checkpointed(latest_captures(asked).select("catalog_id", "doc"))
     catalogs, warnings, found = extract.extract_catalogs(*snapshot_tables(chosen))
     done, judged, broken = extract.apply_overrides(catalogs, warnings, overrides)
     found = found.unionByName(broken).unionByName(extract.unresolved_catalogs(done))
     found = found.unionByName(unparsed)
-    return SourceManifest(done, judged, found, matching.missing(wanted, captures.where("doc IS NOT NULL"), ["catalog_id"]))
+    return SourceManifest(done, judged, found, matching.missing(wanted, asked.where("doc IS NOT NULL"), ["catalog_id"]))
 
 
 def variant_profile(captures: DataFrame) -> DataFrame:
     """How titles, sentences and word counts vary: rows (metric, key, value)."""
-    chosen = latest_captures(captures)
+    chosen = checkpointed(latest_captures(checkpointed(captures.where("doc IS NOT NULL"))).select("catalog_id", "doc"))
     tables = snapshot_tables(chosen)
     texts = extract.selected_elements(tables.blocks, tables.elements)
     lines = X.html_lines("content", angle_entities=False)
@@ -121,7 +122,8 @@ def variant_profile(captures: DataFrame) -> DataFrame:
         F.max(F.when(F.col("field") == "words_en", F.size("_l"))).alias("n_english"),
         F.max(F.when(F.col("field") == "words_zh", F.size("_l"))).alias("n_chinese"))
     titles = chosen.select("catalog_id", js_length(F.try_variant_get("doc", "$.snapshot.identity.catalogName", "string")).alias("title_length"))
-    rows = rows.join(titles, "catalog_id")
+    # four reports start from these rows
+    rows = checkpointed(rows.join(titles, "catalog_id"))
     spread = report.distribution(rows, "n_sentences").select(
         F.lit("sentence_count").alias("metric"), F.col("value").cast("string").alias("key"), F.col("n").alias("value"))
     wrong = report.mismatch_report(rows, ["n_english", "n_chinese"], 4).select(

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from auditflow.fixtures import Tables
 from auditflow.operators import ledger as L
 from auditflow.operators import targets as T
+from auditflow.plans import pipelines as P
+from auditflow.queries.pipelines import CAPTURES
 from auditflow.queries.validators import ELEMENTS, target_tables
+from auditflow.sources.scans import with_document
 
 
 def plan_text(df) -> str:
@@ -50,6 +53,26 @@ def test_chains_over_many_ranges(spark, monkeypatch):
         assert {r["seq"] for r in kept.collect()} == one_by_one(rows)
 
 
+def captures(spark):
+    docs = [(i, f"one\ntwo {i}", "en", "web", 5 + i) for i in range(1, 6)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").createOrReplaceTempView("documents")
+    return with_document(spark.sql(CAPTURES)).drop("raw", "parse_error")
+
+
+def test_reports_of_variants_do_not_parse_captures_again(spark):
+    assert "parsejson" not in plan_text(P.variant_profile(captures(spark))).lower()
+
+
+def test_catalogs_do_not_parse_captures_again(spark):
+    none = spark.createDataFrame([], "catalog_id bigint, sentences array<string>, sentence_evidence string, words_english array<string>, words_chinese array<string>, "
+                                 "word_pairing_evidence string, accept_relevant_warnings array<struct<code:string,target_element_id:string>>")
+    wanted = spark.range(1, 8).withColumnRenamed("id", "catalog_id")
+    out = P.source_manifest(captures(spark), wanted, none)
+    assert "parsejson" not in plan_text(out.catalogs).lower() + plan_text(out.missing).lower()
+    assert {r["catalog_id"] for r in out.missing.collect()} == {6, 7}
+    assert {r["catalog_id"] for r in out.catalogs.collect()} == set(range(1, 6))
+
+
 def test_modules_are_not_sent_once_for_each_count(spark):
     found = T.verify_targets(*target_tables(Tables(spark, "/root/testdata/sf0.001")), "500", ELEMENTS, "mx")
     assert "Expand" not in plan_text(found)
