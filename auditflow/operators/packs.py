@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditflow.operators.checks import DOMAINS, explode_rules, is_id_disguise, is_id_kind, is_identifier_only
+from auditflow.operators.checks import DOMAINS, failed_rules, is_id_disguise, is_id_kind, is_identifier_only
 from auditflow.operators.rulepacks import FEEDBACK, MAX_DEPTH, MODULE, ON_AMBIGUOUS, ON_MISSING, STATUSES, STYLE
 from auditflow.operators.schema import Shape, boolean, compile_schema, document_nodes, integer, items, optional, record, schema_faults, text
 from auditflow.session import checkpointed
@@ -89,10 +89,11 @@ def validate_pack_documents(packs: DataFrame, pack_id: str = "pack_id", doc: str
     nodes = checkpointed(document_nodes(packs.select(F.col(pack_id).alias("pack"), F.col(doc).alias("doc")), "doc"))
     found = [schema_faults(nodes, compile_schema(packs.sparkSession, RULE_PACK), ["pack"])]
 
-    checks: list[tuple] = []
+    # no two groups share a pattern, so a node is judged by the rules of its own group and by no others
+    checks: list[tuple[list[str], list[tuple]]] = []
 
     def rules(patterns: list[str], failing: list[tuple[str, Column]]) -> None:
-        checks.extend((code, "error", F.col("pattern").isin(patterns) & failed, F.col("path")) for code, failed in failing)
+        checks.append((patterns, [(code, "error", failed, F.col("path")) for code, failed in failing]))
 
     low, high = _get("min", "double"), _get("max", "double")
     rules([f"{s}.cardinality" for s in SELECTORS], [("cardinality_order", (high < low) & (high == F.floor(high)) & (low == F.floor(low)))])
@@ -119,7 +120,10 @@ def validate_pack_documents(packs: DataFrame, pack_id: str = "pack_id", doc: str
     approved = F.coalesce(F.try_variant_get("value", "$.execution.trial_approval.approved", "boolean"), F.lit(False))
     rules(["$"], [("execution_required", executable & ~_has("execution")), ("approval_required", executable & _has("execution") & ~approved)])
     rules(["$.execution.trial_approval"], [("approval_evidence_empty", _get("approved", "boolean") & (F.size(_get("evidence", "array<variant>")) == 0))])
-    found.append(explode_rules(nodes.withColumn("entity_id", F.col("pack")), checks).select(F.col("entity_id").alias("pack"), "rule_code", "message"))
+    judged = [(F.col("pattern").isin(patterns), failed_rules(failing)) for patterns, failing in checks]
+    broken = reduce(lambda done, group: done.when(*group), judged[1:], F.when(*judged[0]))
+    ruled = nodes.where(F.col("pattern").isin([p for patterns, _ in checks for p in patterns]))
+    found.append(ruled.select("pack", F.explode(broken).alias("_r")).select("pack", "_r.rule_code", "_r.message"))
     status = nodes.where("pattern = '$.identity.status'").select("pack", F.try_variant_get("value", "$", "string").alias("status"))
     unhashed = nodes.where(F.col("pattern").isin(TEMPLATES) & (~_has("snapshot_hash") | (F.coalesce(F.schema_of_variant(_get("snapshot_hash", "variant")), F.lit("VOID")) == "VOID")))
     unhashed = unhashed.join(status.where("status IN ('trial_approved', 'validated')"), "pack", "left_semi")

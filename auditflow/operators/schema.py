@@ -102,12 +102,18 @@ def schema_faults(nodes: DataFrame, schema: DataFrame, keep: list[str]) -> DataF
     Nodes without a row are below something open or below an unknown field, which is
     named where it occurs.
     """
-    kind = F.coalesce(F.schema_of_variant("value"), F.lit("VOID"))
-    said = F.try_variant_get("value", "$", "string")
-    number = F.try_variant_get("value", "$", "double")
-    rows = nodes.join(F.broadcast(schema), "pattern")
-    keys = F.coalesce(F.map_keys(F.try_variant_get("value", "$", "map<string,variant>")), F.array().cast("array<string>"))
-    count = F.size(F.try_variant_get("value", "$", "array<variant>"))
+    # each reading of a value is made once, and only where its row of the schema asks for it
+    shape = F.coalesce(F.schema_of_variant("value"), F.lit("VOID"))
+    rows = nodes.join(F.broadcast(schema), "pattern").withColumn("_is", shape)
+    listing = F.col("_is").startswith("OBJECT") & F.col("allowed").isNotNull()
+    rows = rows.select(
+        *keep, "path", "kind", "nullable", "pattern_like", "among", "least", "allowed", "required", "_is", listing.alias("_listing"),
+        F.when(F.col("kind").isin("text", "integer"), F.try_variant_get("value", "$", "string")).alias("_said"),
+        F.when(F.col("kind") == "integer", F.try_variant_get("value", "$", "double")).alias("_number"),
+        F.when(F.col("kind") == "array", F.size(F.try_variant_get("value", "$", "array<variant>"))).alias("_count"),
+        F.when(listing, F.map_keys(F.try_variant_get("value", "$", "map<string,variant>"))).alias("_keys"))
+    kind, said, number, count = F.col("_is"), F.col("_said"), F.col("_number"), F.col("_count")
+    keys = F.coalesce("_keys", F.array().cast("array<string>"))
     numeric = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     whole = numeric & (number == F.floor(number))
     want = F.col("kind")
@@ -126,7 +132,7 @@ def schema_faults(nodes: DataFrame, schema: DataFrame, keep: list[str]) -> DataF
 
     def each(values: Column, code: str) -> Column:
         listed = F.transform(values, lambda k: F.struct(F.lit(code).alias("rule_code"), F.concat(here, F.lit("."), k).alias("message")))
-        return F.when(kind.startswith("OBJECT") & F.col("allowed").isNotNull(), listed)
+        return F.when(F.col("_listing"), listed)
 
     none = F.array().cast("array<struct<rule_code:string,message:string>>")
     found = [one(~fits, "field_type"), one(blank, "field_blank"), one(domain, "field_domain"), one(small, "field_too_small"),

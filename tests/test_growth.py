@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from auditflow.fixtures import Tables
 from auditflow.operators import ledger as L
+from auditflow.operators import packs, schema
 from auditflow.operators import targets as T
 from auditflow.plans import pipelines as P
 from auditflow.queries.pipelines import CAPTURES
@@ -76,3 +77,10 @@ def test_catalogs_do_not_parse_captures_again(spark):
 def test_modules_are_not_sent_once_for_each_count(spark):
     found = T.verify_targets(*target_tables(Tables(spark, "/root/testdata/sf0.001")), "500", ELEMENTS, "mx")
     assert "Expand" not in plan_text(found)
+
+
+def test_kinds_of_pack_nodes_are_found_once(spark):
+    rows = spark.createDataFrame([(1, "$", "$", "{}")], "pack bigint, path string, pattern string, raw string")
+    nodes = rows.select("pack", "path", "pattern", F.try_parse_json("raw").alias("value"))
+    plan = plan_text(schema.schema_faults(nodes, schema.compile_schema(spark, packs.RULE_PACK), ["pack"]))
+    assert plan.count("schemaOfVariant(") == 1
