@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from auditflow.fixtures import Tables
 from auditflow.operators import ledger as L
-from auditflow.operators import packs, schema
+from auditflow.operators import packs, provenance, schema
 from auditflow.operators import targets as T
 from auditflow.plans import pipelines as P
 from auditflow.queries.pipelines import CAPTURES
@@ -84,3 +84,9 @@ def test_kinds_of_pack_nodes_are_found_once(spark):
     nodes = rows.select("pack", "path", "pattern", F.try_parse_json("raw").alias("value"))
     plan = plan_text(schema.schema_faults(nodes, schema.compile_schema(spark, packs.RULE_PACK), ["pack"]))
     assert plan.count("schemaOfVariant(") == 1
+
+
+def test_a_provenance_text_is_parsed_once(spark):
+    plan = plan_text(provenance.validate_seals(spark.createDataFrame([(1, "{}")], "run_id bigint, provenance string")))
+    # the text itself, its baseline and its body
+    assert plan.count("parseJson(") == 3
