@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from auditflow import queries as Q
 from auditflow.operators import matching
 
 
@@ -44,3 +45,10 @@ def test_needles_in_parts_find_the_same(spark, monkeypatch):
     names = ["unit one: letters", "unit two: numbers and letters", "a review of unit one and of unit two"]
     needles = ["unit", "one", "two", "let", "x", "n", "of", "letters", "unit one: letters", "numbers and", "review of unit one and of unit"]
     assert pairs(spark, needles, names) == sorted((x, n) for x in needles for n in names if x in n and x != n)
+
+
+def test_query_reads_texts_of_every_length(spark, data):
+    made = Q.queries()["C9_contained_names"](spark, data).select("name").distinct()
+    every = spark.read.parquet(f"{data}/documents.parquet").where("n_chars > 3000").select(F.sha2("text", 256).alias("name")).distinct()
+    assert every.count() > 5
+    assert every.join(made, "name", "left_anti").isEmpty()
