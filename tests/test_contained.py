@@ -40,6 +40,17 @@ def test_texts_are_kept_once(spark, monkeypatch):
     assert sum(kept) <= 2 * sum(map(len, names))
 
 
+def test_marks_that_no_needle_has_stay_in_their_task(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcdefghijklmnop ", k=2000)) for _ in range(20)]
+    names = spark.createDataFrame([(x,) for x in texts], "name string")
+    marked = spark.createDataFrame([(x[40:140],) for x in texts[:3]], "needle string").select("needle", matching._pieces(F.substring("needle", 1, matching.LONG), matching._marks))
+    every = names.select(matching._pieces(F.col("name"), matching._marks))
+    met = names.select(matching._pieces(F.col("name"), matching._marks, matching._mask(marked)))
+    assert every.count() > 5000
+    assert sorted(map(tuple, met.collect())) == sorted(map(tuple, every.join(marked, "piece", "left_semi").collect())) and met.count() == 3
+
+
 def test_needles_in_parts_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(matching, "HELD", 3)
     names = ["unit one: letters", "unit two: numbers and letters", "a review of unit one and of unit two"]
