@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.operators.ledger import OWNED, TRANSITIONS
@@ -29,6 +29,7 @@ DRIFT, DUPLICATE = "pre_apply_fingerprint_drift", "logical_work_already_verified
 CHANGED, ELSEWHERE = "verified_identity_target_drift", "logical_work_claimed_elsewhere"
 
 EVENT = ["seq", "item_id", "op", "evidence_ok", "recovery", "reason", "idempotency_key", "identity", "target_before", "token", "holder", "result_hash"]
+EVENT_TYPES = {"seq": "long", "evidence_ok": "boolean", "recovery": "boolean"}
 ITEM = ["first_state", "first_reason", "first_key", "first_identity", "first_target"]
 ASKED = pa.schema([
     ("seq", pa.int64()), ("item_id", pa.string()), ("ask", pa.string()), ("key", pa.string()), ("status", pa.string()), ("target", pa.string()),
@@ -36,6 +37,13 @@ ASKED = pa.schema([
     ("attempt", pa.int64()), ("accepted", pa.bool_())])
 ASKED_DDL = "seq long, item_id string, ask string, key string, status string, target string, result string, verdict string, state_before string, state string, reason string, attempt long, accepted boolean"
 CLAIMED = ("claimed", "owned", "claimed_superseded")
+# Operations that read a column; the others read neither it nor what it is made from.
+READ_BY = {"idempotency_key": ["preflighted"], "identity": ["preflighted", "authorize"], "target_before": ["preflighted", "authorize"],
+           "token": ["authorize", "applied"], "holder": ["authorize", "applied"], "result_hash": ["verified"], "reason": list(EXCEPTION_STATES)}
+# Kinds of rows of a family, in the order they are taken, and the columns of events that hold what is known of records and items.
+RECORD, FIRST, TAKEN = 0, 1, 2
+AS_RECORD = {"known_status": "op", "known_owner": "holder", "known_hash": "result_hash"}
+AS_FIRST = dict(zip(ITEM, ["op", "reason", "idempotency_key", "identity", "target_before"], strict=True))
 # A family of more events is replayed in rounds; so is one whose links take more steps to find.
 TOGETHER, STEPS = 200_000, 4
 
@@ -148,23 +156,25 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 def _replay_family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Families one after the other, the events of each in order: every question is answered at once."""
+    """Families one after the other, each with its records, its items and then its events in order: every question is answered at once."""
     family, items, records = None, {}, {}
     for batch in batches:
         out = []
         for e in _rows(batch):
             if e["family"] != family:
                 family, items, records = e["family"], {}, {}
-            item = items.get(e["item_id"])
-            if item is None:
-                item = items[e["item_id"]] = Item(e)
-                if item.key is not None and item.key not in records:
-                    records[item.key] = Record({f"known_{c}": e[f"own_{c}"] for c in ("status", "owner", "hash")})
+            if e["kind"] == RECORD:
+                records[e["idempotency_key"]] = Record({k: e[c] for k, c in AS_RECORD.items()})
+                continue
+            if e["kind"] == FIRST:
+                items[e["item_id"]] = Item({k: e[c] for k, c in AS_FIRST.items()})
+                continue
+            item = items[e["item_id"]]
             ask, status = item._wish(e)
             if ask:
                 key = e["idempotency_key"] if ask == "claim" else item.key
                 if key not in records:
-                    records[key] = Record(e)
+                    records[key] = Record(dict.fromkeys(AS_RECORD))
                 e["verdict"] = records[key].step({"ask": ask, "item_id": e["item_id"], "status": status, "target": e["target_before"], "result": e["result_hash"]})
             out.append(item.step(e))
         if out:
@@ -210,15 +220,13 @@ def _judge(asked: DataFrame, known: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "seq").mapInArrow(_replay_keys, "seq long, key string, verdict string")
 
 
-def _families(rows: DataFrame) -> DataFrame:
-    """``(item, family, whole)`` per item that can ask for a key, items and keys told by 64-bit hashes: equal hashes only join families.
+def _families(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(item, family, whole)`` per item and ``(key, family)`` per key of ``links (item, key)``, told by 64-bit hashes: equal hashes only join families.
 
     The least key of a family goes from keys to items and back.  A family is whole if no
     item of it also has keys of another; after ``STEPS`` steps the rest may not be.
     """
-    asks = F.array(F.when(F.col("op") == "preflighted", F.col("idempotency_key")), F.col("first_key"))
-    links = rows.select(F.xxhash64("item_id").alias("item"), F.explode(asks).alias("key")).where("key IS NOT NULL")
-    links = checkpointed(links.select("item", F.xxhash64("key").alias("key")).distinct().withColumn("family", F.col("key")))
+    links = checkpointed(links.distinct().withColumn("family", F.col("key")))
 
     def lowest(side: str) -> DataFrame:
         return links.join(links.groupBy(side).agg(F.min("family").alias("low")), side)
@@ -233,7 +241,8 @@ def _families(rows: DataFrame) -> DataFrame:
     torn = per.where("family <> other").select(F.explode(F.array("family", "other")).alias("family"))
     # an item may have keys of more than two families
     torn = torn.union(links.join(per.where("family <> other").select("item"), "item", "left_semi").select("family")).distinct()
-    return per.select("item", "family").join(torn.withColumn("torn", F.lit(True)), "family", "left").select("item", "family", F.col("torn").isNull().alias("whole"))
+    items = per.select("item", "family").join(torn.withColumn("torn", F.lit(True)), "family", "left").select("item", "family", F.col("torn").isNull().alias("whole"))
+    return items, links.select("key", "family").distinct()
 
 
 def replay_batch(items: DataFrame, events: DataFrame, registry: DataFrame) -> DataFrame:
@@ -249,27 +258,46 @@ def replay_batch(items: DataFrame, events: DataFrame, registry: DataFrame) -> Da
     ``TOGETHER`` events is taken in order by one task, which streams the events and holds
     its items and records.  All others are replayed in rounds, where events stream through
     sorted partitions, an item and a key each in order, and no group is held in memory.
+    Events are read twice, once for the families, and not written down; records and items
+    go to their family as rows of their own, so no event carries them.
     """
     text = {c: F.col(c).cast("string") for c in ("op", "reason", "idempotency_key", "identity", "target_before", "token", "holder", "result_hash")}
     known = checkpointed(registry.select(
         F.col("idempotency_key").alias("key"), F.col("status").alias("known_status"), F.col("owner").cast("string").alias("known_owner"),
         F.col("verified_hash").alias("known_hash")))
-    rows = events.select(*EVENT).withColumns(text | {"seq": F.col("seq").cast("long"), "item_id": F.col("item_id").cast("string")})
-    own = known.select(F.col("key").alias("first_key"), *[F.col(f"known_{c}").alias(f"own_{c}") for c in ("status", "owner", "hash")])
-    firsts = items.select(F.col("item_id").cast("string").alias("item_id"), *ITEM).join(own, "first_key", "left")
-    rows = rows.join(firsts, "item_id").join(known.withColumnRenamed("key", "idempotency_key"), "idempotency_key", "left")
-    rows = checkpointed(rows.select(*EVENT, *ITEM, *[f"{o}_{c}" for o in ("known", "own") for c in ("status", "owner", "hash")]))
-    sizes = rows.groupBy("item_id").count().withColumn("item", F.xxhash64("item_id")).join(_families(rows), "item", "left")
+    # items keep the type of their ids if both sides have it, since then what is dealt out by item stays where it is
+    same = events.schema["item_id"].dataType == items.schema["item_id"].dataType
+    name = F.col("item_id") if same else F.col("item_id").cast("string").alias("item_id")
+    rows = events.select(*EVENT).withColumns(text | {"seq": F.col("seq").cast("long")}).withColumn("item_id", name)
+    # an event keeps only what its operation asks for
+    rows = rows.withColumns({c: F.when(F.col("op").isin(ops), F.col(c)) for c, ops in READ_BY.items()})
+    firsts = items.select(name, *ITEM)
+    key = F.when(F.col("idempotency_key").isNotNull(), F.xxhash64("idempotency_key")).alias("key")
+    counted = checkpointed(rows.select("item_id", key).groupBy("item_id", "key").agg(F.count("*").alias("n")))
+    item = F.xxhash64("item_id").alias("item")
+    first_keys = firsts.where("first_key IS NOT NULL").join(counted.select("item_id"), "item_id", "left_semi").select(item, F.xxhash64("first_key").alias("key"))
+    found, keys = _families(counted.where("key IS NOT NULL").select(item, "key").union(first_keys))
+    sizes = counted.groupBy("item_id").agg(F.sum("n").alias("count")).join(firsts.select("item_id"), "item_id", "left_semi").withColumn("item", item).join(found, "item", "left")
     # an item that asks for nothing is a family of its own
     sizes = sizes.select("item_id", "count", F.coalesce("family", "item").alias("family"), F.coalesce("whole", F.lit(True)).alias("whole"))
     large = sizes.groupBy("family").agg(F.sum("count").alias("n"), F.min("whole").alias("whole")).select("family", (F.col("whole") & (F.col("n") <= TOGETHER)).alias("together"))
     sizes = checkpointed(sizes.join(large, "family").select("item_id", "family", "together"))
-    whole = rows.join(sizes.where("together").select("item_id", "family"), "item_id").withColumn("verdict", F.lit(None).cast("string")).withColumn("first_verdict", F.col("verdict"))
-    done = checkpointed(whole.repartition("family").sortWithinPartitions("family", "seq").mapInArrow(_replay_family, ASKED_DDL))
+    whole = sizes.where("together").select("item_id", "family")
+
+    def of_kind(df: DataFrame, kind: int, columns: dict[str, Column]) -> DataFrame:
+        given = {c: columns.get(c, F.lit(None)) for c in EVENT} | {"seq": columns.get("seq", F.lit(0))}
+        return df.select("family", F.lit(kind).alias("kind"), *[given[c].cast(EVENT_TYPES.get(c, "string")).alias(c) for c in EVENT])
+
+    own = {c: F.col(k) for k, c in AS_FIRST.items()} | {"item_id": F.col("item_id")}
+    records = known.withColumn("hash", F.xxhash64("key")).join(keys.withColumnRenamed("key", "hash"), "hash")
+    taken = of_kind(rows.join(whole, "item_id"), TAKEN, {c: F.col(c) for c in EVENT}).union(of_kind(firsts.join(whole, "item_id"), FIRST, own)).union(
+        of_kind(records, RECORD, {c: F.col(k) for k, c in AS_RECORD.items()} | {"idempotency_key": F.col("key")}))
+    done = taken.repartition("family").sortWithinPartitions("family", "kind", "seq").mapInArrow(_replay_family, ASKED_DDL)
     rest = sizes.where("NOT together").select("item_id")
     if rest.isEmpty():
         return done
-    return done.union(_replay_rounds(rows.join(rest, "item_id"), known))
+    apart = rows.join(rest, "item_id").join(firsts, "item_id").withColumn("item_id", F.col("item_id").cast("string"))
+    return done.union(_replay_rounds(apart.join(known.withColumnRenamed("key", "idempotency_key"), "idempotency_key", "left"), known))
 
 
 def _replay_rounds(rows: DataFrame, known: DataFrame) -> DataFrame:

@@ -321,14 +321,16 @@ def batch_ledger(items: DataFrame, registry: DataFrame, events: DataFrame) -> tu
     result_hash).  Items whose identities clash are held back: their events are not
     taken.  All others start as ``init_ledger`` says and share the registry while they
     run, so a claim, a drift or a verified result of one item decides about the next.
+    Nothing is kept of the replay: whoever writes both frames runs it twice.
     """
     fingerprint = ["source_snapshot_hash", "template_snapshot_hash", "rule_pack_hash", "resolved_template_id"]
     prints = struct_hash(*fingerprint)
-    first = checkpointed(init_ledger(items, registry).join(identity_clashes(items), "item_id", "left"))
-    start = first.select(
+    first = init_ledger(items, registry).join(identity_clashes(items), "item_id", "left")
+    start = checkpointed(first.select(
         "item_id", F.col("state").alias("first_state"), F.coalesce("clash", "reason").alias("first_reason"), F.col("idempotency_key").alias("first_key"),
-        F.when(F.col("source_snapshot_hash").isNotNull(), prints).alias("first_identity"), F.col("target_before_hash").alias("first_target"), "clash")
-    about = first.where("clash IS NULL").select("item_id", "stable_identity", "catalog_scope")
+        F.when(F.col("source_snapshot_hash").isNotNull(), prints).alias("first_identity"), F.col("target_before_hash").alias("first_target"), "clash",
+        "stable_identity", "catalog_scope"))
+    about = start.where("clash IS NULL").select("item_id", "stable_identity", "catalog_scope")
     key = idempotency_key(
         F.col("source_snapshot_hash"), F.col("template_snapshot_hash"), F.col("rule_pack_hash"), F.col("stable_identity"), F.col("catalog_scope"))
     shown = F.col("source_snapshot_hash").isNotNull()

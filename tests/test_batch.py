@@ -129,3 +129,17 @@ def test_large_and_long_families_go_in_rounds(spark, monkeypatch, together, step
     more = [(1000 + n, f"z{n % 3}", COURSE[n // 3], True, True, "why", f"z{n % 3 // 2}", "x", "h0", "t", "o", "h0") for n in range(18)]
     given = (items + apart, events + more, registry)
     assert replayed(spark, *given) == one_by_one(*given)
+
+
+def test_events_are_not_written_down(spark, monkeypatch):
+    kept = []
+
+    def noted(df, keep=batch.checkpointed):
+        df = keep(df)
+        kept.append(df.count())
+        return df
+
+    monkeypatch.setattr(batch, "checkpointed", noted)
+    given = crowd(6, 40, 5, 2000)
+    assert replayed(spark, *given) == one_by_one(*given)
+    assert kept and max(kept) < 500
