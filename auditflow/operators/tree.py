@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -150,23 +150,17 @@ def _typed(batch: pa.RecordBatch, n: int, types: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
 
-def _json_rows(df: DataFrame, doc: str, keys: Sequence[str] | None = None, leaves: bool = False) -> DataFrame:
-    """``path, key, depth, is_leaf, value`` of every value below the root, ``value`` as JSON text; only those under ``keys``, only leaves."""
-    wanted = set(keys) if keys is not None else None
-
-    def made(text: str) -> Iterator[tuple]:
-        places = _places(text)
-        paths = ["$"]
-        depths = [0]
-        for parent, key, position, start, end in places[1:]:
-            path = f"{paths[parent]}.{key}" if key is not None else f"{paths[parent]}[{position}]"
-            paths.append(path)
-            depths.append(depths[parent] + 1)
-            leaf = text[start] not in "{[" or end - start == 2
-            if (wanted is None or key in wanted) and (leaf or not leaves):
-                yield path, key, depths[-1], leaf, text[start:end]
-
-    return _walk(df, doc, made, "path string, key string, depth int, is_leaf boolean, value string")
+def _nodes(text: str, keys: set[str] | None = None) -> Iterator[tuple]:
+    """``path, key, depth, is_leaf, value`` of every value below the root of a JSON text, or of those under ``keys`` only."""
+    places = _places(text)
+    paths = ["$"]
+    depths = [0]
+    for parent, key, position, start, end in places[1:]:
+        path = f"{paths[parent]}.{key}" if key is not None else f"{paths[parent]}[{position}]"
+        paths.append(path)
+        depths.append(depths[parent] + 1)
+        if keys is None or key in keys:
+            yield path, key, depths[-1], text[start] not in "{[" or end - start == 2, text[start:end]
 
 
 def json_nodes(df: DataFrame, doc: str, keys: Sequence[str] | None = None) -> DataFrame:
@@ -175,7 +169,8 @@ def json_nodes(df: DataFrame, doc: str, keys: Sequence[str] | None = None) -> Da
     Each document is read once, as JSON text, whatever its depth; values that JSON has no
     form for, such as dates, are texts.
     """
-    rows = _json_rows(df, doc, keys)
+    wanted = set(keys) if keys is not None else None
+    rows = _walk(df, doc, lambda text: _nodes(text, wanted), "path string, key string, depth int, is_leaf boolean, value string")
     return rows.withColumn("value", F.parse_json("value")).select(*[c for c in df.columns if c != doc], "path", "key", "depth", "value", "is_leaf")
 
 
@@ -226,23 +221,168 @@ def key_paths(df: DataFrame, doc: str, key: str) -> DataFrame:
     return json_nodes(df, doc, [key])
 
 
+def _number(text: str) -> tuple[str]:
+    """A number as it is written, unlike any text."""
+    return (text,)
+
+
+def _read(text: str):
+    """A JSON document with its numbers as written; None if its nesting is too deep for the parser, or a text in it has another form there."""
+    if "\\u" in text:
+        return None
+    try:
+        return json.loads(text, parse_int=_number, parse_float=_number, parse_constant=_number)
+    except RecursionError:
+        return None
+
+
+PLAIN = {None: "null", True: "true", False: "false"}
+
+
+def _written(value) -> str:
+    """A plain value or an empty list or object as JSON text."""
+    kind = type(value)
+    return json.encoder.encode_basestring(value) if kind is str else value[0] if kind is tuple else "{}" if kind is dict else "[]" if kind is list else PLAIN[value]
+
+
+def _leaves(value, path: str, out: dict[str, str]) -> None:
+    """The leaves of a document by their paths; of those that are written alike the greatest."""
+    open_ = [(path, value)]
+    while open_:
+        path, value = open_.pop()
+        if value and type(value) is dict:
+            open_ += [(f"{path}.{k}", v) for k, v in value.items()]
+        elif value and type(value) is list:
+            open_ += [(f"{path}[{i}]", v) for i, v in enumerate(value)]
+        elif path != "$":
+            said = _written(value)
+            out[path] = max(out[path], said) if path in out else said
+
+
+def _text_leaves(text: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    value = _read(text)
+    if value is not None:
+        _leaves(value, "$", out)
+        return out
+    for path, _, _, leaf, said in _nodes(text):
+        if leaf:
+            out[path] = max(out.get(path, said), said)
+    return out
+
+
+# A key that holds a mark of paths, so that two paths may be written alike.
+MARKED_KEY = re.compile(r'[.\[][^"]*":')
+
+
+def _different(before: str, after: str) -> tuple[dict[str, str], dict[str, str]]:
+    """Leaves of two documents, without those of parts that are the same in both."""
+    b, a = _read(before), _read(after)
+    if b is None or a is None or "\\" in before or "\\" in after or MARKED_KEY.search(before) or MARKED_KEY.search(after):
+        return _text_leaves(before), _text_leaves(after)
+    out: tuple[dict, dict] = ({}, {})
+    open_ = [("$", b, a)]
+    while open_:
+        path, b, a = open_.pop()
+        if b == a:
+            continue
+        if b and a and type(b) is type(a) is dict:
+            for k, v in b.items():
+                if k in a:
+                    open_.append((f"{path}.{k}", v, a[k]))
+                else:
+                    _leaves(v, f"{path}.{k}", out[0])
+            for k in a.keys() - b.keys():
+                _leaves(a[k], f"{path}.{k}", out[1])
+        elif b and a and type(b) is type(a) is list:
+            open_ += [(f"{path}[{i}]", *pair) for i, pair in enumerate(zip(b, a, strict=False))]
+            for i in range(len(a), len(b)):
+                _leaves(b[i], f"{path}[{i}]", out[0])
+            for i in range(len(b), len(a)):
+                _leaves(a[i], f"{path}[{i}]", out[1])
+        else:
+            _leaves(b, path, out[0])
+            _leaves(a, path, out[1])
+    return out
+
+
+class Versions:
+    """The documents of one key, before and after: one text a side as it came, more of them as what was read and ``joined``."""
+
+    def __init__(self, read: Callable[[str], dict], joined: Callable):
+        self.read, self.joined, self.texts, self.found = read, joined, [None, None], [None, None]
+
+    def add(self, side: int, text: str | None) -> None:
+        if text is None:
+            return
+        if self.texts[side] is None and self.found[side] is None:
+            self.texts[side] = text
+            return
+        found = self.of(side)
+        for k, v in self.read(text).items():
+            found[k] = self.joined(found[k], v) if k in found else v
+        self.texts[side], self.found[side] = None, found
+
+    def of(self, side: int) -> dict:
+        if self.found[side] is not None:
+            return self.found[side]
+        return self.read(self.texts[side]) if self.texts[side] is not None else {}
+
+
+def _met(before: DataFrame, after: DataFrame, keys: Sequence[str], doc: str, begin: Callable[[], Versions], made: Callable[[Versions], Iterator[tuple]], ddl: str) -> DataFrame:
+    """The keys with each row that ``made`` gives for the documents of a key: they meet as texts, sorted by key, and are walked there."""
+    keys, fields = list(keys), StructType.fromDDL(ddl)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, met, rows, chars = None, None, [], 0
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for *now, side, text in zip(*columns, strict=True):
+                if met is None or now != key and not all(a == b or a != a and b != b for a, b in zip(key, now, strict=True)):
+                    if met is not None:
+                        rows += [(*key, *row) for row in made(met)]
+                    key, met = now, begin()
+                met.add(side, text)
+                chars += len(text or "")
+                if len(rows) >= WALK_ROWS or rows and chars >= WALK_CHARS:
+                    yield built(rows)
+                    rows, chars = [], 0
+        if met is not None:
+            rows += [(*key, *row) for row in made(met)]
+        if rows:
+            yield built(rows)
+
+    def built(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)], schema=types)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    sides = [df.select(*keys, F.lit(i).alias("_side"), F.to_json(doc).alias("_text")) for i, df in enumerate((before, after))]
+    met = sides[0].union(sides[1])
+    schema = StructType([*met.select(*keys).schema.fields, *fields.fields])
+    types = to_arrow_schema(schema)
+    dealt = met.repartition(PER_CORE * before.sparkSession.sparkContext.defaultParallelism, *keys)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(walk, schema)
+
+
 def structural_diff(before: DataFrame, after: DataFrame, keys: list[str], doc: str = "doc") -> DataFrame:
     """Changed leaf paths between two versions of each document.
 
-    Both sides meet in one aggregation instead of a full outer join.
+    The two texts of a key meet and only leaves that differ leave the task.  Of several
+    documents of one key on a side the greatest value of a path counts.
     """
-    def leaves(df: DataFrame, side: str) -> DataFrame:
-        return _json_rows(df.select(*keys, doc), doc, leaves=True).select(*keys, "path", F.lit(side).alias("side"), "value")
+    def made(met: Versions) -> Iterator[tuple]:
+        b, a = met.texts
+        if b is not None and b == a:
+            return
+        was, now = _different(b, a) if b is not None and a is not None else (met.of(0), met.of(1))
+        for path in was.keys() | now.keys():
+            if was.get(path) != now.get(path):
+                yield path, was.get(path), now.get(path)
 
-    both = leaves(before, "b").unionByName(leaves(after, "a"))
-    merged = both.groupBy(*keys, "path").agg(
-        F.max(F.when(F.col("side") == "b", F.col("value"))).alias("before"),
-        F.max(F.when(F.col("side") == "a", F.col("value"))).alias("after"),
-    )
-    change = (
-        F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
-    )
-    return merged.where(~F.col("before").eqNullSafe(F.col("after"))).withColumn("change", change)
+    rows = _met(before, after, keys, doc, lambda: Versions(_text_leaves, max), made, "path string, before string, after string")
+    change = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
+    return rows.withColumn("change", change)
 
 
 def identified_nodes(df: DataFrame, doc: str, ids: Sequence[str]) -> DataFrame:
@@ -271,6 +411,53 @@ def identified_nodes(df: DataFrame, doc: str, ids: Sequence[str]) -> DataFrame:
     return rows.withColumn("node", F.parse_json("node"))
 
 
+def _identities(text: str, ids: Sequence[str]) -> dict[tuple, tuple]:
+    """``(kind, id)`` of the objects with an identity: how many there are, and place, identity above and own plain fields of the last one."""
+    value, out = _read(text), {}
+    if value is None:
+        value = _deep(text)
+    if type(value) is not dict and type(value) is not list:
+        return out
+    open_ = [(value, [], None)]
+    for value, at, owner in open_:
+        members = value
+        if type(value) is dict:
+            members = value.values()
+            for kind in ids:
+                said = value.get(kind)
+                if type(said) is str or type(said) is tuple:
+                    own = kind, said if type(said) is str else said[0]
+                    seen = (1, at, owner, {k: v for k, v in value.items() if type(v) is not dict and type(v) is not list})
+                    out[own] = _last(out[own], seen) if own in out else seen
+                    owner = own
+                    break
+        i = 0
+        for v in members:
+            if type(v) is dict or type(v) is list:
+                open_.append((v, [*at, i], owner))
+            i += 1
+    return out
+
+
+def _last(one: tuple, other: tuple) -> tuple:
+    return one[0] + other[0], *max(one, other, key=lambda x: x[1])[1:]
+
+
+def _deep(text: str):
+    """As ``_read``, for a document of any depth."""
+    built: list = []
+    for parent, key, _, start, end in _places(text):
+        c = text[start]
+        value = {} if c == "{" else [] if c == "[" else _said(text[start:end]) if c == '"' else {"null": None, "true": True, "false": False}.get(text[start:end], (text[start:end],))
+        built.append(value)
+        if parent >= 0:
+            if key is None:
+                built[parent].append(value)
+            else:
+                built[parent][key] = value
+    return built[0]
+
+
 def identity_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], ids: Sequence[str], doc: str = "doc") -> DataFrame:
     """What became of each identified node between two versions of a document.
 
@@ -278,28 +465,31 @@ def identity_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], ids:
     than once, ``moved`` if it stands under another identity or in another order among
     those that stayed under the same one, else ``kept``.  ``fields`` are the own fields
     with a plain value that differ.  A path plays no part, so a node that only has other
-    nodes before it now is kept.
+    nodes before it now is kept.  The two texts of a key meet and are compared in one task.
     """
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        rows = identified_nodes(df.select(*keys, doc), doc, ids)
-        plain = F.map_filter(F.try_variant_get("node", "$", "map<string,variant>"), lambda k, v: ~F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
-        return rows.select(*keys, "kind", "id", F.lit(tag).alias("side"), "owner", "at", F.transform_values(plain, lambda k, v: F.to_json(v)).alias("said"))
-
-    pick = lambda tag, c: F.max_by(c, F.when(F.col("side") == tag, F.col("at")))
-    count = lambda tag: F.count(F.when(F.col("side") == tag, 1))
-    met = side(before, "b").unionByName(side(after, "a")).groupBy(*keys, "kind", "id").agg(
-        count("b").alias("n_b"), count("a").alias("n_a"), *[pick(s, c).alias(f"{c}_{s}") for s in "ba" for c in ("owner", "at", "said")])
-    stays = (F.col("n_b") == 1) & (F.col("n_a") == 1) & F.col("owner_b").eqNullSafe(F.col("owner_a"))
-    among = lambda s: F.row_number().over(Window.partitionBy(*keys, "stays", "owner_b").orderBy(f"at_{s}"))
-    placed = met.withColumn("stays", stays)
-    ranked = placed.where("stays").withColumns({"rank_b": among("b"), "rank_a": among("a")})
-    placed = ranked.unionByName(placed.where("NOT stays"), allowMissingColumns=True)
-    change = (F.when(F.col("n_a") == 0, "lost").when(F.col("n_b") == 0, "new").when((F.col("n_a") > 1) | (F.col("n_b") > 1), "repeated")
-              .when(~F.col("stays") | (F.col("rank_a") != F.col("rank_b")), "moved").otherwise("kept"))
-    names = F.array_sort(F.array_distinct(F.concat(F.map_keys("said_b"), F.map_keys("said_a"))))
-    fields = F.filter(names, lambda k: ~F.try_element_at("said_b", k).eqNullSafe(F.try_element_at("said_a", k)))
-    both = (F.col("n_a") > 0) & (F.col("n_b") > 0)
-    return placed.select(*keys, "kind", "id", change.alias("change"), F.when(both, fields).alias("fields"))
+    ids = list(ids)
+
+    def made(met: Versions) -> Iterator[tuple]:
+        b, a = met.of(0), met.of(1)
+        stays: dict = {}
+        for own in b.keys() & a.keys():
+            if b[own][0] == a[own][0] == 1 and b[own][2] == a[own][2]:
+                stays.setdefault(b[own][2], []).append(own)
+        kept = set()
+        for group in stays.values():
+            group.sort(key=lambda own: b[own][1])
+            kept.update(own for own, other in zip(group, sorted(group, key=lambda own: a[own][1]), strict=True) if own == other)
+        for own in b.keys() | a.keys():
+            was, now = b.get(own), a.get(own)
+            if was is None or now is None:
+                yield *own, "new" if was is None else "lost", None
+            else:
+                change = "repeated" if was[0] > 1 or now[0] > 1 else "kept" if own in kept else "moved"
+                fields = sorted(k for k in was[3].keys() | now[3].keys() if was[3].get(k, ()) != now[3].get(k, ())) if was[3] != now[3] else []
+                yield *own, change, fields
+
+    begin = lambda: Versions(lambda text: _identities(text, ids), _last)
+    return _met(before, after, keys, doc, begin, made, "kind string, id string, change string, fields array<string>")
 
 
 def identity_losses(diff: DataFrame, entity: str) -> DataFrame:
