@@ -39,9 +39,12 @@ def affected_pages(placed: DataFrame) -> DataFrame:
 
 def plan_by_page(placed: DataFrame, size: int = 1000) -> DataFrame:
     """Annotations of each page of a file in input order, in segments of bounded length."""
-    head = ["path", "page", "page_width", "page_height", "scale"]
+    measures = ["page_width", "page_height", "scale"]
     item = F.struct("id", "pos", "type", "left_px", "top_px", "width_px", "height_px")
-    out = ranges.segments(placed, head, ["pos"], item, "annotations", size)
+    # as texts, since keys of floating type are dealt out anew by every step
+    rows = placed.select("path", "page", *[(F.col(c) + 0.0).cast("string").alias(c) for c in measures], "pos", item.alias("item"))
+    out = ranges.segments(rows, ["path", "page", *measures], ["pos"], F.col("item"), "annotations", size)
+    out = out.withColumns({c: F.col(c).cast(placed.schema[c].dataType) for c in measures})
     return out.withColumn("canvas_height", F.col("page_height") * F.col("scale"))
 
 

@@ -39,9 +39,10 @@ def annotation_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def annotation_import_plan(ann: DataFrame, pages: DataFrame, media: DataFrame, size: int = 1000, relative: bool = False) -> AnnotationPlan:
     """Validated placement of the annotations of any number of files, page by page.
 
-    Scaled and judged rows are made once; placement, summary and violations start from them.
+    Scaled and judged rows are written nowhere: placement, summary and violations each
+    read what they need of them, and only violations look for the first place of an id.
     """
-    rows = checkpointed(annotations.judged_annotations(ann, pages, media, relative))
+    rows = annotations.judged_annotations(ann, pages, media, relative)
     placed = annotations.placed(rows)
     found = annotations.annotation_violations(rows).unionByName(annotations.page_violations(pages))
     return AnnotationPlan(report.plan_by_page(placed, size), report.annotation_summary(placed, found), found)
